@@ -47,8 +47,8 @@ def burst_run_ends(events: DataFrame, min_count: int = DEFAULT_SUSPICIOUS_ORDER_
     ev = (events
           .where(F.col("customer_id").isNotNull() & F.col(EVENT_TIME).isNotNull())
           .select("customer_id", EVENT_TIME, "order_id", "product_id", ts_us.alias("ts_us")))
-    home = (F.col("ts_us") - F.pmod(F.col("ts_us"), F.lit(bucket_us))) / F.lit(bucket_us)
-    ev = ev.withColumn("home_bucket", home.cast("long"))
+    # floor(ts_us / bucket_us) in exact integer arithmetic (also for times before 1970)
+    ev = ev.withColumn("home_bucket", F.expr(f"(ts_us - pmod(ts_us, {bucket_us})) div {bucket_us}"))
     in_halo = F.col("ts_us") > (F.col("home_bucket") + 1) * F.lit(bucket_us) - F.lit(span_us)
     ev = ev.withColumn("bucket", F.explode(
         F.when(in_halo, F.array(F.col("home_bucket"), F.col("home_bucket") + 1))

@@ -101,3 +101,77 @@ FROM ends, range({min_count}, k + 1) r(len)"""
 
 def burst_alerts(feed: str, min_count: int, span_sql: str, span_words: str) -> str:
     return with_feed(feed, "").rstrip() + burst_alerts_body(min_count, span_sql, span_words)
+
+
+def epoch_text(ts: str) -> str:
+    return f"printf('%d.%09d', epoch_us({ts}) // 1000000, (epoch_us({ts}) % 1000000) * 1000)"
+
+
+def cents_text(cents: str) -> str:
+    return f"printf('%d.%02d', ({cents}) // 100, ({cents}) % 100)"
+
+
+def revenue_json(feed: str) -> str:
+    return with_feed(feed, f"""
+, r AS (
+  SELECT product_category, sum(coalesce(price, 0) + coalesce(freight_value, 0)) AS total, count(*) AS n,
+         date_trunc('minute', order_purchase_timestamp) AS ws
+  FROM feed WHERE product_category IS NOT NULL AND price IS NOT NULL GROUP BY 1, 4)
+SELECT CAST(NULL AS VARCHAR) AS key,
+       '{{"productCategory":' || to_json(product_category) || ',"totalRevenue":' || CAST(total AS VARCHAR)
+       || ',"orderCount":' || CAST(n AS VARCHAR) || ',"windowStart":' || {epoch_text('ws')}
+       || ',"windowEnd":' || {epoch_text("ws + INTERVAL 1 MINUTE")} || '}}' AS value
+FROM r""").replace("WITH feed AS (", "WITH feed AS (", 1).replace(")\n\n, r AS", ")\n, r AS")
+
+
+def kpi_json(feed: str) -> str:
+    return with_feed(feed, f"""
+, k AS (
+  SELECT date_trunc('minute', order_purchase_timestamp) AS ws, count(*) AS n,
+         CAST(sum((coalesce(price, 0) + coalesce(freight_value, 0)) * 100) AS HUGEINT) AS cents
+  FROM feed WHERE price IS NOT NULL GROUP BY 1)
+SELECT CAST(NULL AS VARCHAR) AS key,
+       '{{"averageOrderValue":' || {cents_text('(2 * cents + n) // (2 * n)')}
+       || ',"ordersPerMinute":' || CAST(CAST(n AS DOUBLE) AS VARCHAR)
+       || ',"totalOrders":' || CAST(n AS VARCHAR) || ',"totalRevenue":' || {cents_text('cents')}
+       || ',"windowStart":' || {epoch_text('ws')} || ',"windowEnd":' || {epoch_text("ws + INTERVAL 1 MINUTE")}
+       || '}}' AS value
+FROM k""")
+
+
+def price_alert_json(feed: str, threshold: str) -> str:
+    return with_feed(feed, f"""
+SELECT CAST(NULL AS VARCHAR) AS key,
+       '{{"alertType":"PRICE_ANOMALY","entityId":' || to_json(seller_id)
+       || ',"description":"Order price ' || CAST(price AS VARCHAR) || ' exceeds threshold {threshold}"'
+       || ',"value":' || CAST(price AS VARCHAR) || ',"detectedAt":' || {epoch_text('order_purchase_timestamp')}
+       || '}}' AS value
+FROM feed WHERE price > {threshold}""")
+
+
+def revenue_table_rows(feed: str, unit: str = "minute") -> str:
+    return with_feed(feed, f"""
+SELECT product_category,
+       CAST(CAST(sum(coalesce(price, 0) + coalesce(freight_value, 0)) AS DECIMAL(12,2)) AS DOUBLE) AS total_revenue,
+       count(*) AS order_count,
+       date_trunc('{unit}', order_purchase_timestamp) AS window_start,
+       date_trunc('{unit}', order_purchase_timestamp) + INTERVAL 1 {unit} AS window_end,
+       strftime(date_trunc('{unit}', order_purchase_timestamp), '%Y-%m-%d') AS window_date
+FROM feed
+WHERE product_category IS NOT NULL AND price IS NOT NULL
+GROUP BY product_category, date_trunc('{unit}', order_purchase_timestamp)""")
+
+
+def decoded_events(feed: str) -> str:
+    # The producer writes whole seconds, so decoded times are truncated to the second.
+    return with_feed(feed, """
+SELECT order_id, customer_id, order_status, date_trunc('second', order_purchase_timestamp) AS order_purchase_timestamp,
+       product_id, seller_id, product_category, CAST(price AS DOUBLE) AS price,
+       CAST(freight_value AS DOUBLE) AS freight_value
+FROM feed WHERE product_category IS NOT NULL""")
+
+
+def decode_outcomes(feed: str) -> str:
+    return with_feed(feed, """
+SELECT CASE WHEN product_category IS NULL THEN 'malformed' ELSE 'valid' END AS outcome, count(*) AS messages
+FROM feed GROUP BY 1""")

@@ -34,6 +34,8 @@ def for_oracle(df: DataFrame) -> DataFrame:
             c = c.cast("double")
         elif isinstance(f.dataType, T.TimestampType):
             c = c.cast("timestamp_ntz")
+        elif isinstance(f.dataType, T.DateType):
+            c = c.cast("string")
         cols.append(c.alias(f.name))
     return df.select(*cols)
 
@@ -169,3 +171,94 @@ def _all_alerts_event(spark, sf):
 def _all_alerts_items(spark, sf):
     feed = item_feed(spark, sf)
     return union_alerts(suspicious_frequency_alerts(feed, 3, "5 minutes"), price_anomaly_alerts(feed, "90000"))
+
+
+# --- JSON in and out (S2, K4) -------------------------------------------------------------------
+
+def order_messages(spark, sf):
+    """The event feed as producer JSON messages; messages of 'error' events carry an unparsable
+    purchase time (a bad field fails the whole message)."""
+    from cartwheel.sources.messages import encode_order_events
+    feed = event_feed(spark, sf)
+    msgs = encode_order_events(feed).withColumn("bad", F.col("value").contains('"product_category":null'))
+    bad_ts = F.regexp_replace("value", '"order_purchase_timestamp":"[^"]*"', '"order_purchase_timestamp":"not a time"')
+    return msgs.select("key", F.when(F.col("bad"), bad_ts).otherwise(F.col("value")).alias("value"))
+
+
+@register("decode_order_json", oracle.decoded_events("event"))
+def _decode_order_json(spark, sf):
+    """Decoded valid messages."""
+    from cartwheel.sources.messages import decode_order_messages
+    return decode_order_messages(order_messages(spark, sf))
+
+
+@register("decode_order_json_outcomes", oracle.decode_outcomes("event"))
+def _decode_outcomes(spark, sf):
+    """Messages kept and dropped, by outcome."""
+    from cartwheel.sources.messages import decode_outcomes
+    return decode_outcomes(order_messages(spark, sf))
+
+
+@register("revenue_json", oracle.revenue_json("event"))
+def _revenue_json(spark, sf):
+    from cartwheel.sinks.json_encode import revenue_json
+    return revenue_json(revenue_by_category(event_feed(spark, sf)))
+
+
+@register("kpi_json", oracle.kpi_json("event"))
+def _kpi_json(spark, sf):
+    from cartwheel.sinks.json_encode import kpi_json
+    return kpi_json(realtime_kpis(event_feed(spark, sf)))
+
+
+@register("price_alert_json_items", oracle.price_alert_json("item", "90000"))
+def _price_alert_json(spark, sf):
+    from cartwheel.sinks.json_encode import alert_json
+    return alert_json(price_anomaly_alerts(item_feed(spark, sf), "90000"))
+
+
+# --- tables (K5-K9) and CSV sources (S3-S5, P7, P8, O1) -------------------------------------------
+
+@register("revenue_table_rows", oracle.revenue_table_rows("event"))
+def _revenue_table_rows(spark, sf):
+    """K9: revenue rows coerced to the table schema, with the partition date."""
+    from cartwheel.sinks.tables import to_revenue_rows
+    return to_revenue_rows(revenue_by_category(event_feed(spark, sf)))
+
+
+@register("revenue_table_roundtrip", oracle.revenue_table_rows("event", "minute"))
+def _revenue_table_roundtrip(spark, sf):
+    """K5/K8: create the result tables in the checkpoint folder, append the 1-minute revenue
+    (partitioned by day), read it back through the catalog."""
+    from cartwheel.session import scratch_path
+    from cartwheel.sinks.tables import append_revenue, create_result_tables
+    db = "olist_" + scratch_path(spark, "t").rsplit("-", 1)[1]
+    names = create_result_tables(spark, db, "parquet", scratch_path(spark, "tables"))
+    append_revenue(revenue_by_category(event_feed(spark, sf)), names[0])
+    return spark.table(names[0])
+
+
+@register("order_events_from_csv", oracle.feed_rows("item"))
+def _order_events_from_csv(spark, sf):
+    """The driver tables written as the three CSV files, then enriched from CSV (sorted)."""
+    from cartwheel.session import scratch_path
+    from cartwheel.sources.csv import enriched_events_from_csv
+    from cartwheel.sources.tables import read_table
+    d = scratch_path(spark, "csv")
+    orders = read_table(spark, sf, "orders").select(
+        F.col("o_orderkey").cast("string").alias("order_id"), F.col("o_custkey").cast("string").alias("customer_id"),
+        F.col("o_orderstatus").alias("order_status"),
+        F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss").alias("order_purchase_timestamp"),
+        F.col("o_orderpriority").alias("order_priority"))
+    items = read_table(spark, sf, "lineitem").select(
+        F.col("l_orderkey").cast("string").alias("order_id"), F.col("l_linenumber").alias("order_item_id"),
+        F.col("l_partkey").cast("string").alias("product_id"), F.col("l_suppkey").cast("string").alias("seller_id"),
+        F.col("l_extendedprice").cast("decimal(12,2)").cast("string").alias("price"),
+        F.col("l_quantity").cast("decimal(12,2)").cast("string").alias("freight_value"))
+    products = read_table(spark, sf, "part").select(
+        F.col("p_partkey").cast("string").alias("product_id"), F.col("p_type").alias("product_category_name"),
+        F.col("p_size").alias("product_weight_g"))
+    for df, name in [(orders, "olist_orders_dataset.csv"), (items, "olist_order_items_dataset.csv"),
+                     (products, "olist_products_dataset.csv")]:
+        df.write.option("header", "true").csv(f"{d}/{name}")
+    return enriched_events_from_csv(spark, d, sort=True)

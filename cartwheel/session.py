@@ -24,6 +24,7 @@ def build_session(master: str = "local[*]", app: str = "cartwheel", shuffle_part
     """Session for local runs and tests; a cluster passes its own settings through ``extra``."""
     b = (SparkSession.builder.master(master).appName(app)
          .config("spark.ui.enabled", "false")
+         .config("spark.ui.showConsoleProgress", "false")
          .config("spark.sql.shuffle.partitions", str(shuffle_partitions)))
     for k, v in {**SESSION_DEFAULTS, **(extra or {})}.items():
         b = b.config(k, v)
