@@ -175,3 +175,48 @@ def decode_outcomes(feed: str) -> str:
     return with_feed(feed, """
 SELECT CASE WHEN product_category IS NULL THEN 'malformed' ELSE 'valid' END AS outcome, count(*) AS messages
 FROM feed GROUP BY 1""")
+
+
+# Stream replays: one micro-batch of all rows, then a no-data batch at the final watermark
+# (max event time in ms - 10 s). Windows closed by it are emitted, bursts ending at or below it.
+WATERMARK_US = "(SELECT (epoch_us(max(ts)) // 1000 - 10000) * 1000 FROM events)"
+
+
+def revenue_replay(feed: str) -> str:
+    return f"SELECT * FROM ({revenue(feed, 'minute')}) WHERE epoch_us(window_end) <= {WATERMARK_US}"
+
+
+def kpi_replay(feed: str) -> str:
+    return f"SELECT * FROM ({kpis(feed, 'minute', 1.0)}) WHERE epoch_us(window_end) <= {WATERMARK_US}"
+
+
+def alerts_replay(feed: str, min_count: int, span_sql: str, span_words: str, threshold: str) -> str:
+    bursts = (with_feed(feed, "").rstrip() + burst_alerts_body(min_count, span_sql, span_words))
+    prices = with_feed(feed, price_alerts_body(threshold))
+    return (f"SELECT * FROM ({bursts}) WHERE epoch_us(detected_at) <= "
+            f"(SELECT (epoch_us(max(ts)) // 1000 - 10000) * 1000 FROM events)\n"
+            f"UNION ALL SELECT * FROM ({prices})")
+
+
+def quarantine_rows(feed: str) -> str:
+    return feed_rows(feed, "product_category IS NULL OR price IS NULL",
+                     extra=", CASE WHEN product_category IS NULL AND price IS NULL THEN 'no category, no price' "
+                           "WHEN product_category IS NULL THEN 'no category' ELSE 'no price' END AS quarantined_reason")
+
+
+def kpi_distribution(feed: str, capacity: int, quantiles: tuple[float, ...], names: list[str]) -> str:
+    qs = ",\n       ".join(f"coalesce(CAST(quantile_disc(v, {q}) AS DOUBLE), 0) AS {n}" for q, n in zip(quantiles, names))
+    return with_feed(feed, f"""
+, k AS (
+  SELECT date_trunc('minute', order_purchase_timestamp) AS ws, count(*) AS n,
+         CAST(sum((coalesce(price, 0) + coalesce(freight_value, 0)) * 100) AS HUGEINT) AS cents
+  FROM feed WHERE price IS NOT NULL GROUP BY 1),
+vals AS (SELECT ws, CAST((((2 * cents + n) // (2 * n)) + 50) // 100 AS BIGINT) AS v FROM k),
+kept AS (SELECT v FROM vals ORDER BY ws DESC LIMIT {capacity})
+SELECT (SELECT count(*) FROM vals) AS count,
+       count(v) AS size,
+       coalesce(min(v), 0) AS min, coalesce(max(v), 0) AS max,
+       round(coalesce(avg(v), 0), 6) AS mean,
+       round(CASE WHEN count(v) >= 2 THEN stddev_pop(v) ELSE 0 END, 6) AS stddev,
+       {qs}
+FROM kept""")

@@ -262,3 +262,75 @@ def _order_events_from_csv(spark, sf):
                      (products, "olist_products_dataset.csv")]:
         df.write.option("header", "true").csv(f"{d}/{name}")
     return enriched_events_from_csv(spark, d, sort=True)
+
+
+# --- streams (T1, T3, T4, T5, W3 stream, K10, M1-M7) ----------------------------------------------
+
+def _replay(spark: SparkSession, sf: str, build, record: str, name: str, progress: list | None = None) -> DataFrame:
+    """Replay ``events.parquet`` as a stream through ``build`` into a Parquet sink (availableNow),
+    then read the sink back."""
+    from cartwheel.session import scratch_path
+    from cartwheel.streaming.jobs import Sink, start
+    from cartwheel.streaming.sources import order_stream_from_files
+    out, ckpt = scratch_path(spark, f"{name}-out"), scratch_path(spark, f"{name}-ckpt")
+    result = build(order_stream_from_files(spark, sf, "events.parquet"))
+    q = start(result, record, Sink("parquet", out, ckpt, {"availableNow": True}), f"{name}_{out[-12:]}")
+    q.awaitTermination()
+    if q.exception():
+        raise q.exception()
+    if progress is not None:
+        progress.extend(q.recentProgress)
+    return spark.read.schema(result.schema).parquet(out)
+
+
+@register("revenue_stream_replay", oracle.revenue_replay("event"))
+def _revenue_stream_replay(spark, sf):
+    from cartwheel.streaming.jobs import revenue_stream
+    return _replay(spark, sf, revenue_stream, "revenue", "revenue_replay")
+
+
+@register("kpi_stream_replay", oracle.kpi_replay("event"))
+def _kpi_stream_replay(spark, sf):
+    from cartwheel.streaming.jobs import kpi_stream
+    return _replay(spark, sf, kpi_stream, "kpi", "kpi_replay")
+
+
+@register("alerts_stream_replay", oracle.alerts_replay("event", 3, "1 DAY", "1440 minutes", "400"))
+def _alerts_stream_replay(spark, sf):
+    """W3 as a stateful stream (1-day span) united with price alerts (threshold 400)."""
+    from cartwheel.streaming.jobs import alert_stream
+    return _replay(spark, sf, lambda s: alert_stream(s, 3, "1 day", "400"), "alert", "alerts_replay")
+
+
+@register("quarantine_stream_replay", oracle.quarantine_rows("event"))
+def _quarantine_stream_replay(spark, sf):
+    from cartwheel.streaming.jobs import quarantine_stream
+    return _replay(spark, sf, quarantine_stream, "quarantine", "quarantine_replay")
+
+
+@register("stream_metrics")
+def _stream_metrics(spark, sf):
+    """M1-M3, M7: observed metrics and rates of a revenue and a KPI replay, as rows."""
+    from cartwheel.streaming.jobs import kpi_stream, revenue_stream
+    from cartwheel.streaming.metrics import metrics_frame, progress_rows
+    rows = []
+    for name, build, record in [("revenue", revenue_stream, "revenue"), ("kpi", kpi_stream, "kpi")]:
+        progress: list = []
+        _replay(spark, sf, build, record, f"{name}_metrics", progress)
+        rows.extend(progress_rows(name, progress))
+    return metrics_frame(spark, rows)
+
+
+# --- distribution (A6, M4) --------------------------------------------------------------------------
+
+def _distribution_sql() -> str:
+    from cartwheel.operators.distribution import DEFAULT_QUANTILES, quantile_name
+    return oracle.kpi_distribution("event", 1000, DEFAULT_QUANTILES, [quantile_name(q) for q in DEFAULT_QUANTILES])
+
+
+@register("kpi_value_distribution", _distribution_sql())
+def _kpi_value_distribution(spark, sf):
+    """Distribution of the last 1000 KPI window averages (whole numbers)."""
+    from cartwheel.operators.distribution import kpi_value_distribution
+    d = kpi_value_distribution(realtime_kpis(event_feed(spark, sf)), 1000)
+    return d.withColumn("mean", F.round("mean", 6)).withColumn("stddev", F.round("stddev", 6))

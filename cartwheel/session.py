@@ -64,3 +64,4 @@ def local_path(path: str) -> str:
 
 def path_exists(path: str) -> bool:
     return os.path.exists(local_path(path))
+

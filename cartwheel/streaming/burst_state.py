@@ -1,0 +1,96 @@
+"""Stateful processor of the streaming burst detector (see ``cartwheel.streaming.bursts``).
+
+Self-contained on purpose: it imports only pyspark, and is pickled by value, so Python
+workers need no copy of this package.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+from pyspark.sql import Row
+from pyspark.sql import types as T
+from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
+
+RUN_SCHEMA = T.StructType([
+    T.StructField("customer_id", T.StringType()),
+    T.StructField("ts_us", T.LongType()),
+    T.StructField("run_length", T.LongType()),
+])
+PENDING_SCHEMA = T.StructType([
+    T.StructField("ts_us", T.LongType()),
+    T.StructField("order_id", T.StringType()),
+    T.StructField("product_id", T.StringType()),
+])
+RECENT_SCHEMA = T.StructType([T.StructField("ts_us", T.LongType())])
+
+
+def _ceil_ms(us: int) -> int:
+    return -((-us) // 1000)
+
+
+def _sort_key(p) -> tuple:
+    return (p[0], p[1] is not None, p[1] or "", p[2] is not None, p[2] or "")
+
+
+class BurstProcessor(StatefulProcessor):
+    def __init__(self, min_count: int, span_us: int):
+        self.min_count = min_count
+        self.span_us = span_us
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.pending = handle.getListState("pending", PENDING_SCHEMA)
+        self.recent = handle.getListState("recent", RECENT_SCHEMA)
+
+    def _reset_timer(self, when_ms: int | None) -> None:
+        for t in list(self.handle.listTimers()):
+            self.handle.deleteTimer(t)
+        if when_ms is not None:
+            self.handle.registerTimer(when_ms)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        wm_us = timerValues.getCurrentWatermarkInMs() * 1000
+        fresh = [(r["ts_us"], r["order_id"], r["product_id"]) for r in rows if r["ts_us"] > wm_us]
+        if fresh:
+            pending = list(self.pending.get()) if self.pending.exists() else []
+            pending.extend(fresh)
+            self.pending.put(pending)
+            self._reset_timer(_ceil_ms(min(p[0] for p in pending)))
+        return iter([])
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        wm_us = timerValues.getCurrentWatermarkInMs() * 1000
+        pending = sorted(self.pending.get(), key=_sort_key) if self.pending.exists() else []
+        ready = [p for p in pending if p[0] <= wm_us]
+        later = [p for p in pending if p[0] > wm_us]
+        recent = [r[0] for r in self.recent.get()] if self.recent.exists() else []
+        out = []
+        for us, _oid, _pid in ready:
+            lo = us - self.span_us
+            recent = [t for t in recent if t > lo]
+            recent.append(us)
+            k = len(recent)
+            for n in range(self.min_count, k + 1):
+                out.append(Row(customer_id=key[0], ts_us=us, run_length=n))
+        if later:
+            self.pending.put(later)
+        else:
+            self.pending.clear()
+        newest = max(recent) if recent else None
+        if newest is not None and newest + self.span_us <= wm_us and not later:
+            recent = []
+        if recent:
+            self.recent.put([(t,) for t in recent])
+        else:
+            self.recent.clear()
+        if later:
+            self._reset_timer(_ceil_ms(later[0][0]))
+        elif recent:
+            self._reset_timer(_ceil_ms(newest + self.span_us))
+        else:
+            self._reset_timer(None)
+        return iter(out)
+
+    def close(self) -> None:
+        pass
