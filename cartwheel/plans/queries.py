@@ -178,11 +178,12 @@ def _all_alerts_items(spark, sf):
 def order_messages(spark, sf):
     """The event feed as producer JSON messages; messages of 'error' events carry an unparsable
     purchase time (a bad field fails the whole message)."""
+    from cartwheel.functions.columns import PURCHASE_TS_FORMAT
     from cartwheel.sources.messages import encode_order_events
     feed = event_feed(spark, sf)
-    msgs = encode_order_events(feed).withColumn("bad", F.col("value").contains('"product_category":null'))
-    bad_ts = F.regexp_replace("value", '"order_purchase_timestamp":"[^"]*"', '"order_purchase_timestamp":"not a time"')
-    return msgs.select("key", F.when(F.col("bad"), bad_ts).otherwise(F.col("value")).alias("value"))
+    time_text = (F.when(F.col("product_category").isNull(), F.lit("not a time"))
+                  .otherwise(F.date_format("order_purchase_timestamp", PURCHASE_TS_FORMAT)))
+    return encode_order_events(feed, time_text)
 
 
 @register("decode_order_json", oracle.decoded_events("event"))

@@ -35,10 +35,17 @@ def decode_outcome(message: Column, parsed: Column) -> Column:
 
 
 def parse_messages(messages: DataFrame, value_col: str = "value") -> DataFrame:
-    """Adds ``event`` (parsed struct) and ``outcome`` (valid / malformed / empty)."""
+    """Adds ``event`` (parsed struct) and ``outcome`` (valid / malformed / empty).
+
+    The parsed struct is produced as generator output (``inline`` of a one-element array):
+    a filter on the outcome cannot be pushed below a generator, so the optimizer does not
+    substitute ``from_json`` into the filter and every field reference (which would parse
+    each message several times)."""
     parsed = F.from_json(F.col(value_col).cast("string"), DECODE_SCHEMA, DECODE_OPTIONS)
-    return (messages.withColumn("event", parsed)
-                    .withColumn("outcome", decode_outcome(F.col(value_col), F.col("event"))))
+    others = [c for c in messages.columns if c != value_col]
+    row = F.struct(*[F.col(c) for c in others], F.col(value_col), parsed.alias("event"))
+    once = messages.select(F.inline(F.array(row)))
+    return once.withColumn("outcome", decode_outcome(F.col(value_col), F.col("event")))
 
 
 def decode_order_messages(messages: DataFrame, value_col: str = "value") -> DataFrame:
@@ -53,10 +60,11 @@ def decode_outcomes(messages: DataFrame, value_col: str = "value") -> DataFrame:
             .agg(F.count(F.lit(1)).alias("messages")))
 
 
-def encode_order_events(events: DataFrame) -> DataFrame:
+def encode_order_events(events: DataFrame, time_text: Column | None = None) -> DataFrame:
     """Producer format: snake_case fields, purchase time as ``yyyy-MM-dd HH:mm:ss`` text, nulls
-    written, and the derived ``totalValue`` field appended. Output: key (order_id), value."""
-    fields = [F.date_format(c, PURCHASE_TS_FORMAT).alias(c) if c == "order_purchase_timestamp" else F.col(c)
-              for c in ORDER_EVENT_COLUMNS]
+    written, and the derived ``totalValue`` field appended. Output: key (order_id), value.
+    ``time_text`` replaces the purchase-time text (to produce messages with a bad field)."""
+    ts_text = F.date_format("order_purchase_timestamp", PURCHASE_TS_FORMAT) if time_text is None else time_text
+    fields = [ts_text.alias(c) if c == "order_purchase_timestamp" else F.col(c) for c in ORDER_EVENT_COLUMNS]
     body = F.to_json(F.struct(*fields, event_value().alias("totalValue")), {"ignoreNullFields": "false"})
     return events.select(F.col("order_id").alias("key"), body.alias("value"))

@@ -23,6 +23,7 @@ PENDING_SCHEMA = T.StructType([
     T.StructField("product_id", T.StringType()),
 ])
 RECENT_SCHEMA = T.StructType([T.StructField("ts_us", T.LongType())])
+TIMER_SCHEMA = T.StructType([T.StructField("at_ms", T.LongType())])
 
 
 def _ceil_ms(us: int) -> int:
@@ -34,6 +35,10 @@ def _sort_key(p) -> tuple:
 
 
 class BurstProcessor(StatefulProcessor):
+    """Each state call is a round trip to the JVM, so the processor keeps them few: new events
+    are appended, the one timer is remembered in a value state (no timer listing) and only
+    moved when it changes."""
+
     def __init__(self, min_count: int, span_us: int):
         self.min_count = min_count
         self.span_us = span_us
@@ -42,54 +47,65 @@ class BurstProcessor(StatefulProcessor):
         self.handle = handle
         self.pending = handle.getListState("pending", PENDING_SCHEMA)
         self.recent = handle.getListState("recent", RECENT_SCHEMA)
-
-    def _reset_timer(self, when_ms: int | None) -> None:
-        for t in list(self.handle.listTimers()):
-            self.handle.deleteTimer(t)
-        if when_ms is not None:
+        self.timer = handle.getValueState("timer", TIMER_SCHEMA)
+
+    def _move_timer(self, current_ms: int | None, when_ms: int | None) -> None:
+        if current_ms == when_ms:
+            return
+        if current_ms is not None:
+            self.handle.deleteTimer(current_ms)
+        if when_ms is None:
+            self.timer.clear()
+        else:
             self.handle.registerTimer(when_ms)
+            self.timer.update((when_ms,))
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         wm_us = timerValues.getCurrentWatermarkInMs() * 1000
         fresh = [(r["ts_us"], r["order_id"], r["product_id"]) for r in rows if r["ts_us"] > wm_us]
         if fresh:
-            pending = list(self.pending.get()) if self.pending.exists() else []
-            pending.extend(fresh)
-            self.pending.put(pending)
-            self._reset_timer(_ceil_ms(min(p[0] for p in pending)))
+            self.pending.appendList(fresh)
+            first_ms = _ceil_ms(min(p[0] for p in fresh))
+            cur = self.timer.get()
+            cur_ms = cur[0] if cur is not None else None
+            if cur_ms is None or first_ms < cur_ms:
+                self._move_timer(cur_ms, first_ms)
         return iter([])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        # the expired timer is removed by the engine; whatever the value state says is stale
         wm_us = timerValues.getCurrentWatermarkInMs() * 1000
-        pending = sorted(self.pending.get(), key=_sort_key) if self.pending.exists() else []
+        pending = sorted(self.pending.get(), key=_sort_key)
         ready = [p for p in pending if p[0] <= wm_us]
         later = [p for p in pending if p[0] > wm_us]
-        recent = [r[0] for r in self.recent.get()] if self.recent.exists() else []
+        recent = [r[0] for r in self.recent.get()]
         out = []
         for us, _oid, _pid in ready:
             lo = us - self.span_us
             recent = [t for t in recent if t > lo]
             recent.append(us)
-            k = len(recent)
-            for n in range(self.min_count, k + 1):
+            for n in range(self.min_count, len(recent) + 1):
                 out.append(Row(customer_id=key[0], ts_us=us, run_length=n))
-        if later:
-            self.pending.put(later)
-        else:
-            self.pending.clear()
+        if ready:
+            if later:
+                self.pending.put(later)
+            else:
+                self.pending.clear()
         newest = max(recent) if recent else None
-        if newest is not None and newest + self.span_us <= wm_us and not later:
+        if newest is not None and not later and newest + self.span_us <= wm_us:
             recent = []
-        if recent:
-            self.recent.put([(t,) for t in recent])
-        else:
-            self.recent.clear()
+        if ready or not recent:
+            if recent:
+                self.recent.put([(t,) for t in recent])
+            else:
+                self.recent.clear()
         if later:
-            self._reset_timer(_ceil_ms(later[0][0]))
+            nxt = _ceil_ms(later[0][0])
         elif recent:
-            self._reset_timer(_ceil_ms(newest + self.span_us))
+            nxt = _ceil_ms(newest + self.span_us)
         else:
-            self._reset_timer(None)
+            nxt = None
+        self._move_timer(None, nxt)
         return iter(out)
 
     def close(self) -> None:

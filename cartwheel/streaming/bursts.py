@@ -29,18 +29,24 @@ from cartwheel.config import DEFAULT_BURST_SPAN, DEFAULT_SUSPICIOUS_ORDER_COUNT
 from cartwheel.functions.columns import span_microseconds
 from cartwheel.operators.bursts import alerts_from_runs
 from cartwheel.schemas import EVENT_TIME
-from cartwheel.streaming import burst_state
+from cartwheel.streaming import burst_groups, burst_state
+from cartwheel.streaming.burst_groups import RUN_DDL, STATE_DDL, make_burst_function
 from cartwheel.streaming.burst_state import RUN_SCHEMA, BurstProcessor
 
 cloudpickle.register_pickle_by_value(sys.modules[burst_state.__name__])
+cloudpickle.register_pickle_by_value(sys.modules[burst_groups.__name__])
 
 
 def suspicious_frequency_stream(events: DataFrame, min_count: int = DEFAULT_SUSPICIOUS_ORDER_COUNT,
-                                span: str = DEFAULT_BURST_SPAN) -> DataFrame:
+                                span: str = DEFAULT_BURST_SPAN, engine: str = "pandas") -> DataFrame:
     """Burst alerts of a watermarked order stream (append mode)."""
     src = (events.where(F.col("customer_id").isNotNull())
                  .select("customer_id", EVENT_TIME, F.unix_micros(EVENT_TIME).alias("ts_us"), "order_id", "product_id"))
-    runs = src.groupBy("customer_id").transformWithState(
-        statefulProcessor=BurstProcessor(min_count, span_microseconds(span)), outputStructType=RUN_SCHEMA,
-        outputMode="Append", timeMode="EventTime")
+    if engine == "pandas":
+        runs = src.groupBy("customer_id").applyInPandasWithState(
+            make_burst_function(min_count, span_microseconds(span)), RUN_DDL, STATE_DDL, "append", "EventTimeTimeout")
+    else:
+        runs = src.groupBy("customer_id").transformWithState(
+            statefulProcessor=BurstProcessor(min_count, span_microseconds(span)), outputStructType=RUN_SCHEMA,
+            outputMode="Append", timeMode="EventTime")
     return alerts_from_runs(runs.withColumn(EVENT_TIME, F.timestamp_micros("ts_us")), span)
