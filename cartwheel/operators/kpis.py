@@ -12,16 +12,19 @@ from pyspark.sql import functions as F
 
 from cartwheel.config import DEFAULT_WINDOW
 from cartwheel.functions.columns import event_value, half_up_average
-from cartwheel.operators.validation import priced_events
 from cartwheel.schemas import EVENT_TIME
 
 
-def realtime_kpis(events: DataFrame, window: str = DEFAULT_WINDOW, validate: bool = True) -> DataFrame:
+def realtime_kpis(events: DataFrame, window: str = DEFAULT_WINDOW) -> DataFrame:
     """average_order_value (HALF_UP, 2 decimals), orders_per_minute, total_orders, total_revenue,
-    window_start, window_end. Empty windows produce no row (A5) by construction."""
-    src = priced_events(events) if validate else events
-    agg = (src.groupBy(F.window(EVENT_TIME, window).alias("w"))
-              .agg(F.count(F.lit(1)).alias("total_orders"), F.sum(event_value()).alias("total_revenue")))
+    window_start, window_end over priced events (P2). Windows without priced events produce no
+    row (A5). Like the revenue aggregate, the price test is inside the aggregate so that a
+    stream's watermark still sees every event."""
+    priced = F.col("price").isNotNull()
+    agg = (events.groupBy(F.window(EVENT_TIME, window).alias("w"))
+                 .agg(F.count_if(priced).alias("total_orders"),
+                      F.sum(F.when(priced, event_value())).alias("total_revenue"))
+                 .where(F.col("total_orders") > 0))
     minutes = (F.unix_micros(F.col("w.end")) - F.unix_micros(F.col("w.start"))) / F.lit(60_000_000.0)
     return agg.select(
         half_up_average(F.col("total_revenue"), F.col("total_orders")).alias("average_order_value"),

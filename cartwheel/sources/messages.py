@@ -48,9 +48,12 @@ def parse_messages(messages: DataFrame, value_col: str = "value") -> DataFrame:
     return once.withColumn("outcome", decode_outcome(F.col(value_col), F.col("event")))
 
 
-def decode_order_messages(messages: DataFrame, value_col: str = "value") -> DataFrame:
-    """Valid messages as order events; the rest is dropped (count them with ``decode_outcomes``)."""
+def decode_order_messages(messages: DataFrame, value_col: str = "value", observe: bool = False) -> DataFrame:
+    """Valid messages as order events; the rest is dropped (count them with ``decode_outcomes``,
+    or with ``observe=True`` as the ``deserializationErrors`` metric of a stream, M6)."""
     p = parse_messages(messages, value_col)
+    if observe:
+        p = p.observe("decoder", F.count_if(F.col("outcome") != VALID).alias("deserializationErrors"))
     return p.where(F.col("outcome") == VALID).select(*[F.col(f"event.{c}").alias(c) for c in ORDER_EVENT_COLUMNS])
 
 

@@ -28,6 +28,10 @@ def _obj(values) -> np.ndarray:
 
 def make_burst_function(min_count: int, span_us: int):
     def burst_groups(key, pdfs: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
+        if key[0] is None:          # no customer: not a pattern key
+            for _ in pdfs:
+                pass
+            return
         wm_ms = state.getCurrentWatermarkMs()
         wm_us = max(wm_ms, 0) * 1000
         if state.exists:

@@ -61,6 +61,8 @@ class BurstProcessor(StatefulProcessor):
             self.timer.update((when_ms,))
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        if key[0] is None:          # no customer: not a pattern key
+            return iter([])
         wm_us = timerValues.getCurrentWatermarkInMs() * 1000
         fresh = [(r["ts_us"], r["order_id"], r["product_id"]) for r in rows if r["ts_us"] > wm_us]
         if fresh:

@@ -39,9 +39,11 @@ cloudpickle.register_pickle_by_value(sys.modules[burst_groups.__name__])
 
 def suspicious_frequency_stream(events: DataFrame, min_count: int = DEFAULT_SUSPICIOUS_ORDER_COUNT,
                                 span: str = DEFAULT_BURST_SPAN, engine: str = "pandas") -> DataFrame:
-    """Burst alerts of a watermarked order stream (append mode)."""
-    src = (events.where(F.col("customer_id").isNotNull())
-                 .select("customer_id", EVENT_TIME, F.unix_micros(EVENT_TIME).alias("ts_us"), "order_id", "product_id"))
+    """Burst alerts of a watermarked order stream (append mode).
+
+    Events without a customer are dropped inside the state function, not by a filter in front
+    of it, which Catalyst would push below the watermark."""
+    src = events.select("customer_id", EVENT_TIME, F.unix_micros(EVENT_TIME).alias("ts_us"), "order_id", "product_id")
     if engine == "pandas":
         runs = src.groupBy("customer_id").applyInPandasWithState(
             make_burst_function(min_count, span_microseconds(span)), RUN_DDL, STATE_DDL, "append", "EventTimeTimeout")

@@ -40,11 +40,11 @@ def kpi_stream(events: DataFrame, window: str = DEFAULT_WINDOW, delay: str = DEF
 
 def alert_stream(events: DataFrame, min_count: int = DEFAULT_SUSPICIOUS_ORDER_COUNT, span: str = DEFAULT_BURST_SPAN,
                  threshold=DEFAULT_PRICE_ANOMALY_THRESHOLD, delay: str = DEFAULT_WATERMARK_DELAY) -> DataFrame:
-    """Burst alerts (stateful, late events dropped) union price alerts (stateless, late events
-    kept); one watermark on the source before the branches."""
-    src = with_event_time(events, delay)
-    return observe_alerts(union_alerts(suspicious_frequency_stream(src, min_count, span),
-                                       price_anomaly_alerts(src, threshold)))
+    """Burst alerts (stateful, event time from the watermark, late events dropped) union price
+    alerts (stateless, read from the stream without a watermark, so late events are kept and
+    their filter cannot hold event time back)."""
+    bursts = suspicious_frequency_stream(with_event_time(events, delay), min_count, span)
+    return observe_alerts(union_alerts(bursts, price_anomaly_alerts(events, threshold)))
 
 
 def quarantine_stream(events: DataFrame) -> DataFrame:

@@ -4,7 +4,8 @@ Counters and gauges are ``observe`` aggregates attached to the result streams; t
 values arrive in ``StreamingQueryProgress.observedMetrics`` and a counter is the running sum.
 ``progress_rows`` turns a query's progress reports into rows (query, batch, name, value),
 including input and processing rates (M7), for a metrics table.
-The value distribution (M4) is the A6 report over the KPI table.
+The value distribution (M4) is the A6 report over the KPI table; decoding errors (M6) are
+observed by ``decode_order_messages(..., observe=True)``.
 """
 
 from __future__ import annotations
@@ -38,11 +39,6 @@ def observe_alerts(alerts: DataFrame) -> DataFrame:
                           F.count_if(F.col("alert_type") == SUSPICIOUS_FREQUENCY).alias("suspiciousFrequencyAlertsEmitted"))
 
 
-def observe_decoding(parsed: DataFrame) -> DataFrame:
-    """M6 on the output of ``cartwheel.sources.messages.parse_messages`` (before the filter)."""
-    return parsed.observe("decoder", F.count_if(F.col("outcome") != "valid").alias("deserializationErrors"))
-
-
 def progress_rows(query_name: str, progresses) -> list[tuple]:
     """(query, batch_id, name, value) for every observed metric and rate of each progress report.
 

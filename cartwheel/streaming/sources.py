@@ -52,7 +52,7 @@ def order_stream_from_json_files(spark: SparkSession, directory: str, max_files_
     r = spark.readStream.format("text")
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    return decode_order_messages(r.load(directory), "value")
+    return decode_order_messages(r.load(directory), "value", observe=True)
 
 
 def kafka_source_options(bootstrap_servers: str, topic: str, starting_offsets: str = "earliest") -> dict[str, str]:
@@ -64,4 +64,4 @@ def order_stream_from_kafka(spark: SparkSession, bootstrap_servers: str, topic:
                             starting_offsets: str = "earliest") -> DataFrame:
     use_utc(spark)
     raw = spark.readStream.format("kafka").options(**kafka_source_options(bootstrap_servers, topic, starting_offsets)).load()
-    return decode_order_messages(raw.select(F.col("value").cast("string").alias("value")), "value")
+    return decode_order_messages(raw.select(F.col("value").cast("string").alias("value")), "value", observe=True)

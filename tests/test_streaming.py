@@ -88,3 +88,34 @@ def test_stream_equals_batch_for_closed_windows(spark, tmp_path):
     batch = revenue_by_category(event_feed_from(spark.read.parquet(src)))
     expect = sorted(tuple(r) for r in batch.collect() if r.window_end <= wm)
     assert sorted(tuple(r) for r in got.select(*batch.columns).collect()) == expect
+
+
+def test_enrichment_replay_files_drive_the_jobs(spark, tmp_path):
+    """CSV -> time-sorted JSON messages -> revenue, KPI and alert jobs (file source and sink)."""
+    from cartwheel.config import JobConfig
+    from cartwheel.streaming.run import run_job, write_replay_files
+    csv = tmp_path / "csv"
+    csv.mkdir()
+    (csv / "olist_orders_dataset.csv").write_text(
+        "order_id,customer_id,order_status,order_purchase_timestamp\n"
+        "o1,c1,delivered,2024-01-01 00:00:10\no2,c1,delivered,2024-01-01 00:00:20\n"
+        "o3,c1,delivered,2024-01-01 00:00:30\no4,c2,delivered,2024-01-01 00:05:00\n")
+    (csv / "olist_order_items_dataset.csv").write_text(
+        "order_id,product_id,seller_id,price,freight_value\n"
+        "o1,p1,s1,100.00,1.00\no2,p1,s1,700.00,2.00\no3,p2,s2,5.00,0\n")
+    (csv / "olist_products_dataset.csv").write_text("product_id,product_category_name\np1,toys\np2,\n")
+    replay, sinks = str(tmp_path / "replay"), str(tmp_path / "sinks")
+    write_replay_files(spark, str(csv), replay, files=2)
+    cfg = JobConfig()
+    for job in ["revenue", "kpi", "alerts"]:
+        for q in run_job(spark, job, cfg, source_dir=replay, sink_dir=sinks, trigger={"availableNow": True}):
+            q.awaitTermination()
+            assert q.exception() is None
+    rev = [(r.product_category, float(r.total_revenue), r.order_count)
+           for r in spark.read.parquet(f"{sinks}/revenue").collect()]
+    assert rev == [("toys", 803.0, 2)]
+    assert sorted(r.order_id for r in spark.read.parquet(f"{sinks}/quarantine").collect()) == ["o3", "o4"]
+    [kpi] = spark.read.parquet(f"{sinks}/kpi").collect()
+    assert (kpi.total_orders, float(kpi.total_revenue), float(kpi.average_order_value)) == (3, 808.0, 269.33)
+    alerts = sorted((r.alert_type, r.entity_id) for r in spark.read.parquet(f"{sinks}/alerts").collect())
+    assert alerts == [("PRICE_ANOMALY", "s1"), ("SUSPICIOUS_FREQUENCY", "c1")]
