@@ -58,3 +58,25 @@ class JobConfig:
             suspicious_order_count=int(e.get("SUSPICIOUS_ORDER_COUNT", DEFAULT_SUSPICIOUS_ORDER_COUNT)),
             price_anomaly_threshold=Decimal(e.get("PRICE_ANOMALY_THRESHOLD", DEFAULT_PRICE_ANOMALY_THRESHOLD)),
         )
+
+
+def table_catalog_settings(env: dict[str, str] | None = None) -> dict[str, str]:
+    """Spark settings for the result-table catalog (an Iceberg file-system catalog on S3-compatible
+    storage), from the same environment variables as the original jobs. Credentials are read from
+    the environment at call time and never stored in code; pass the result to ``build_session``
+    (the Iceberg runtime jar must be on the classpath)."""
+    e = os.environ if env is None else env
+    name = e.get("ICEBERG_CATALOG_NAME", "olist_catalog")
+    out = {
+        f"spark.sql.catalog.{name}": "org.apache.iceberg.spark.SparkCatalog",
+        f"spark.sql.catalog.{name}.type": "hadoop",
+        f"spark.sql.catalog.{name}.warehouse": e.get("ICEBERG_WAREHOUSE", "s3a://warehouse/"),
+        "spark.hadoop.fs.s3a.path.style.access": "true",
+        "spark.hadoop.fs.s3a.impl": "org.apache.hadoop.fs.s3a.S3AFileSystem",
+    }
+    if "MINIO_ENDPOINT" in e:
+        out["spark.hadoop.fs.s3a.endpoint"] = e["MINIO_ENDPOINT"]
+    if "MINIO_ROOT_USER" in e and "MINIO_ROOT_PASSWORD" in e:
+        out["spark.hadoop.fs.s3a.access.key"] = e["MINIO_ROOT_USER"]
+        out["spark.hadoop.fs.s3a.secret.key"] = e["MINIO_ROOT_PASSWORD"]
+    return out

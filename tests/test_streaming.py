@@ -119,3 +119,33 @@ def test_enrichment_replay_files_drive_the_jobs(spark, tmp_path):
     assert (kpi.total_orders, float(kpi.total_revenue), float(kpi.average_order_value)) == (3, 808.0, 269.33)
     alerts = sorted((r.alert_type, r.entity_id) for r in spark.read.parquet(f"{sinks}/alerts").collect())
     assert alerts == [("PRICE_ANOMALY", "s1"), ("SUSPICIOUS_FREQUENCY", "c1")]
+
+
+def test_state_api_engine_matches_pandas_engine(spark, tmp_path):
+    from cartwheel.streaming.bursts import suspicious_frequency_stream
+    from cartwheel.streaming.sources import with_event_time
+    src = str(tmp_path / "src")
+    os.makedirs(src)
+    rows = [(i, s, u, "click", 1.0) for i, (s, u) in enumerate(
+        [(0, 1), (10, 1), (10, 1), (20, 1), (299, 1), (301, 1), (302, 2), (303, 2), (304, 2), (900, 1), (2000, 3)])]
+    write_events(spark, src, "events.parquet", rows, 1_000_000)
+    got = {}
+    for engine in ["pandas", "state_api"]:
+        stream = with_event_time(order_stream_from_files(spark, src))
+        res = run(spark, suspicious_frequency_stream(stream, 3, "5 minutes", engine), "alert",
+                  str(tmp_path / f"out-{engine}"), str(tmp_path / f"ckpt-{engine}"), f"eng_{engine}")
+        got[engine] = sorted((r.entity_id, r.detected_at, r.description) for r in res.collect())
+    assert got["pandas"] == got["state_api"] and len(got["pandas"]) > 3
+
+
+def test_late_events_still_give_price_alerts_but_no_bursts(spark, tmp_path):
+    src, out, ckpt = str(tmp_path / "src"), str(tmp_path / "out"), str(tmp_path / "ckpt")
+    os.makedirs(src)
+    stream = lambda: alert_stream(order_stream_from_files(spark, src, "*events.parquet", 1), 3, "5 minutes", "100")
+    write_events(spark, src, "a-events.parquet", [(1, 1000, 1, "click", 5.0)], 1_000_000)
+    run(spark, stream(), "alert", out, ckpt, "late_a")
+    # three late events of one customer inside 5 minutes, one of them expensive
+    write_events(spark, src, "b-events.parquet", [(2, 10, 2, "click", 500.0), (3, 20, 2, "click", 1.0),
+                                                  (4, 30, 2, "click", 1.0)], 2_000_000)
+    got = run(spark, stream(), "alert", out, ckpt, "late_b")
+    assert sorted((r.alert_type, r.entity_id) for r in got.collect()) == [("PRICE_ANOMALY", "2")]  # seller = event_id % 50
