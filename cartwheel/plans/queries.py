@@ -267,14 +267,17 @@ def _order_events_from_csv(spark, sf):
 
 # --- streams (T1, T3, T4, T5, W3 stream, K10, M1-M7) ----------------------------------------------
 
-def _replay(spark: SparkSession, sf: str, build, record: str, name: str, progress: list | None = None) -> DataFrame:
-    """Replay ``events.parquet`` as a stream through ``build`` into a Parquet sink (availableNow),
-    then read the sink back."""
+def _replay(spark: SparkSession, sf: str, build, record: str, name: str, progress: list | None = None,
+            json_dir: str | None = None) -> DataFrame:
+    """Replay ``events.parquet`` (or JSON order messages in ``json_dir``) as a stream through
+    ``build`` into a Parquet sink (availableNow), then read the sink back."""
     from cartwheel.session import scratch_path
     from cartwheel.streaming.jobs import Sink, start
-    from cartwheel.streaming.sources import order_stream_from_files
+    from cartwheel.streaming.sources import order_stream_from_files, order_stream_from_json_files
     out, ckpt = scratch_path(spark, f"{name}-out"), scratch_path(spark, f"{name}-ckpt")
-    result = build(order_stream_from_files(spark, sf, "events.parquet"))
+    source = (order_stream_from_json_files(spark, json_dir) if json_dir
+              else order_stream_from_files(spark, sf, "events.parquet"))
+    result = build(source)
     q = start(result, record, Sink("parquet", out, ckpt, {"availableNow": True}), f"{name}_{out[-12:]}")
     q.awaitTermination()
     if q.exception():
@@ -311,13 +314,18 @@ def _quarantine_stream_replay(spark, sf):
 
 @register("stream_metrics")
 def _stream_metrics(spark, sf):
-    """M1-M3, M7: observed metrics and rates of a revenue and a KPI replay, as rows."""
-    from cartwheel.streaming.jobs import kpi_stream, revenue_stream
+    """M1-M3, M5-M7: observed metrics and rates of revenue and KPI replays, and of an alert
+    replay from JSON messages (with bad messages, so the decoder counts errors), as rows."""
+    from cartwheel.session import scratch_path
+    from cartwheel.streaming.jobs import alert_stream, kpi_stream, revenue_stream
     from cartwheel.streaming.metrics import metrics_frame, progress_rows
+    msgs = scratch_path(spark, "messages")
+    order_messages(spark, sf).select("value").write.text(msgs)
     rows = []
-    for name, build, record in [("revenue", revenue_stream, "revenue"), ("kpi", kpi_stream, "kpi")]:
+    for name, build, record, src in [("revenue", revenue_stream, "revenue", None), ("kpi", kpi_stream, "kpi", None),
+                                     ("alerts", lambda s: alert_stream(s, 3, "1 day", "400"), "alert", msgs)]:
         progress: list = []
-        _replay(spark, sf, build, record, f"{name}_metrics", progress)
+        _replay(spark, sf, build, record, f"{name}_metrics", progress, json_dir=src)
         rows.extend(progress_rows(name, progress))
     return metrics_frame(spark, rows)
 

@@ -52,5 +52,13 @@ def test_stream_metrics_rows(spark):
     rows = entry_mod.queries()["stream_metrics"](spark, SF001).collect()
     names = {(r.query, r.name) for r in rows}
     assert ("revenue", "windowsEmitted") in names and ("kpi", "lastWindowOrderCount") in names
-    emitted = sum(r.value for r in rows if r.name == "windowsEmitted")
-    assert emitted == entry_mod.queries()["revenue_stream_replay"](spark, SF001).count()
+    assert ("alerts", "suspiciousFrequencyAlertsEmitted") in names and ("alerts", "deserializationErrors") in names
+    total = {}
+    for r in rows:
+        total[(r.query, r.name)] = total.get((r.query, r.name), 0) + r.value
+    q = entry_mod.queries()
+    assert total[("revenue", "windowsEmitted")] == q["revenue_stream_replay"](spark, SF001).count()
+    assert total[("kpi", "kpiWindowsEmitted")] == q["kpi_stream_replay"](spark, SF001).count()
+    errors = q["decode_order_json_outcomes"](spark, SF001).where("outcome != 'valid'").groupBy().sum("messages").first()[0]
+    assert total[("alerts", "deserializationErrors")] == errors
+    assert total[("alerts", "priceAnomalyAlertsEmitted")] == q["price_anomaly_alerts_event_400"](spark, SF001).count()
