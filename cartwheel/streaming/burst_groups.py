@@ -1,9 +1,11 @@
 """Per-customer state function of the streaming burst detector, for ``applyInPandasWithState``.
 
 Self-contained (imports only pandas/numpy/pyspark), pickled by value. State per customer is one
-row of arrays: pending events (not yet behind the watermark) and recent judged times (inside the
-span). The rows of a key and its state arrive together as Arrow batches, so there are no
-per-call state round trips. See ``cartwheel.streaming.bursts`` for the semantics.
+row of two arrays: pending event times (not yet behind the watermark) and recent judged times
+(inside the span). Only times are needed: events of equal time share their detection time, so
+the order among them cannot change the (time, run length) alerts. The rows of a key and its
+state arrive together as Arrow batches, so there are no per-call state round trips. See
+``cartwheel.streaming.bursts`` for the semantics.
 """
 
 from __future__ import annotations
@@ -13,8 +15,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 
-STATE_DDL = ("pending_ts ARRAY<BIGINT>, pending_order ARRAY<STRING>, pending_product ARRAY<STRING>, "
-             "recent ARRAY<BIGINT>")
+STATE_DDL = "pending ARRAY<BIGINT>, recent ARRAY<BIGINT>"
 RUN_DDL = "customer_id STRING, ts_us BIGINT, run_length BIGINT"
 
 
@@ -22,10 +23,6 @@ def _ceil_ms(us: int) -> int:
     return -((-us) // 1000)
 
 
-def _obj(values) -> np.ndarray:
-    return np.asarray(list(values or []), dtype=object)
-
-
 def make_burst_function(min_count: int, span_us: int):
     def burst_groups(key, pdfs: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
         if key[0] is None:          # no customer: not a pattern key
@@ -35,30 +32,21 @@ def make_burst_function(min_count: int, span_us: int):
         wm_ms = state.getCurrentWatermarkMs()
         wm_us = max(wm_ms, 0) * 1000
         if state.exists:
-            p_ts, p_oid, p_pid, recent = state.get
-            ts = np.asarray(list(p_ts or []), dtype="int64")
-            oid, pid = _obj(p_oid), _obj(p_pid)
+            pending, recent = state.get
+            ts = np.asarray(list(pending or []), dtype="int64")
             recent = np.asarray(list(recent or []), dtype="int64")
         else:
-            ts, oid, pid = np.empty(0, "int64"), np.empty(0, object), np.empty(0, object)
-            recent = np.empty(0, "int64")
+            ts, recent = np.empty(0, "int64"), np.empty(0, "int64")
         if not state.hasTimedOut:
-            parts = [(ts, oid, pid)]
+            parts = [ts]
             for pdf in pdfs:
                 t = pdf["ts_us"].to_numpy(dtype="int64")
-                keep = t > wm_us                      # at or below the watermark: late
-                parts.append((t[keep], pdf["order_id"].to_numpy(dtype=object)[keep],
-                              pdf["product_id"].to_numpy(dtype=object)[keep]))
-            ts = np.concatenate([p[0] for p in parts])
-            oid = np.concatenate([p[1] for p in parts])
-            pid = np.concatenate([p[2] for p in parts])
+                parts.append(t[t > wm_us])            # at or below the watermark: late
+            ts = np.concatenate(parts)
         ready = ts <= wm_us
         out = None
         if ready.any():
-            r_ts, r_oid, r_pid = ts[ready], oid[ready], pid[ready]
-            order = sorted(range(len(r_ts)), key=lambda i: (r_ts[i], r_oid[i] is not None, r_oid[i] or "",
-                                                             r_pid[i] is not None, r_pid[i] or ""))
-            r_ts = r_ts[order]
+            r_ts = np.sort(ts[ready], kind="stable")
             times = np.concatenate([recent, r_ts])
             base = len(recent)
             # K for each ready event: events in (t - span, t] up to itself, in processing order
@@ -72,12 +60,12 @@ def make_burst_function(min_count: int, span_us: int):
                 lengths = np.arange(len(ends)) - first + min_count
                 out = pd.DataFrame({"customer_id": key[0], "ts_us": ends, "run_length": lengths.astype("int64")})
             recent = times[times > times[-1] - span_us]
-            ts, oid, pid = ts[~ready], oid[~ready], pid[~ready]
+            ts = ts[~ready]
         if len(recent) and not len(ts) and int(recent[-1]) + span_us <= wm_us:
             recent = recent[:0]
 
         if len(ts) or len(recent):
-            state.update((ts.tolist(), oid.tolist(), pid.tolist(), recent.tolist()))
+            state.update((ts.tolist(), recent.tolist()))
             nxt = int(ts.min()) if len(ts) else int(recent[-1]) + span_us
             # timeouts fire once the watermark is past the timestamp: one ms before the event
             state.setTimeoutTimestamp(max(_ceil_ms(nxt) - 1, wm_ms))

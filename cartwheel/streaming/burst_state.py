@@ -17,11 +17,7 @@ RUN_SCHEMA = T.StructType([
     T.StructField("ts_us", T.LongType()),
     T.StructField("run_length", T.LongType()),
 ])
-PENDING_SCHEMA = T.StructType([
-    T.StructField("ts_us", T.LongType()),
-    T.StructField("order_id", T.StringType()),
-    T.StructField("product_id", T.StringType()),
-])
+PENDING_SCHEMA = T.StructType([T.StructField("ts_us", T.LongType())])
 RECENT_SCHEMA = T.StructType([T.StructField("ts_us", T.LongType())])
 TIMER_SCHEMA = T.StructType([T.StructField("at_ms", T.LongType())])
 
@@ -30,10 +26,6 @@ def _ceil_ms(us: int) -> int:
     return -((-us) // 1000)
 
 
-def _sort_key(p) -> tuple:
-    return (p[0], p[1] is not None, p[1] or "", p[2] is not None, p[2] or "")
-
-
 class BurstProcessor(StatefulProcessor):
     """Each state call is a round trip to the JVM, so the processor keeps them few: new events
     are appended, the one timer is remembered in a value state (no timer listing) and only
@@ -64,7 +56,7 @@ class BurstProcessor(StatefulProcessor):
         if key[0] is None:          # no customer: not a pattern key
             return iter([])
         wm_us = timerValues.getCurrentWatermarkInMs() * 1000
-        fresh = [(r["ts_us"], r["order_id"], r["product_id"]) for r in rows if r["ts_us"] > wm_us]
+        fresh = [(r["ts_us"],) for r in rows if r["ts_us"] > wm_us]
         if fresh:
             self.pending.appendList(fresh)
             first_ms = _ceil_ms(min(p[0] for p in fresh))
@@ -77,12 +69,13 @@ class BurstProcessor(StatefulProcessor):
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         # the expired timer is removed by the engine; whatever the value state says is stale
         wm_us = timerValues.getCurrentWatermarkInMs() * 1000
-        pending = sorted(self.pending.get(), key=_sort_key)
+        # equal times share their detection time: their order cannot change the alerts
+        pending = sorted(self.pending.get())
         ready = [p for p in pending if p[0] <= wm_us]
         later = [p for p in pending if p[0] > wm_us]
         recent = [r[0] for r in self.recent.get()]
         out = []
-        for us, _oid, _pid in ready:
+        for (us,) in ready:
             lo = us - self.span_us
             recent = [t for t in recent if t > lo]
             recent.append(us)

@@ -1,20 +1,25 @@
-"""W3 in a stream: a stateful processor per customer with one event-time timer.
+"""W3 in a stream: per-customer state with one event-time timer.
 
 State per customer:
-* ``pending``: events that arrived but are not yet behind the watermark, so an earlier event
-  may still come; they are not judged yet.
+* ``pending``: times of events that arrived but are not yet behind the watermark, so an earlier
+  event may still come; they are not judged yet.
 * ``recent``: times of judged events inside the last ``span`` (all a future run can reach).
 
-Input: events at or below the current watermark are late and dropped (the late filter of the
-engine lags one micro-batch; dropping here makes the result independent of batch boundaries).
-The single timer sits at the earliest pending time. When the watermark passes it, every pending
-event at or below the watermark is judged in (time, order_id, product_id) order: its longest run
-``K`` is 1 + the number of recent times inside ``(t - span, t]``, and lengths ``min_count..K`` are
-emitted. Afterwards the timer moves to the next pending event, or, with nothing pending, to the
-moment the last recent time leaves the span, when the state is dropped.
+Input: events at or below the current watermark are late and dropped (the engine's late filter
+lags one micro-batch; dropping here makes the result independent of batch boundaries). The one
+timer sits at the earliest pending time. When the watermark passes it, every pending event at or
+below the watermark is judged in time order: its longest run ``K`` is 1 + the number of recent
+times inside ``(t - span, t]``, and lengths ``min_count..K`` are emitted. Events of equal time
+share their detection time, so their order cannot change the alerts and only times are kept.
+Afterwards the timer moves to the next pending event, or, with nothing pending, to the moment the
+last recent time leaves the span, when the state is dropped.
 
 State is bounded by the events of one customer inside ``span`` plus those inside the watermark
 delay; per micro-batch a customer's rows are bounded by the trigger size.
+
+Two engines: ``pandas`` (default, ``applyInPandasWithState``: a key's rows and state travel as one
+Arrow batch, works with any state store) and ``state_api`` (``transformWithState``, needs the
+RocksDB state store provider).
 """
 
 from __future__ import annotations
@@ -43,7 +48,7 @@ def suspicious_frequency_stream(events: DataFrame, min_count: int = DEFAULT_SUSP
 
     Events without a customer are dropped inside the state function, not by a filter in front
     of it, which Catalyst would push below the watermark."""
-    src = events.select("customer_id", EVENT_TIME, F.unix_micros(EVENT_TIME).alias("ts_us"), "order_id", "product_id")
+    src = events.select("customer_id", EVENT_TIME, F.unix_micros(EVENT_TIME).alias("ts_us"))
     if engine == "pandas":
         runs = src.groupBy("customer_id").applyInPandasWithState(
             make_burst_function(min_count, span_microseconds(span)), RUN_DDL, STATE_DDL, "append", "EventTimeTimeout")
