@@ -199,8 +199,9 @@ def alerts_replay(feed: str, min_count: int, span_sql: str, span_words: str, thr
 
 
 def quarantine_rows(feed: str) -> str:
-    return feed_rows(feed, "product_category IS NULL OR price IS NULL",
-                     extra=", CASE WHEN product_category IS NULL AND price IS NULL THEN 'no category, no price' "
+    return feed_rows(feed, "product_category IS NULL OR price IS NULL OR order_purchase_timestamp IS NULL",
+                     extra=", CASE WHEN order_purchase_timestamp IS NULL THEN 'no purchase time' "
+                           "WHEN product_category IS NULL AND price IS NULL THEN 'no category, no price' "
                            "WHEN product_category IS NULL THEN 'no category' ELSE 'no price' END AS quarantined_reason")
 
 

@@ -47,8 +47,10 @@ def suspicious_frequency_stream(events: DataFrame, min_count: int = DEFAULT_SUSP
     """Burst alerts of a watermarked order stream (append mode).
 
     Events without a customer are dropped inside the state function, not by a filter in front
-    of it, which Catalyst would push below the watermark."""
-    src = events.select("customer_id", EVENT_TIME, F.unix_micros(EVENT_TIME).alias("ts_us"))
+    of it, which Catalyst would push below the watermark (a filter on the event time itself
+    stays above it)."""
+    src = (events.where(F.col(EVENT_TIME).isNotNull())
+                 .select("customer_id", EVENT_TIME, F.unix_micros(EVENT_TIME).alias("ts_us")))
     if engine == "pandas":
         runs = src.groupBy("customer_id").applyInPandasWithState(
             make_burst_function(min_count, span_microseconds(span)), RUN_DDL, STATE_DDL, "append", "EventTimeTimeout")

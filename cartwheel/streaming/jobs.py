@@ -22,7 +22,8 @@ from cartwheel.config import (DEFAULT_BURST_SPAN, DEFAULT_PRICE_ANOMALY_THRESHOL
 from cartwheel.operators.alerts import price_anomaly_alerts, union_alerts
 from cartwheel.operators.kpis import realtime_kpis
 from cartwheel.operators.revenue import revenue_by_category
-from cartwheel.operators.validation import invalid_events
+from cartwheel.operators.validation import is_valid
+from cartwheel.schemas import EVENT_TIME
 from cartwheel.sinks.json_encode import alert_json, kpi_json, revenue_json
 from cartwheel.sinks.tables import to_alert_rows, to_kpi_rows, to_revenue_rows
 from cartwheel.streaming.bursts import suspicious_frequency_stream
@@ -48,10 +49,14 @@ def alert_stream(events: DataFrame, min_count: int = DEFAULT_SUSPICIOUS_ORDER_CO
 
 
 def quarantine_stream(events: DataFrame) -> DataFrame:
-    """Events the revenue job rejects (no category or no price)."""
-    return invalid_events(events).withColumn("quarantined_reason", F.when(
-        F.col("product_category").isNull() & F.col("price").isNull(), F.lit("no category, no price"))
-        .when(F.col("product_category").isNull(), F.lit("no category")).otherwise(F.lit("no price")))
+    """Events the revenue job rejects (no category or no price), and events without a
+    purchase time (no window can take them; the original job fails on them)."""
+    no_cat, no_price = F.col("product_category").isNull(), F.col("price").isNull()
+    no_time = F.col(EVENT_TIME).isNull()
+    reason = (F.when(no_time, F.lit("no purchase time"))
+               .when(no_cat & no_price, F.lit("no category, no price"))
+               .when(no_cat, F.lit("no category")).otherwise(F.lit("no price")))
+    return events.where(~is_valid() | no_time).withColumn("quarantined_reason", reason)
 
 
 TABLE_ROWS = {"revenue": to_revenue_rows, "kpi": to_kpi_rows, "alert": to_alert_rows}

@@ -149,3 +149,20 @@ def test_late_events_still_give_price_alerts_but_no_bursts(spark, tmp_path):
                                                   (4, 30, 2, "click", 1.0)], 2_000_000)
     got = run(spark, stream(), "alert", out, ckpt, "late_b")
     assert sorted((r.alert_type, r.entity_id) for r in got.collect()) == [("PRICE_ANOMALY", "2")]  # seller = event_id % 50
+
+
+def test_events_without_time_go_to_quarantine_and_do_not_break_bursts(spark, tmp_path):
+    src = tmp_path / "msgs"
+    src.mkdir()
+    (src / "a.txt").write_text("\n".join([
+        '{"order_id":"a","customer_id":"c","order_purchase_timestamp":"2024-01-01 00:00:00","product_category":"x","price":1}',
+        '{"order_id":"b","customer_id":"c","product_category":"x","price":900}',
+        '{"order_id":"c","customer_id":"c","order_purchase_timestamp":"2024-01-01 00:10:00","product_category":"x","price":1}',
+    ]) + "\n")
+    from cartwheel.streaming.sources import order_stream_from_json_files
+    q = run(spark, quarantine_stream(order_stream_from_json_files(spark, str(src))), "quarantine",
+            str(tmp_path / "q"), str(tmp_path / "qc"), "q_notime")
+    assert [(r.order_id, r.quarantined_reason) for r in q.collect()] == [("b", "no purchase time")]
+    a = run(spark, alert_stream(order_stream_from_json_files(spark, str(src)), 2, "5 minutes", "500"), "alert",
+            str(tmp_path / "a"), str(tmp_path / "ac"), "a_notime")
+    assert sorted((r.alert_type, r.detected_at) for r in a.collect()) == [("PRICE_ANOMALY", None)]
