@@ -21,9 +21,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-ITEM_COLUMNS = ["product_id", "seller_id", "price", "freight_value"]
-
-
 def dedup_products(products: DataFrame) -> DataFrame:
     """One row per product_id: the greatest non-empty category (null when none)."""
     return (products

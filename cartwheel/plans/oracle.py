@@ -121,7 +121,7 @@ SELECT CAST(NULL AS VARCHAR) AS key,
        '{{"productCategory":' || to_json(product_category) || ',"totalRevenue":' || CAST(total AS VARCHAR)
        || ',"orderCount":' || CAST(n AS VARCHAR) || ',"windowStart":' || {epoch_text('ws')}
        || ',"windowEnd":' || {epoch_text("ws + INTERVAL 1 MINUTE")} || '}}' AS value
-FROM r""").replace("WITH feed AS (", "WITH feed AS (", 1).replace(")\n\n, r AS", ")\n, r AS")
+FROM r""")
 
 
 def kpi_json(feed: str) -> str:

@@ -20,7 +20,7 @@ from cartwheel.operators.kpis import realtime_kpis
 from cartwheel.operators.revenue import revenue_by_category
 from cartwheel.operators.validation import invalid_events, valid_events
 from cartwheel.plans import oracle
-from cartwheel.sources.feeds import event_feed, item_feed
+from cartwheel.sources.feeds import FEEDS, event_feed, item_feed
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -40,8 +40,6 @@ def for_oracle(df: DataFrame) -> DataFrame:
     return df.select(*cols)
 
 
-FEED_FNS = {"event": event_feed, "item": item_feed}
-
 QUERIES: dict[str, Query] = {}
 ORACLE: dict[str, str] = {}
 
@@ -76,21 +74,21 @@ def _order_event_feed(spark, sf):
 for _feed in ("event", "item"):
     def _values(spark, sf, _f=_feed):
         """value = price + freight, a missing part as 0."""
-        return FEED_FNS[_f](spark, sf).withColumn("value", event_value())
+        return FEEDS[_f](spark, sf).withColumn("value", event_value())
 
     register(f"order_event_values_{_feed}",
              oracle.feed_rows(_feed, extra=", CAST(coalesce(price, 0) + coalesce(freight_value, 0) AS DOUBLE) AS value"))(_values)
 
     def _valid(spark, sf, _f=_feed):
         """Category and price present."""
-        return valid_events(FEED_FNS[_f](spark, sf))
+        return valid_events(FEEDS[_f](spark, sf))
 
     register(f"valid_order_events_{_feed}",
              oracle.feed_rows(_feed, "product_category IS NOT NULL AND price IS NOT NULL"))(_valid)
 
     def _invalid(spark, sf, _f=_feed):
         """P3 complement: the side output."""
-        return invalid_events(FEED_FNS[_f](spark, sf))
+        return invalid_events(FEEDS[_f](spark, sf))
 
     register(f"invalid_order_events_{_feed}",
              oracle.feed_rows(_feed, "product_category IS NULL OR price IS NULL"))(_invalid)

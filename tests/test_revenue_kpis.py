@@ -4,7 +4,7 @@ from conftest import at, event
 
 from cartwheel.operators.kpis import realtime_kpis
 from cartwheel.operators.revenue import revenue_by_category
-from cartwheel.operators.validation import invalid_events, valid_events
+from cartwheel.operators.validation import invalid_events, priced_events, valid_events
 
 
 def test_revenue_groups_by_category(events):
@@ -34,6 +34,7 @@ def test_valid_invalid_split_is_complete(events):
     df = events([event("a"), event("b", price=None), event("c", category=None), event("d", price=None, category=None)])
     assert [r.order_id for r in valid_events(df).collect()] == ["a"]
     assert sorted(r.order_id for r in invalid_events(df).collect()) == ["b", "c", "d"]
+    assert sorted(r.order_id for r in priced_events(df).collect()) == ["a", "c"]
 
 
 def test_kpis_computed(events):
