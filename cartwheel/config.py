@@ -39,6 +39,7 @@ class JobConfig:
     window: str = DEFAULT_WINDOW
     watermark_delay: str = DEFAULT_WATERMARK_DELAY
     burst_span: str = DEFAULT_BURST_SPAN
+    max_offsets_per_trigger: int | None = None   # bounds each micro-batch (and a hot key's rows in it)
 
     @property
     def trigger_interval(self) -> str:
@@ -57,6 +58,7 @@ class JobConfig:
             kpi_topic=e.get("KPI_SINK_TOPIC", DEFAULT_KPI_TOPIC),
             suspicious_order_count=int(e.get("SUSPICIOUS_ORDER_COUNT", DEFAULT_SUSPICIOUS_ORDER_COUNT)),
             price_anomaly_threshold=Decimal(e.get("PRICE_ANOMALY_THRESHOLD", DEFAULT_PRICE_ANOMALY_THRESHOLD)),
+            max_offsets_per_trigger=int(e["MAX_OFFSETS_PER_TRIGGER"]) if e.get("MAX_OFFSETS_PER_TRIGGER") else None,
         )
 
 

@@ -36,7 +36,8 @@ JOBS = {
 def order_source(spark: SparkSession, config: JobConfig, source_dir: str | None = None) -> DataFrame:
     if source_dir:
         return order_stream_from_json_files(spark, source_dir)
-    return order_stream_from_kafka(spark, config.bootstrap_servers, config.orders_topic)
+    return order_stream_from_kafka(spark, config.bootstrap_servers, config.orders_topic,
+                                   max_offsets_per_trigger=config.max_offsets_per_trigger)
 
 
 def run_job(spark: SparkSession, job: str, config: JobConfig, source_dir: str | None = None,

@@ -55,13 +55,18 @@ def order_stream_from_json_files(spark: SparkSession, directory: str, max_files_
     return decode_order_messages(r.load(directory), "value", observe=True)
 
 
-def kafka_source_options(bootstrap_servers: str, topic: str, starting_offsets: str = "earliest") -> dict[str, str]:
-    return {"kafka.bootstrap.servers": bootstrap_servers, "subscribe": topic,
+def kafka_source_options(bootstrap_servers: str, topic: str, starting_offsets: str = "earliest",
+                         max_offsets_per_trigger: int | None = None) -> dict[str, str]:
+    opts = {"kafka.bootstrap.servers": bootstrap_servers, "subscribe": topic,
             "startingOffsets": starting_offsets, "failOnDataLoss": "false"}
+    if max_offsets_per_trigger:
+        opts["maxOffsetsPerTrigger"] = str(max_offsets_per_trigger)
+    return opts
 
 
 def order_stream_from_kafka(spark: SparkSession, bootstrap_servers: str, topic: str,
-                            starting_offsets: str = "earliest") -> DataFrame:
+                            starting_offsets: str = "earliest", max_offsets_per_trigger: int | None = None) -> DataFrame:
     use_utc(spark)
-    raw = spark.readStream.format("kafka").options(**kafka_source_options(bootstrap_servers, topic, starting_offsets)).load()
+    opts = kafka_source_options(bootstrap_servers, topic, starting_offsets, max_offsets_per_trigger)
+    raw = spark.readStream.format("kafka").options(**opts).load()
     return decode_order_messages(raw.select(F.col("value").cast("string").alias("value")), "value", observe=True)
