@@ -166,3 +166,23 @@ def test_events_without_time_go_to_quarantine_and_do_not_break_bursts(spark, tmp
     a = run(spark, alert_stream(order_stream_from_json_files(spark, str(src)), 2, "5 minutes", "500"), "alert",
             str(tmp_path / "a"), str(tmp_path / "ac"), "a_notime")
     assert sorted((r.alert_type, r.detected_at) for r in a.collect()) == [("PRICE_ANOMALY", None)]
+
+
+def test_stream_appends_to_result_tables(spark, tmp_path):
+    from cartwheel.sinks.tables import create_result_tables, read_revenue
+    src = str(tmp_path / "src")
+    os.makedirs(src)
+    write_events(spark, src, "events.parquet", [(1, 0, 1, "click", 1.0), (2, 86400, 1, "view", 2.0),
+                                                (3, 90000, 1, "click", 4.0)], 1_000_000)
+    names = create_result_tables(spark, "olist_stream_t", "parquet", str(tmp_path / "wh"))
+    events = order_stream_from_files(spark, src)
+    for result, record, table in [(revenue_stream(events), "revenue", names[0]),
+                                  (alert_stream(events, 3, "5 minutes", "3.5"), "alert", names[2])]:
+        q = start(result, record, Sink("table", table, str(tmp_path / f"ck-{record}"), {"availableNow": True}),
+                  f"table_{record}")
+        q.awaitTermination()
+        assert q.exception() is None
+    rows = sorted((r.product_category, float(r.total_revenue), str(r.window_date)) for r in spark.table(names[0]).collect())
+    assert rows == [("click", 2.0, "2024-01-01"), ("view", 3.0, "2024-01-02")]  # value = price + freight 1
+    assert [r.product_category for r in read_revenue(spark, names[0], start=BASE + timedelta(days=1)).collect()] == ["view"]
+    assert [(r.alert_type, r.entity_id) for r in spark.table(names[2]).collect()] == [("PRICE_ANOMALY", "3")]
