@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cartwheel.config import DEFAULT_PRICE_ANOMALY_THRESHOLD
-from cartwheel.schemas import ALERT_TABLE, EVENT_TIME, MONEY, PRICE_ANOMALY
+from cartwheel.schemas import ALERT_TABLE, EVENT_TIME, MONEY, PRICE_ANOMALY, PRICE_DESCRIPTION
 
 ALERT_COLUMNS = [f.name for f in ALERT_TABLE.fields]
 
@@ -23,8 +23,7 @@ def price_anomaly_alerts(events: DataFrame, threshold: Decimal | str | int = DEF
             .where(F.col("price") > F.lit(t))
             .select(F.lit(PRICE_ANOMALY).alias("alert_type"),
                     F.col("seller_id").alias("entity_id"),
-                    F.concat(F.lit("Order price "), F.col("price").cast("string"),
-                             F.lit(f" exceeds threshold {t}")).alias("description"),
+                    F.format_string(PRICE_DESCRIPTION, F.col("price").cast("string"), F.lit(str(t))).alias("description"),
                     F.col("price").cast(MONEY).alias("value"),
                     F.col(EVENT_TIME).alias("detected_at")))
 

@@ -43,6 +43,8 @@ ALERT_TABLE = T.StructType([
     T.StructField("detected_at", T.TimestampType()),
 ])
 
-# Alert type names.
+# Alert type names and description formats (printf style).
 SUSPICIOUS_FREQUENCY = "SUSPICIOUS_FREQUENCY"
 PRICE_ANOMALY = "PRICE_ANOMALY"
+PRICE_DESCRIPTION = "Order price %s exceeds threshold %s"
+BURST_DESCRIPTION = "%d orders in less than %s"
