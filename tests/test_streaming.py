@@ -186,3 +186,16 @@ def test_stream_appends_to_result_tables(spark, tmp_path):
     assert rows == [("click", 2.0, "2024-01-01"), ("view", 3.0, "2024-01-02")]  # value = price + freight 1
     assert [r.product_category for r in read_revenue(spark, names[0], start=BASE + timedelta(days=1)).collect()] == ["view"]
     assert [(r.alert_type, r.entity_id) for r in spark.table(names[2]).collect()] == [("PRICE_ANOMALY", "3")]
+
+
+def test_burst_state_survives_restart(spark, tmp_path):
+    """A run that starts before a restart and ends after it is still found (state from the checkpoint)."""
+    src, out, ckpt = str(tmp_path / "src"), str(tmp_path / "out"), str(tmp_path / "ckpt")
+    os.makedirs(src)
+    stream = lambda: alert_stream(order_stream_from_files(spark, src, "*events.parquet", 1), 3, "5 minutes", "1000")
+    write_events(spark, src, "a-events.parquet", [(1, 0, 7, "click", 1.0), (2, 60, 7, "click", 1.0)], 1_000_000)
+    assert run(spark, stream(), "alert", out, ckpt, "restart_a").count() == 0
+    write_events(spark, src, "b-events.parquet", [(3, 120, 7, "click", 1.0), (4, 1000, 8, "click", 1.0)], 2_000_000)
+    got = run(spark, stream(), "alert", out, ckpt, "restart_b").collect()
+    assert [(r.entity_id, (r.detected_at - BASE).seconds, r.description) for r in got] == [
+        ("7", 120, "3 orders in less than 5 minutes")]
