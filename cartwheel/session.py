@@ -16,8 +16,38 @@ SESSION_DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    # commit state as a changelog per micro-batch instead of uploading snapshots every time
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 
+MB = 1024 * 1024
+
+
+def cluster_settings(input_bytes: int, executors: int, cores_per_executor: int,
+                     shuffle_ratio: float = 0.3, target_split_mb: int = 256,
+                     target_shuffle_mb: int = 200) -> dict[str, str]:
+    """Partition sizing for a cluster run.
+
+    * input splits of ``target_split_mb`` (Parquet row groups permitting);
+    * shuffle partitions so that a partition holds about ``target_shuffle_mb`` of shuffle data
+      (``shuffle_ratio`` x input: the burst and join shuffles carry narrow rows, windows and KPIs
+      far less after partial aggregation), at least 2 per core; AQE coalesces small ones and
+      splits skewed ones at run time;
+    * the same number fixes the state partitions of a stream at its first start.
+
+    Example: 100 TB on 1000 executors x 8 cores -> 256 MB splits (~400k tasks, 50 waves) and
+    ~157k shuffle partitions."""
+    cores = executors * cores_per_executor
+    shuffle = max(2 * cores, int(input_bytes * shuffle_ratio / (target_shuffle_mb * MB)))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(target_split_mb * MB),
+        "spark.sql.shuffle.partitions": str(shuffle),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_shuffle_mb * MB),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_shuffle_mb * MB),
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": str(16 * MB),
+        "spark.default.parallelism": str(2 * cores),
+    }
+
 
 def build_session(master: str = "local[*]", app: str = "cartwheel", shuffle_partitions: int = 8,
                   extra: dict[str, str] | None = None) -> SparkSession:

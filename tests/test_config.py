@@ -32,3 +32,12 @@ def test_spans():
     assert span_microseconds("5 minutes") == 300_000_000 and span_microseconds("1 day") == 86_400_000_000
     assert span_text("5 minutes") == "5 minutes" and span_text("1 day") == "1440 minutes"
     assert span_text("1 minute") == "1 minute" and span_text("30 seconds") == "30 seconds"
+
+
+def test_cluster_settings_scale_with_input():
+    from cartwheel.session import cluster_settings
+    s = cluster_settings(100 * 1024 ** 4, 1000, 8)
+    assert int(s["spark.sql.shuffle.partitions"]) > 100_000
+    assert s["spark.sql.files.maxPartitionBytes"] == str(256 * 1024 * 1024)
+    small = cluster_settings(10 * 1024 ** 2, 2, 4)
+    assert small["spark.sql.shuffle.partitions"] == "16"
