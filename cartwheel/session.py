@@ -14,6 +14,11 @@ SESSION_DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # broadcast only on measured sizes: no broadcast from file-size estimates at planning time;
+    # AQE turns a shuffle join into a broadcast join when the finished map stage of a side is
+    # below the threshold (its size is then known, not estimated)
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     # commit state as a changelog per micro-batch instead of uploading snapshots every time
