@@ -58,3 +58,15 @@ def test_distribution_retains_a_bounded_top_k(spark):
     p = physical(kpi_value_distribution(realtime_kpis(event_feed(spark, SF001)), 1000))
     assert "TakeOrderedAndProject(limit=1000" in p
     assert "CartesianProduct" not in p and "NestedLoopJoin" not in p
+
+
+def test_enrichment_shares_the_orders_shuffle_and_broadcasts_only_measured_sides(spark):
+    df = item_feed(spark, SF001)
+    df.collect()  # run this DataFrame's own plan so that AQE's final plan is visible
+    p = plan(df)
+    final = p.split("== Initial Plan ==")[0]
+    assert "isFinalPlan=true" in final
+    assert "ReusedExchange" in final          # the inner and the anti join read one orders shuffle
+    initial = p.split("== Initial Plan ==")[-1]
+    if spark.conf.get("spark.sql.autoBroadcastJoinThreshold") == "-1":
+        assert "BroadcastHashJoin" not in initial   # no broadcast from planning estimates
