@@ -199,3 +199,17 @@ def test_burst_state_survives_restart(spark, tmp_path):
     got = run(spark, stream(), "alert", out, ckpt, "restart_b").collect()
     assert [(r.entity_id, (r.detected_at - BASE).seconds, r.description) for r in got] == [
         ("7", 120, "3 orders in less than 5 minutes")]
+
+
+def test_command_line_enrich(spark, tmp_path):
+    from cartwheel.streaming.run import main
+    csv = tmp_path / "csv"
+    csv.mkdir()
+    (csv / "olist_orders_dataset.csv").write_text("order_id,customer_id,order_status,order_purchase_timestamp\n"
+                                                  "o1,c1,delivered,2024-01-01 00:00:10\n")
+    (csv / "olist_order_items_dataset.csv").write_text("order_id,product_id,seller_id,price,freight_value\n"
+                                                       "o1,p1,s1,1.00,2.00\n")
+    (csv / "olist_products_dataset.csv").write_text("product_id,product_category_name\np1,toys\n")
+    main(["enrich", str(csv), str(tmp_path / "replay")])
+    [line] = [r.value for r in spark.read.text(str(tmp_path / "replay")).collect()]
+    assert line.startswith('{"order_id":"o1","customer_id":"c1"') and '"totalValue":3.00' in line
