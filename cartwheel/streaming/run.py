@@ -2,6 +2,7 @@
 
     python -m cartwheel.streaming.run revenue|kpi|alerts [--source-dir DIR] [--sink-dir DIR]
     python -m cartwheel.streaming.run enrich CSV_DIR OUT_DIR
+    python -m cartwheel.streaming.run init-tables [--table-format parquet|iceberg] [--location DIR]
 
 A job reads the orders topic (or, with ``--source-dir``, JSON order messages from files), and
 writes its results to its topic (or, with ``--sink-dir``, Parquet files) and, when tables are
@@ -20,6 +21,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from cartwheel.config import TABLE_ALERTS, TABLE_DATABASE, TABLE_KPIS, TABLE_REVENUE, JobConfig
 from cartwheel.session import build_session, checkpoint_root
+from cartwheel.sinks.tables import create_result_tables
 from cartwheel.sources.csv import enriched_events_from_csv
 from cartwheel.sources.messages import encode_order_events
 from cartwheel.streaming.jobs import Sink, alert_stream, kpi_stream, quarantine_stream, revenue_stream, start
@@ -81,16 +83,22 @@ def write_replay_files(spark: SparkSession, csv_dir: str, out_dir: str, files: i
 
 def main(argv: list[str] | None = None) -> None:
     ap = argparse.ArgumentParser(prog="cartwheel.streaming.run")
-    ap.add_argument("job", choices=[*JOBS, "enrich"])
+    ap.add_argument("job", choices=[*JOBS, "enrich", "init-tables"])
     ap.add_argument("paths", nargs="*")
     ap.add_argument("--source-dir")
     ap.add_argument("--sink-dir")
     ap.add_argument("--master", default="local[*]")
+    ap.add_argument("--table-format", default="parquet")
+    ap.add_argument("--location")
     args = ap.parse_args(argv)
     spark = build_session(args.master)
     if args.job == "enrich":
         write_replay_files(spark, args.paths[0], args.paths[1])
         return
+    if args.job == "init-tables":
+        for name in create_result_tables(spark, TABLE_DATABASE, args.table_format, args.location):
+            print(name)
+        return
     queries = run_job(spark, args.job, JobConfig.from_env(), args.source_dir, args.sink_dir)
     spark.streams.awaitAnyTermination()
     for q in queries:

@@ -213,3 +213,11 @@ def test_command_line_enrich(spark, tmp_path):
     main(["enrich", str(csv), str(tmp_path / "replay")])
     [line] = [r.value for r in spark.read.text(str(tmp_path / "replay")).collect()]
     assert line.startswith('{"order_id":"o1","customer_id":"c1"') and '"totalValue":3.00' in line
+
+
+def test_command_line_init_tables(spark, tmp_path, capsys):
+    from cartwheel.streaming.run import main
+    main(["init-tables", "--location", str(tmp_path / "wh")])
+    assert capsys.readouterr().out.split() == ["olist.revenue_by_category", "olist.realtime_kpis", "olist.order_alerts"]
+    assert [c.name for c in spark.table("olist.realtime_kpis").schema] == [
+        "average_order_value", "orders_per_minute", "total_orders", "total_revenue", "window_start", "window_end"]
