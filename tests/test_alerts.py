@@ -93,3 +93,23 @@ def test_union_keeps_both_kinds(events):
     u = union_alerts(suspicious_frequency_alerts(df, 3), price_anomaly_alerts(df, "500"))
     kinds = sorted(r.alert_type for r in u.collect())
     assert kinds == ["PRICE_ANOMALY"] * 3 + ["SUSPICIOUS_FREQUENCY"]
+
+
+from hypothesis import given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+GRID = st.lists(st.tuples(st.sampled_from(["a", "b"]),
+                          st.tuples(st.integers(0, 20), st.integers(0, 1)).map(lambda kj: kj[0] * 60 + kj[1] * 1e-6)),
+                min_size=3, max_size=30)
+
+
+@settings(max_examples=25, deadline=None)
+@given(GRID, st.integers(2, 4), st.sampled_from(["5 minutes", "6 minutes"]))
+def test_bursts_property_bucket_edges(spark, rows, n, bucket):
+    from conftest import BASE, event  # noqa: F401
+    from cartwheel.schemas import ORDER_EVENT
+    evs = [event(f"o{i}", customer=c, t=t) for i, (c, t) in enumerate(rows)]
+    df = spark.createDataFrame(evs, ORDER_EVENT)
+    got = sorted((r.entity_id, r.detected_at, int(r.description.split()[0]))
+                 for r in suspicious_frequency_alerts(df, n, "5 minutes", bucket).collect())
+    assert got == brute_force(evs, n, 300)
