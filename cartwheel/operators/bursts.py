@@ -54,21 +54,19 @@ def burst_run_ends(events: DataFrame, min_count: int = DEFAULT_SUSPICIOUS_ORDER_
           .where(F.col("customer_id").isNotNull() & F.col(EVENT_TIME).isNotNull())
           .select("customer_id", F.unix_micros(F.col(EVENT_TIME)).alias("ts_us")))
     # floor(ts_us / bucket_us) in exact integer arithmetic (also for times before 1970)
-    ev = ev.withColumn("home_bucket", F.expr(f"(ts_us - pmod(ts_us, {bucket_us})) div {bucket_us}"))
-    in_halo = F.col("ts_us") > (F.col("home_bucket") + 1) * F.lit(bucket_us) - F.lit(span_us)
+    home_bucket = F.expr(f"(ts_us - pmod(ts_us, {bucket_us})) div {bucket_us}")
+    in_halo = F.col("ts_us") > (home_bucket + 1) * F.lit(bucket_us) - F.lit(span_us)
     ev = ev.withColumn("bucket", F.explode(
-        F.when(in_halo, F.array(F.col("home_bucket"), F.col("home_bucket") + 1))
-         .otherwise(F.array(F.col("home_bucket")))))
+        F.when(in_halo, F.array(home_bucket, home_bucket + 1)).otherwise(F.array(home_bucket))))
     # pre-aggregate events of one customer at one instant (partial counts before the shuffle)
-    ties = (ev.groupBy("customer_id", "bucket", "ts_us", "home_bucket")
-              .agg(F.count(F.lit(1)).alias("m")))
+    ties = ev.groupBy("customer_id", "bucket", "ts_us").agg(F.count(F.lit(1)).alias("m"))
 
     by_time = Window.partitionBy("customer_id", "bucket").orderBy("ts_us")
     upto = F.sum("m").over(by_time.rangeBetween(Window.unboundedPreceding, Window.currentRow))
     older = F.sum("m").over(by_time.rangeBetween(Window.unboundedPreceding, -span_us))
     before = upto - F.col("m") - F.coalesce(older, F.lit(0))
     return (ties.withColumn("before", before)
-                .where((F.col("bucket") == F.col("home_bucket")) & (F.col("before") + F.col("m") >= min_count))
+                .where((F.col("bucket") == home_bucket) & (F.col("before") + F.col("m") >= min_count))
                 .select("customer_id", "ts_us", "before", "m"))
 
 
