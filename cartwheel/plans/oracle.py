@@ -221,3 +221,39 @@ SELECT (SELECT count(*) FROM vals) AS count,
        round(CASE WHEN count(v) >= 2 THEN stddev_pop(v) ELSE 0 END, 6) AS stddev,
        {qs}
 FROM kept""")
+
+
+def stream_metrics(feed: str) -> str:
+    """Counter totals of the metric replays, from the tables: closed windows of the revenue and
+    KPI replays, the order count of the last closed KPI window, and for the alert replay from
+    JSON messages (events of type 'error' are malformed; decoded times are whole seconds, and
+    the watermark follows decoded events only): price alerts, burst alerts behind the final
+    watermark, and decoding errors."""
+    return with_feed(feed, f"""
+, rev AS (
+  SELECT date_trunc('minute', order_purchase_timestamp) + INTERVAL 1 MINUTE AS we
+  FROM feed GROUP BY product_category, date_trunc('minute', order_purchase_timestamp)
+  HAVING count(*) FILTER (WHERE product_category IS NOT NULL AND price IS NOT NULL) > 0),
+kpi AS (
+  SELECT date_trunc('minute', order_purchase_timestamp) AS ws, count(*) FILTER (WHERE price IS NOT NULL) AS n
+  FROM feed GROUP BY 1 HAVING count(*) FILTER (WHERE price IS NOT NULL) > 0),
+closed_kpi AS (SELECT * FROM kpi WHERE epoch_us(ws + INTERVAL 1 MINUTE) <= {WATERMARK_US}),
+decoded AS (
+  SELECT customer_id, date_trunc('second', order_purchase_timestamp) AS ts, order_id, product_id, price
+  FROM feed WHERE product_category IS NOT NULL),
+dwm AS (SELECT (epoch_us(max(ts)) // 1000 - 10000) * 1000 AS us FROM decoded),
+ranked AS (
+  SELECT customer_id, ts, row_number() OVER (PARTITION BY customer_id ORDER BY ts, order_id, product_id) AS rn
+  FROM decoded),
+ends AS (
+  SELECT e.ts, count(*) AS k
+  FROM ranked e JOIN ranked f ON f.customer_id = e.customer_id AND f.rn <= e.rn AND f.ts > e.ts - INTERVAL 1 DAY
+  GROUP BY e.customer_id, e.ts, e.rn HAVING count(*) >= 3)
+SELECT 'revenue' AS query, 'windowsEmitted' AS name,
+       CAST((SELECT count(*) FROM rev WHERE epoch_us(we) <= {WATERMARK_US}) AS DOUBLE) AS value
+UNION ALL SELECT 'kpi', 'kpiWindowsEmitted', CAST((SELECT count(*) FROM closed_kpi) AS DOUBLE)
+UNION ALL SELECT 'kpi', 'lastWindowOrderCount', CAST((SELECT max_by(n, ws) FROM closed_kpi) AS DOUBLE)
+UNION ALL SELECT 'alerts', 'priceAnomalyAlertsEmitted', CAST((SELECT count(*) FROM decoded WHERE price > 400) AS DOUBLE)
+UNION ALL SELECT 'alerts', 'suspiciousFrequencyAlertsEmitted',
+       CAST((SELECT coalesce(sum(k - 2), 0) FROM ends WHERE epoch_us(ts) <= (SELECT us FROM dwm)) AS DOUBLE)
+UNION ALL SELECT 'alerts', 'deserializationErrors', CAST((SELECT count(*) FROM feed WHERE product_category IS NULL) AS DOUBLE)""")

@@ -310,10 +310,9 @@ def _quarantine_stream_replay(spark, sf):
     return _replay(spark, sf, quarantine_stream, "quarantine", "quarantine_replay")
 
 
-@register("stream_metrics")
-def _stream_metrics(spark, sf):
-    """M1-M3, M5-M7: observed metrics and rates of revenue and KPI replays, and of an alert
-    replay from JSON messages (with bad messages, so the decoder counts errors), as rows."""
+def _metric_replays(spark, sf) -> DataFrame:
+    """Revenue and KPI replays of the events table, and an alert replay from JSON messages
+    (with bad messages, so the decoder counts errors); their progress reports as metric rows."""
     from cartwheel.session import scratch_path
     from cartwheel.streaming.jobs import alert_stream, kpi_stream, revenue_stream
     from cartwheel.streaming.metrics import metrics_frame, progress_rows
@@ -328,6 +327,20 @@ def _stream_metrics(spark, sf):
     return metrics_frame(spark, rows)
 
 
+@register("stream_metrics", oracle.stream_metrics("event"))
+def _stream_metrics(spark, sf):
+    """M1-M3, M5, M6: counters (summed over micro-batches) and the last gauge value."""
+    from cartwheel.streaming.metrics import counters
+    return counters(_metric_replays(spark, sf))
+
+
+@register("stream_rates")
+def _stream_rates(spark, sf):
+    """M7: input rows and rates per micro-batch (timing dependent, no oracle)."""
+    from cartwheel.streaming.metrics import rates
+    return rates(_metric_replays(spark, sf))
+
+
 # --- distribution (A6, M4) --------------------------------------------------------------------------
 
 def _distribution_sql() -> str:

@@ -60,6 +60,19 @@ def metrics_frame(spark: SparkSession, rows: list[tuple]) -> DataFrame:
     return spark.createDataFrame(rows, METRIC_ROW)
 
 
+# Metric names that are gauges (last value counts); observed counters add up.
+GAUGES = ("lastWindowOrderCount",)
+RATES = ("numInputRows", "inputRowsPerSecond", "processedRowsPerSecond")
+
+
 def counters(metrics: DataFrame) -> DataFrame:
-    """Running totals per query and metric name (the counter values)."""
-    return metrics.groupBy("query", "name").agg(F.sum("value").alias("total"))
+    """query, name, value: counters summed over batches, gauges at their last reported value
+    (rates excluded)."""
+    observed = metrics.where(~F.col("name").isin(*RATES))
+    is_gauge = F.col("name").isin(*GAUGES)
+    return (observed.groupBy("query", "name")
+            .agg(F.when(F.first(is_gauge), F.max_by("value", "batch_id")).otherwise(F.sum("value")).alias("value")))
+
+
+def rates(metrics: DataFrame) -> DataFrame:
+    return metrics.where(F.col("name").isin(*RATES))

@@ -36,7 +36,7 @@ def test_entry_runs(spark):
 def test_registry_has_oracles():
     q, o = entry_mod.queries(), entry_mod.oracle_sql()
     assert set(o) <= set(q)
-    assert set(q) - set(o) == {"stream_metrics"}
+    assert set(q) - set(o) == {"stream_rates"}
 
 
 @pytest.mark.parametrize("name", sorted(entry_mod.oracle_sql()))
@@ -49,7 +49,8 @@ def test_query_matches_oracle(spark, duck, name):
 
 
 def test_stream_metrics_rows(spark):
-    rows = entry_mod.queries()["stream_metrics"](spark, SF001).collect()
+    from cartwheel.plans.queries import _metric_replays
+    rows = _metric_replays(spark, SF001).collect()
     names = {(r.query, r.name) for r in rows}
     assert ("revenue", "windowsEmitted") in names and ("kpi", "lastWindowOrderCount") in names
     assert ("alerts", "suspiciousFrequencyAlertsEmitted") in names and ("alerts", "deserializationErrors") in names
