@@ -310,12 +310,21 @@ def _quarantine_stream_replay(spark, sf):
     return _replay(spark, sf, quarantine_stream, "quarantine", "quarantine_replay")
 
 
+_METRIC_ROWS: dict[tuple[str, str], list[tuple]] = {}
+
+
 def _metric_replays(spark, sf) -> DataFrame:
     """Revenue and KPI replays of the events table, and an alert replay from JSON messages
-    (with bad messages, so the decoder counts errors); their progress reports as metric rows."""
+    (with bad messages, so the decoder counts errors); their progress reports as metric rows.
+
+    ``stream_metrics`` and ``stream_rates`` are two views of the same progress reports, so the
+    replays run once per application and tables folder (the rows are small driver metadata)."""
     from cartwheel.session import scratch_path
     from cartwheel.streaming.jobs import alert_stream, kpi_stream, revenue_stream
     from cartwheel.streaming.metrics import metrics_frame, progress_rows
+    memo = (spark.sparkContext.applicationId, sf.rstrip("/"))
+    if memo in _METRIC_ROWS:
+        return metrics_frame(spark, _METRIC_ROWS[memo])
     msgs = scratch_path(spark, "messages")
     order_messages(spark, sf).select("value").write.text(msgs)
     rows = []
@@ -324,6 +333,7 @@ def _metric_replays(spark, sf) -> DataFrame:
         progress: list = []
         _replay(spark, sf, build, record, f"{name}_metrics", progress, json_dir=src)
         rows.extend(progress_rows(name, progress))
+    _METRIC_ROWS[memo] = rows
     return metrics_frame(spark, rows)
 
 
