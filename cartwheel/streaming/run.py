@@ -16,7 +16,6 @@ from __future__ import annotations
 import argparse
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from cartwheel.config import TABLE_ALERTS, TABLE_DATABASE, TABLE_KPIS, TABLE_REVENUE, JobConfig
