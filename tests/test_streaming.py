@@ -221,3 +221,39 @@ def test_command_line_init_tables(spark, tmp_path, capsys):
     assert capsys.readouterr().out.split() == ["olist.revenue_by_category", "olist.realtime_kpis", "olist.order_alerts"]
     assert [c.name for c in spark.table("olist.realtime_kpis").schema] == [
         "average_order_value", "orders_per_minute", "total_orders", "total_revenue", "window_start", "window_end"]
+
+
+def test_replay_files_are_time_ordered_across_files(spark, tmp_path):
+    import json
+
+    from cartwheel.streaming.run import write_replay_files
+    csv = tmp_path / "csv"
+    csv.mkdir()
+    orders = ["order_id,customer_id,order_status,order_purchase_timestamp"]
+    items = ["order_id,product_id,seller_id,price,freight_value"]
+    for i in range(40):   # written out of time order
+        t = (i * 7919) % 3600
+        orders.append(f"o{i},c{i % 3},delivered,2024-01-01 {t // 3600:02d}:{t % 3600 // 60:02d}:{t % 60:02d}")
+        items.append(f"o{i},p{i % 5},s1,{i}.00,1.00")
+    (csv / "olist_orders_dataset.csv").write_text("\n".join(orders) + "\n")
+    (csv / "olist_order_items_dataset.csv").write_text("\n".join(items) + "\n")
+    (csv / "olist_products_dataset.csv").write_text("product_id,product_category_name\np1,toys\n")
+    out = tmp_path / "replay"
+    write_replay_files(spark, str(csv), str(out), files=4)
+    times = []
+    for f in sorted(p for p in out.iterdir() if p.name.startswith("part-")):
+        times += [json.loads(line)["order_purchase_timestamp"] for line in f.read_text().splitlines()]
+    assert len(times) == 40 and times == sorted(times)
+
+
+def test_kpi_stream_drops_late_rows(spark, tmp_path):
+    from cartwheel.streaming.jobs import kpi_stream
+    src, out, ckpt = str(tmp_path / "src"), str(tmp_path / "out"), str(tmp_path / "ckpt")
+    os.makedirs(src)
+    stream = lambda: kpi_stream(order_stream_from_files(spark, src, "*events.parquet", 1))
+    write_events(spark, src, "a-events.parquet", [(1, 0, 1, "click", 1.0), (2, 200, 1, "click", 3.0)], 1_000_000)
+    run(spark, stream(), "kpi", out, ckpt, "kpi_a")
+    write_events(spark, src, "b-events.parquet", [(3, 5, 1, "click", 50.0), (4, 400, 1, "click", 1.0)], 2_000_000)
+    rows = sorted(((r.window_start - BASE).seconds, r.total_orders, float(r.total_revenue))
+                  for r in run(spark, stream(), "kpi", out, ckpt, "kpi_b").collect())
+    assert rows == [(0, 1, 2.0), (180, 1, 4.0)]   # late row at +5 s dropped; value = price + freight 1
