@@ -205,14 +205,16 @@ def quarantine_rows(feed: str) -> str:
                            "WHEN product_category IS NULL THEN 'no category' ELSE 'no price' END AS quarantined_reason")
 
 
-def kpi_distribution(feed: str, capacity: int, quantiles: tuple[float, ...], names: list[str]) -> str:
+def kpi_distribution(feed: str, capacity: int, quantiles: tuple[float, ...], names: list[str],
+                     closed_only: bool = False) -> str:
     qs = ",\n       ".join(f"coalesce(CAST(quantile_disc(v, {q}) AS DOUBLE), 0) AS {n}" for q, n in zip(quantiles, names))
     return with_feed(feed, f"""
 , k AS (
   SELECT date_trunc('minute', order_purchase_timestamp) AS ws, count(*) AS n,
          CAST(sum((coalesce(price, 0) + coalesce(freight_value, 0)) * 100) AS HUGEINT) AS cents
   FROM feed WHERE price IS NOT NULL GROUP BY 1),
-vals AS (SELECT ws, CAST((((2 * cents + n) // (2 * n)) + 50) // 100 AS BIGINT) AS v FROM k),
+vals AS (SELECT ws, CAST((((2 * cents + n) // (2 * n)) + 50) // 100 AS BIGINT) AS v FROM k
+         {"WHERE epoch_us(ws + INTERVAL 1 MINUTE) <= " + WATERMARK_US if closed_only else ""}),
 kept AS (SELECT v FROM vals ORDER BY ws DESC LIMIT {capacity})
 SELECT (SELECT count(*) FROM vals) AS count,
        count(v) AS size,

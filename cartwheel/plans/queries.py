@@ -353,9 +353,10 @@ def _stream_rates(spark, sf):
 
 # --- distribution (A6, M4) --------------------------------------------------------------------------
 
-def _distribution_sql() -> str:
+def _distribution_sql(closed_only: bool = False) -> str:
     from cartwheel.operators.distribution import DEFAULT_QUANTILES, quantile_name
-    return oracle.kpi_distribution("event", 1000, DEFAULT_QUANTILES, [quantile_name(q) for q in DEFAULT_QUANTILES])
+    return oracle.kpi_distribution("event", 1000, DEFAULT_QUANTILES, [quantile_name(q) for q in DEFAULT_QUANTILES],
+                                   closed_only)
 
 
 @register("kpi_value_distribution", _distribution_sql())
@@ -364,3 +365,13 @@ def _kpi_value_distribution(spark, sf):
     from cartwheel.operators.distribution import kpi_value_distribution
     d = kpi_value_distribution(realtime_kpis(event_feed(spark, sf)), 1000)
     return d.withColumn("mean", F.round("mean", 6)).withColumn("stddev", F.round("stddev", 6))
+
+
+@register("kpi_value_distribution_stream", _distribution_sql(closed_only=True))
+def _kpi_value_distribution_stream(spark, sf):
+    """M4: the distribution over the windows a KPI stream replay emitted."""
+    from cartwheel.operators.distribution import kpi_value_distribution
+    from cartwheel.streaming.jobs import kpi_stream
+    emitted = _replay(spark, sf, kpi_stream, "kpi", "kpi_dist_replay")
+    d = kpi_value_distribution(emitted, 1000)
+    return d.withColumn("mean", F.round("mean", 6)).withColumn("stddev", F.round("stddev", 6))
