@@ -259,3 +259,17 @@ UNION ALL SELECT 'alerts', 'priceAnomalyAlertsEmitted', CAST((SELECT count(*) FR
 UNION ALL SELECT 'alerts', 'suspiciousFrequencyAlertsEmitted',
        CAST((SELECT coalesce(sum(k - 2), 0) FROM ends WHERE epoch_us(ts) <= (SELECT us FROM dwm)) AS DOUBLE)
 UNION ALL SELECT 'alerts', 'deserializationErrors', CAST((SELECT count(*) FROM feed WHERE product_category IS NULL) AS DOUBLE)""")
+
+
+def all_alerts_json(feed: str, min_count: int, span_sql: str, span_words: str, threshold: str) -> str:
+    """Burst alerts (value null) and price alerts as JSON text."""
+    alerts = (with_feed(feed, "").rstrip() + burst_alerts_body(min_count, span_sql, span_words)
+              + "\nUNION ALL" + price_alerts_body(threshold).replace("CAST(price AS DOUBLE) AS value",
+                                                                   "CAST(price AS VARCHAR) AS value"))
+    alerts = alerts.replace("CAST(NULL AS DOUBLE) AS value", "CAST(NULL AS VARCHAR) AS value")
+    return f"""
+SELECT CAST(NULL AS VARCHAR) AS key,
+       '{{"alertType":' || to_json(alert_type) || ',"entityId":' || to_json(entity_id)
+       || ',"description":' || to_json(description) || ',"value":' || coalesce(value, 'null')
+       || ',"detectedAt":' || {epoch_text('detected_at')} || '}}' AS value
+FROM ({alerts}) a"""

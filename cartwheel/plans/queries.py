@@ -216,6 +216,14 @@ def _price_alert_json(spark, sf):
     return alert_json(price_anomaly_alerts(item_feed(spark, sf), "90000"))
 
 
+@register("all_alerts_json_event", oracle.all_alerts_json("event", 3, "1 DAY", "1440 minutes", "400"))
+def _all_alerts_json_event(spark, sf):
+    """K4 for both alert kinds: burst alerts carry a JSON null value."""
+    from cartwheel.sinks.json_encode import alert_json
+    feed = event_feed(spark, sf)
+    return alert_json(union_alerts(suspicious_frequency_alerts(feed, 3, "1 day"), price_anomaly_alerts(feed, "400")))
+
+
 # --- tables (K5-K9) and CSV sources (S3-S5, P7, P8, O1) -------------------------------------------
 
 @register("revenue_table_rows", oracle.revenue_table_rows("event"))
