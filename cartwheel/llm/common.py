@@ -30,9 +30,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def saved(df: DataFrame, name: str) -> DataFrame:
     """Write a result once to the shared checkpoint folder and read it back: cuts the lineage, and
     every later use reads the same rows even if executors are lost in between."""
+    return df.sparkSession.read.schema(df.schema).parquet(save(df, name))
+
+
+def save(df: DataFrame, name: str) -> str:
+    """Write a frame to a new folder in the shared checkpoint folder and return its path."""
     path = scratch_path(df.sparkSession, name)
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    df.write.parquet(path)
+    return path
 
 
 def drop_saved(df: DataFrame) -> None:

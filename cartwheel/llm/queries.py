@@ -2,10 +2,17 @@
 
 from __future__ import annotations
 
+from cartwheel.llm.chunks import op8_chunk_dedup
 from cartwheel.llm.decontamination import OP10_SQL, op10_decontamination
+from cartwheel.llm.exact_dedup import OP6_SQL, op6_exact_dedup
+from cartwheel.llm.html import op4_html_extraction
+from cartwheel.llm.near_dups import op9_near_duplicates
 from cartwheel.llm.pieces import op3_sentencepiece
+from cartwheel.llm.repeats import op7_suffix_repeats
 from cartwheel.llm.sharding import op5_sharding
 from cartwheel.llm.toxicity import op2_toxicity
+from cartwheel.llm.warc import op1_warc_derivatives
 
-QUERIES = {f.__name__: f for f in (op2_toxicity, op3_sentencepiece, op5_sharding, op10_decontamination)}
-ORACLE = {"op10_decontamination": OP10_SQL}
+QUERIES = {f.__name__: f for f in (op1_warc_derivatives, op2_toxicity, op3_sentencepiece, op4_html_extraction, op5_sharding,
+                                   op6_exact_dedup, op7_suffix_repeats, op8_chunk_dedup, op9_near_duplicates, op10_decontamination)}
+ORACLE = {"op6_exact_dedup": OP6_SQL, "op10_decontamination": OP10_SQL}
