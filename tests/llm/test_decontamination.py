@@ -1,0 +1,67 @@
+import random
+
+import numpy as np
+import pytest
+from helpers import docs_of
+
+from cartwheel.llm.decontamination import (END, FIRST_WORD, FMIndex, Phrases, WaveletMatrix, decontaminate, shard_hits,
+                                           suffix_array, without_words, words)
+
+
+@pytest.mark.parametrize("seed", range(5))
+def test_index_against_scanning(seed):
+    r = np.random.default_rng(seed)
+    text = np.append(r.integers(1, 5, 400), END)
+    assert suffix_array(text).tolist() == sorted(range(len(text)), key=lambda i: text[i:].tolist())
+    wavelet = WaveletMatrix(text)
+    at = np.arange(len(text))
+    assert wavelet.access(at).tolist() == text.tolist()
+    for symbol in range(6):
+        assert wavelet.rank(np.full(len(text), symbol), at).tolist() == [(text[:i] == symbol).sum() for i in at]
+    index = FMIndex(text, sample=3)
+    phrases = r.integers(1, 6, (50, 4))
+    low, high = index.find(phrases)
+    for p, a, b in zip(phrases.tolist(), low, high):
+        assert sorted(index.locate(np.arange(a, b)).tolist()) == [i for i in range(len(text) - 3) if text[i:i + 4].tolist() == p]
+
+
+def test_hits_against_brute_force():
+    r = random.Random(3)
+    make = lambda n: " ".join(r.choice("abcde") for _ in range(n))
+    texts, items = [make(r.randint(0, 60)) for _ in range(60)], [(str(i), make(r.randint(0, 6))) for i in range(25)]
+    found = shard_hits(texts, Phrases(items, 4))
+    for text, (n, spans, own) in zip(texts, found):
+        w = words(text)
+        hit, ids = set(), set()
+        for item, t in items:
+            p = words(t)
+            k = min(4, len(p))
+            for j in range(len(p) - k + 1 if k else 0):
+                for i in range(len(w) - k + 1):
+                    if w[i:i + k] == p[j:j + k]:
+                        hit.update(range(i, i + k))
+                        ids.add(item)
+        assert n == len(w) and own == ids
+        assert {i for a, b in spans for i in range(a, b)} == hit
+        assert all(x[1] < y[0] for x, y in zip(spans, spans[1:]))
+
+
+def test_blocks_of_items_and_cleaning(spark):
+    item = "one two three four five six seven eight nine ten"
+    docs = docs_of(spark, [(1, f"Start, {item.title()}! End", "s"), (2, "clean text", None), (3, None, None), (4, item, None)])
+    bench = spark.createDataFrame([(i, f"{item} w{i}") for i in range(20)], "item_id long, text string")
+    whole = decontaminate(docs, bench, clean=True)
+    parts = decontaminate(docs, bench, clean=True, block_bytes=200)
+    rows = sorted(whole.collect(), key=lambda r: r.doc_id)
+    assert rows == sorted(parts.collect(), key=lambda r: r.doc_id)
+    assert [r.clean_text for r in rows] == ["Start, ! End", "clean text", None, ""]
+    assert len(rows[0].hit_items) == 20 and rows[0].shard == "s"
+    with pytest.raises(ValueError):
+        decontaminate(whole, bench)
+    none = decontaminate(docs, bench.where("false"))
+    assert [r.hit_items for r in none.collect()] == [[]] * 4
+
+
+def test_without_words():
+    assert without_words("a b-c d", [(1, 3)]) == "a  d"
+    assert FIRST_WORD > END

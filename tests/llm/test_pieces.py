@@ -1,0 +1,85 @@
+import itertools
+import random
+
+import pytest
+from conftest_paths import SF001
+from helpers import ODD_ROWS, docs_of, long_text
+
+from cartwheel.llm.pieces import MARK, Encoder, Vocabulary, default_model, edited, encode, op3_sentencepiece
+
+SMALL = Vocabulary.of({"a": -1.0, "b": -1.0, "ab": -1.5, "ba": -2.0, "aba": -3.0, MARK: -0.5, MARK + "a": -1.5, "bb": -2.0}, prefix=MARK)
+
+
+def paths(v, text):
+    """All segmentations: (score, ids)."""
+    if not text:
+        return [(0.0, ())]
+    out = []
+    for j in range(1, len(text) + 1):
+        if text[:j] in v.pieces:
+            i, s = v.pieces[text[:j]]
+            out += [(s + t, (i, *rest)) for t, rest in paths(v, text[j:])]
+    if text[0] not in v.pieces:
+        out += [(v.unknown_score + t, (v.unknown, *rest)) for t, rest in paths(v, text[1:])]
+    return out
+
+
+@pytest.mark.parametrize("n", [1, 2, 5, 40])
+def test_unit_search_against_all_paths(n):
+    for unit in ["a", "abab", "bbabb", MARK + "abba", "axb", "aaaaaaa"]:
+        want = sorted(paths(SMALL, unit), key=lambda p: (-p[0], p[1][::-1]))[:n]
+        assert SMALL.n_best(unit, n) == want
+
+
+def test_text_against_all_paths():
+    r = random.Random(1)
+    for _ in range(150):
+        text = "".join(r.choice("abbax  ") for _ in range(r.randint(0, 9)))
+        ids, *best = Encoder(SMALL, 6, known=3).encode(text)
+        want = sorted((p[0] for p in paths(SMALL, (MARK + text.replace(" ", MARK)) if text else "")), reverse=True)[:6]
+        assert [round(s, 6) for s, _ in best] == [round(s, 6) for s in want]
+        full = [tuple(edited(ids.tolist(), e)) for _, e in best]
+        assert len(set(full)) == len(full)
+        scores = dict((p[1], p[0]) for p in paths(SMALL, (MARK + text.replace(" ", MARK)) if text else ""))
+        assert all(abs(scores[f] - s) < 1e-6 for f, (s, _) in zip(full, best))
+
+
+def test_against_sentencepiece_itself():
+    """The library's own n-best search, on the public vocabulary read as a unigram model."""
+    import sentencepiece
+    from sentencepiece import sentencepiece_model_pb2 as pb
+    with open(default_model(), "rb") as f:
+        model = f.read()
+    proto = pb.ModelProto()
+    proto.ParseFromString(model)
+    proto.trainer_spec.model_type = 1
+    library = sentencepiece.SentencePieceProcessor(model_proto=proto.SerializeToString())
+    encoder = Encoder(Vocabulary(model), 3)
+    for text in ["Hello world", "the unbelievable story", "naïve café", "a", "international relations of three"]:
+        ids, *best = encoder.encode(text)
+        ours = [edited(ids.tolist(), e) for _, e in best]
+        theirs = library.nbest_encode(text, nbest_size=3)
+        score = lambda x: sum(proto.pieces[i].score for i in x)
+        assert [score(x) for x in ours] == pytest.approx([score(x) for x in theirs])
+        assert library.decode(ours[0]) == text
+
+
+def test_round_trip_and_odd_rows(spark):
+    rows = ODD_ROWS + [(7, long_text(2), None), (8, "x" * 5000, None), (9, " a  b   ", None), (10, f"mark {MARK}", None)]
+    out = encode(docs_of(spark, rows)).collect()
+    assert len(out) == len(rows)
+    for r in out:
+        assert r.decoded == (r.text or "").replace(MARK, " ")
+        scores = [b.score for b in r.n_best]
+        assert scores == sorted(scores, reverse=True) and 1 <= len(scores) <= 4
+        assert not r.text == (not r.ids)
+    assert encode(docs_of(spark, [])).collect() == []
+    with pytest.raises(ValueError):
+        encode(encode(docs_of(spark, rows)))
+
+
+def test_query(spark):
+    rows = op3_sentencepiece(spark, SF001).collect()
+    assert len(rows) == spark.read.parquet(f"{SF001}/documents.parquet").count()
+    assert all(r.round_trip for r in rows)
+    assert list(itertools.chain(*(r.scores for r in rows)))
