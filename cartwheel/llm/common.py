@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import io
+import zipfile
 from collections.abc import Iterable, Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import cartwheel
 from cartwheel.session import scratch_path
 
 # Text handled at once inside a task: bounds the arrays of 8 bytes per text byte that the kernels
@@ -27,6 +31,28 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Give the executors this package, once for each application: the functions that run in tasks
+    import it. The archive lies in the shared checkpoint folder."""
+    context = spark.sparkContext
+    if context.applicationId in _SHIPPED:
+        return
+    root = Path(cartwheel.__file__).parent
+    packed = io.BytesIO()
+    with zipfile.ZipFile(packed, "w", zipfile.ZIP_DEFLATED) as archive:
+        for f in sorted(root.rglob("*.py")):
+            archive.write(f, f.relative_to(root.parent))
+    path = context._jvm.org.apache.hadoop.fs.Path(f"{scratch_path(spark, 'package')}.zip")
+    out = path.getFileSystem(context._jsc.hadoopConfiguration()).create(path)
+    out.write(bytearray(packed.getvalue()))
+    out.close()
+    context.addPyFile(path.toString())
+    _SHIPPED.add(context.applicationId)
+
+
 def saved(df: DataFrame, name: str) -> DataFrame:
     """Write a result once to the shared checkpoint folder and read it back: cuts the lineage, and
     every later use reads the same rows even if executors are lost in between."""

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartwheel.llm.common import save, saved, table
+from cartwheel.llm.common import save, saved, ship, table
 from cartwheel.llm.decontamination import decontaminate
 from cartwheel.llm.exact_dedup import exact_dedup
 from cartwheel.llm.near_dups import near_duplicates
@@ -62,6 +62,7 @@ ORACLE_SQL = None   # dictionary compression and the piece lattice have no SQL f
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
         docs = saved(stage(spark, docs, sf_dir), f"pipeline-{name.replace(' ', '-')}")
