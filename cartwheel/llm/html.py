@@ -9,6 +9,7 @@ the label of its nearest decided neighbour, blocks of its own section before oth
 from __future__ import annotations
 
 import re
+from bisect import bisect
 from collections.abc import Iterator
 from dataclasses import dataclass
 from html import unescape
@@ -42,7 +43,7 @@ BLOCK = frozenset("address article aside blockquote body br caption center dd de
 # Elements whose text is never page text, skipped as they stand.
 RAW = "script|style|textarea|template|noscript|iframe|svg|math|title|noframes|xmp"
 # Elements that hold page furniture, and those that mark content.
-FURNITURE = frozenset("nav header footer aside form menu dialog button select fieldset figcaption".split()) - {"figcaption"}
+FURNITURE = frozenset("nav header footer aside form menu dialog button select fieldset".split())
 CONTENT = frozenset(("article", "main"))
 SECTIONS = frozenset("article aside body details dialog div dl fieldset footer form header main menu nav ol section table td ul".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -178,8 +179,9 @@ def first_pass(block: Block) -> str:
 
 def second_pass(page: list[Block]) -> None:
     """Open blocks take the label of the nearest decided block of their section; without one, good in
-    an article or main element; else that of the nearest decided block at all. If both sides are as near, content needs
-    both in different sections, and one in the same. A page without any good block keeps the open blocks that have stop words."""
+    an article or main element; else that of the nearest decided block at all, the ends of the page
+    counting as boilerplate. Where both sides are as near, one good side is enough in the own section, else both have to be
+    good. A page without any good block keeps the open blocks that have stop words."""
     decided = [b.label for b in page]
     if "good" not in decided:
         for b in page:
@@ -187,9 +189,11 @@ def second_pass(page: list[Block]) -> None:
                 b.label = "good" if b.content or any(w in _STOP for w in _LETTERS.findall(b.text.lower())) else "bad"
         return
     by_section: dict[int, list[int]] = {}
-    every = [i for i, label in enumerate(decided) if label != "open"]
-    for i in every:
-        by_section.setdefault(page[i].section, []).append(i)
+    for i, label in enumerate(decided):
+        if label != "open":
+            by_section.setdefault(page[i].section, []).append(i)
+    every = [-1, *(i for i, label in enumerate(decided) if label != "open"), len(page)]
+    decided += ["bad", "bad"]       # the ends: at len(page) and, counted from the end, at -1
     for i, b in enumerate(page):
         if b.label != "open":
             continue
@@ -203,7 +207,6 @@ def second_pass(page: list[Block]) -> None:
 
 
 def _nearest(places: list[int], i: int, labels: list[str], both: bool) -> str:
-    from bisect import bisect
     k = bisect(places, i)
     near = [p for p in places[max(0, k - 1):k + 1]]
     best = min(abs(p - i) for p in near)
