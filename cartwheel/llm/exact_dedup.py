@@ -19,9 +19,10 @@ from cartwheel.llm.common import saved, table
 from cartwheel.session import scratch_path
 
 TRIGGERS = 4            # micro-batches for what is there at the start
-_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
-_ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-_CHANGELOG = "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled"
+_STATE = "spark.sql.streaming.stateStore"
+_SETTINGS = {f"{_STATE}.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+             f"{_STATE}.rocksdb.changelogCheckpointing.enabled": "true",
+             f"{_STATE}.rocksdb.allowFAllocate": "false"}      # else each of many small stores takes megabytes ahead
 
 
 def normalised(text: str = "text") -> Column:
@@ -37,9 +38,9 @@ def _rank(text: str = "text") -> Column:
 
 @contextmanager
 def _disk_state(spark: SparkSession):
-    old = {k: spark.conf.get(k, None) for k in (_PROVIDER, _CHANGELOG)}
-    spark.conf.set(_PROVIDER, _ROCKSDB)
-    spark.conf.set(_CHANGELOG, "true")
+    old = {k: spark.conf.get(k, None) for k in _SETTINGS}
+    for k, v in _SETTINGS.items():
+        spark.conf.set(k, v)
     try:
         yield
     finally:
@@ -100,7 +101,6 @@ def exact_dedup(spark: SparkSession, path: str, checkpoint: str | None = None, t
     hits = saved(place, "dedup-hits")
     there = hits.where("found").select("digest", F.col("norm").alias("kept_norm"))
     other = saved(hits.where("NOT found").join(there, "digest").where("norm <> kept_norm").select("digest", "norm", "rank"), "dedup-collisions")
-    groups = state
     own = F.lit(None).cast("string")
     if not other.isEmpty():     # equal digests of different bytes: group by the bytes
         apart = other.groupBy("digest", "norm").agg(F.max("rank").alias("best"), F.count("*").alias("n"))
@@ -108,14 +108,14 @@ def exact_dedup(spark: SparkSession, path: str, checkpoint: str | None = None, t
         groups = (state.join(less, "digest", "left").select("digest", F.lit(None).cast("string").alias("norm"), "best",
                                                             (F.col("n") - F.coalesce("gone", F.lit(0))).alias("n"))
                   .unionByName(apart))
-        own = F.when(F.col("differs"), F.col("norm"))
-        rows = rows.join(other.select("digest", F.col("rank").alias("r"), F.lit(True).alias("differs")),
-                         (rows["digest"] == F.col("digest")) & (F.col("rank.file") == F.col("r.file")) & (F.col("rank.row") == F.col("r.row")), "left") \
-            .select(*columns, "doc_id", rows["digest"], "rank", "norm", "differs")
+        different = other.select(F.col("digest").alias("d2"), F.col("rank").alias("r2"))
+        rows = rows.join(different, (F.col("digest") == F.col("d2")) & (F.col("rank.file") == F.col("r2.file"))
+                         & (F.col("rank.row") == F.col("r2.row")), "left")
+        own = F.when(F.col("d2").isNotNull(), F.col("norm"))
     else:
         groups = state.withColumn("norm", F.lit(None).cast("string"))
     narrow = rows.select(*columns, "doc_id", "digest", "rank", own.alias("own"))
-    joined = narrow.join(groups.withColumnRenamed("digest", "d"), (F.col("digest") == F.col("d")) & F.col("own").eqNullSafe(F.col("norm")))
+    joined = narrow.join(groups.withColumnsRenamed({"digest": "d", "norm": "group"}), (F.col("digest") == F.col("d")) & F.col("own").eqNullSafe(F.col("group")))
     kept = (F.col("rank.file") == F.col("best.file")) & (F.col("rank.row") == F.col("best.row"))
     return joined.select(*columns, "doc_id", (-F.col("best.id")).alias("keep_id"), F.col("n").alias("group_size"), kept.alias("kept"),
                          F.col("digest").alias("text_sha256"))
