@@ -7,7 +7,7 @@ from decimal import Decimal
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from cartwheel.schemas import MONEY
+from cartwheel.schemas import AMOUNT, MONEY
 
 # Fixed value: purchase-time text format (UTC).
 PURCHASE_TS_FORMAT = "yyyy-MM-dd HH:mm:ss"
@@ -20,7 +20,7 @@ def money(c: Column | str) -> Column:
 
 def event_value(price: str = "price", freight: str = "freight_value") -> Column:
     """Order value: price + freight, a missing part counts as 0."""
-    zero = F.lit(Decimal("0.00")).cast(MONEY)
+    zero = F.lit(Decimal("0")).cast(AMOUNT)
     return F.coalesce(F.col(price), zero) + F.coalesce(F.col(freight), zero)
 
 
@@ -30,8 +30,13 @@ def parse_purchase_ts(c: Column) -> Column:
 
 
 def parse_amount(c: Column) -> Column:
-    """Trimmed decimal text; a bad or missing amount becomes 0 (not null)."""
-    return F.coalesce(F.trim(c).try_cast(MONEY), F.lit(Decimal("0.00")).cast(MONEY))
+    """Trimmed decimal text with all its digits; a bad or missing amount becomes 0 (not null)."""
+    return F.coalesce(F.trim(c).try_cast(AMOUNT), F.lit(Decimal("0")).cast(AMOUNT))
+
+
+def amount_text(c: Column) -> Column:
+    """An amount as plain text: two digits after the point, more only where they are not zero."""
+    return F.regexp_replace(c.cast("string"), "(\\.\\d{2}\\d*?)0+$", "$1")
 
 
 def blank_to_null(c: Column) -> Column:
@@ -39,8 +44,17 @@ def blank_to_null(c: Column) -> Column:
 
 
 def half_up_average(total: Column, count: Column, scale: int = 2) -> Column:
-    """total / count rounded HALF_UP at ``scale`` (decimal arithmetic, no doubles)."""
-    return F.round(total / count.cast("decimal(20,0)"), scale)
+    """total / count rounded HALF_UP at ``scale``, null for a count of 0.
+
+    A decimal quotient is itself rounded to some scale, so rounding it would round twice. Here the result
+    counts whole steps of ``scale``: (2 * |total| + count) div (2 * count) in units of the inputs, with the
+    remainder taken off first, so the division is exact."""
+    step = 10 ** (6 - scale)     # AMOUNT has six digits after the point
+    units = (total * F.lit(Decimal(1_000_000))).cast("decimal(38,0)")
+    per = count.cast("decimal(19,0)") * F.lit(Decimal(step))
+    doubled = F.abs(units) * F.lit(Decimal(2)) + per
+    whole = ((doubled - doubled % (per * F.lit(Decimal(2)))) / (per * F.lit(Decimal(2)))).cast("decimal(30,0)")
+    return F.when(count > 0, (F.signum(units).cast("decimal(1,0)") * whole / F.lit(Decimal(10 ** scale))).cast(f"decimal(38,{scale})"))
 
 
 def epoch_seconds(ts: Column) -> Column:

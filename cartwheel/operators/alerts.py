@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cartwheel.config import DEFAULT_PRICE_ANOMALY_THRESHOLD
-from cartwheel.schemas import ALERT_TABLE, EVENT_TIME, MONEY, PRICE_ANOMALY, PRICE_DESCRIPTION
+from cartwheel.functions.columns import amount_text
+from cartwheel.schemas import ALERT_TABLE, AMOUNT, EVENT_TIME, PRICE_ANOMALY, PRICE_DESCRIPTION
 
 ALERT_COLUMNS = [f.name for f in ALERT_TABLE.fields]
 
@@ -23,8 +24,9 @@ def price_anomaly_alerts(events: DataFrame, threshold: Decimal | str | int = DEF
             .where(F.col("price") > F.lit(t))
             .select(F.lit(PRICE_ANOMALY).alias("alert_type"),
                     F.col("seller_id").alias("entity_id"),
-                    F.format_string(PRICE_DESCRIPTION, F.col("price").cast("string"), F.lit(str(t))).alias("description"),
-                    F.col("price").cast(MONEY).alias("value"),
+                    F.concat(F.lit(PRICE_DESCRIPTION[0]), amount_text(F.col("price")),
+                             F.lit(PRICE_DESCRIPTION[1] + str(t))).alias("description"),
+                    F.col("price").cast(AMOUNT).alias("value"),
                     F.col(EVENT_TIME).alias("detected_at")))
 
 

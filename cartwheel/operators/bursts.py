@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from cartwheel.config import DEFAULT_BURST_SPAN, DEFAULT_SUSPICIOUS_ORDER_COUNT
 from cartwheel.functions.columns import span_microseconds, span_text
-from cartwheel.schemas import BURST_DESCRIPTION, EVENT_TIME, MONEY, SUSPICIOUS_FREQUENCY
+from cartwheel.schemas import AMOUNT, BURST_DESCRIPTION, EVENT_TIME, SUSPICIOUS_FREQUENCY
 
 BUCKET_SPANS = 8
 
@@ -88,6 +88,6 @@ def alerts_from_runs(runs: DataFrame, span: str = DEFAULT_BURST_SPAN) -> DataFra
     return runs.select(
         F.lit(SUSPICIOUS_FREQUENCY).alias("alert_type"),
         F.col("customer_id").alias("entity_id"),
-        F.format_string(BURST_DESCRIPTION, F.col("run_length"), F.lit(span_text(span))).alias("description"),
-        F.lit(None).cast(MONEY).alias("value"),
+        F.concat(F.col("run_length").cast("string"), F.lit(BURST_DESCRIPTION + span_text(span))).alias("description"),
+        F.lit(None).cast(AMOUNT).alias("value"),
         F.col(EVENT_TIME).alias("detected_at"))

@@ -6,7 +6,8 @@ values) and nearest-rank quantiles (``percentile_disc``); every statistic is 0 w
 
 The retained set is a top-k (``orderBy(window_start desc).limit(capacity)``): each task keeps at
 most ``capacity`` rows, so the final merge is bounded by tasks x capacity. The lifetime count is a
-separate distributed count; both single-row results are merged by a union + aggregate.
+separate distributed count over the same columns, so both read one exchange of the KPI aggregate;
+the two single-row results are merged by a union + aggregate.
 """
 
 from __future__ import annotations
@@ -36,7 +37,8 @@ def kpi_value_distribution(kpis: DataFrame, capacity: int = DEFAULT_HISTOGRAM_CA
         F.avg("v").alias("mean"),
         F.when(n >= 2, F.stddev_pop("v")).alias("stddev"),
         *[F.expr(f"percentile_disc({q}) WITHIN GROUP (ORDER BY v)").alias(quantile_name(q)) for q in quantiles])
-    lifetime = values.agg(F.count(F.lit(1)).alias("count"))
+    # counts through `v`, so that it needs the same columns as `retained`
+    lifetime = values.agg((F.count("v") + F.count_if(F.col("v").isNull())).alias("count"))
     merged = lifetime.unionByName(stats, allowMissingColumns=True)
     cols = ["count", "size", "min", "max", "mean", "stddev"] + [quantile_name(q) for q in quantiles]
     out = merged.agg(*[F.max(c).alias(c) for c in cols])

@@ -18,9 +18,10 @@ Scale notes
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+
 def dedup_products(products: DataFrame) -> DataFrame:
     """One row per product_id: the greatest non-empty category (null when none)."""
     return (products
@@ -58,3 +59,17 @@ def sort_by_purchase_time(events: DataFrame) -> DataFrame:
     """Global order by purchase time, ties by (order_id, product_id): range partitioned, so
     every task writes one contiguous time slice."""
     return events.orderBy("order_purchase_timestamp", "order_id", "product_id")
+
+
+def with_position(events: DataFrame, folder: str) -> DataFrame:
+    """``position`` (from 0) of each event in the order by purchase time, ties by (order_id, product_id, seller_id, price).
+
+    The range partitions are written to ``folder`` once, so their bounds are fixed; each then numbers its own
+    rows from the running sum of the partitions' counts (one row per partition)."""
+    order = ["order_purchase_timestamp", "order_id", "product_id", "seller_id", "price"]
+    (events.repartitionByRange(*order).withColumn("_part", F.spark_partition_id()).write.parquet(folder))
+    ranged = events.sparkSession.read.parquet(folder)
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = ranged.groupBy("_part").agg(F.count("*").alias("_n")).select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_first"))
+    inside = F.row_number().over(Window.partitionBy("_part").orderBy(*order))
+    return ranged.join(starts, "_part").withColumn("position", F.col("_first") + inside - 1).drop("_part", "_first")

@@ -12,15 +12,18 @@ from pyspark.sql import functions as F
 
 from cartwheel.config import DEFAULT_WINDOW
 from cartwheel.functions.columns import event_value, half_up_average
+from cartwheel.operators.validation import priced_events
 from cartwheel.schemas import EVENT_TIME
 
 
 def realtime_kpis(events: DataFrame, window: str = DEFAULT_WINDOW) -> DataFrame:
     """average_order_value (HALF_UP, 2 decimals), orders_per_minute, total_orders, total_revenue,
     window_start, window_end over priced events (P2). Windows without priced events produce no
-    row (A5). Like the revenue aggregate, the price test is inside the aggregate so that a
-    stream's watermark still sees every event."""
+    row (A5). As in the revenue aggregate, a stream tests the price inside the aggregate, so that
+    its watermark still sees every event; a batch filters first."""
     priced = F.col("price").isNotNull()
+    if not events.isStreaming:
+        events = priced_events(events)
     agg = (events.groupBy(F.window(EVENT_TIME, window).alias("w"))
                  .agg(F.count_if(priced).alias("total_orders"),
                       F.sum(F.when(priced, event_value())).alias("total_revenue"))

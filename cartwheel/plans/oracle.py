@@ -177,25 +177,68 @@ SELECT CASE WHEN product_category IS NULL THEN 'malformed' ELSE 'valid' END AS o
 FROM feed GROUP BY 1""")
 
 
-# Stream replays: one micro-batch of all rows, then a no-data batch at the final watermark
-# (max event time in ms - 10 s). Windows closed by it are emitted, bursts ending at or below it.
-WATERMARK_US = "(SELECT (epoch_us(max(ts)) // 1000 - 10000) * 1000 FROM events)"
+def with_text(sql: str, column: str) -> str:
+    """The query's rows with one amount as text of two decimals as well."""
+    return f"SELECT *, CAST(CAST({column} AS DECIMAL(12,2)) AS VARCHAR) AS {column}_text FROM ({sql}) q"
 
 
-def revenue_replay(feed: str) -> str:
-    return f"SELECT * FROM ({revenue(feed, 'minute')}) WHERE epoch_us(window_end) <= {WATERMARK_US}"
+def wide_price_alerts(feed: str) -> str:
+    """Alerts of prices changed as in the query: kept with all their digits, unless the message is dropped."""
+    return with_feed(feed, """
+, wide AS (
+  SELECT *, CAST(order_id AS BIGINT) AS n,
+         CAST(price AS DECIMAL(27,6)) + CASE WHEN CAST(order_id AS BIGINT) % 3 = 0 THEN 0.004 ELSE 0 END
+         + CASE WHEN CAST(order_id AS BIGINT) % 5 = 0 THEN 12345678900 ELSE 0 END AS p
+  FROM feed)
+SELECT 'PRICE_ANOMALY' AS alert_type, seller_id AS entity_id,
+       'Order price ' || CAST(CAST(floor(p * 100) AS BIGINT) // 100 AS VARCHAR) || '.'
+       || lpad(CAST(CAST(floor(p * 100) AS BIGINT) % 100 AS VARCHAR), 2, '0') || CASE WHEN n % 3 = 0 THEN '4' ELSE '' END
+       || ' exceeds threshold 400' AS description,
+       CAST(p AS DOUBLE) AS value, date_trunc('second', order_purchase_timestamp) AS detected_at,
+       CAST(CAST(p AS DECIMAL(27,6)) AS VARCHAR) AS value_text
+FROM wide WHERE p > 400 AND n % 7 <> 0""")
+
+
+def csv_rows(feed: str) -> str:
+    return with_feed(feed, f"""
+, changed AS (
+  SELECT * REPLACE (CASE WHEN CAST(product_id AS BIGINT) % 13 = 0 THEN 0 ELSE price END AS price,
+                    product_category || ', "new"' || chr(10) || 'line' AS product_category)
+  FROM feed WHERE CAST(order_id AS BIGINT) % 11 <> 0)
+SELECT {EVENT_COLUMNS} FROM changed""")
 
 
-def kpi_replay(feed: str) -> str:
-    return f"SELECT * FROM ({kpis(feed, 'minute', 1.0)}) WHERE epoch_us(window_end) <= {WATERMARK_US}"
+def positions(feed: str) -> str:
+    return with_feed(feed, f"""
+SELECT {EVENT_COLUMNS}, row_number() OVER (ORDER BY order_purchase_timestamp NULLS FIRST, order_id NULLS FIRST,
+       product_id NULLS FIRST, seller_id NULLS FIRST, price NULLS FIRST) - 1 AS position FROM feed""")
 
 
-def alerts_replay(feed: str, min_count: int, span_sql: str, span_words: str, threshold: str) -> str:
-    bursts = (with_feed(feed, "").rstrip() + burst_alerts_body(min_count, span_sql, span_words))
-    prices = with_feed(feed, price_alerts_body(threshold))
-    return (f"SELECT * FROM ({bursts}) WHERE epoch_us(detected_at) <= "
-            f"(SELECT (epoch_us(max(ts)) // 1000 - 10000) * 1000 FROM events)\n"
-            f"UNION ALL SELECT * FROM ({prices})")
+def late_revenue(feed: str) -> str:
+    """Even events, and the odd ones in windows that were still open when they came: the watermark then was
+    the largest even event time (in ms) less 10 s."""
+    return with_feed(feed, """
+, mark AS (SELECT (epoch_us(max(order_purchase_timestamp)) // 1000 - 10000) * 1000 AS us FROM feed WHERE CAST(order_id AS BIGINT) % 2 = 0),
+seen AS (
+  SELECT * FROM feed WHERE CAST(order_id AS BIGINT) % 2 = 0
+  OR epoch_us(date_trunc('minute', order_purchase_timestamp) + INTERVAL 1 MINUTE) > (SELECT us FROM mark))
+SELECT product_category, CAST(sum(coalesce(price, 0) + coalesce(freight_value, 0)) AS DOUBLE) AS total_revenue,
+       count(*) AS order_count, date_trunc('minute', order_purchase_timestamp) AS window_start,
+       date_trunc('minute', order_purchase_timestamp) + INTERVAL 1 MINUTE AS window_end
+FROM seen WHERE product_category IS NOT NULL AND price IS NOT NULL
+GROUP BY product_category, date_trunc('minute', order_purchase_timestamp)""")
+
+
+def record_counts(feed: str) -> str:
+    """Records in (the events and the end marker) and out (windows) of the revenue and KPI replays."""
+    return with_feed(feed, """
+, n AS (SELECT CAST(count(*) + 1 AS DOUBLE) AS n FROM feed)
+SELECT 'revenue' AS query, 'numInputRows' AS name, n AS value FROM n
+UNION ALL SELECT 'kpi', 'numInputRows', n FROM n
+UNION ALL SELECT 'revenue', 'recordsOut', CAST(count(DISTINCT (product_category, date_trunc('minute', order_purchase_timestamp))) AS DOUBLE)
+  FROM feed WHERE product_category IS NOT NULL AND price IS NOT NULL
+UNION ALL SELECT 'kpi', 'recordsOut', CAST(count(DISTINCT date_trunc('minute', order_purchase_timestamp)) AS DOUBLE)
+  FROM feed WHERE price IS NOT NULL""")
 
 
 def quarantine_rows(feed: str) -> str:
@@ -205,16 +248,14 @@ def quarantine_rows(feed: str) -> str:
                            "WHEN product_category IS NULL THEN 'no category' ELSE 'no price' END AS quarantined_reason")
 
 
-def kpi_distribution(feed: str, capacity: int, quantiles: tuple[float, ...], names: list[str],
-                     closed_only: bool = False) -> str:
+def kpi_distribution(feed: str, capacity: int, quantiles: tuple[float, ...], names: list[str]) -> str:
     qs = ",\n       ".join(f"coalesce(CAST(quantile_disc(v, {q}) AS DOUBLE), 0) AS {n}" for q, n in zip(quantiles, names))
     return with_feed(feed, f"""
 , k AS (
   SELECT date_trunc('minute', order_purchase_timestamp) AS ws, count(*) AS n,
          CAST(sum((coalesce(price, 0) + coalesce(freight_value, 0)) * 100) AS HUGEINT) AS cents
   FROM feed WHERE price IS NOT NULL GROUP BY 1),
-vals AS (SELECT ws, CAST((((2 * cents + n) // (2 * n)) + 50) // 100 AS BIGINT) AS v FROM k
-         {"WHERE epoch_us(ws + INTERVAL 1 MINUTE) <= " + WATERMARK_US if closed_only else ""}),
+vals AS (SELECT ws, CAST((((2 * cents + n) // (2 * n)) + 50) // 100 AS BIGINT) AS v FROM k),
 kept AS (SELECT v FROM vals ORDER BY ws DESC LIMIT {capacity})
 SELECT (SELECT count(*) FROM vals) AS count,
        count(v) AS size,
@@ -226,12 +267,11 @@ FROM kept""")
 
 
 def stream_metrics(feed: str) -> str:
-    """Counter totals of the metric replays, from the tables: closed windows of the revenue and
-    KPI replays, the order count of the last closed KPI window, and for the alert replay from
-    JSON messages (events of type 'error' are malformed; decoded times are whole seconds, and
-    the watermark follows decoded events only): price alerts, burst alerts behind the final
-    watermark, and decoding errors."""
-    return with_feed(feed, f"""
+    """Counter totals of the metric replays, from the tables: windows of the revenue and KPI
+    replays, the order count of the last KPI window, and for the alert replay from JSON messages
+    (events of type 'error' are malformed; decoded times are whole seconds): price alerts, burst
+    alerts and decoding errors."""
+    return with_feed(feed, """
 , rev AS (
   SELECT date_trunc('minute', order_purchase_timestamp) + INTERVAL 1 MINUTE AS we
   FROM feed GROUP BY product_category, date_trunc('minute', order_purchase_timestamp)
@@ -239,11 +279,9 @@ def stream_metrics(feed: str) -> str:
 kpi AS (
   SELECT date_trunc('minute', order_purchase_timestamp) AS ws, count(*) FILTER (WHERE price IS NOT NULL) AS n
   FROM feed GROUP BY 1 HAVING count(*) FILTER (WHERE price IS NOT NULL) > 0),
-closed_kpi AS (SELECT * FROM kpi WHERE epoch_us(ws + INTERVAL 1 MINUTE) <= {WATERMARK_US}),
 decoded AS (
   SELECT customer_id, date_trunc('second', order_purchase_timestamp) AS ts, order_id, product_id, price
   FROM feed WHERE product_category IS NOT NULL),
-dwm AS (SELECT (epoch_us(max(ts)) // 1000 - 10000) * 1000 AS us FROM decoded),
 ranked AS (
   SELECT customer_id, ts, row_number() OVER (PARTITION BY customer_id ORDER BY ts, order_id, product_id) AS rn
   FROM decoded),
@@ -252,12 +290,12 @@ ends AS (
   FROM ranked e JOIN ranked f ON f.customer_id = e.customer_id AND f.rn <= e.rn AND f.ts > e.ts - INTERVAL 1 DAY
   GROUP BY e.customer_id, e.ts, e.rn HAVING count(*) >= 3)
 SELECT 'revenue' AS query, 'windowsEmitted' AS name,
-       CAST((SELECT count(*) FROM rev WHERE epoch_us(we) <= {WATERMARK_US}) AS DOUBLE) AS value
-UNION ALL SELECT 'kpi', 'kpiWindowsEmitted', CAST((SELECT count(*) FROM closed_kpi) AS DOUBLE)
-UNION ALL SELECT 'kpi', 'lastWindowOrderCount', CAST((SELECT max_by(n, ws) FROM closed_kpi) AS DOUBLE)
+       CAST((SELECT count(*) FROM rev) AS DOUBLE) AS value
+UNION ALL SELECT 'kpi', 'kpiWindowsEmitted', CAST((SELECT count(*) FROM kpi) AS DOUBLE)
+UNION ALL SELECT 'kpi', 'lastWindowOrderCount', CAST((SELECT max_by(n, ws) FROM kpi) AS DOUBLE)
 UNION ALL SELECT 'alerts', 'priceAnomalyAlertsEmitted', CAST((SELECT count(*) FROM decoded WHERE price > 400) AS DOUBLE)
 UNION ALL SELECT 'alerts', 'suspiciousFrequencyAlertsEmitted',
-       CAST((SELECT coalesce(sum(k - 2), 0) FROM ends WHERE epoch_us(ts) <= (SELECT us FROM dwm)) AS DOUBLE)
+       CAST((SELECT coalesce(sum(k - 2), 0) FROM ends) AS DOUBLE)
 UNION ALL SELECT 'alerts', 'deserializationErrors', CAST((SELECT count(*) FROM feed WHERE product_category IS NULL) AS DOUBLE)""")
 
 

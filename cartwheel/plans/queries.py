@@ -8,6 +8,7 @@ passed through ``for_oracle`` so that it compares one-to-one with its DuckDB for
 from __future__ import annotations
 
 from collections.abc import Callable
+from decimal import Decimal
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -226,28 +227,82 @@ def _all_alerts_json_event(spark, sf):
 
 # --- tables (K5-K9) and CSV sources (S3-S5, P7, P8, O1) -------------------------------------------
 
-@register("revenue_table_rows", oracle.revenue_table_rows("event"))
+@register("revenue_table_rows", oracle.with_text(oracle.revenue_table_rows("event"), "total_revenue"))
 def _revenue_table_rows(spark, sf):
-    """K9: revenue rows coerced to the table schema, with the partition date."""
+    """K9: revenue rows coerced to the table schema, with the partition date (and one amount as text, scale and all)."""
     from cartwheel.sinks.tables import to_revenue_rows
-    return to_revenue_rows(revenue_by_category(event_feed(spark, sf)))
+    rows = to_revenue_rows(revenue_by_category(event_feed(spark, sf)))
+    return rows.withColumn("total_revenue_text", F.col("total_revenue").cast("string"))
+
+
+def _table_roundtrip(spark, append, result, table: int) -> DataFrame:
+    """Create the result tables in the checkpoint folder, append, read back through the catalog; the tables go again."""
+    from cartwheel.session import scratch_path
+    from cartwheel.sinks.tables import create_result_tables
+    location = scratch_path(spark, "tables")
+    db = "run_" + location.rsplit("-", 1)[1]
+    names = create_result_tables(spark, db, "parquet", location)
+    append(result, names[table])
+    back = scratch_path(spark, "table-rows")
+    spark.table(names[table]).write.parquet(back)
+    spark.sql(f"DROP DATABASE {db} CASCADE")
+    return spark.read.parquet(back)
 
 
 @register("revenue_table_roundtrip", oracle.revenue_table_rows("event", "minute"))
 def _revenue_table_roundtrip(spark, sf):
-    """K5/K8: create the result tables in the checkpoint folder, append the 1-minute revenue
-    (partitioned by day), read it back through the catalog."""
+    """K5/K8: the 1-minute revenue in its table (partitioned by day)."""
+    from cartwheel.sinks.tables import append_revenue
+    return _table_roundtrip(spark, append_revenue, revenue_by_category(event_feed(spark, sf)), 0)
+
+
+@register("kpi_table_roundtrip", oracle.with_text(oracle.kpis("event", "minute", 1.0), "average_order_value"))
+def _kpi_table_roundtrip(spark, sf):
+    """K6: the 1-minute KPIs in their table."""
+    from cartwheel.sinks.tables import append_kpis
+    rows = _table_roundtrip(spark, append_kpis, realtime_kpis(event_feed(spark, sf)), 1)
+    return rows.withColumn("average_order_value_text", F.col("average_order_value").cast("string"))
+
+
+@register("alert_table_roundtrip", oracle.with_text(oracle.with_feed("item", oracle.price_alerts_body("90000")), "value"))
+def _alert_table_roundtrip(spark, sf):
+    """K7: price alerts in their table."""
+    from cartwheel.sinks.tables import append_alerts
+    rows = _table_roundtrip(spark, append_alerts, price_anomaly_alerts(item_feed(spark, sf), "90000"), 2)
+    return rows.withColumn("value_text", F.col("value").cast("string"))
+
+
+@register("price_alerts_from_wide_json", oracle.wide_price_alerts("event"))
+def _price_alerts_from_wide_json(spark, sf):
+    """Amounts with more digits than money has, from JSON messages. Every third message has 4 thousandths
+    added to the price, every fifth 12,345,678,900; a message whose order id is an object is dropped, an empty
+    freight is null."""
+    from cartwheel.sources.messages import decode_order_messages, encode_order_events
+    feed = event_feed(spark, sf)
+    n = F.col("order_id").cast("long")
+    extra = F.when(n % 3 == 0, F.lit(Decimal("0.004"))).otherwise(F.lit(Decimal("0"))) + \
+        F.when(n % 5 == 0, F.lit(Decimal("12345678900"))).otherwise(F.lit(Decimal("0")))
+    messages = encode_order_events(feed.withColumn("price", (F.col("price") + extra).cast("decimal(27,6)")))
+    value = F.when(n % 7 == 0, F.regexp_replace("value", '"order_id":"[^"]*"', '"order_id":{}')).otherwise(
+        F.regexp_replace("value", '"freight_value":[^,]*', '"freight_value":""'))
+    decoded = decode_order_messages(messages.select(F.col("key").alias("order_id"), "value").select(value.alias("value")))
+    alerts = price_anomaly_alerts(decoded, "400")
+    return alerts.withColumn("value_text", F.col("value").cast("string"))
+
+
+@register("order_events_by_time", oracle.positions("item"))
+def _order_events_by_time(spark, sf):
+    """O1: every order event with its position in the order by purchase time."""
+    from cartwheel.operators.enrichment import with_position
     from cartwheel.session import scratch_path
-    from cartwheel.sinks.tables import append_revenue, create_result_tables
-    db = "olist_" + scratch_path(spark, "t").rsplit("-", 1)[1]
-    names = create_result_tables(spark, db, "parquet", scratch_path(spark, "tables"))
-    append_revenue(revenue_by_category(event_feed(spark, sf)), names[0])
-    return spark.table(names[0])
+    return with_position(item_feed(spark, sf), scratch_path(spark, "by-time"))
 
 
-@register("order_events_from_csv", oracle.feed_rows("item"))
+@register("order_events_from_csv", oracle.csv_rows("item"))
 def _order_events_from_csv(spark, sf):
-    """The driver tables written as the three CSV files, then enriched from CSV (sorted)."""
+    """The driver tables written as three CSV files, then enriched from CSV (sorted). The files
+    have quoted values with commas, quotes and line breaks, two column orders, unparsable times (every 11th order, which
+    is skipped) and amounts (every 13th part: the price becomes 0)."""
     from cartwheel.session import scratch_path
     from cartwheel.sources.csv import enriched_events_from_csv
     from cartwheel.sources.tables import read_table
@@ -255,61 +310,119 @@ def _order_events_from_csv(spark, sf):
     orders = read_table(spark, sf, "orders").select(
         F.col("o_orderkey").cast("string").alias("order_id"), F.col("o_custkey").cast("string").alias("customer_id"),
         F.col("o_orderstatus").alias("order_status"),
-        F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss").alias("order_purchase_timestamp"),
-        F.col("o_orderpriority").alias("order_priority"))
+        F.when(F.col("o_orderkey") % 11 == 0, F.lit("not, a time")).otherwise(
+            F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss")).alias("order_purchase_timestamp"),
+        F.concat(F.lit('said "'), "o_orderpriority", F.lit('",\nand left')).alias("note"))
     items = read_table(spark, sf, "lineitem").select(
         F.col("l_orderkey").cast("string").alias("order_id"), F.col("l_linenumber").alias("order_item_id"),
         F.col("l_partkey").cast("string").alias("product_id"), F.col("l_suppkey").cast("string").alias("seller_id"),
-        F.col("l_extendedprice").cast("decimal(12,2)").cast("string").alias("price"),
+        F.when(F.col("l_partkey") % 13 == 0, F.lit("1,2 \"?")).otherwise(
+            F.col("l_extendedprice").cast("decimal(12,2)").cast("string")).alias("price"),
         F.col("l_quantity").cast("decimal(12,2)").cast("string").alias("freight_value"))
     products = read_table(spark, sf, "part").select(
-        F.col("p_partkey").cast("string").alias("product_id"), F.col("p_type").alias("product_category_name"),
-        F.col("p_size").alias("product_weight_g"))
+        F.col("p_partkey").cast("string").alias("product_id"),
+        F.concat(F.col("p_type"), F.lit(', "new"\nline')).alias("product_category_name"), F.col("p_size").alias("product_weight_g"))
     for df, name in [(orders, "olist_orders_dataset.csv"), (items, "olist_order_items_dataset.csv"),
                      (products, "olist_products_dataset.csv")]:
-        df.write.option("header", "true").csv(f"{d}/{name}")
+        for k, columns in enumerate((df.columns, df.columns[::-1])):     # half the rows in another column order
+            half = df.where(F.pmod(F.xxhash64(df.columns[0]), F.lit(2)) == k).select(columns)
+            half.write.mode("append").option("header", "true").option("escape", '"').csv(f"{d}/{name}")
     return enriched_events_from_csv(spark, d, sort=True)
 
 
 # --- streams (T1, T3, T4, T5, W3 stream, K10, M1-M7) ----------------------------------------------
 
-def _replay(spark: SparkSession, sf: str, build, record: str, name: str, progress: list | None = None,
-            json_dir: str | None = None) -> DataFrame:
-    """Replay ``events.parquet`` (or JSON order messages in ``json_dir``) as a stream through
-    ``build`` into a Parquet sink (availableNow), then read the sink back."""
+def _run_to_end(q) -> None:
+    q.awaitTermination()
+    if q.exception():
+        raise q.exception()
+
+
+def _replay(spark: SparkSession, sf: str, build, record: str, name: str, spans: tuple[str, ...] = (),
+            log=None, json_dir: str | None = None) -> DataFrame:
+    """Replay the events table (or JSON order messages in ``json_dir``) as a stream through ``build`` into a
+    Parquet sink (availableNow), then read the sink back. With ``spans`` the input is ended, so nothing stays open: it
+    is one micro-batch, and the end marker may come with it."""
     from cartwheel.session import scratch_path
+    from cartwheel.sources.messages import decode_order_messages
+    from cartwheel.streaming.bounded import with_end, write_end
     from cartwheel.streaming.jobs import Sink, start
     from cartwheel.streaming.sources import order_stream_from_files, order_stream_from_json_files
     out, ckpt = scratch_path(spark, f"{name}-out"), scratch_path(spark, f"{name}-ckpt")
-    source = (order_stream_from_json_files(spark, json_dir) if json_dir
-              else order_stream_from_files(spark, sf, "events.parquet"))
+    source = order_stream_from_json_files(spark, json_dir) if json_dir else order_stream_from_files(spark, f"{sf}/events.parquet")
+    if spans:
+        end = scratch_path(spark, f"{name}-end")
+        write_end(decode_order_messages(spark.read.text(json_dir)) if json_dir else event_feed(spark, sf), end, *spans)
+        source = with_end(source, end)
     result = build(source)
     q = start(result, record, Sink("parquet", out, ckpt, {"availableNow": True}), f"{name}_{out[-12:]}")
-    q.awaitTermination()
-    if q.exception():
-        raise q.exception()
-    if progress is not None:
-        progress.extend(q.recentProgress)
+    _run_to_end(q)
+    if log is not None:
+        log.wait_for(q)
+        log.rows[name] = [(name, *r[1:]) for r in log.rows.pop(q.name, [])]
     return spark.read.schema(result.schema).parquet(out)
 
 
-@register("revenue_stream_replay", oracle.revenue_replay("event"))
+def _replay_in_parts(spark: SparkSession, sf: str, build, record: str, name: str, parts: list, spans: tuple[str, ...]) -> DataFrame:
+    """Replay the events in parts (conditions on the events table). Each part arrives in the source folder after the query
+    has stopped, and the query goes on from its checkpoint; the end comes last."""
+    from cartwheel.session import scratch_path
+    from cartwheel.sources.tables import read_table
+    from cartwheel.streaming.bounded import with_end, write_end
+    from cartwheel.streaming.jobs import Sink, start
+    from cartwheel.streaming.sources import order_stream_from_files
+    folder, end, out, ckpt = (scratch_path(spark, f"{name}-{k}") for k in ("in", "end", "out", "ckpt"))
+    for part in [*parts, None]:
+        if part is None:
+            write_end(event_feed(spark, sf), end, *spans)
+        else:
+            read_table(spark, sf, "events").where(part).write.mode("append").parquet(folder)
+        result = build(with_end(order_stream_from_files(spark, folder), end))
+        _run_to_end(start(result, record, Sink("parquet", out, ckpt, {"availableNow": True}), f"{name}_{out[-12:]}"))
+    return spark.read.schema(result.schema).parquet(out)
+
+
+MINUTE_SPANS = ("1 minute", "10 seconds")
+DAY_SPANS = ("1 day", "10 seconds")
+
+
+@register("revenue_stream_replay", oracle.revenue("event", "minute"))
 def _revenue_stream_replay(spark, sf):
     from cartwheel.streaming.jobs import revenue_stream
-    return _replay(spark, sf, revenue_stream, "revenue", "revenue_replay")
+    return _replay(spark, sf, revenue_stream, "revenue", "revenue_replay", MINUTE_SPANS)
 
 
-@register("kpi_stream_replay", oracle.kpi_replay("event"))
+@register("kpi_stream_replay", oracle.kpis("event", "minute", 1.0))
 def _kpi_stream_replay(spark, sf):
     from cartwheel.streaming.jobs import kpi_stream
-    return _replay(spark, sf, kpi_stream, "kpi", "kpi_replay")
+    return _replay(spark, sf, kpi_stream, "kpi", "kpi_replay", MINUTE_SPANS)
 
 
-@register("alerts_stream_replay", oracle.alerts_replay("event", 3, "1 DAY", "1440 minutes", "400"))
+@register("alerts_stream_replay", ORACLE["all_alerts_event"])
 def _alerts_stream_replay(spark, sf):
     """W3 as a stateful stream (1-day span) united with price alerts (threshold 400)."""
     from cartwheel.streaming.jobs import alert_stream
-    return _replay(spark, sf, lambda s: alert_stream(s, 3, "1 day", "400"), "alert", "alerts_replay")
+    return _replay(spark, sf, lambda s: alert_stream(s, 3, "1 day", "400"), "alert", "alerts_replay", DAY_SPANS)
+
+
+@register("revenue_stream_late_part", oracle.late_revenue("event"))
+def _revenue_stream_late_part(spark, sf):
+    """Events with an odd id arrive when the watermark has passed almost all of their windows."""
+    from cartwheel.streaming.jobs import revenue_stream
+    return _replay_in_parts(spark, sf, revenue_stream, "revenue", "revenue_late", ["event_id % 2 = 0", "event_id % 2 = 1"], MINUTE_SPANS)
+
+
+@register("kpi_stream_restart", oracle.kpis("event", "minute", 1.0))
+def _kpi_stream_restart(spark, sf):
+    """T5: the query stops in the middle of the events and goes on from its checkpoint."""
+    from cartwheel.sources.tables import read_table
+    from cartwheel.streaming.jobs import kpi_stream
+    first, last = read_table(spark, sf, "events").agg(F.unix_micros(F.min("ts").cast("timestamp")), F.unix_micros(F.max("ts").cast("timestamp"))).first()
+    if first is None:
+        return realtime_kpis(event_feed(spark, sf))
+    middle = F.timestamp_micros(F.lit((first + last) // 2))
+    early = F.col("ts").cast("timestamp") < middle
+    return _replay_in_parts(spark, sf, kpi_stream, "kpi", "kpi_restart", [early, ~early], MINUTE_SPANS)
 
 
 @register("quarantine_stream_replay", oracle.quarantine_rows("event"))
@@ -318,31 +431,26 @@ def _quarantine_stream_replay(spark, sf):
     return _replay(spark, sf, quarantine_stream, "quarantine", "quarantine_replay")
 
 
-_METRIC_ROWS: dict[tuple[str, str], list[tuple]] = {}
-
-
-def _metric_replays(spark, sf) -> DataFrame:
+def _metric_replays(spark, sf, jobs: tuple[str, ...] = ("revenue", "kpi", "alerts")) -> DataFrame:
     """Revenue and KPI replays of the events table, and an alert replay from JSON messages
-    (with bad messages, so the decoder counts errors); their progress reports as metric rows.
-
-    ``stream_metrics`` and ``stream_rates`` are two views of the same progress reports, so the
-    replays run once per application and tables folder (the rows are small driver metadata)."""
+    (with bad messages, so the decoder counts errors); their progress reports as metric rows."""
     from cartwheel.session import scratch_path
     from cartwheel.streaming.jobs import alert_stream, kpi_stream, revenue_stream
-    from cartwheel.streaming.metrics import metrics_frame, progress_rows
-    memo = (spark.sparkContext.applicationId, sf.rstrip("/"))
-    if memo in _METRIC_ROWS:
-        return metrics_frame(spark, _METRIC_ROWS[memo])
-    msgs = scratch_path(spark, "messages")
-    order_messages(spark, sf).select("value").write.text(msgs)
-    rows = []
-    for name, build, record, src in [("revenue", revenue_stream, "revenue", None), ("kpi", kpi_stream, "kpi", None),
-                                     ("alerts", lambda s: alert_stream(s, 3, "1 day", "400"), "alert", msgs)]:
-        progress: list = []
-        _replay(spark, sf, build, record, f"{name}_metrics", progress, json_dir=src)
-        rows.extend(progress_rows(name, progress))
-    _METRIC_ROWS[memo] = rows
-    return metrics_frame(spark, rows)
+    from cartwheel.streaming.metrics import MetricsLog, metrics_frame
+    log = MetricsLog(spark)
+    spark.streams.addListener(log)
+    try:
+        if "revenue" in jobs:
+            _replay(spark, sf, revenue_stream, "revenue", "revenue", MINUTE_SPANS, log)
+        if "kpi" in jobs:
+            _replay(spark, sf, kpi_stream, "kpi", "kpi", MINUTE_SPANS, log)
+        if "alerts" in jobs:
+            msgs = scratch_path(spark, "messages")
+            order_messages(spark, sf).select("value").write.text(msgs)
+            _replay(spark, sf, lambda s: alert_stream(s, 3, "1 day", "400"), "alert", "alerts", DAY_SPANS, log, msgs)
+    finally:
+        spark.streams.removeListener(log)
+    return metrics_frame(spark, [r for j in jobs for r in log.rows.get(j, [])])
 
 
 @register("stream_metrics", oracle.stream_metrics("event"))
@@ -352,19 +460,18 @@ def _stream_metrics(spark, sf):
     return counters(_metric_replays(spark, sf))
 
 
-@register("stream_rates")
+@register("stream_rates", oracle.record_counts("event"))
 def _stream_rates(spark, sf):
-    """M7: input rows and rates per micro-batch (timing dependent, no oracle)."""
-    from cartwheel.streaming.metrics import rates
-    return rates(_metric_replays(spark, sf))
+    """M7: records in and out (the rates per second of the same reports depend on the clock)."""
+    from cartwheel.streaming.metrics import record_counts
+    return record_counts(_metric_replays(spark, sf, ("revenue", "kpi")))
 
 
 # --- distribution (A6, M4) --------------------------------------------------------------------------
 
-def _distribution_sql(closed_only: bool = False) -> str:
+def _distribution_sql() -> str:
     from cartwheel.operators.distribution import DEFAULT_QUANTILES, quantile_name
-    return oracle.kpi_distribution("event", 1000, DEFAULT_QUANTILES, [quantile_name(q) for q in DEFAULT_QUANTILES],
-                                   closed_only)
+    return oracle.kpi_distribution("event", 1000, DEFAULT_QUANTILES, [quantile_name(q) for q in DEFAULT_QUANTILES])
 
 
 @register("kpi_value_distribution", _distribution_sql())
@@ -375,11 +482,11 @@ def _kpi_value_distribution(spark, sf):
     return d.withColumn("mean", F.round("mean", 6)).withColumn("stddev", F.round("stddev", 6))
 
 
-@register("kpi_value_distribution_stream", _distribution_sql(closed_only=True))
+@register("kpi_value_distribution_stream", _distribution_sql())
 def _kpi_value_distribution_stream(spark, sf):
     """M4: the distribution over the windows a KPI stream replay emitted."""
     from cartwheel.operators.distribution import kpi_value_distribution
     from cartwheel.streaming.jobs import kpi_stream
-    emitted = _replay(spark, sf, kpi_stream, "kpi", "kpi_dist_replay")
+    emitted = _replay(spark, sf, kpi_stream, "kpi", "kpi_dist_replay", MINUTE_SPANS)
     d = kpi_value_distribution(emitted, 1000)
     return d.withColumn("mean", F.round("mean", 6)).withColumn("stddev", F.round("stddev", 6))

@@ -2,7 +2,10 @@
 
 from pyspark.sql import types as T
 
+# Result tables hold money; inputs keep every digit they come with (27 digits, 6 after the point,
+# which leaves 11 digits for sums).
 MONEY = T.DecimalType(12, 2)
+AMOUNT = T.DecimalType(27, 6)
 
 # Order event, one per order item (JSON field names).
 ORDER_EVENT = T.StructType([
@@ -13,8 +16,8 @@ ORDER_EVENT = T.StructType([
     T.StructField("product_id", T.StringType()),
     T.StructField("seller_id", T.StringType()),
     T.StructField("product_category", T.StringType()),
-    T.StructField("price", MONEY),
-    T.StructField("freight_value", MONEY),
+    T.StructField("price", AMOUNT),
+    T.StructField("freight_value", AMOUNT),
 ])
 ORDER_EVENT_COLUMNS = [f.name for f in ORDER_EVENT.fields]
 EVENT_TIME = "order_purchase_timestamp"
@@ -43,8 +46,8 @@ ALERT_TABLE = T.StructType([
     T.StructField("detected_at", T.TimestampType()),
 ])
 
-# Alert type names and description formats (printf style).
+# Alert type names and the parts of the descriptions.
 SUSPICIOUS_FREQUENCY = "SUSPICIOUS_FREQUENCY"
 PRICE_ANOMALY = "PRICE_ANOMALY"
-PRICE_DESCRIPTION = "Order price %s exceeds threshold %s"
-BURST_DESCRIPTION = "%d orders in less than %s"
+PRICE_DESCRIPTION = ("Order price ", " exceeds threshold ")
+BURST_DESCRIPTION = " orders in less than "

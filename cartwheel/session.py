@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -54,13 +53,17 @@ def cluster_settings(input_bytes: int, executors: int, cores_per_executor: int,
     }
 
 
-def build_session(master: str = "local[*]", app: str = "cartwheel", shuffle_partitions: int = 8,
+def build_session(master: str | None = None, app: str = "cartwheel", shuffle_partitions: int | None = None,
                   extra: dict[str, str] | None = None) -> SparkSession:
-    """Session for local runs and tests; a cluster passes its own settings through ``extra``."""
-    b = (SparkSession.builder.master(master).appName(app)
+    """A session with the library's defaults. The master and the number of shuffle partitions come
+    from the submit (or Spark's defaults) unless they are given here, as local runs and tests do."""
+    b = (SparkSession.builder.appName(app)
          .config("spark.ui.enabled", "false")
-         .config("spark.ui.showConsoleProgress", "false")
-         .config("spark.sql.shuffle.partitions", str(shuffle_partitions)))
+         .config("spark.ui.showConsoleProgress", "false"))
+    if master:
+        b = b.master(master)
+    if shuffle_partitions:
+        b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     for k, v in {**SESSION_DEFAULTS, **(extra or {})}.items():
         b = b.config(k, v)
     spark = b.getOrCreate()
@@ -95,10 +98,22 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{root}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def local_path(path: str) -> str:
-    return path[len("file:"):] if path.startswith("file:") else path
+def is_folder(spark: SparkSession, path: str) -> bool:
+    """Whether a path of any file system Spark knows is a folder; an error if it does not exist."""
+    location = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    system = location.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not system.exists(location):
+        raise FileNotFoundError(path)
+    return system.getFileStatus(location).isDirectory()
 
 
-def path_exists(path: str) -> bool:
-    return os.path.exists(local_path(path))
+def exists(spark: SparkSession, path: str) -> bool:
+    location = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return location.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(location)
+
+
+def make_folder(spark: SparkSession, path: str) -> str:
+    location = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    location.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(location)
+    return path
 

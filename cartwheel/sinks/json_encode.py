@@ -1,7 +1,7 @@
 """K4: result records as JSON messages.
 
 Field names are the record properties in camelCase and declaration order, nulls are written,
-decimals keep their scale, instants are decimal epoch seconds with nine fraction digits
+decimals have two digits (HALF_UP), instants are decimal epoch seconds with nine fraction digits
 (``1704067200.000000000``). Output columns: key (nullable), value (JSON text).
 """
 
@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cartwheel.functions.columns import epoch_seconds
 
@@ -26,7 +27,14 @@ INSTANT_COLUMNS = {"window_start", "window_end", "detected_at"}
 
 
 def _encode(df: DataFrame, fields: list[tuple[str, str]]) -> DataFrame:
-    parts = [(epoch_seconds(F.col(c)) if c in INSTANT_COLUMNS else F.col(c)).alias(name) for name, c in fields]
+    types = {f.name: f.dataType for f in df.schema.fields}
+
+    def part(c):
+        if c in INSTANT_COLUMNS:
+            return epoch_seconds(F.col(c))
+        return F.round(c, 2) if isinstance(types[c], T.DecimalType) else F.col(c)
+
+    parts = [part(c).alias(name) for name, c in fields]
     return df.select(F.lit(None).cast("string").alias("key"),
                      F.to_json(F.struct(*parts), JSON_OPTIONS).alias("value"))
 

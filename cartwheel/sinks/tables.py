@@ -1,7 +1,8 @@
 """K5-K9: typed result tables.
 
 * ``to_*_rows`` coerce a result to its table schema (K9): decimals to decimal(12,2) with HALF_UP
-  rounding and null on overflow (``try_cast``), strings and timestamps as they are.
+  rounding and null on overflow (``try_cast``), strings and timestamps as they are. Revenue rows get
+  the partition column exactly if the target table has it.
 * ``create_result_tables`` creates the three tables if absent (K8). With a catalog that supports
   transforms (``table_format='iceberg'``) revenue is partitioned by ``days(window_start)``; with
   plain Parquet a derived ``window_date`` column is the partition column, and
@@ -50,7 +51,8 @@ def _ddl(schema) -> str:
 
 def create_result_tables(spark: SparkSession, database: str = TABLE_DATABASE, table_format: str = "parquet",
                          location: str | None = None) -> list[str]:
-    """CREATE TABLE IF NOT EXISTS for the three result tables; returns their names."""
+    """CREATE TABLE IF NOT EXISTS for the three result tables; returns their names. ``database`` may
+    carry a catalog prefix (``catalog.database``)."""
     db_loc = f" LOCATION '{location.rstrip('/')}'" if location else ""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}{db_loc}")
     loc = (lambda t: f" LOCATION '{location.rstrip('/')}/{t}'") if location else (lambda t: "")
@@ -69,11 +71,16 @@ def create_result_tables(spark: SparkSession, database: str = TABLE_DATABASE, ta
     return names
 
 
+def has_partition_column(spark: SparkSession, table: str) -> bool:
+    return PARTITION_COLUMN in spark.table(table).columns
+
+
 def append_revenue(revenue: DataFrame, table: str) -> None:
-    # One writer per day: results are small next to their input, and clustering by the
-    # partition date writes one file per day instead of one per (task, day).
-    rows = to_revenue_rows(revenue)
-    rows.repartition(PARTITION_COLUMN).write.insertInto(table)
+    # Clustered by day, so that a day is a few files instead of one per task; a rebalance, unlike a
+    # repartition, may be split by AQE where one day is large.
+    rows = to_revenue_rows(revenue, has_partition_column(revenue.sparkSession, table))
+    day = F.col(PARTITION_COLUMN) if PARTITION_COLUMN in rows.columns else F.to_date("window_start")
+    rows.hint("rebalance", day).write.insertInto(table)
 
 
 def append_kpis(kpis: DataFrame, table: str) -> None:

@@ -1,11 +1,14 @@
 """CSV sources of the enrichment (header row, comma separated, surrounding spaces ignored).
 
-S3 orders, S4 order items, S5 products. All columns are read as text with an explicit schema
-(no inference pass over the data), then parsed with built-in expressions.
+S3 orders, S4 order items, S5 products. All columns are read as text (no inference pass over the data)
+and found by the names in the header of their own file: the files of a folder may order their columns
+differently. Quoted values may hold commas, doubled quotes and line breaks.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,42 +25,60 @@ ITEMS_COLUMNS = ["order_id", "product_id", "seller_id", "price", "freight_value"
 PRODUCTS_COLUMNS = ["product_id", "product_category_name"]
 
 
-def _read_csv(spark: SparkSession, path: str) -> DataFrame:
-    # Header-driven: columns are matched by name, extra columns of the real files are pruned.
-    return (spark.read
-            .option("header", "true")
-            .option("ignoreLeadingWhiteSpace", "true")
-            .option("ignoreTrailingWhiteSpace", "true")
-            .option("inferSchema", "false")
-            .option("mode", "PERMISSIVE")
-            .csv(path))
+def _headers(spark: SparkSession, path: str) -> dict[str, list[str]]:
+    """The files at ``path`` by their first line (the driver reads one line of each)."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    codecs = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf)
+    out: dict[str, list[str]] = {}
+    for name in sorted(spark.read.text(path).inputFiles()):
+        file = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(name))
+        stream = file.getFileSystem(conf).open(file)
+        codec = codecs.getCodec(file)
+        reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(codec.createInputStream(stream) if codec else stream, "UTF-8"))
+        line = reader.readLine()
+        reader.close()
+        if line is not None:
+            out.setdefault(line, []).append(name)
+    return out
+
+
+def _read_csv(spark: SparkSession, path: str, columns: list[str], multi_line: bool = True) -> DataFrame:
+    """The named columns of all files, as text. With ``multi_line`` a quoted value may hold line breaks, for which a
+    file is read by one task; turn it off for very large files that have none."""
+    reader = (spark.read.option("header", "true").option("ignoreLeadingWhiteSpace", "true")
+              .option("ignoreTrailingWhiteSpace", "true").option("inferSchema", "false").option("mode", "PERMISSIVE")
+              .option("quote", '"').option("escape", '"').option("multiLine", str(multi_line).lower()))
+    parts = [reader.csv(files).select(*columns) for files in _headers(spark, path).values()]
+    if not parts:
+        return spark.createDataFrame([], ", ".join(f"{c} string" for c in columns))
+    return reduce(DataFrame.unionByName, parts)
 
 
-def read_orders(spark: SparkSession, path: str) -> DataFrame:
+def read_orders(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
     """S3 + P7: orders whose purchase time is missing or unparsable are skipped."""
     use_utc(spark)
-    raw = _read_csv(spark, path).select(*ORDERS_COLUMNS)
+    raw = _read_csv(spark, path, ORDERS_COLUMNS, multi_line)
     return (raw.withColumn("order_purchase_timestamp", parse_purchase_ts(F.col("order_purchase_timestamp")))
                .where(F.col("order_purchase_timestamp").isNotNull()))
 
 
-def read_items(spark: SparkSession, path: str) -> DataFrame:
+def read_items(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
     """S4 + P8: a bad or missing price/freight becomes 0."""
-    raw = _read_csv(spark, path).select(*ITEMS_COLUMNS)
+    raw = _read_csv(spark, path, ITEMS_COLUMNS, multi_line)
     return raw.select("order_id", "product_id", "seller_id",
                       parse_amount(F.col("price")).alias("price"),
                       parse_amount(F.col("freight_value")).alias("freight_value"))
 
 
-def read_products(spark: SparkSession, path: str) -> DataFrame:
+def read_products(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
     """An empty category means absent."""
-    raw = _read_csv(spark, path).select(*PRODUCTS_COLUMNS)
+    raw = _read_csv(spark, path, PRODUCTS_COLUMNS, multi_line)
     return raw.select("product_id", blank_to_null(F.col("product_category_name")).alias("product_category"))
 
 
-def enriched_events_from_csv(spark: SparkSession, data_dir: str, sort: bool = True) -> DataFrame:
+def enriched_events_from_csv(spark: SparkSession, data_dir: str, sort: bool = True, multi_line: bool = True) -> DataFrame:
     """The enrichment over a folder holding the three CSV files."""
     d = data_dir.rstrip("/")
-    return enrich_orders(read_orders(spark, f"{d}/{ORDERS_FILE}"),
-                         read_items(spark, f"{d}/{ITEMS_FILE}"),
-                         read_products(spark, f"{d}/{PRODUCTS_FILE}"), sort=sort)
+    return enrich_orders(read_orders(spark, f"{d}/{ORDERS_FILE}", multi_line),
+                         read_items(spark, f"{d}/{ITEMS_FILE}", multi_line),
+                         read_products(spark, f"{d}/{PRODUCTS_FILE}", multi_line), sort=sort)

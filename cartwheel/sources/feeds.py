@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cartwheel.operators.enrichment import enrich_orders
-from cartwheel.schemas import MONEY, ORDER_EVENT_COLUMNS
+from cartwheel.schemas import AMOUNT, MONEY, ORDER_EVENT_COLUMNS
 from cartwheel.session import use_utc
 from cartwheel.sources.tables import read_table
 
@@ -28,8 +28,8 @@ def event_feed_from(events: DataFrame) -> DataFrame:
         (F.col("event_id") % 200).cast("string").alias("product_id"),
         (F.col("event_id") % 50).cast("string").alias("seller_id"),
         F.when(F.col("event_type") != "error", F.col("event_type")).alias("product_category"),
-        F.when(F.col("event_type") != "signup", F.col("value").cast(MONEY)).alias("price"),
-        F.get_json_object("props", "$.k").cast(MONEY).alias("freight_value"),
+        F.when(F.col("event_type") != "signup", F.col("value").cast(MONEY).cast(AMOUNT)).alias("price"),
+        F.get_json_object("props", "$.k").cast(MONEY).cast(AMOUNT).alias("freight_value"),
     )
 
 
@@ -52,8 +52,8 @@ def item_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_orderkey").alias("order_id"),
         F.col("l_partkey").alias("product_id"),
         F.col("l_suppkey").cast("string").alias("seller_id"),
-        F.col("l_extendedprice").cast(MONEY).alias("price"),
-        F.col("l_quantity").cast(MONEY).alias("freight_value"),
+        F.col("l_extendedprice").cast(MONEY).cast(AMOUNT).alias("price"),
+        F.col("l_quantity").cast(MONEY).cast(AMOUNT).alias("freight_value"),
     )
     products = read_table(spark, sf_dir, "part").select(
         F.col("p_partkey").alias("product_id"),

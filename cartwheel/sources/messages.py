@@ -2,7 +2,8 @@
 
 Decoding is ``from_json`` in PERMISSIVE mode with a corrupt-record column: a message is kept
 only when it parsed into a struct *and* no field failed (a bad field value fails the whole
-message, as in the original decoder). Unknown fields (such as the producer's ``totalValue``) are
+message, as in the original decoder). Text fields take any scalar, but an object or array in one
+fails the message too; an empty text for an amount or the time is null. Unknown fields (such as the producer's ``totalValue``) are
 ignored, missing fields stay null. Outcomes are counted by an aggregate or ``observe``.
 """
 
@@ -23,14 +24,29 @@ DECODE_OPTIONS = {
     "timestampFormat": PURCHASE_TS_FORMAT,
 }
 
+TEXT_FIELDS = [f.name for f in ORDER_EVENT.fields if f.dataType == T.StringType()]
+# "price": "" and the like; inside a JSON string the quotes around the name would be escaped
+_EMPTY = r'("(?:' + "|".join(c for c in ORDER_EVENT_COLUMNS if c not in TEXT_FIELDS) + r')"\s*:\s*)"\s*"'
+
 # Decode outcomes.
 VALID, MALFORMED, EMPTY = "valid", "malformed", "empty"
 
 
+def holds_structure(message: Column, parsed: Column) -> Column:
+    """Whether a text field was given an object or array. Only texts that begin like one are looked at again."""
+    out = F.lit(False)
+    for c in TEXT_FIELDS:
+        kind = F.schema_of_variant(F.try_variant_get(F.try_parse_json(message), f"$.{c}", "variant"))
+        looks = F.coalesce(parsed[c].rlike(r"^[{\[]"), F.lit(False))
+        out = out | F.when(looks, F.coalesce(kind.rlike("^(OBJECT|ARRAY)"), F.lit(False))).otherwise(F.lit(False))
+    return out
+
+
 def decode_outcome(message: Column, parsed: Column) -> Column:
     text = F.trim(message.cast("string"))
     return (F.when(message.isNull() | (F.coalesce(text, F.lit("")) == ""), F.lit(EMPTY))
              .when(parsed.isNull() | parsed[CORRUPT].isNotNull(), F.lit(MALFORMED))
+             .when(holds_structure(message.cast("string"), parsed), F.lit(MALFORMED))
              .otherwise(F.lit(VALID)))
 
 
@@ -41,7 +57,8 @@ def parse_messages(messages: DataFrame, value_col: str = "value") -> DataFrame:
     a filter on the outcome cannot be pushed below a generator, so the optimizer does not
     substitute ``from_json`` into the filter and every field reference (which would parse
     each message several times)."""
-    parsed = F.from_json(F.col(value_col).cast("string"), DECODE_SCHEMA, DECODE_OPTIONS)
+    text = F.regexp_replace(F.col(value_col).cast("string"), _EMPTY, "$1null")
+    parsed = F.from_json(text, DECODE_SCHEMA, DECODE_OPTIONS)
     others = [c for c in messages.columns if c != value_col]
     row = F.struct(*[F.col(c) for c in others], F.col(value_col), parsed.alias("event"))
     once = messages.select(F.inline(F.array(row)))
@@ -63,11 +80,15 @@ def decode_outcomes(messages: DataFrame, value_col: str = "value") -> DataFrame:
             .agg(F.count(F.lit(1)).alias("messages")))
 
 
-def encode_order_events(events: DataFrame, time_text: Column | None = None) -> DataFrame:
+def encode_order_events(events: DataFrame, time_text: Column | None = None, more: list[str] | None = None) -> DataFrame:
     """Producer format: snake_case fields, purchase time as ``yyyy-MM-dd HH:mm:ss`` text, nulls
     written, and the derived ``totalValue`` field appended. Output: key (order_id), value.
-    ``time_text`` replaces the purchase-time text (to produce messages with a bad field)."""
+    ``time_text`` replaces the purchase-time text (to produce messages with a bad field); ``more``
+    names further columns to write. Amounts have two digits, more only where they are not zero."""
     ts_text = F.date_format("order_purchase_timestamp", PURCHASE_TS_FORMAT) if time_text is None else time_text
     fields = [ts_text.alias(c) if c == "order_purchase_timestamp" else F.col(c) for c in ORDER_EVENT_COLUMNS]
-    body = F.to_json(F.struct(*fields, event_value().alias("totalValue")), {"ignoreNullFields": "false"})
+    fields += [event_value().alias("totalValue"), *[F.col(c) for c in more or ()]]
+    body = F.to_json(F.struct(*fields), {"ignoreNullFields": "false"})
+    # the zeros after the second digit; inside a JSON string the quotes around a name would be escaped
+    body = F.regexp_replace(body, r'("(?:price|freight_value|totalValue)":-?\d+\.\d{2}\d*?)0+(?=[,}])', "$1")
     return events.select(F.col("order_id").alias("key"), body.alias("value"))

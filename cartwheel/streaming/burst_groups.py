@@ -1,6 +1,6 @@
-"""Per-customer state function of the streaming burst detector, for ``applyInPandasWithState``.
+"""State function of the streaming burst detector, for ``applyInPandasWithState``.
 
-Self-contained (imports only pandas/numpy/pyspark), pickled by value. State per customer is one
+Self-contained (imports only pandas/numpy/pyspark), pickled by value. State per customer and time bucket is one
 row of two arrays: pending event times (not yet behind the watermark) and recent judged times
 (inside the span). Only times are needed: events of equal time share their detection time, so
 the order among them cannot change the (time, run length) alerts. The rows of a key and its
@@ -16,14 +16,16 @@ import numpy as np
 import pandas as pd
 
 STATE_DDL = "pending ARRAY<BIGINT>, recent ARRAY<BIGINT>"
-RUN_DDL = "customer_id STRING, ts_us BIGINT, run_length BIGINT"
+RUN_DDL = "customer_id STRING, ts_us BIGINT, k BIGINT"
 
 
 def _ceil_ms(us: int) -> int:
     return -((-us) // 1000)
 
 
-def make_burst_function(min_count: int, span_us: int):
+def make_burst_function(min_count: int, span_us: int, bucket_us: int):
+    """Key: customer and bucket. Events before the bucket's start are copies from the bucket before: they count, but
+    give no row. A row (customer, time, K) for each own event with K >= ``min_count``."""
     def burst_groups(key, pdfs: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
         if key[0] is None:          # no customer: not a pattern key
             for _ in pdfs:
@@ -52,13 +54,9 @@ def make_burst_function(min_count: int, span_us: int):
             # K for each ready event: events in (t - span, t] up to itself, in processing order
             lo = np.searchsorted(times, times[base:] - span_us, side="right")
             k = np.arange(base, len(times)) - lo + 1
-            hit = k >= min_count
+            hit = (k >= min_count) & (r_ts >= key[1] * bucket_us)
             if hit.any():
-                reps = k[hit] - min_count + 1
-                ends = np.repeat(r_ts[hit], reps)
-                first = np.repeat(np.cumsum(reps) - reps, reps)
-                lengths = np.arange(len(ends)) - first + min_count
-                out = pd.DataFrame({"customer_id": key[0], "ts_us": ends, "run_length": lengths.astype("int64")})
+                out = pd.DataFrame({"customer_id": key[0], "ts_us": r_ts[hit], "k": k[hit].astype("int64")})
             recent = times[times > times[-1] - span_us]
             ts = ts[~ready]
         if len(recent) and not len(ts) and int(recent[-1]) + span_us <= wm_us:

@@ -1,6 +1,6 @@
-"""W3 in a stream: per-customer state with one event-time timer.
+"""W3 in a stream: state per customer and time bucket with one event-time timer.
 
-State per customer:
+State per group:
 * ``pending``: times of events that arrived but are not yet behind the watermark, so an earlier
   event may still come; they are not judged yet.
 * ``recent``: times of judged events inside the last ``span`` (all a future run can reach).
@@ -9,17 +9,18 @@ Input: events at or below the current watermark are late and dropped (the engine
 lags one micro-batch; dropping here makes the result independent of batch boundaries). The one
 timer sits at the earliest pending time. When the watermark passes it, every pending event at or
 below the watermark is judged in time order: its longest run ``K`` is 1 + the number of recent
-times inside ``(t - span, t]``, and lengths ``min_count..K`` are emitted. Events of equal time
-share their detection time, so their order cannot change the alerts and only times are kept.
-Afterwards the timer moves to the next pending event, or, with nothing pending, to the moment the
-last recent time leaves the span, when the state is dropped.
-
-State is bounded by the events of one customer inside ``span`` plus those inside the watermark
-delay; per micro-batch a customer's rows are bounded by the trigger size.
-
-Two engines: ``pandas`` (default, ``applyInPandasWithState``: a key's rows and state travel as one
-Arrow batch, works with any state store) and ``state_api`` (``transformWithState``, needs the
-RocksDB state store provider).
+times inside ``(t - span, t]``. Events of equal time share their detection time, so their order
+cannot change the alerts and only times are kept. Afterwards the timer moves to the next pending
+event, or, with nothing pending, to the moment the last recent time leaves the span, when the state
+is dropped.
+
+The function returns one row (time, K) per event; the run lengths ``min_count..K`` are exploded in the
+JVM, so what travels through Python is linear in the events although the alerts are not.
+
+As in the batch form, a group is a customer's events of one time bucket, and those within ``span`` of a
+bucket's end go to the next bucket too, where they only count. So one customer with a large share
+of a micro-batch is dealt to many tasks. State is bounded by the events of one customer inside a
+bucket and ``span`` plus those inside the watermark delay.
 """
 
 from __future__ import annotations
@@ -32,30 +33,30 @@ from pyspark.sql import functions as F
 
 from cartwheel.config import DEFAULT_BURST_SPAN, DEFAULT_SUSPICIOUS_ORDER_COUNT
 from cartwheel.functions.columns import span_microseconds
-from cartwheel.operators.bursts import alerts_from_runs
+from cartwheel.operators.bursts import BUCKET_SPANS, alerts_from_runs
 from cartwheel.schemas import EVENT_TIME
-from cartwheel.streaming import burst_groups, burst_state
+from cartwheel.streaming import burst_groups
 from cartwheel.streaming.burst_groups import RUN_DDL, STATE_DDL, make_burst_function
-from cartwheel.streaming.burst_state import RUN_SCHEMA, BurstProcessor
 
-cloudpickle.register_pickle_by_value(sys.modules[burst_state.__name__])
 cloudpickle.register_pickle_by_value(sys.modules[burst_groups.__name__])
 
 
 def suspicious_frequency_stream(events: DataFrame, min_count: int = DEFAULT_SUSPICIOUS_ORDER_COUNT,
-                                span: str = DEFAULT_BURST_SPAN, engine: str = "pandas") -> DataFrame:
+                                span: str = DEFAULT_BURST_SPAN) -> DataFrame:
     """Burst alerts of a watermarked order stream (append mode).
 
     Events without a customer are dropped inside the state function, not by a filter in front
     of it, which Catalyst would push below the watermark (a filter on the event time itself
     stays above it)."""
+    span_us = span_microseconds(span)
+    bucket_us = BUCKET_SPANS * span_us
     src = (events.where(F.col(EVENT_TIME).isNotNull())
                  .select("customer_id", EVENT_TIME, F.unix_micros(EVENT_TIME).alias("ts_us")))
-    if engine == "pandas":
-        runs = src.groupBy("customer_id").applyInPandasWithState(
-            make_burst_function(min_count, span_microseconds(span)), RUN_DDL, STATE_DDL, "append", "EventTimeTimeout")
-    else:
-        runs = src.groupBy("customer_id").transformWithState(
-            statefulProcessor=BurstProcessor(min_count, span_microseconds(span)), outputStructType=RUN_SCHEMA,
-            outputMode="Append", timeMode="EventTime")
-    return alerts_from_runs(runs.withColumn(EVENT_TIME, F.timestamp_micros("ts_us")), span)
+    home = F.expr(f"(ts_us - pmod(ts_us, {bucket_us})) div {bucket_us}")
+    in_halo = F.col("ts_us") > (home + 1) * F.lit(bucket_us) - F.lit(span_us)
+    src = src.withColumn("bucket", F.explode(F.when(in_halo, F.array(home, home + 1)).otherwise(F.array(home))))
+    ends = src.groupBy("customer_id", "bucket").applyInPandasWithState(
+        make_burst_function(min_count, span_us, bucket_us), RUN_DDL, STATE_DDL, "append", "EventTimeTimeout")
+    runs = ends.select("customer_id", F.timestamp_micros("ts_us").alias(EVENT_TIME),
+                       F.explode(F.sequence(F.lit(min_count).cast("long"), F.col("k"))).alias("run_length"))
+    return alerts_from_runs(runs, span)

@@ -7,12 +7,15 @@ fixed folder per query, which also keeps state across restarts, T5/T7); file and
 exactly-once, Kafka at-least-once.
 
 Sinks: ``parquet`` (path), ``table`` (``toTable``), ``kafka`` (JSON messages, K1-K3), ``memory``.
+A result with several sinks is one query (``start_all``): it is computed once per micro-batch and
+written to each.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -24,8 +27,10 @@ from cartwheel.operators.kpis import realtime_kpis
 from cartwheel.operators.revenue import revenue_by_category
 from cartwheel.operators.validation import is_valid
 from cartwheel.schemas import EVENT_TIME
+from cartwheel.session import exists, make_folder
 from cartwheel.sinks.json_encode import alert_json, kpi_json, revenue_json
-from cartwheel.sinks.tables import to_alert_rows, to_kpi_rows, to_revenue_rows
+from cartwheel.sinks.tables import has_partition_column, to_alert_rows, to_kpi_rows, to_revenue_rows
+from cartwheel.sources.messages import encode_order_events
 from cartwheel.streaming.bursts import suspicious_frequency_stream
 from cartwheel.streaming.metrics import observe_alerts, observe_kpis, observe_revenue
 from cartwheel.streaming.sources import with_event_time
@@ -59,8 +64,23 @@ def quarantine_stream(events: DataFrame) -> DataFrame:
     return events.where(~is_valid() | no_time).withColumn("quarantined_reason", reason)
 
 
-TABLE_ROWS = {"revenue": to_revenue_rows, "kpi": to_kpi_rows, "alert": to_alert_rows}
-JSON_ROWS = {"revenue": revenue_json, "kpi": kpi_json, "alert": alert_json}
+def quarantine_json(events: DataFrame) -> DataFrame:
+    return encode_order_events(events, more=["quarantined_reason"])
+
+
+TABLE_ROWS = {"kpi": to_kpi_rows, "alert": to_alert_rows}
+JSON_ROWS = {"revenue": revenue_json, "kpi": kpi_json, "alert": alert_json, "quarantine": quarantine_json}
+
+
+def rows_for(result: DataFrame, record: str, sink: "Sink") -> DataFrame:
+    """The result in the columns of its sink."""
+    if sink.kind == "kafka":
+        return JSON_ROWS[record](result)
+    if sink.kind == "table" and record == "revenue":
+        return to_revenue_rows(result, has_partition_column(result.sparkSession, sink.target))
+    if sink.kind == "table" and record in TABLE_ROWS:
+        return TABLE_ROWS[record](result)
+    return result
 
 
 @dataclass
@@ -74,13 +94,7 @@ class Sink:
 
 def start(result: DataFrame, record: str, sink: Sink, name: str) -> StreamingQuery:
     """Start an append-mode query for ``result`` (record: revenue | kpi | alert | quarantine)."""
-    if sink.kind == "kafka":
-        out = JSON_ROWS[record](result)
-    elif sink.kind == "table" and record in TABLE_ROWS:
-        out = TABLE_ROWS[record](result)
-    else:
-        out = result
-    w = (out.writeStream.queryName(name).outputMode("append")
+    w = (rows_for(result, record, sink).writeStream.queryName(name).outputMode("append")
          .option("checkpointLocation", sink.checkpoint))
     if sink.trigger:
         w = w.trigger(**sink.trigger)
@@ -94,3 +108,40 @@ def start(result: DataFrame, record: str, sink: Sink, name: str) -> StreamingQue
     if sink.kind == "memory":
         return w.format("memory").start()
     raise ValueError(f"unknown sink kind {sink.kind!r}")
+
+
+def write_batch(rows: DataFrame, record: str, sink: Sink, batch_id: int) -> None:
+    """One micro-batch to one sink. A batch that runs again after a failure replaces its own files, and appends
+    to a table only if its mark, written after the append, is missing; a topic may get it twice."""
+    out = rows_for(rows, record, sink)
+    if sink.kind == "parquet":
+        out.write.mode("overwrite").parquet(f"{sink.target.rstrip('/')}/batch_id={batch_id}")
+    elif sink.kind == "table":
+        mark = f"{sink.checkpoint.rstrip('/')}/written/{batch_id}"
+        if not exists(rows.sparkSession, mark):
+            out.write.insertInto(sink.target)
+            make_folder(rows.sparkSession, mark)
+    elif sink.kind == "kafka":
+        (out.write.format("kafka").option("kafka.bootstrap.servers", sink.bootstrap_servers)
+         .option("topic", sink.target).save())
+    else:
+        raise ValueError(f"sink kind {sink.kind!r} cannot be one of several")
+
+
+def start_all(result: DataFrame, record: str, sinks: list[Sink], name: str) -> StreamingQuery:
+    """One query for all sinks of a result, with the checkpoint and trigger of the first. A single sink is written by
+    Spark's own sink (files and tables exactly once)."""
+    if len(sinks) == 1:
+        return start(result, record, sinks[0], name)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.persist(StorageLevel.DISK_ONLY)
+        try:
+            for sink in sinks:
+                write_batch(batch, record, sink, batch_id)
+        finally:
+            batch.unpersist()
+
+    w = (result.writeStream.queryName(name).outputMode("append").option("checkpointLocation", sinks[0].checkpoint)
+         .foreachBatch(write))
+    return (w.trigger(**sinks[0].trigger) if sinks[0].trigger else w).start()

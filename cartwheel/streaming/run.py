@@ -1,14 +1,18 @@
 """The three jobs and the enrichment, wired from ``JobConfig`` like the original entry points.
 
-    python -m cartwheel.streaming.run revenue|kpi|alerts [--source-dir DIR] [--sink-dir DIR]
+    python -m cartwheel.streaming.run revenue|kpi|alerts [--source-dir DIR] [--sink-dir DIR] [--bounded] [--metrics DIR]
     python -m cartwheel.streaming.run enrich CSV_DIR OUT_DIR
     python -m cartwheel.streaming.run init-tables [--table-format parquet|iceberg] [--location DIR]
 
 A job reads the orders topic (or, with ``--source-dir``, JSON order messages from files), and
 writes its results to its topic (or, with ``--sink-dir``, Parquet files) and, when tables are
-enabled, also appends them to its result table. Each output is one streaming query with its own
-checkpoint under ``spark.checkpoint.dir``: ``<job>/<output>``, fixed, so a restart resumes. The
-revenue job also runs the quarantine query for rejected events (K10).
+enabled, also appends them to its result table. A job is one streaming query, computed once for all its
+outputs, with a fixed checkpoint ``<job>/main`` under ``spark.checkpoint.dir``, so a restart resumes. The
+revenue job also runs the quarantine query for rejected events (K10). With ``--bounded`` the job reads
+what is there, flushes what is still open (T8) and ends. Every progress report goes to the metrics table.
+
+Master, partitions and resources come from the submit. ``--input-gb``, ``--executors`` and ``--cores`` may size the
+partitions instead. When tables are enabled the result tables are in the catalog that the environment names.
 """
 
 from __future__ import annotations
@@ -18,12 +22,14 @@ import argparse
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from cartwheel.config import TABLE_ALERTS, TABLE_DATABASE, TABLE_KPIS, TABLE_REVENUE, JobConfig
-from cartwheel.session import build_session, checkpoint_root
+from cartwheel.config import TABLE_ALERTS, TABLE_KPIS, TABLE_REVENUE, JobConfig, result_database, table_catalog_settings
+from cartwheel.session import build_session, checkpoint_root, cluster_settings
 from cartwheel.sinks.tables import create_result_tables
 from cartwheel.sources.csv import enriched_events_from_csv
-from cartwheel.sources.messages import encode_order_events
-from cartwheel.streaming.jobs import Sink, alert_stream, kpi_stream, quarantine_stream, revenue_stream, start
+from cartwheel.sources.messages import decode_order_messages, encode_order_events
+from cartwheel.streaming.bounded import with_end, write_end
+from cartwheel.streaming.jobs import Sink, alert_stream, kpi_stream, quarantine_stream, revenue_stream, start, start_all
+from cartwheel.streaming.metrics import MetricsLog
 from cartwheel.streaming.sources import order_stream_from_json_files, order_stream_from_kafka
 
 JOBS = {
@@ -42,9 +48,13 @@ def order_source(spark: SparkSession, config: JobConfig, source_dir: str | None
 
 
 def run_job(spark: SparkSession, job: str, config: JobConfig, source_dir: str | None = None,
-            sink_dir: str | None = None, trigger: dict | None = None) -> list[StreamingQuery]:
+            sink_dir: str | None = None, trigger: dict | None = None, end_dir: str | None = None,
+            database: str | None = None) -> list[StreamingQuery]:
+    """Start a job's queries. ``end_dir`` is where an end marker will be (see ``run_bounded``);
+    ``database`` names the one of the result tables, if not that of the environment."""
     build, record, topic, table = JOBS[job]
-    events = order_source(spark, config, source_dir)
+    orders = order_source(spark, config, source_dir)
+    events = with_end(orders, end_dir) if end_dir else orders
     if job == "alerts":
         result = build(events, config)
     else:
@@ -52,20 +62,35 @@ def run_job(spark: SparkSession, job: str, config: JobConfig, source_dir: str |
     root = checkpoint_root(spark).rstrip("/") + f"/{job}"
     trig = trigger or {"processingTime": config.trigger_interval}
     if sink_dir:
-        main = Sink("parquet", f"{sink_dir.rstrip('/')}/{job}", f"{root}/files", trig)
+        sinks = [Sink("parquet", f"{sink_dir.rstrip('/')}/{job}", f"{root}/main", trig)]
     else:
-        main = Sink("kafka", topic(config), f"{root}/topic", trig, config.bootstrap_servers)
-    queries = [start(result, record, main, f"{job}_main")]
+        sinks = [Sink("kafka", topic(config), f"{root}/main", trig, config.bootstrap_servers)]
     if config.table_enabled:
-        queries.append(start(result, record, Sink("table", f"{TABLE_DATABASE}.{table}", f"{root}/table", trig),
-                             f"{job}_table"))
+        sinks.append(Sink("table", f"{database or result_database()}.{table}", f"{root}/main", trig))
+    queries = [start_all(result, record, sinks, f"{job}_main")]
     if job == "revenue":
-        target = f"{sink_dir.rstrip('/')}/quarantine" if sink_dir else f"{root}/quarantine-files"
-        queries.append(start(quarantine_stream(events), "quarantine",
-                             Sink("parquet", target, f"{root}/quarantine", trig), "revenue_quarantine"))
+        if sink_dir:
+            rejected = Sink("parquet", f"{sink_dir.rstrip('/')}/quarantine", f"{root}/quarantine", trig)
+        else:
+            rejected = Sink("kafka", config.quarantine_topic, f"{root}/quarantine", trig, config.bootstrap_servers)
+        queries.append(start(quarantine_stream(orders), "quarantine", rejected, "revenue_quarantine"))
     return queries
 
 
+def run_bounded(spark: SparkSession, job: str, config: JobConfig, source_dir: str, sink_dir: str | None = None,
+                database: str | None = None) -> None:
+    """Read all of ``source_dir``, then flush: the end marker comes after the last micro-batch of input, on the same checkpoint."""
+    end = f"{checkpoint_root(spark).rstrip('/')}/{job}/end"
+    for last in (False, True):
+        if last:
+            events = decode_order_messages(spark.read.text(source_dir))
+            write_end(events, end, config.window, config.burst_span, config.watermark_delay)
+        for q in run_job(spark, job, config, source_dir, sink_dir, {"availableNow": True}, end, database):
+            q.awaitTermination()
+            if q.exception():
+                raise q.exception()
+
+
 def write_replay_files(spark: SparkSession, csv_dir: str, out_dir: str, files: int | None = None) -> None:
     """The enrichment (S3-S5, J1, J2, P7, P8) sorted by purchase time (O1), written as JSON order
     messages: the file-based stand-in for the paced producer. Range partitioning gives each
@@ -86,19 +111,35 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("paths", nargs="*")
     ap.add_argument("--source-dir")
     ap.add_argument("--sink-dir")
-    ap.add_argument("--master", default="local[*]")
+    ap.add_argument("--bounded", action="store_true")
+    ap.add_argument("--metrics", help="folder of the metrics table (default: <sink-dir>/metrics, or none)")
+    ap.add_argument("--master", help="default: as submitted")
+    ap.add_argument("--input-gb", type=float)
+    ap.add_argument("--executors", type=int, default=1)
+    ap.add_argument("--cores", type=int, default=8)
     ap.add_argument("--table-format", default="parquet")
     ap.add_argument("--location")
     args = ap.parse_args(argv)
-    spark = build_session(args.master)
+    config = JobConfig.from_env()
+    extra = cluster_settings(int(args.input_gb * 2 ** 30), args.executors, args.cores) if args.input_gb else {}
+    tables = config.table_enabled if args.job in JOBS else args.job == "init-tables" and args.table_format == "iceberg"
+    if tables:
+        extra |= table_catalog_settings()
+    spark = build_session(args.master, extra=extra)
     if args.job == "enrich":
         write_replay_files(spark, args.paths[0], args.paths[1])
         return
     if args.job == "init-tables":
-        for name in create_result_tables(spark, TABLE_DATABASE, args.table_format, args.location):
+        for name in create_result_tables(spark, result_database(table_format=args.table_format), args.table_format, args.location):
             print(name)
         return
-    queries = run_job(spark, args.job, JobConfig.from_env(), args.source_dir, args.sink_dir)
+    metrics = args.metrics or (f"{args.sink_dir.rstrip('/')}/metrics" if args.sink_dir else None)
+    if metrics:
+        spark.streams.addListener(MetricsLog(spark, metrics))
+    if args.bounded:
+        run_bounded(spark, args.job, config, args.source_dir, args.sink_dir)
+        return
+    queries = run_job(spark, args.job, config, args.source_dir, args.sink_dir)
     spark.streams.awaitAnyTermination()
     for q in queries:
         q.stop()

@@ -8,6 +8,7 @@ from hypothesis import strategies as st
 from cartwheel.streaming.burst_groups import make_burst_function
 
 SPAN_US = 300_000_000
+BUCKET_US = 360_000_000
 DELAY_MS = 10_000
 
 
@@ -36,31 +37,34 @@ class FakeState:
 
 
 def simulate(batches, n):
-    fn = make_burst_function(n, SPAN_US)
+    fn = make_burst_function(n, SPAN_US, BUCKET_US)
     states, out, wm_ms, max_ms = {}, [], -1, -1
-    for batch in batches:
+    max_ms = -1
+    for events in batches:
+        # to the own bucket, and near its end to the next one too
+        batch = [((c, b), t) for c, t in events for b in sorted({t // BUCKET_US, (t + SPAN_US - 1) // BUCKET_US})]
         keys = sorted({c for c, _ in batch})
         for c in keys:
             st_ = states.setdefault(c, FakeState())
             st_.wm_ms, st_.timed_out = wm_ms, False
-            rows = pd.DataFrame({"customer_id": [k for k, _ in batch if k == c],
+            rows = pd.DataFrame({"customer_id": [k[0] for k, _ in batch if k == c],
                                  "ts_us": [t for k, t in batch if k == c]})
-            for df in fn((c,), iter([rows]), st_):
-                out += list(zip(df.customer_id, df.ts_us, df.run_length))
+            for df in fn(c, iter([rows]), st_):
+                out += [(u, t, m) for u, t, k in zip(df.customer_id, df.ts_us, df.k) for m in range(n, k + 1)]
         for c, st_ in states.items():           # timeouts of keys without data in this batch
             if c not in keys and st_.exists and st_.timeout is not None and st_.timeout < wm_ms:
                 st_.wm_ms, st_.timed_out = wm_ms, True
-                for df in fn((c,), iter([]), st_):
-                    out += list(zip(df.customer_id, df.ts_us, df.run_length))
+                for df in fn(c, iter([]), st_):
+                    out += [(u, t, m) for u, t, k in zip(df.customer_id, df.ts_us, df.k) for m in range(n, k + 1)]
         # the watermark advances between batches: max event time seen minus the delay
-        max_ms = max([max_ms] + [t // 1000 for _, t in batch])
+        max_ms = max([max_ms] + [t // 1000 for _, t in events])
         wm_ms = max(wm_ms, max_ms - DELAY_MS)
     # one more empty batch at the final watermark (what availableNow runs)
     for c, st_ in states.items():
         if st_.exists and st_.timeout is not None and st_.timeout < wm_ms:
             st_.wm_ms, st_.timed_out = wm_ms, True
-            for df in fn((c,), iter([]), st_):
-                out += list(zip(df.customer_id, df.ts_us, df.run_length))
+            for df in fn(c, iter([]), st_):
+                out += [(u, t, m) for u, t, k in zip(df.customer_id, df.ts_us, df.k) for m in range(n, k + 1)]
     return sorted(out), wm_ms
 
 
@@ -106,3 +110,14 @@ def test_state_function_matches_brute_force(events, cuts, n):
     for e in late:
         kept.remove(e)
     assert got == brute(kept, n, wm_ms * 1000, set())
+
+
+def test_hot_customer_gives_one_row_per_event():
+    """20,000 events inside the span: rows and state stay linear, although the alerts would be 200 million."""
+    fn = make_burst_function(3, SPAN_US, 8 * SPAN_US)
+    state = FakeState()
+    rows = pd.DataFrame({"customer_id": "hot", "ts_us": [1_000_000 + i * 10_000 for i in range(20_000)]})
+    assert list(fn(("hot", 0), iter([rows]), state)) == []
+    state.wm_ms, state.timed_out = 10 ** 6, True
+    [out] = fn(("hot", 0), iter([]), state)
+    assert len(out) == 19_998 and out.k.tolist() == list(range(3, 20_001)) and out.memory_usage(deep=True).sum() < 4_000_000

@@ -1,6 +1,6 @@
 from decimal import Decimal
 
-from cartwheel.config import JobConfig, table_catalog_settings
+from cartwheel.config import JobConfig, result_database, table_catalog_settings
 from cartwheel.functions.columns import span_microseconds, span_text
 from cartwheel.streaming.sources import kafka_source_options
 
@@ -17,7 +17,8 @@ def test_defaults_and_environment():
     assert (e.table_enabled, e.suspicious_order_count, e.price_anomaly_threshold) == (True, 5, Decimal("99.5"))
     assert kafka_source_options("b:1", "orders", max_offsets_per_trigger=e.max_offsets_per_trigger) == {
         "kafka.bootstrap.servers": "b:1", "subscribe": "orders", "startingOffsets": "earliest",
-        "failOnDataLoss": "false", "maxOffsetsPerTrigger": "1000"}
+        "failOnDataLoss": "true", "maxOffsetsPerTrigger": "1000"}
+    assert kafka_source_options("b:1", "orders", fail_on_data_loss=False)["failOnDataLoss"] == "false"
 
 
 def test_catalog_settings_take_credentials_from_environment_only():
@@ -41,3 +42,33 @@ def test_cluster_settings_scale_with_input():
     assert s["spark.sql.files.maxPartitionBytes"] == str(256 * 1024 * 1024)
     small = cluster_settings(10 * 1024 ** 2, 2, 4)
     assert small["spark.sql.shuffle.partitions"] == "16"
+
+
+def test_result_database_carries_the_catalog():
+    assert result_database({"ICEBERG_CATALOG_NAME": "lake"}) == "lake.order_results"
+    assert result_database({}, "parquet") == "order_results"
+    name = next(k for k in table_catalog_settings({"ICEBERG_CATALOG_NAME": "lake"}))
+    assert name == "spark.sql.catalog.lake"
+
+
+def test_session_leaves_the_submitted_settings(monkeypatch):
+    """Without arguments neither the master nor the shuffle partitions are set."""
+    from pyspark.sql import SparkSession
+
+    from cartwheel import session
+    seen = {}
+
+    class Builder:
+        sparkContext = property(lambda self: self)
+
+        def __getattr__(self, name):
+            def call(*args):
+                seen.setdefault(name, []).append(args)
+                return self
+            return call
+
+    monkeypatch.setattr(SparkSession, "builder", Builder())
+    session.build_session()
+    assert "master" not in seen and "spark.sql.shuffle.partitions" not in {a[0] for a in seen["config"]}
+    session.build_session("local[2]", shuffle_partitions=5)
+    assert seen["master"] == [("local[2]",)] and ("spark.sql.shuffle.partitions", "5") in seen["config"]

@@ -52,9 +52,9 @@ def test_table_coercion(spark):
 
 
 def test_create_tables_and_partition_pruning(spark, tmp_path):
-    names = create_result_tables(spark, "olist_test", "parquet", str(tmp_path / "wh"))
-    assert names == ["olist_test.revenue_by_category", "olist_test.realtime_kpis", "olist_test.order_alerts"]
-    create_result_tables(spark, "olist_test", "parquet", str(tmp_path / "wh"))  # idempotent
+    names = create_result_tables(spark, "tables_test", "parquet", str(tmp_path / "wh"))
+    assert names == ["tables_test.revenue_by_category", "tables_test.realtime_kpis", "tables_test.order_alerts"]
+    create_result_tables(spark, "tables_test", "parquet", str(tmp_path / "wh"))  # idempotent
     df = spark.createDataFrame([("x", Decimal("1.00"), 1, at(0), at(60)), ("x", Decimal("2.00"), 1, at(86400), at(86460))],
                                "product_category string, total_revenue decimal(12,2), order_count long, "
                                "window_start timestamp, window_end timestamp")
@@ -64,3 +64,18 @@ def test_create_tables_and_partition_pruning(spark, tmp_path):
     assert [r.total_revenue for r in got.collect()] == [Decimal("2.00")]
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(window_date" in plan
+
+
+def test_csv_quoting_column_order_and_wide_amounts(spark, tmp_path):
+    write(tmp_path / "olist_orders_dataset.csv", 'order_id,customer_id,order_status,order_purchase_timestamp\n"o1","c ""x"", y",delivered,2024-01-01 00:00:10\n')
+    items = tmp_path / "olist_order_items_dataset.csv"
+    items.mkdir()
+    write(items / "a.csv", "order_id,product_id,seller_id,price,freight_value\no1,p1,s1,12345678901.50,0.004\n")
+    write(items / "b.csv", "freight_value,price,seller_id,order_id,product_id,extra\n2,7,s2,o1,p2,z\n")
+    write(items / "c.csv", "")
+    write(tmp_path / "olist_products_dataset.csv", 'product_id,product_category_name\np1,"say ""hi"", ok"\np2,"two\nlines"\n')
+    rows = {r.product_id: r for r in enriched_events_from_csv(spark, str(tmp_path)).collect()}
+    assert rows["p1"].product_category == 'say "hi", ok' and rows["p2"].product_category == "two\nlines"
+    assert (rows["p1"].price, rows["p1"].freight_value) == (Decimal("12345678901.5"), Decimal("0.004"))
+    assert (rows["p2"].price, rows["p2"].freight_value, rows["p2"].seller_id) == (Decimal("7"), Decimal("2"), "s2")
+    assert rows["p1"].customer_id == 'c "x", y'

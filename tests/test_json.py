@@ -11,9 +11,9 @@ from cartwheel.operators.revenue import revenue_by_category
 from cartwheel.sinks.json_encode import alert_json, kpi_json, revenue_json
 from cartwheel.sources.messages import decode_order_messages, decode_outcomes, encode_order_events
 
-VALID = ('{"order_id":"abc123","customer_id":"cust1","order_status":"delivered",'
-         '"order_purchase_timestamp":"2024-01-01 00:00:00","product_category":"electronics",'
-         '"price":99.90,"freight_value":10.00,"seller_id":"seller1"}')
+VALID = ('{"order_id":"ord-7f","customer_id":"buyer-21","order_status":"delivered",'
+         '"order_purchase_timestamp":"2024-01-01 00:00:00","product_category":"garden",'
+         '"price":41.75,"freight_value":3.20,"seller_id":"shop-4"}')
 
 
 def messages(spark, values):
@@ -21,21 +21,21 @@ def messages(spark, values):
 
 
 def test_decode_valid_malformed_empty(spark):
-    msgs = messages(spark, [VALID, "not valid json {{{", "", None])
+    msgs = messages(spark, [VALID, "<order>no json</order>", "", None])
     [r] = decode_order_messages(msgs).collect()
     assert (r.order_id, r.product_category, r.price, r.order_purchase_timestamp) == (
-        "abc123", "electronics", Decimal("99.90"), at(0))
+        "ord-7f", "garden", Decimal("41.75"), at(0))
     counts = {r.outcome: r.messages for r in decode_outcomes(msgs).collect()}
     assert counts == {"valid": 1, "malformed": 1, "empty": 2}
 
 
 def test_decode_bad_field_fails_whole_message_and_unknown_fields_ignored(spark):
     bad_ts = VALID.replace("2024-01-01 00:00:00", "yesterday")
-    bad_price = VALID.replace("99.90", '"ten"')
-    extra = VALID[:-1] + ',"totalValue":109.90,"whatever":[1,2]}'
+    bad_price = VALID.replace("41.75", '"ten"')
+    extra = VALID[:-1] + ',"totalValue":44.95,"whatever":[1,2]}'
     missing = '{"order_id":"m1","order_purchase_timestamp":"2024-01-01 00:00:05"}'
     rows = decode_order_messages(messages(spark, [bad_ts, bad_price, extra, missing, "null", "[1,2]"])).collect()
-    assert sorted(r.order_id for r in rows) == ["abc123", "m1"]
+    assert sorted(r.order_id for r in rows) == ["m1", "ord-7f"]
     m1 = [r for r in rows if r.order_id == "m1"][0]
     assert m1.price is None and m1.customer_id is None and m1.order_purchase_timestamp == at(5)
 
@@ -69,3 +69,29 @@ def test_alert_json_keeps_nulls(events):
                                              '"description":"3 orders in less than 5 minutes","value":null,'
                                              '"detectedAt":1704067202.250000000}')
     assert '"value":600.00' in texts["PRICE_ANOMALY"]
+
+
+def test_amounts_keep_their_digits(spark):
+    msgs = messages(spark, [VALID.replace("41.75", p) for p in ["500.004", "12345678901.50", "500", "499.999999", '"500.01"', '""', "null"]])
+    rows = decode_order_messages(msgs).collect()
+    assert [r.price for r in rows] == [Decimal("500.004"), Decimal("12345678901.5"), Decimal("500"), Decimal("499.999999"),
+                                       Decimal("500.01"), None, None]
+    alerts = {r.description for r in price_anomaly_alerts(decode_order_messages(msgs), "500").collect()}
+    assert alerts == {"Order price 500.004 exceeds threshold 500", "Order price 12345678901.50 exceeds threshold 500",
+                      "Order price 500.01 exceeds threshold 500"}
+
+
+def test_text_fields_take_scalars_only(spark):
+    values = ["{}", '{"a":1}', "[1]", '"{}"', '"[x"', "17", "true", "null"]
+    rows = decode_order_messages(messages(spark, [VALID.replace('"ord-7f"', v) for v in values])).collect()
+    assert [r.order_id for r in rows] == ["{}", "[x", "17", "true", None]
+    blank = [VALID.replace('"2024-01-01 00:00:00"', '""'), VALID.replace("3.20", '" "')]
+    rows = decode_order_messages(messages(spark, blank)).collect()
+    assert rows[0].order_purchase_timestamp is None and rows[1].freight_value is None
+
+
+def test_encoded_amounts(events, spark):
+    df = events([event("a", price="12.30", freight="1.004000"), event('b":1.230000,', price="7", freight=None)])
+    texts = {r.key: r.value for r in encode_order_events(df).collect()}
+    assert '"price":12.30,"freight_value":1.004,"totalValue":13.304}' in texts["a"]
+    assert json.loads(texts['b":1.230000,'])["order_id"] == 'b":1.230000,' and '"price":7.00,' in texts['b":1.230000,']

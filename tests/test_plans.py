@@ -70,3 +70,15 @@ def test_enrichment_shares_the_orders_shuffle_and_broadcasts_only_measured_sides
     initial = p.split("== Initial Plan ==")[-1]
     if spark.conf.get("spark.sql.autoBroadcastJoinThreshold") == "-1":
         assert "BroadcastHashJoin" not in initial   # no broadcast from planning estimates
+
+
+def test_batch_aggregates_filter_before_the_joins(spark):
+    p = physical(revenue_by_category(item_feed(spark, SF001), "1 day"))
+    assert "LeftAnti" not in p and p.count("FileScan parquet") == 3
+
+
+def test_distribution_reads_the_kpis_once(spark):
+    df = kpi_value_distribution(realtime_kpis(event_feed(spark, SF001)), 1000)
+    df.collect()
+    final = plan(df).split("== Initial Plan ==")[0]
+    assert "ReusedExchange" in final and final.count("FileScan parquet") == 1
