@@ -29,7 +29,8 @@ from cartwheel.llm.common import GOLDEN, batch_of, bytes_of, mixed, prefix_hashe
 LENGTH = 200
 GRAM = 64
 PIECE_BYTES = 4 << 20       # of one long text handled at once; positions take 24 bits below
-CLASS_SLICES = 2000         # anchors with more different slices are settled by hashes of their windows
+CLASS_SLICES = 2000         # anchors with more different slices are settled by hashes, not in one task
+GROUP = 8                   # neighbouring windows that are hashed together then
 SUFFIX_BYTES = 1 << 20      # text of one suffix array
 _POS = np.uint64(24)
 
@@ -205,12 +206,12 @@ def packed(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", "_h", "text").mapInArrow(run, "doc_id long, _h long, z binary")
 
 
-_SLICE = pa.schema([("doc_id", pa.int64()), ("_h", pa.int64()), ("start", pa.int32()), ("n", pa.int32()), ("a", pa.int64()),
+_SLICE = pa.schema([("doc_id", pa.int64()), ("_h", pa.int64()), ("start", pa.int32()), ("n", pa.int32()), ("at", pa.int32()), ("a", pa.int64()),
                     ("many", pa.bool_()), ("slice", pa.binary())])
 
 
 def slices(docs: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
-    """The bytes of wanted slices: wanted has doc_id, _h and an array ``own`` of struct<start, n, a, many>."""
+    """The bytes of wanted slices: wanted has doc_id, _h and an array ``own`` of struct<start, n, at, a, many>."""
     joined = packed(docs).join(wanted.withColumnsRenamed({"doc_id": "_id", "_h": "_k"}),
                                F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_h") == F.col("_k"))).select("doc_id", "_h", "z", "own")
 
@@ -225,12 +226,12 @@ def slices(docs: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
                 seen.add((d, h))
                 text = unpack(z)
                 for x in own:
-                    for k, v in (("doc_id", d), ("_h", h), ("start", x["start"]), ("n", x["n"]), ("a", x["a"]), ("many", x["many"]),
+                    for k, v in (("doc_id", d), ("_h", h), ("start", x["start"]), ("n", x["n"]), ("at", x["at"]), ("a", x["a"]), ("many", x["many"]),
                                  ("slice", text[x["start"]:x["start"] + x["n"] - 1 + length])):
                         out[k].append(v)
             yield batch_of(_SLICE, out)
 
-    return joined.mapInArrow(run, "doc_id long, _h long, start int, n int, a long, many boolean, slice binary")
+    return joined.mapInArrow(run, "doc_id long, _h long, start int, n int, at int, a long, many boolean, slice binary")
 
 
 _SPAN = "doc_id long, _h long, start int, end int"
@@ -287,24 +288,64 @@ def class_spans(rows: DataFrame, length: int, keep_first: bool) -> DataFrame:
     return rows.mapInArrow(run, _SPAN)
 
 
-def window_rows(rows: DataFrame, length: int) -> DataFrame:
-    """Every window of the slices with two hashes: for anchors with very many different slices."""
-    schema = pa.schema([("doc_id", pa.int64()), ("_h", pa.int64()), ("start", pa.int32()), ("w1", pa.int64()), ("w2", pa.int64())])
+_WINDOW = pa.struct([("start", pa.int32()), ("w1", pa.int64()), ("w2", pa.int64())])
+
+
+def window_groups(rows: DataFrame, length: int) -> DataFrame:
+    """Up to ``GROUP`` neighbouring windows of a slice, those at the same distances from the anchor: ``c``, a hash of the anchor
+    and of the bytes that all windows at these distances have in common, ``f``, a hash of all their bytes, and two
+    hashes of each window. Equal windows are in groups of equal ``c``; groups of equal ``f`` are equal."""
+    schema = pa.schema([("doc_id", pa.int64()), ("_h", pa.int64()), ("start", pa.int32()), ("n", pa.int32()), ("c", pa.int64()),
+                        ("f", pa.int64()), ("windows", pa.list_(_WINDOW))])
 
     def run(batches):
         for batch in sliced(batches, "slice", 1 << 18):
             data, offsets = bytes_of(batch.column("slice"))
-            sizes = batch.column("n").to_numpy().astype(np.int64)
-            inside = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-            x = inside + np.repeat(offsets[:-1], sizes)
+            n, at, start = (batch.column(c).to_numpy().astype(np.int64) for c in ("n", "at", "start"))
+            row = np.repeat(np.arange(len(n)), n)
+            inside = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+            x = inside + offsets[row]
             prefix, half = prefix_hashes(data), length // 2
-            hashes = [span_hashes(prefix, x, x + half), span_hashes(prefix, x + half, x + length)]
-            row = pa.array(np.repeat(np.arange(len(sizes)), sizes))
-            yield batch_of(schema, {"doc_id": batch.column("doc_id").take(row), "_h": batch.column("_h").take(row),
-                                    "start": inside + np.repeat(batch.column("start").to_numpy(), sizes),
-                                    "w1": hashes[0].view(np.int64), "w2": hashes[1].view(np.int64)})
+            w1, w2 = span_hashes(prefix, x, x + half), span_hashes(prefix, x + half, x + length)
+            distance = at[row] - inside                 # from the window's start to the anchor
+            block = distance // GROUP
+            new = np.ones(len(x), bool)
+            new[1:] = (row[1:] != row[:-1]) | (block[1:] != block[:-1])
+            first = np.flatnonzero(new)
+            last = np.append(first[1:], len(x)) - 1
+            anchor = offsets[row[first]] + at[row[first]]
+            # what windows at distances block * GROUP .. + GROUP - 1 share: from the nearest start to the earliest end
+            c = span_hashes(prefix, anchor - block[first] * GROUP, anchor - block[first] * GROUP - (GROUP - 1) + length)
+            c = mixed(c ^ mixed(batch.column("a").to_numpy().view(np.uint64)[row[first]] + block[first].astype(np.uint64) * GOLDEN))
+            f = mixed(span_hashes(prefix, x[first], x[last] + length) + distance[first].astype(np.uint64) * GOLDEN)
+            windows = pa.StructArray.from_arrays([pa.array(inside + start[row], pa.int32()), pa.array(w1.view(np.int64)),
+                                                  pa.array(w2.view(np.int64))], fields=list(_WINDOW))
+            ids = pa.array(row[first])
+            yield batch_of(schema, {"doc_id": batch.column("doc_id").take(ids), "_h": batch.column("_h").take(ids),
+                                    "start": (inside + start[row])[first], "n": last - first + 1, "c": c.view(np.int64), "f": f.view(np.int64),
+                                    "windows": pa.ListArray.from_arrays(pa.array(np.append(first, len(x)), pa.int32()), windows)})
+
+    return rows.mapInArrow(run, "doc_id long, _h long, start int, n int, c long, f long, windows array<struct<start int, w1 long, w2 long>>")
+
+
+def _kinds(rows: DataFrame, group: str, content: str, *more: str) -> DataFrame:
+    """One row for each content of a group: the first place that has it, and how many do."""
+    return (rows.groupBy(group, content)
+            .agg(F.min(F.struct("doc_id", "_h", "start", "n", *more)).alias("first"), F.count("*").alias("copies")))
+
+
+def _copied(rows: DataFrame, kinds: DataFrame, group: str, content: str, length: int, keep_first: bool) -> DataFrame:
+    """Spans of rows whose content occurs again as a whole (with ``keep_first``: but for the first)."""
+    out = rows.join(kinds.where("copies > 1").select(group, content, F.col("first").alias("_f")), [group, content])
+    if keep_first:
+        out = out.where(~F.struct("doc_id", "_h", "start").eqNullSafe(F.struct("_f.doc_id", "_f._h", "_f.start")))
+    return out.select("doc_id", "_h", "start", (F.col("start") + F.col("n") - 1 + length).alias("end"))
 
-    return rows.mapInArrow(run, "doc_id long, _h long, start int, w1 long, w2 long")
+
+def _different(kinds: DataFrame, group: str, keep_first: bool) -> DataFrame:
+    """Groups with different contents, of which one at least may still hold something new."""
+    return (kinds.groupBy(group).agg(F.count("*").alias("slices"), F.sum((F.col("copies") == 1).cast("long")).alias("open"))
+            .where(F.col("slices") > 1).where(F.lit(True) if keep_first else F.col("open") > 0))
 
 
 def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, keep_first: bool = False,
@@ -315,28 +356,24 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, keep
     every = anchor_rows(docs, length, gram)
     often = every.groupBy("a").agg(F.count("*").alias("n")).where("n > 1").select("a")
     some = saved(every.join(often, "a"), "anchors")
-    place = F.struct("doc_id", "_h", "start", "n")
-    kinds = saved(some.groupBy("a", "s").agg(F.min(place).alias("first"), F.count("*").alias("copies")), "anchor-slices")
-    # slices that repeat as a whole
-    copied = some.join(kinds.where("copies > 1").select("a", "s", "first"), ["a", "s"])
-    if keep_first:
-        copied = copied.where(~place.eqNullSafe(F.col("first")))
-    whole = copied.select("doc_id", "_h", "start", (F.col("start") + F.col("n") - 1 + length).alias("end"))
-    # anchors with different slices, of which one at least is still open
-    different = (kinds.groupBy("a").agg(F.count("*").alias("slices"), F.sum((F.col("copies") == 1).cast("long")).alias("open"))
-                 .where(F.col("slices") > 1).where(F.lit(True) if keep_first else F.col("open") > 0))
-    wanted = (kinds.join(different, "a").select("first.*", "a", (F.col("slices") > class_slices).alias("many"))
-              .groupBy("doc_id", "_h").agg(F.collect_list(F.struct("start", "n", "a", "many")).alias("own")))
+    kinds = saved(_kinds(some, "a", "s", "at"), "anchor-slices")
+    whole = _copied(some, kinds, "a", "s", length, keep_first)
+    wanted = (kinds.join(_different(kinds, "a", keep_first), "a").select("first.*", "a", (F.col("slices") > class_slices).alias("many"))
+              .groupBy("doc_id", "_h").agg(F.collect_list(F.struct("start", "n", "at", "a", "many")).alias("own")))
     cut = saved(slices(docs, wanted, length), "slices")
     few = class_spans(cut.where(~F.col("many")).repartition("a").sortWithinPartitions("a", "doc_id", "_h", "start"), length, keep_first)
-    windows = window_rows(cut.where("many"), length)
+    # anchors with very many slices: the same steps once more, on groups of windows and then on windows
+    groups = window_groups(cut.where("many"), length)
+    parts = saved(_kinds(groups, "c", "f", "windows"), "window-groups")
+    many = _copied(groups, parts, "c", "f", length, keep_first)
+    windows = (parts.join(_different(parts, "c", keep_first), "c").select("first.doc_id", "first._h", F.inline("first.windows")))
     spot = F.struct("doc_id", "_h", "start")
-    again = windows.groupBy("w1", "w2").agg(F.count("*").alias("n"), F.min(spot).alias("first")).where("n > 1")
-    hot = windows.join(again, ["w1", "w2"])
+    again = windows.groupBy("w1", "w2").agg(F.count("*").alias("n"), F.min(spot).alias("first")).where("n > 1").drop("n")
+    single = windows.join(again, ["w1", "w2"])
     if keep_first:
-        hot = hot.where(~spot.eqNullSafe(F.col("first")))
-    many = hot.select("doc_id", "_h", "start", (F.col("start") + length).alias("end"))
-    return (whole.unionByName(few).unionByName(many).groupBy("doc_id", "_h")
+        single = single.where(~spot.eqNullSafe(F.col("first")))
+    single = single.select("doc_id", "_h", "start", (F.col("start") + length).alias("end"))
+    return (whole.unionByName(few).unionByName(many).unionByName(single).groupBy("doc_id", "_h")
             .agg(F.collect_set(F.struct("start", "end")).alias("spans")))
 
 
