@@ -1,6 +1,7 @@
 """Queries with SQL against DuckDB, on the given tables and on odd rows."""
 
 import duckdb
+import pandas as pd
 import pytest
 from conftest_paths import SF001
 from helpers import ODD_ROWS, TABLES, long_text
@@ -18,7 +19,7 @@ def same(spark, folder, name):
     columns = sorted(want.columns)
 
     def key(df):
-        plain = lambda v: "" if v is None or v != v else str(int(v)) if isinstance(v, float) else str(v)
+        plain = lambda v: "" if pd.isna(v) else str(int(v)) if isinstance(v, float) else str(v)
         return sorted(tuple(plain(v) for v in row) for row in df[columns].astype(object).itertuples(index=False))
 
     assert key(got) == key(want)
