@@ -15,9 +15,9 @@ the smallest gaps. Units repeat a lot, so each task keeps those it has seen.
 from __future__ import annotations
 
 import heapq
-import os
 import re
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -25,12 +25,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cartwheel.llm.common import sliced, table
+from cartwheel.llm.common import GOLDEN, sliced, table
 
 N_BEST = 4
 MARK = "▁"
 UNKNOWN_PENALTY = 10.0      # an unknown character scores this much less than the worst piece
-KNOWN_UNITS = 60_000        # units that a task keeps in each of two generations
+KNOWN_UNITS = 250_000       # units that a task remembers before it starts anew
+BATCH_BYTES = 4 << 20       # text whose new units are searched together
+UNIT_CHARS = 32             # longer units are searched one by one
 NORMAL, UNKNOWN, BYTE, USER = 1, 2, 6, 4
 INF = float("inf")
 
@@ -72,6 +74,7 @@ class Vocabulary:
         values = {i: bytes([b]) for b, i in byte_ids.items()}
         self.bytes = [values.get(i) or (n.replace(MARK, " ").encode() if n in pieces else b"\xef\xbf\xbd" * (i == unknown))
                       for i, n in enumerate(names)]
+        self.lookup = _Lookup(pieces)
         joined = {c for p in pieces if len(p) > 1 for c in p}
         runs = "".join(re.escape(c) for c in sorted(joined - {MARK}))
         crossing = any(re.search(f"[^{MARK}]{MARK}", p) for p in pieces)
@@ -112,56 +115,191 @@ class Vocabulary:
                 heapq.heappush(heap, (-(ahead[i] + score + s), back + ids[::-1], i, score + s))
         return found
 
+    def first_two(self, units: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """For many units of one length at once: ids of the best, one unit after the other, how many, their score, and how
+        much worse the second best is (infinite if there is none). The search of ``n_best``, as far
+        as its second result: that leaves the best path at one place, walking back, by an edge that is not the
+        best there, and takes the Viterbi path from it."""
+        n, count = len(units[0]), len(units)
+        chars = np.frombuffer("".join(units).encode("utf-32-le", "surrogatepass"), np.uint32).reshape(count, n)
+        ahead, hashes = np.zeros((n + 1, count)), []
+        gap, came, used = (np.zeros((n + 1, count), t) for t in (np.float64, np.int8, np.int32))
+        for j in range(1, n + 1):
+            best, second = np.full(count, -INF), np.full(count, -INF)
+            hashes.append(np.zeros(count, np.uint64))
+            for i in range(max(0, j - self.longest), j):
+                hashes[i] = _Lookup.further(hashes[i], chars[:, j - 1])
+                ids, scores = self.lookup(hashes[i], j - i)
+                if i == j - 1:      # a character that is no piece: its bytes
+                    scores = np.where(ids < 0, self.unknown_score, scores)
+                total = ahead[i] + scores
+                # equal scores: the smaller id first
+                better = (total > best) | ((total == best) & (total > -INF) & (ids < used[j]))
+                second = np.maximum(second, np.minimum(best, total))
+                best = np.maximum(best, total)
+                came[j] = np.where(better, i, came[j])
+                used[j] = np.where(better, ids, used[j])
+            ahead[j], gap[j] = best, best - second
+        at, least, every = np.full(count, n), np.full(count, INF), np.arange(count)
+        steps = []
+        while True:
+            live = at > 0
+            if not live.any():
+                break
+            least = np.where(live, np.minimum(least, gap[at, every]), least)
+            steps.append(np.where(live, used[at, every], -2))
+            at = np.where(live, came[at, every], 0)
+        path = np.stack(steps[::-1], axis=1).astype(np.int32)       # -2: no step, -1: an unknown character
+        sizes, flat = (path >= 0).sum(axis=1), path[path >= 0]
+        unknown = np.flatnonzero((path == -1).any(axis=1))
+        if len(unknown):
+            cuts = np.split(flat, np.cumsum(sizes)[:-1])
+            for k in unknown.tolist():
+                cuts[k] = self.slowly(units[k])[0]
+                sizes[k] = len(cuts[k])
+            flat = np.concatenate(cuts)
+        return flat, sizes, ahead[n], least
+
+    def slowly(self, unit: str) -> tuple[np.ndarray, int, float, float]:
+        """The same for one unit."""
+        best = self.n_best(unit, 2)
+        return np.array(best[0][1], np.int32), len(best[0][1]), best[0][0], best[0][0] - best[1][0] if len(best) > 1 else INF
+
     def decode(self, ids) -> str:
         raw = b"".join([self.bytes[i] for i in ids])
         return raw[len(self.prefix and b" "):].decode("utf-8", "replace")
 
 
+class _Lookup:
+    """Ids and scores of many strings of one length at once: a hash table in arrays."""
+
+    def __init__(self, pieces: dict[str, tuple[int, float]]):
+        self.by_length: dict[int, tuple] = {}
+        lengths: dict[int, list[str]] = {}
+        for p in pieces:
+            lengths.setdefault(len(p), []).append(p)
+        for n, own in lengths.items():
+            bits = max(4, (8 * len(own)).bit_length())
+            chars = np.frombuffer("".join(own).encode("utf-32-le", "surrogatepass"), np.uint32).reshape(len(own), n)
+            hashes = self.hashed(chars)
+            table, values = np.zeros(1 << bits, np.uint64), np.full(1 << bits, -1, np.int32)
+            mask = (1 << bits) - 1
+            for h, piece in zip(hashes.tolist(), own):
+                slot = h & mask
+                while values[slot] >= 0:
+                    if int(table[slot]) == h:
+                        raise ValueError("two pieces with one hash")
+                    slot = slot + 1 & mask
+                table[slot], values[slot] = h, pieces[piece][0]
+            scores = np.full(1 << bits, -INF)
+            score_of = {i: s for i, s in pieces.values()}
+            full = values >= 0
+            scores[full] = [score_of[i] for i in values[full].tolist()]
+            self.by_length[n] = (table, values, scores, np.uint64(mask))
+
+    @staticmethod
+    def further(hashes: np.ndarray, char: np.ndarray) -> np.ndarray:
+        """The hashes of strings that are one character longer."""
+        out = (hashes ^ char) * GOLDEN
+        return out ^ (out >> np.uint64(29))
+
+    def hashed(self, chars: np.ndarray) -> np.ndarray:
+        out = np.zeros(len(chars), np.uint64)
+        for k in range(chars.shape[1]):
+            out = self.further(out, chars[:, k])
+        return out
+
+    def __call__(self, hashes: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+        """-1 and minus infinity where there is no piece with the hash."""
+        own = self.by_length.get(length)
+        if own is None:
+            return np.full(len(hashes), -1, np.int32), np.full(len(hashes), -INF)
+        table, values, scores, mask = own
+        slot = (hashes & mask).astype(np.int64)
+        ids, out = values[slot], scores[slot]
+        wrong = np.flatnonzero((table[slot] != hashes) & (ids >= 0))
+        while len(wrong):
+            slot[wrong] = slot[wrong] + 1 & int(mask)
+            ids[wrong], out[wrong] = values[slot[wrong]], scores[slot[wrong]]
+            wrong = wrong[(table[slot[wrong]] != hashes[wrong]) & (ids[wrong] >= 0)]
+        return ids, out
+
+
 class Encoder:
     """N-best segmentation of whole texts, with a bounded memory of units."""
 
     def __init__(self, vocabulary: Vocabulary, n: int = N_BEST, known: int = KNOWN_UNITS):
-        self.v, self.n, self.known = vocabulary, n, known
-        self.new: dict[str, tuple] = {}
-        self.old: dict[str, tuple] = {}
+        self.v, self.n, self.limit = vocabulary, n, known
+        self.forget()
+
+    def forget(self) -> None:
+        self.number: dict[str, int] = {}        # of each known unit; what is known follows in arrays
+        self.ranked: dict[str, list] = {}
+        self.ids, self.start, self.size = np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.score, self.gap = np.zeros(0), np.zeros(0)
+
+    def learn(self, units: set[str]) -> None:
+        lengths: dict[int, list[str]] = {}
+        for u in units:
+            lengths.setdefault(len(u), []).append(u)
+        found, order = [], []
+        for size, own in lengths.items():
+            if size <= UNIT_CHARS:
+                found.append(self.v.first_two(own))
+                order += own
+            else:
+                for u in own:
+                    found.append(tuple(np.atleast_1d(x) for x in self.v.slowly(u)))
+                    order.append(u)
+        if order:
+            self.number.update(zip(order, range(len(self.number), len(self.number) + len(order))))
+            ids, size, score, gap = (np.concatenate([x, *own]) for x, own in zip((self.ids, self.size, self.score, self.gap), zip(*found)))
+            self.ids, self.size, self.score, self.gap, self.start = ids, size, score, gap, np.cumsum(size) - size
+
+    def encode_all(self, texts: list[str | None]) -> list[list]:
+        """For each text first the ids of the best segmentation, then (score, edits) of the n best. An edit
+        (at, drop, put) replaces ``drop`` ids of the best at ``at`` by ``put``. Equal scores: the one that leaves the earlier
+        units at better ranks comes first. Units that are new are searched together."""
+        if len(self.number) > self.limit or len(self.ids) > 16 * self.limit:
+            self.forget()
+        units = [self.v.units(self.v.prefix + t.replace(" ", MARK)) if t else [] for t in texts]
+        self.learn(set().union(*units) - self.number.keys())
+        numbers = np.fromiter(map(self.number.__getitem__, chain.from_iterable(units)), np.int64)
+        size = self.size[numbers]
+        before = np.concatenate([[0], np.cumsum(size)])
+        ids = self.ids[np.arange(before[-1]) - np.repeat(before[:-1] - self.start[numbers], size)]
+        score, gap = self.score[numbers], self.gap[numbers]
+        out, a = [], 0
+        for own in units:
+            b = a + len(own)
+            out.append([ids[before[a]:before[b]], *self._n_best(own, float(score[a:b].sum()), gap[a:b], before[a:b + 1] - before[a])])
+            a = b
+        return out
+
+    def encode(self, text: str | None) -> list:
+        return self.encode_all([text])[0]
 
-    def unit(self, text: str) -> tuple[bytes, float, float, int]:
-        """Ids as packed int32, score, gap to the second best (infinite if there is none), number of ids."""
-        hit = self.old.get(text)
+    def _best(self, unit: str) -> list[tuple[float, tuple]]:
+        hit = self.ranked.get(unit)
         if hit is None:
-            best = self.v.n_best(text, min(2, self.n))
-            gap = best[0][0] - best[1][0] if len(best) > 1 else INF
-            hit = (np.array(best[0][1], np.int32).tobytes(), best[0][0], gap, len(best[0][1]))
-        if len(self.new) >= self.known:
-            self.old, self.new = self.new, {}
-        if len(text) <= 64:
-            self.new[text] = hit
+            hit = self.v.n_best(unit, self.n)
+            if len(unit) <= UNIT_CHARS and len(self.ranked) < self.limit // 10:
+                self.ranked[unit] = hit
         return hit
 
-    def encode(self, text: str | None) -> list[tuple[float, list[tuple[int, int, tuple]]] | np.ndarray]:
-        """First the ids of the best segmentation, then (score, edits) of the n best. An edit (at, drop, put) replaces
-        ``drop`` ids of the best at ``at`` by ``put``. Equal scores: the one that leaves the earlier units at better ranks
-        comes first."""
-        if not text:
-            return [np.zeros(0, np.int32), (0.0, [])]
-        get = self.new.get
-        units = self.v.units(self.v.prefix + text.replace(" ", MARK))
-        own = [get(u) or self.unit(u) for u in units]
-        ids = np.frombuffer(b"".join([o[0] for o in own]), np.int32)
-        score = sum([o[1] for o in own])
-        if self.n == 1:
-            return [ids, (score, [])]
-        gaps = np.array([o[2] for o in own])[::-1]
+    def _n_best(self, units: list[str], score: float, gaps: np.ndarray, starts: np.ndarray) -> list[tuple[float, list[tuple[int, int, tuple]]]]:
+        if not units or self.n == 1:
+            return [(score, [])]
+        gaps = gaps[::-1]
         few = np.argsort(gaps, kind="stable")[:self.n - 1]
-        at = sorted(len(own) - 1 - int(k) for k in few if gaps[k] < INF)
-        ranked = [self.v.n_best(units[u], self.n) for u in at]
+        at = sorted(len(units) - 1 - int(k) for k in few if gaps[k] < INF)
+        ranked = [self._best(units[u]) for u in at]
         # states: a rank for each chosen unit; each is reached from one other only
         heap = [(0.0, (0,) * len(at), 0)]
-        out: list = [ids]
-        starts = np.cumsum([0] + [o[3] for o in own])
-        while heap and len(out) <= self.n:
+        out: list = []
+        while heap and len(out) < self.n:
             lost, ranks, first = heapq.heappop(heap)
-            edits = [(int(starts[at[k]]), own[at[k]][3], ranked[k][r][1]) for k, r in enumerate(ranks) if r]
+            edits = [(int(starts[at[k]]), int(starts[at[k] + 1] - starts[at[k]]), ranked[k][r][1]) for k, r in enumerate(ranks) if r]
             out.append((score - lost, edits))
             for k in range(first, len(at)):
                 r = ranks[k] + 1
@@ -209,9 +347,9 @@ def encode(docs: DataFrame, model_path: str | None = None, n: int = N_BEST, text
                                                 T.StructField("n_best", NBEST), T.StructField("decoded", T.StringType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in sliced(batches, text):
+        for batch in sliced(batches, text, BATCH_BYTES):
             encoder = _encoder(model.value, n)
-            found = [encoder.encode(t) for t in batch.column(text).to_pylist()]
+            found = encoder.encode_all(batch.column(text).to_pylist())
             sizes = np.cumsum([0] + [len(f[0]) for f in found]).astype(np.int32)
             flat = np.concatenate([f[0] for f in found])
             columns = {c: batch.column(c) for c in batch.schema.names}
