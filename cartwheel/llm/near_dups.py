@@ -5,34 +5,38 @@ similarity of 0.8 or more. A tree starts from all documents. A node chooses plac
 signature at random and sends each document to one child per place, named by the document's minwise
 token there; similar documents stay together with the probability of their similarity at each place. Small
 nodes compare all their documents; large nodes branch again. ``TREES`` independent trees make the chance to miss a
-pair vanish: a pair at 0.8 meets in 16 of 20 trees on average, and in none with 0.2 ** 20.
+pair vanish: a pair at 0.8 meets in 8 of 10 trees on average, and in none with 0.2 ** 10.
 
 What makes groups of many copies cheap: equal sets are one row from the start. In every node all documents are first compared with
 the smallest one; links are confirmed on full sets and joined to components. Pairs inside one
-component need no comparison, so small nodes compare, and large ones branch, only where they hold
-more than one component.
+component need no comparison, so afterwards only nodes with several components matter, and in them the documents outside the largest
+component: these few are compared with all. A node with more than ``SMALL`` of them branches. Comparing happens inside the
+tasks: first on sketches, which leaves the rows that have a possible partner, then on their full sets. Only
+links become rows, and a pair is compared in the first node that it shares.
 """
 
 from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cartwheel.llm.common import GOLDEN, MIX1, MIX2, batch_of, bytes_of, mixed, prefix_hashes, saved, sliced, span_hashes, table
+from cartwheel.llm.common import GOLDEN, MIX1, MIX2, batch_of, bytes_of, drop_saved, mixed, prefix_hashes, saved, sliced, span_hashes, table
 
 PERCENT = 80
 PLACES = 64             # of the minhash signature
-TREES = 20
-SMALL = 64              # documents that a node compares all with all
+TREES = 10
+SMALL = 8000            # documents outside its largest component that a node compares with all
+BLOCK = 4096            # documents of the largest component that one task compares with them
 BRANCH = 2.5            # children of a document in a large node, on average
-DEPTH = 6               # deeper nodes are compared in blocks, whatever their size
-# Two sets with similarity 0.8 agree in 51 of 64 places on average, with a deviation of 3.2; fewer than this many are not looked at further.
-AGREE = 30
+DEPTH = 6               # deeper nodes are compared in pairs of blocks, whatever their size
+# Two sets with similarity 0.8 agree in 51 of 64 places on average, with a deviation of 3.2; fewer than this many, six deviations, are not looked at further.
+AGREE = 32
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[0x41:0x5B] += 32
@@ -106,11 +110,11 @@ def shingle_sets(docs: DataFrame) -> DataFrame:
 # connected components ----------------------------------------------------------------------------
 
 def components(edges: DataFrame) -> DataFrame:
-    """(node, label): the smallest node that each node of the edges (a, b) reaches. Large-star and
-    small-star steps in turn, on the edges alone; the number of steps grows with the logarithm of the size."""
+    """(node, label): the smallest node that each node of the edges (a, b) reaches, smallest nodes themselves left out.
+    Large-star and small-star steps in turn, on the edges alone, until every component is a star around its
+    smallest node; the number of steps grows with the logarithm of the size."""
     now = saved(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct(), "edges")
-    mark = _mark(now)
-    while True:
+    while not _stars(now):
         # large star: every larger neighbour goes to the smallest of the neighbourhood
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
@@ -120,15 +124,17 @@ def components(edges: DataFrame) -> DataFrame:
         small = (large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
                  .unionByName(least.select("u", F.col("m").alias("v"))).where("u <> v").distinct())
         after = saved(small, "edges")
-        last, mark = mark, _mark(after)
+        drop_saved(now)
         now = after
-        if mark == last:
-            return now.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("label"))
+    return now.select(F.col("u").alias("node"), F.col("v").alias("label"))
 
 
-def _mark(edges: DataFrame) -> tuple:
-    row = edges.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("s")).first()
-    return row.n, row.s
+def _stars(edges: DataFrame) -> bool:
+    """Whether no node has two smaller neighbours, or both a smaller and a larger one."""
+    ends = edges.select(F.col("u").alias("n"), F.lit(1).alias("up"), F.lit(0).alias("down")).unionByName(
+        edges.select(F.col("v").alias("n"), F.lit(0).alias("up"), F.lit(1).alias("down")))
+    return (ends.groupBy("n").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+            .where("up > 1 OR up > 0 AND down > 0").isEmpty())
 
 
 # the join ----------------------------------------------------------------------------------------
@@ -137,9 +143,13 @@ def _sketch():
     return F.transform("sig", lambda x: (x.bitwiseAND(F.lit(255)) - 128).cast("tinyint"))
 
 
-def _agree(a: np.ndarray, b: np.ndarray, na: np.ndarray, nb: np.ndarray, percent: int) -> np.ndarray:
-    near = (a == b).sum(axis=1) >= AGREE
-    return near & (100 * np.minimum(na, nb) >= percent * np.maximum(na, nb))
+def _sizes_agree(a: np.ndarray, b: np.ndarray, percent: int) -> np.ndarray:
+    """Whether sets of these sizes can be similar."""
+    return 100 * np.minimum(a, b) >= percent * np.maximum(a, b)
+
+
+def _agree(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    return (a == b).sum(axis=1) >= AGREE
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
@@ -160,15 +170,26 @@ def _with_first(rows: DataFrame, percent: int) -> DataFrame:
     def run(batches):
         for t in batches:
             if t.num_rows:
-                near = _agree(_matrix(t.column("sa")), _matrix(t.column("sb")), t.column("na").to_numpy(), t.column("nb").to_numpy(), percent)
+                near = _sizes_agree(t.column("na").to_numpy(), t.column("nb").to_numpy(), percent)
+                near &= _agree(_matrix(t.column("sa")), _matrix(t.column("sb")))
                 at = pa.array(np.flatnonzero(near))
                 yield pa.RecordBatch.from_arrays([t.column("a").take(at), t.column("b").take(at)], schema=_PAIR)
 
     return pairs.mapInArrow(run, "a long, b long").distinct()
 
 
-def _all_pairs(rows: DataFrame, percent: int) -> DataFrame:
-    """Pairs of different components inside each (small) node, where the sketches agree. Only pairs that agree become rows."""
+def _similar(x: bytes, y: bytes, percent: int) -> bool:
+    a, b = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+    both = len(a) + len(b) - len(np.unique(np.concatenate([a, b])))
+    return 100 * both >= percent * (len(a) + len(b) - both)
+
+
+def _compared(rows: DataFrame, percent: int, exact: bool) -> DataFrame:
+    """Compare documents of different components inside each node. rows: (node, rep, n, label, minor, lead, tree, roots,
+    open, sketch). Of a pair one is ``minor``, outside the node's largest component; both only in the ``lead`` block of a node. A
+    pair that shares an earlier tree which is ``open`` (a bit for each tree) is compared there.
+
+    Without ``exact`` the rows that have a partner by their sketches; with it, and full sets in ``set``, the links."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rest: pa.Table | None = None
         for batch in batches:
@@ -177,29 +198,54 @@ def _all_pairs(rows: DataFrame, percent: int) -> DataFrame:
             t = pa.Table.from_batches([batch])
             t = t if rest is None else pa.concat_tables([rest, t])
             node = t["node"].to_numpy()
-            cut = int(np.flatnonzero(node != node[-1])[-1]) + 1 if (node != node[-1]).any() else 0
+            other = np.flatnonzero(node != node[-1])
+            cut = int(other[-1]) + 1 if len(other) else 0
             rest = t.slice(cut)
             if cut:
-                yield compared(t.slice(0, cut))
+                yield from compared(t.slice(0, cut).combine_chunks())
         if rest is not None:
-            yield compared(rest)
-
-    def compared(t: pa.Table) -> pa.RecordBatch:
-        t = t.combine_chunks()
-        node, rep, n, label = (t[c].to_numpy() for c in ("node", "rep", "n", "label"))
-        sketch = _matrix(t["sketch"].combine_chunks())
+            yield from compared(rest.combine_chunks())
+
+    def compared(t: pa.Table) -> Iterator[pa.RecordBatch]:
+        node, rep, n, label, minor, lead, tree, opened = (t[c].to_numpy() for c in ("node", "rep", "n", "label", "minor", "lead", "tree", "open"))
+        sketch, roots = _matrix(t["sketch"].combine_chunks()), t["roots"].combine_chunks().flatten().to_numpy().reshape(len(node), -1)
+        bits = np.int64(1) << np.arange(roots.shape[1])
+
+        def near(i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            keep = (label[i] != label[j]) & np.where(minor[i] & minor[j], lead[i], minor[i] | minor[j]) & _sizes_agree(n[i], n[j], percent)
+            i, j = i[keep], j[keep]
+            before = (roots[i] == roots[j]) & ((opened[i][:, None] & bits) > 0) & (np.arange(roots.shape[1]) < tree[i][:, None])
+            keep = _agree(sketch[i], sketch[j]) & ~before.any(axis=1)
+            return i[keep], j[keep]
+
+        starts = np.flatnonzero(np.concatenate([[True], node[1:] != node[:-1]]))
+        size = np.diff(np.append(starts, len(node)))
+        few = np.repeat(size <= 32, size)
         found = []
-        for lag in range(1, len(node)):
-            i = np.flatnonzero(node[lag:] == node[:-lag])
+        for lag in range(1, 32):        # small nodes, all at once
+            i = np.flatnonzero((node[lag:] == node[:-lag]) & few[lag:])
             if not len(i):
                 break
-            i = i[label[i] != label[i + lag]]
-            near = _agree(sketch[i], sketch[i + lag], n[i], n[i + lag], percent)
-            found.append(np.stack([rep[i[near]], rep[i[near] + lag]]))
-        both = np.concatenate(found, axis=1) if found else np.zeros((2, 0), np.int64)
-        return batch_of(_PAIR, {"a": both.min(axis=0), "b": both.max(axis=0)})
+            found.append(near(i, i + lag))
+        for s, e in zip(starts[size > 32].tolist(), (starts + size)[size > 32].tolist()):
+            own = np.arange(s, e)
+            outside = own[minor[s:e]]
+            for i in outside.tolist():
+                j = own[~minor[s:e] | (own > i)]
+                found.append(near(np.full(len(j), i), j))
+        i, j = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in zip(*found)) if found else (np.zeros(0, np.int64),) * 2
+        if not exact:
+            some = np.zeros(len(node), bool)
+            some[i] = some[j] = True
+            yield from t.filter(pa.array(some)).combine_chunks().to_batches()
+            return
+        sets = t["set"].combine_chunks()
+        keep = [k for k, (x, y) in enumerate(zip(i.tolist(), j.tolist())) if _similar(sets[x].as_py(), sets[y].as_py(), percent)]
+        a, b = rep[i[keep]], rep[j[keep]]
+        yield batch_of(_PAIR, {"a": np.minimum(a, b), "b": np.maximum(a, b)})
 
-    return rows.repartition("node").sortWithinPartitions("node").mapInArrow(run, "a long, b long").where("a <> b").distinct()
+    dealt = rows.repartition("node").sortWithinPartitions("node")
+    return dealt.mapInArrow(run, "a long, b long") if exact else dealt.mapInArrow(run, rows.schema)
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -209,13 +255,8 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
     def run(batches):
         for batch in sliced(batches, "sa", 1 << 22):
-            keep = []
-            for k, (x, y) in enumerate(zip(batch.column("sa").to_pylist(), batch.column("sb").to_pylist())):
-                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                both = len(x) + len(y) - len(np.unique(np.concatenate([x, y])))
-                if 100 * both >= percent * (len(x) + len(y) - both):
-                    keep.append(k)
-            at = pa.array(keep, pa.int64())
+            same = [_similar(x, y, percent) for x, y in zip(batch.column("sa").to_pylist(), batch.column("sb").to_pylist())]
+            at = pa.array(np.flatnonzero(same))
             yield pa.RecordBatch.from_arrays([batch.column("a").take(at), batch.column("b").take(at)], schema=_PAIR)
 
     return joined.mapInArrow(run, "a long, b long")
@@ -233,7 +274,7 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, trees: int = TREES,
     classes = saved(own.where("n_shingles > 0").groupBy("k1", "k2")
                     .agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.first("sig").alias("sig")), "near-classes")
     known = classes.where("rep IS NOT NULL")
-    reps = known.select("rep", "n", _sketch().alias("sketch"))
+    reps = known.select("rep", "n", _sketch().alias("sketch"), F.slice("sig", 1, trees).alias("roots"))
     labels: DataFrame | None = None
     sets: DataFrame | None = None
 
@@ -243,42 +284,77 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, trees: int = TREES,
         return (rows.join(labels.withColumnRenamed("node", "rep"), "rep", "left")
                 .withColumn("label", F.coalesce("label", "rep")))
 
-    def link(pairs: DataFrame) -> None:
-        """Confirm pairs on full sets and join their components."""
-        nonlocal labels, sets
-        pairs = saved(pairs, "near-pairs")
-        if pairs.isEmpty():
-            return
-        need = pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).distinct()
+    def with_sets(need: DataFrame) -> DataFrame:
+        """The sets of (at least) the needed documents; each is computed once."""
+        nonlocal sets
+        need = need.select(F.col("rep").alias("doc_id")).distinct()
         if sets is not None:
-            need = need.join(sets.select(F.col("rep").alias("doc_id")), "doc_id", "left_anti")
+            need = saved(need.join(sets.select(F.col("rep").alias("doc_id")), "doc_id", "left_anti"), "near-need")
+            if need.isEmpty():
+                return sets
         # a class is known by its first document; equal rows and doc_ids are met once
         more = saved(shingle_sets(docs.join(need, "doc_id", "left_semi")).distinct(), "near-sets")
         sets = more if sets is None else sets.unionByName(more)
-        links = _confirmed(pairs, sets, percent)
-        if labels is not None:
-            links = links.unionByName(labels.select(F.col("node").alias("a"), F.col("label").alias("b")))
-        labels = components(links)
-
-    def mixed_nodes(rows: DataFrame, where: str) -> DataFrame:
-        """The rows of nodes with more than one component."""
-        count = rows.groupBy("node").agg(F.min("label").alias("l0"), F.max("label").alias("l1"), F.count("*").alias("size"))
-        return rows.join(count.where("l0 <> l1").where(where).select("node"), "node")
-
-    root = F.array(*[F.xxhash64(F.lit(t), F.col("sig")[t % PLACES]) for t in range(trees)])
-    nodes = known.select("rep", F.explode(root).alias("node"))
+        return sets
+
+    def link(links: DataFrame) -> None:
+        """Join the components that new links connect."""
+        nonlocal labels
+        links = saved(links, "near-links")
+        if not links.isEmpty():
+            old = [] if labels is None else [labels.select(F.col("node").alias("a"), F.col("label").alias("b"))]
+            labels = components(reduce(DataFrame.unionByName, old, links))
+
+    def mixed_nodes(rows: DataFrame) -> DataFrame:
+        """The rows of nodes with more than one component: whether a row is outside the largest, how many are, and in how many
+        blocks the largest is."""
+        kinds = rows.groupBy("node", "label").agg(F.count("*").alias("c"))
+        node = (kinds.groupBy("node").agg(F.sum("c").alias("size"), F.max(F.struct("c", "label")).alias("top"), F.count("*").alias("labels"))
+                .where("labels > 1").select("node", "top.label", (F.col("size") - F.col("top.c")).alias("outside"),
+                                            F.ceil(F.col("top.c") / BLOCK).cast("int").alias("blocks")).withColumnRenamed("label", "largest"))
+        return rows.join(node, "node").withColumn("minor", F.col("label") != F.col("largest")).drop("largest")
+
+    def compare(rows: DataFrame) -> None:
+        """Link the rows of mixed nodes, each compared by the documents outside its largest component."""
+        own = F.when(F.col("minor"), F.sequence(F.lit(0), F.col("blocks") - 1)).otherwise(
+            F.array(F.pmod(F.xxhash64("rep", F.lit(3)), F.col("blocks")).cast("int")))
+        opened = (rows.where("tree >= 0").groupBy("rep")
+                  .agg(F.bit_or(F.expr("shiftleft(1L, tree)")).alias("open")))
+        dealt = (rows.join(opened, "rep", "left").withColumn("open", F.coalesce("open", F.lit(0).cast("long")))
+                 .withColumn("block", F.explode(own)).withColumn("lead", F.col("block") == 0)
+                 .withColumn("node", F.when(F.col("lead"), F.col("node")).otherwise(F.xxhash64("node", "block"))).join(reps, "rep")
+                 .select("node", "rep", "n", "label", "minor", "lead", "tree", "roots", "open", "sketch"))
+        some = saved(_compared(dealt, percent, exact=False), "near-partners")
+        if not some.isEmpty():
+            link(_compared(some.join(with_sets(some), "rep"), percent, exact=True))
+
+    root = F.array(*[F.struct(F.lit(t).alias("tree"), F.xxhash64(F.lit(t), F.col("sig")[t % PLACES]).alias("node")) for t in range(trees)])
+    nodes = known.select("rep", F.inline(root))
     for depth in range(DEPTH + 1):
         shared = nodes.groupBy("node").agg(F.count("*").alias("size")).where("size > 1").select("node")
-        rows = saved(nodes.join(shared, "node"), "near-nodes")
-        link(_with_first(mixed_nodes(labelled(rows.join(reps, "rep")), "size > 1"), percent))
+        rows = saved(nodes.join(shared, "node").select("node", "rep", "tree"), "near-nodes")
+        first = saved(_with_first(labelled(rows).join(reps, "rep"), percent), "near-pairs")
+        if not first.isEmpty():
+            ends = first.select(F.col("a").alias("rep")).unionByName(first.select(F.col("b").alias("rep")))
+            link(_confirmed(first, with_sets(ends), percent))
+        mixed = mixed_nodes(labelled(rows))
+        if depth == DEPTH:
+            mixed = _blocks(mixed, small)
+        else:
+            whole = saved(mixed, "near-mixed")
+            large = whole.where(F.col("outside") > small)
+            mixed = whole.where(F.col("outside") <= small)
+        compare(mixed)
         if depth == DEPTH:
-            link(_all_pairs(_blocks(mixed_nodes(labelled(rows.join(reps, "rep")), "size > 1"), small), percent))
             break
-        link(_all_pairs(mixed_nodes(labelled(rows.join(reps, "rep")), f"size <= {small}"), percent))
-        large = mixed_nodes(labelled(rows), f"size > {small}").select("node", "rep")
+        # what is large still branches, where the new links left it more than one component
+        large = mixed_nodes(labelled(large.select("node", "rep", "tree"))).select("node", "rep")
         children = F.filter(F.transform("sig", lambda v, i: F.when(
             F.pmod(F.xxhash64("node", i), F.lit(1000)) < int(1000 * BRANCH / PLACES), F.xxhash64("node", i, v))), lambda c: c.isNotNull())
-        nodes = saved(large.join(known.select("rep", "sig"), "rep").select("rep", F.explode(children).alias("node")), "near-children")
+        nodes = saved(large.join(known.select("rep", "sig"), "rep")
+                      .select("rep", F.lit(-1).alias("tree"), F.explode(children).alias("node")), "near-children")
+        for done in (rows, first, whole):
+            drop_saved(done)
         if nodes.isEmpty():
             break
     group = classes.select("k1", "k2", "rep")
@@ -291,15 +367,31 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, trees: int = TREES,
 
 
 def _blocks(rows: DataFrame, size: int) -> DataFrame:
-    """Large nodes as pairs of blocks: each row goes to every pair that its block is in. Exact, and no task holds a whole node."""
-    count = rows.groupBy("node").agg(F.ceil(F.count("*") / F.lit(size)).cast("int").alias("blocks"))
-    own = F.pmod(F.xxhash64("rep", F.lit(3)), F.col("blocks")).cast("int")
+    """Nodes that never got small, as pairs of blocks: each row goes to every pair that its block is in. Exact, and no
+    task holds a whole node."""
+    count = rows.groupBy("node").agg(F.ceil(F.count("*") / F.lit(size)).cast("int").alias("parts"))
+    own = F.pmod(F.xxhash64("rep", F.lit(5)), F.col("parts")).cast("int")
     return (rows.join(count, "node").withColumn("own", own)
-            .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+            .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
             .withColumn("node", F.xxhash64("node", F.least("own", "other"), F.greatest("own", "other")))
-            .drop("own", "other", "blocks"))
+            .withColumn("blocks", F.lit(1)).withColumn("minor", F.lit(True)).withColumn("tree", F.lit(-1)).drop("own", "other", "parts"))
 
 
 def op9_near_duplicates(spark, sf_dir):
     """Components of near duplicates over all documents."""
     return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+OP9_SQL = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) > 1 THEN list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]) ELSE w END) AS g FROM d),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS shared FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL),
+l AS (SELECT x, y FROM p JOIN n nx ON x = nx.doc_id JOIN n ny ON y = ny.doc_id WHERE 100 * shared >= 80 * (nx.n + ny.n - shared)),
+e AS (SELECT x, y FROM l UNION ALL SELECT y, x FROM l),
+r AS (SELECT doc_id, doc_id AS c FROM d UNION SELECT e.y, r.c FROM r JOIN e ON e.x = r.doc_id)
+SELECT d.doc_id, coalesce(any_value(n.n), 0)::BIGINT AS n_shingles, min(r.c) AS component_id, d.doc_id = min(r.c) AS kept
+FROM d JOIN r USING (doc_id) LEFT JOIN n USING (doc_id) GROUP BY d.doc_id
+"""

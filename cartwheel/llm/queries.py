@@ -12,7 +12,7 @@ from cartwheel.llm.common import ship
 from cartwheel.llm.decontamination import OP10_SQL, op10_decontamination
 from cartwheel.llm.exact_dedup import OP6_SQL, op6_exact_dedup
 from cartwheel.llm.html import op4_html_extraction
-from cartwheel.llm.near_dups import op9_near_duplicates
+from cartwheel.llm.near_dups import OP9_SQL, op9_near_duplicates
 from cartwheel.llm.pieces import op3_sentencepiece
 from cartwheel.llm.repeats import op7_suffix_repeats
 from cartwheel.llm.sharding import op5_sharding
@@ -32,4 +32,4 @@ def _shipped(query: Query) -> Query:
 
 QUERIES = {f.__name__: _shipped(f) for f in (op1_warc_derivatives, op2_toxicity, op3_sentencepiece, op4_html_extraction, op5_sharding,
                                              op6_exact_dedup, op7_suffix_repeats, op8_chunk_dedup, op9_near_duplicates, op10_decontamination)}
-ORACLE = {"op6_exact_dedup": OP6_SQL, "op10_decontamination": OP10_SQL}
+ORACLE = {"op6_exact_dedup": OP6_SQL, "op9_near_duplicates": OP9_SQL, "op10_decontamination": OP10_SQL}
