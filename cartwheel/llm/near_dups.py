@@ -7,8 +7,8 @@ token there; similar documents stay together with the probability of their simil
 nodes compare all their documents; large nodes branch again. ``TREES`` independent trees make the chance to miss a
 pair vanish: a pair at 0.8 meets in 8 of 10 trees on average, and in none with 0.2 ** 10.
 
-What makes groups of many copies cheap: equal sets are one row from the start. In every node all documents are first compared with
-the smallest one; links are confirmed on full sets and joined to components. Pairs inside one
+What makes groups of many copies cheap: equal sets are one row from the start. In every first node all documents are first compared
+with the smallest one; links are confirmed on full sets and joined to components. Pairs inside one
 component need no comparison, so afterwards only nodes with several components matter, and in them the documents outside the largest
 component: these few are compared with all. A node with more than ``SMALL`` of them branches. Comparing happens inside the
 tasks: first on sketches, which leaves the rows that have a possible partner, then on their full sets. Only
@@ -37,6 +37,7 @@ BRANCH = 2.5            # children of a document in a large node, on average
 DEPTH = 6               # deeper nodes are compared in pairs of blocks, whatever their size
 # Two sets with similarity 0.8 agree in 51 of 64 places on average, with a deviation of 3.2; fewer than this many, six deviations, are not looked at further.
 AGREE = 32
+ID_BITS = 1 << 26       # of the bitmap of documents whose sets are needed: 8 MB
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[0x41:0x5B] += 32
@@ -97,14 +98,27 @@ def features(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n_shingles long, k1 long, k2 long, sig array<int>")
 
 
-def shingle_sets(docs: DataFrame) -> DataFrame:
-    """Of (doc_id, text): the sorted shingle hashes, packed."""
+def shingle_sets(docs: DataFrame, need: DataFrame) -> DataFrame:
+    """Of (doc_id, text): the sorted shingle hashes, packed, of the documents whose doc_id is needed, and of few others.
+
+    The needed ids are sent as a bitmap of their hashes, of at most ``ID_BITS`` bits however many there are, so no text is shuffled."""
+    bit = F.pmod(F.xxhash64("doc_id"), F.lit(ID_BITS))
+    parts = (need.select(bit.alias("bit")).groupBy(F.bitmap_bucket_number("bit").alias("part"))
+             .agg(F.bitmap_construct_agg(F.bitmap_bit_position("bit")).alias("bits")).collect())
+    wanted = docs.sparkSession.sparkContext.broadcast({int(r.part): bytes(r.bits) for r in parts})
+
     def run(batches):
+        bits = {k: np.unpackbits(np.frombuffer(v, np.uint8), bitorder="little").astype(bool) for k, v in wanted.value.items()}
         for batch in sliced(batches, "text"):
+            part, place = batch.column("part").to_numpy(), batch.column("place").to_numpy()
+            own = [k for k in range(batch.num_rows) if part[k] in bits and bits[part[k]][place[k]]]
+            batch = batch.take(pa.array(own, pa.int64()))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([s.tobytes() for s in _sets(batch.column("text"))], pa.binary())],
                                              names=["rep", "set"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "rep long, set binary")
+    rows = docs.where("doc_id IS NOT NULL").select("doc_id", "text", bit.alias("bit"))
+    return (rows.select("doc_id", "text", F.bitmap_bucket_number("bit").alias("part"), F.bitmap_bit_position("bit").alias("place"))
+            .mapInArrow(run, "rep long, set binary"))
 
 
 # connected components ----------------------------------------------------------------------------
@@ -287,13 +301,16 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, trees: int = TREES,
     def with_sets(need: DataFrame) -> DataFrame:
         """The sets of (at least) the needed documents; each is computed once."""
         nonlocal sets
-        need = need.select(F.col("rep").alias("doc_id")).distinct()
+        need = saved(need.select(F.col("rep").alias("doc_id")).distinct(), "near-need")
         if sets is not None:
             need = saved(need.join(sets.select(F.col("rep").alias("doc_id")), "doc_id", "left_anti"), "near-need")
             if need.isEmpty():
                 return sets
         # a class is known by its first document; equal rows and doc_ids are met once
-        more = saved(shingle_sets(docs.join(need, "doc_id", "left_semi")).distinct(), "near-sets")
+        more = shingle_sets(docs, need).distinct()
+        if sets is not None:
+            more = more.join(sets.select("rep"), "rep", "left_anti")
+        more = saved(more, "near-sets")
         sets = more if sets is None else sets.unionByName(more)
         return sets
 
@@ -333,10 +350,11 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, trees: int = TREES,
     for depth in range(DEPTH + 1):
         shared = nodes.groupBy("node").agg(F.count("*").alias("size")).where("size > 1").select("node")
         rows = saved(nodes.join(shared, "node").select("node", "rep", "tree"), "near-nodes")
-        first = saved(_with_first(labelled(rows).join(reps, "rep"), percent), "near-pairs")
-        if not first.isEmpty():
-            ends = first.select(F.col("a").alias("rep")).unionByName(first.select(F.col("b").alias("rep")))
-            link(_confirmed(first, with_sets(ends), percent))
+        if not depth:
+            first = saved(_with_first(labelled(rows).join(reps, "rep"), percent), "near-pairs")
+            if not first.isEmpty():
+                ends = first.select(F.col("a").alias("rep")).unionByName(first.select(F.col("b").alias("rep")))
+                link(_confirmed(first, with_sets(ends), percent))
         mixed = mixed_nodes(labelled(rows))
         if depth == DEPTH:
             mixed = _blocks(mixed, small)
@@ -353,7 +371,7 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, trees: int = TREES,
             F.pmod(F.xxhash64("node", i), F.lit(1000)) < int(1000 * BRANCH / PLACES), F.xxhash64("node", i, v))), lambda c: c.isNotNull())
         nodes = saved(large.join(known.select("rep", "sig"), "rep")
                       .select("rep", F.lit(-1).alias("tree"), F.explode(children).alias("node")), "near-children")
-        for done in (rows, first, whole):
+        for done in (rows, whole):
             drop_saved(done)
         if nodes.isEmpty():
             break
