@@ -128,27 +128,29 @@ def components(edges: DataFrame) -> DataFrame:
     Large-star and small-star steps in turn, on the edges alone, until every component is a star around its
     smallest node; the number of steps grows with the logarithm of the size."""
     now = saved(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct(), "edges")
-    while not _stars(now):
+    # links are few next to the documents: as many tasks as they fill, which adaptive execution would also come to
+    tasks = max(6, now.count() // 100_000)
+    while not _stars(now, tasks):
         # large star: every larger neighbour goes to the smallest of the neighbourhood
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
-        large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m")).coalesce(tasks)
+        large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).coalesce(tasks).distinct().coalesce(tasks)
         # small star: the node and its smaller neighbours go to the smallest of them
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
+        least = large.groupBy("u").agg(F.min("v").alias("m")).coalesce(tasks)
         small = (large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-                 .unionByName(least.select("u", F.col("m").alias("v"))).where("u <> v").distinct())
-        after = saved(small, "edges")
+                 .unionByName(least.select("u", F.col("m").alias("v"))).where("u <> v").coalesce(tasks).distinct())
+        after = saved(small.coalesce(tasks), "edges")
         drop_saved(now)
         now = after
     return now.select(F.col("u").alias("node"), F.col("v").alias("label"))
 
 
-def _stars(edges: DataFrame) -> bool:
+def _stars(edges: DataFrame, tasks: int) -> bool:
     """Whether no node has two smaller neighbours, or both a smaller and a larger one."""
     ends = edges.select(F.col("u").alias("n"), F.lit(1).alias("up"), F.lit(0).alias("down")).unionByName(
         edges.select(F.col("v").alias("n"), F.lit(0).alias("up"), F.lit(1).alias("down")))
     return (ends.groupBy("n").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
-            .where("up > 1 OR up > 0 AND down > 0").isEmpty())
+            .where("up > 1 OR up > 0 AND down > 0").coalesce(tasks).isEmpty())
 
 
 # the join ----------------------------------------------------------------------------------------
