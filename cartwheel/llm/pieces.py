@@ -3,7 +3,8 @@
 The pieces that match a text form a lattice; a segmentation is a path through it and its score the
 sum of its pieces' scores. A forward Viterbi pass gives the best score of every prefix. A search from
 the end backwards then uses these as the cost still to come: they are exact, so A-star returns whole
-paths in order of their score and never opens one that is not among the N best.
+paths in order of their score and never opens one that is not among the N best. Paths share the part they
+have in common, so a unit of any length fits.
 
 No piece reaches over certain places (before a space mark that follows another character, and around
 characters that no longer piece has), so the lattice falls apart into units. The Viterbi scores
@@ -16,6 +17,7 @@ from __future__ import annotations
 
 import heapq
 import re
+from array import array
 from collections.abc import Iterator
 from itertools import chain
 
@@ -81,39 +83,48 @@ class Vocabulary:
         run = f"[{runs}{MARK}]+" if crossing else f"{MARK}*[{runs}]+|{MARK}+" if runs else f"{MARK}+"
         self.units = re.compile(f"{run}|.", re.DOTALL).findall
 
-    def edges(self, unit: str) -> list[list[tuple[int, tuple, float]]]:
-        """For each end: (start, ids, score) of the pieces that end there."""
-        n = len(unit)
-        out: list[list] = [[] for _ in range(n + 1)]
-        get = self.pieces.get
-        for i in range(n):
-            single = False
-            for j in range(i + 1, min(n, i + self.longest) + 1):
-                hit = get(unit[i:j])
-                if hit is not None:
-                    out[j].append((i, (hit[0],), hit[1]))
-                    single |= j == i + 1
-            if not single:
-                ids = tuple(self.byte_ids[b] for b in unit[i].encode("utf-8", "replace")) if self.byte_ids else (self.unknown,)
-                out[i + 1].append((i, ids, self.unknown_score))
-        return out
+    def edges(self, unit: str, j: int) -> Iterator[tuple[int, int, float]]:
+        """(start, edge, score) of the pieces that end at a place. An edge is the id of its piece, or -1 - start for a character that is none."""
+        for i in range(max(0, j - self.longest), j):
+            hit = self.pieces.get(unit[i:j])
+            if hit is not None:
+                yield i, hit[0], hit[1]
+            elif i == j - 1:
+                yield i, -j, self.unknown_score
+
+    def ids_of(self, unit: str, edge: int) -> tuple[int, ...]:
+        if edge >= 0:
+            return (edge,)
+        return tuple(self.byte_ids[b] for b in unit[-1 - edge].encode("utf-8", "replace")) if self.byte_ids else (self.unknown,)
 
     def n_best(self, unit: str, n: int) -> list[tuple[float, tuple]]:
-        """The n best (score, ids) of a unit; equal scores in the order of their ids read from the end."""
-        edges = self.edges(unit)
-        ahead = [0.0] + [-INF] * len(unit)      # best score of each prefix
+        """The n best (score, ids) of a unit; equal scores in the order of their ids read from the end.
+
+        An open path stands for all segmentations that end with it, and costs what the best of them does. No two
+        share one, so of the open paths only as many as results are still missing can lead to one, and the others
+        go: memory grows with the length of the unit alone."""
+        ahead = array("d", [0.0])       # best score of each prefix
         for j in range(1, len(unit) + 1):
-            ahead[j] = max([ahead[i] + s for i, _, s in edges[j]], default=-INF)
-        heap: list[tuple[float, tuple, int, float]] = [(-ahead[-1], (), len(unit), 0.0)]
+            ahead.append(max([ahead[i] + s for i, _, s in self.edges(unit, j)], default=-INF))
+        paths = _Paths(lambda edge: self.ids_of(unit, edge)[::-1])
+        opened: list[tuple[float, int, int, int, float]] = []       # cost, path, one more edge, place, score; best first
         found: list[tuple[float, tuple]] = []
-        while heap and len(found) < n:
-            cost, back, j, score = heapq.heappop(heap)
+        path, j, score = 0, len(unit), 0.0
+        while True:
             if j == 0:
-                found.append((-cost, back[::-1]))
-                continue
-            for i, ids, s in edges[j]:
-                heapq.heappush(heap, (-(ahead[i] + score + s), back + ids[::-1], i, score + s))
-        return found
+                found.append((score, tuple(chain.from_iterable(self.ids_of(unit, e) for e in paths.edges(path)))))
+            else:
+                for i, edge, s in self.edges(unit, j):
+                    cost, at = -(ahead[i] + score + s), len(opened)
+                    while at and (cost < opened[at - 1][0] or cost == opened[at - 1][0] and paths.before(path, edge, *opened[at - 1][1:3])):
+                        at -= 1
+                    if at < n - len(found):
+                        opened.insert(at, (cost, path, edge, i, score + s))
+                        del opened[n - len(found):]
+            if len(found) == n or not opened:
+                return found
+            _, path, edge, j, score = opened.pop(0)
+            path = paths.add(path, edge)
 
     def first_two(self, units: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """For many units of one length at once: ids of the best, one unit after the other, how many, their score, and how
@@ -170,6 +181,50 @@ class Vocabulary:
         return raw[len(self.prefix and b" "):].decode("utf-8", "replace")
 
 
+class _Paths:
+    """Paths through a lattice, read from the end: each is a shorter one, its parent, and one more edge. Path 0 is
+    empty. A second link jumps over many parents, so two paths find where they part in few steps."""
+
+    def __init__(self, ids_of):
+        self.ids_of = ids_of        # of an edge, in the order in which they are compared
+        self.parent, self.edge, self.depth, self.jump = array("i", [0]), array("i", [0]), array("i", [0]), array("i", [0])
+
+    def add(self, path: int, edge: int) -> int:
+        far = self.jump[path]
+        even = self.depth[path] - self.depth[far] == self.depth[far] - self.depth[self.jump[far]]
+        self.jump.append(self.jump[far] if even else path)
+        self.parent.append(path)
+        self.edge.append(edge)
+        self.depth.append(self.depth[path] + 1)
+        return len(self.parent) - 1
+
+    def edges(self, path: int) -> Iterator[int]:
+        """The edge that was added last comes first."""
+        while path:
+            yield self.edge[path]
+            path = self.parent[path]
+
+    def _up(self, path: int, edge: int, depth: int) -> tuple[int, int]:
+        """The start of that depth of a path and one more edge, and the edge after it."""
+        if self.depth[path] == depth:
+            return path, edge
+        while self.depth[path] > depth + 1:
+            far = self.jump[path]
+            path = far if self.depth[far] > depth else self.parent[path]
+        return self.parent[path], self.edge[path]
+
+    def before(self, x: int, x_edge: int, y: int, y_edge: int) -> bool:
+        """Whether the ids of path x and one more edge come before those of y and one more; neither is the start of the other."""
+        depth = min(self.depth[x], self.depth[y])
+        (x, x_edge), (y, y_edge) = self._up(x, x_edge, depth), self._up(y, y_edge, depth)
+        while x != y:
+            if self.jump[x] != self.jump[y]:
+                x, y = self.jump[x], self.jump[y]
+            else:
+                x, x_edge, y, y_edge = self.parent[x], self.edge[x], self.parent[y], self.edge[y]
+        return self.ids_of(x_edge) < self.ids_of(y_edge)
+
+
 class _Lookup:
     """Ids and scores of many strings of one length at once: a hash table in arrays."""
 

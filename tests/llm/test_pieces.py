@@ -1,5 +1,8 @@
 import itertools
 import random
+import subprocess
+import sys
+from pathlib import Path
 
 import pytest
 from conftest_paths import SF001
@@ -78,6 +81,35 @@ def test_round_trip_and_odd_rows(spark):
         encode(encode(docs_of(spark, rows)))
 
 
+def test_ties_keep_the_order_of_their_ids():
+    """Many equal scores, and unknown characters, against a full sort."""
+    v = Vocabulary.of({"a": -1.0, "aa": -2.0, "aaa": -3.0, "b": -1.0, "ab": -2.0, "ba": -2.0})
+    r = random.Random(2)
+    for _ in range(60):
+        unit = "".join(r.choice("aaabx") for _ in range(r.randint(1, 11)))
+        assert v.n_best(unit, 7) == sorted(paths(v, unit), key=lambda p: (-p[0], p[1][::-1]))[:7]
+
+
+@pytest.mark.parametrize("letters", ["ACGT", "a"])
+def test_unbroken_text_of_a_million_characters(letters):
+    """One unit, in a process of 3 GB."""
+    code = """if True:
+        import random, resource, sys
+        resource.setrlimit(resource.RLIMIT_AS, (3 << 30, 3 << 30))
+        from cartwheel.llm.pieces import Encoder, Vocabulary, default_model, edited
+        with open(default_model(), "rb") as f:
+            vocabulary = Vocabulary(f.read())
+        text = "".join(random.Random(3).choices(sys.argv[1], k=1_000_000))
+        ids, *best = Encoder(vocabulary, 2).encode(text)
+        full = [edited(ids.tolist(), e) for _, e in best]
+        assert len(best) == 2 and best[0][0] >= best[1][0] and full[0] != full[1]
+        assert all(vocabulary.decode(x) == text for x in full)
+    """
+    got = subprocess.run([sys.executable, "-c", code, letters], capture_output=True, text=True, cwd=Path(__file__).resolve().parents[2],
+                         env={"PATH": "/usr/bin:/bin", "HOME": "/tmp", "OPENBLAS_NUM_THREADS": "1", "OMP_NUM_THREADS": "1"})
+    assert not got.returncode, got.stderr[-2000:]
+
+
 def test_query(spark):
     rows = op3_sentencepiece(spark, SF001).collect()
     assert len(rows) == spark.read.parquet(f"{SF001}/documents.parquet").count()
