@@ -4,6 +4,9 @@ A page is cut into blocks of text at block elements. The first pass looks at eac
 in navigation, page furniture or forms is boilerplate, so is a block of links; long blocks with
 stop words are content; the rest, mostly short, stays open. The second pass gives every open block
 the label of its nearest decided neighbour, blocks of its own section before others.
+
+Class and id names, and forms, also stand around whole pages (a layout "has-sidebar"). Whether such a mark counts is
+decided for the page: not around its main element or only article, nor around most of its good text.
 """
 
 from __future__ import annotations
@@ -45,6 +48,7 @@ RAW = "script|style|textarea|template|noscript|iframe|svg|math|title|noframes|xm
 # Elements that hold page furniture, and those that mark content.
 FURNITURE = frozenset("nav header footer aside form menu dialog button select fieldset".split())
 CONTENT = frozenset(("article", "main"))
+AROUND = frozenset(("form", "fieldset"))     # furniture that may also stand around a whole page
 SECTIONS = frozenset("article aside body details dialog div dl fieldset footer form header main menu nav ol section table td ul".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 ROLES = frozenset("alert alertdialog banner complementary contentinfo dialog form menu menubar navigation search".split())
@@ -54,6 +58,7 @@ MARKS = frozenset("ad ads advert adverts advertisement advertising sponsor spons
                   "subscription signup login share sharing social related recommended comment comments reply replies respond disqus widget "
                   "pagination pager search toolbar copyright disclaimer".split())
 _OWN = frozenset("article post entry story".split())
+_TALK = frozenset("comment comments reply replies respond disqus".split())
 
 _TOKEN = re.compile(rf"<!--.*?(?:-->|\Z)|<({RAW})\b[^>]*>.*?(?:</\1\s*>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>"
                     r"|<[!?/][^>]*(?:>|\Z)|<[a-zA-Z/][^>]*\Z", re.S | re.I)
@@ -86,6 +91,20 @@ def tokens(html: str) -> Iterator[tuple[str, str, str]]:
         yield "text", html[last:], ""
 
 
+@dataclass(eq=False)
+class Mark:
+    """An element that a name or a form marks as furniture; the first of a page is the page, which nothing marks."""
+    parent: "Mark | None"
+    talk: bool = False      # readers' comments
+    mains: int = 0          # elements inside
+    articles: int = 0
+    good: int = 0           # characters inside of blocks that are good but for marks
+    live: int = 0           # .. good or open
+    own_good: int = 0       # .. good, in no mark further inside
+    own_content: int = 0    # .. good or open, in an article or main element, in no mark further inside
+    ignored: bool = False
+
+
 @dataclass
 class Block:
     text: str
@@ -94,25 +113,37 @@ class Block:
     furniture: bool
     content: bool           # inside an article or main element
     heading: bool
+    mark: Mark
     label: str = ""
 
 
-def _is_furniture(name: str, source: str) -> bool:
-    if name in FURNITURE:
-        return True
+def _furniture(name: str, source: str) -> str:
+    """always, name or talk (marks that may stand around the text of a page), or nothing."""
+    if name in FURNITURE and name not in AROUND:
+        return "always"
+    around = "name" if name in AROUND else ""
     if not source or name in ("body", "html", "article", "main"):
-        return False
+        return around
     own = attributes(source)
-    if own.get("role", "").lower() in ROLES or "hidden" in own or own.get("aria-hidden", "").lower() == "true":
-        return True
+    role = own.get("role", "").lower()
+    if role in ROLES and role != "form" or "hidden" in own or own.get("aria-hidden", "").lower() == "true":
+        return "always"
     parts = {p.lower() for p in _PART.findall(own.get("class", "") + " " + own.get("id", ""))}
-    return bool(parts & MARKS) and not parts & _OWN or "comments" in parts or "comment" in parts
+    if parts & MARKS and not parts & _OWN or "comments" in parts or "comment" in parts:
+        return "talk" if parts & _TALK else "name"
+    return "name" if role == "form" else around
 
 
 def blocks(html: str) -> list[Block]:
     """The blocks of a page that have text, in page order."""
+    return _scan(html)[0]
+
+
+def _scan(html: str) -> tuple[list[Block], list[Mark]]:
+    """The blocks of a page, and its marks, outer ones first."""
     out: list[Block] = []
-    stack: list[tuple[str, int, bool, bool]] = [("", 0, False, False)]   # name, section, furniture, content
+    marks = [Mark(None, ignored=True)]
+    stack: list[tuple[str, int, bool, bool, Mark]] = [("", 0, False, False, marks[0])]   # name, section, furniture, content, mark
     text: list[str] = []
     links = link = sections = 0
     heading = False
@@ -122,11 +153,17 @@ def blocks(html: str) -> list[Block]:
         if text:
             joined = " ".join(unescape("".join(text)).split())
             if joined:
-                _, section, furniture, content = stack[-1]
-                out.append(Block(joined, min(links, len(joined)), section, furniture, content, heading))
+                _, section, furniture, content, mark = stack[-1]
+                out.append(Block(joined, min(links, len(joined)), section, furniture, content, heading, mark))
             text.clear()
         links = 0
 
+    def marked(kind: str, furniture: bool, mark: Mark) -> tuple[bool, Mark]:
+        if kind in ("name", "talk") and not furniture:
+            mark = Mark(mark, kind == "talk")
+            marks.append(mark)
+        return furniture or kind == "always", mark
+
     for kind, name, source in tokens(html):
         if kind == "text":
             text.append(name)
@@ -142,25 +179,68 @@ def blocks(html: str) -> list[Block]:
             if kind == "open":
                 if name in VOID or name == "p" or name in ("li", "dt", "dd", "tr"):
                     link = 0 if name != "br" else link
-                    if name not in VOID and _is_furniture(name, source):
+                    if name not in VOID and (found := _furniture(name, source)):
                         while stack[-1][0] == name:     # these end at the next of their kind
                             stack.pop()
-                        stack.append((name, stack[-1][1], True, stack[-1][3]))
+                        _, section, furniture, content, mark = stack[-1]
+                        furniture, mark = marked(found, furniture, mark)
+                        stack.append((name, section, furniture, content, mark))
                     elif stack[-1][0] == name:
                         stack.pop()
                 else:
-                    _, section, furniture, content = stack[-1]
+                    _, section, furniture, content, mark = stack[-1]
                     if name in SECTIONS:
                         sections += 1
                         section = sections
-                    stack.append((name, section, furniture or _is_furniture(name, source), content or name in CONTENT))
+                    furniture, mark = marked(_furniture(name, source), furniture, mark)
+                    if name in CONTENT and not furniture:
+                        mark.mains += name == "main"
+                        mark.articles += name == "article"
+                    stack.append((name, section, furniture, content or name in CONTENT, mark))
             else:
                 for k in range(len(stack) - 1, 0, -1):
                     if stack[k][0] == name:
                         del stack[k:]
                         break
     end()
-    return out
+    return out, marks
+
+
+def ignore_marks(page: list[Block], marks: list[Mark]) -> None:
+    """Decide which marks of a page do not count, from the labels that its blocks have without them.
+
+    Not counted are marks around a main element or the only article; where no article or main element has text outside of marks,
+    also those around most of the good text and most of all text that may be good. Comments are no page text because
+    they are long: their names are not counted only around nearly everything, where no good text is left otherwise."""
+    for b in page:
+        if b.label != "bad":
+            good = len(b.text) * (b.label == "good")
+            b.mark.good += good
+            b.mark.own_good += good
+            b.mark.live += len(b.text)
+            b.mark.own_content += len(b.text) * b.content
+    for m in reversed(marks[1:]):
+        m.parent.mains += m.mains
+        m.parent.articles += m.articles
+        m.parent.good += m.good
+        m.parent.live += m.live
+    whole = marks[0]
+
+    def outside() -> tuple[int, int]:
+        return sum(m.own_good for m in marks if m.ignored), sum(m.own_content for m in marks if m.ignored)
+
+    for m in marks[1:]:
+        m.ignored = m.parent.ignored and (m.mains > 0 or not m.talk and whole.articles == m.articles == 1)
+    _, content = outside()
+    for m in marks[1:]:
+        if m.parent.ignored and not m.ignored and not m.talk and not content and 2 * m.good > whole.good and 2 * m.live > whole.live:
+            m.ignored = True
+            content += m.own_content
+    good, content = outside()
+    for m in marks[1:]:
+        if m.parent.ignored and not m.ignored and not good and not content and m.good and 10 * m.live > 9 * whole.live:
+            m.ignored = True
+            good, content = m.own_good, m.own_content
 
 
 def first_pass(block: Block) -> str:
@@ -220,9 +300,13 @@ def main_text(html: str | None) -> str:
     """The text of the content blocks, one space between blocks and between words."""
     if not html:
         return ""
-    page = blocks(html)
+    page, marks = _scan(html)
     for b in page:
         b.label = first_pass(b)
+    ignore_marks(page, marks)
+    for b in page:
+        if not b.mark.ignored:
+            b.label = "bad"
     second_pass(page)
     return " ".join(b.text for b in page if b.label == "good")
 

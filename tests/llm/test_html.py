@@ -45,6 +45,31 @@ def test_attributes_and_blocks():
     assert blocks("<p><a href=x>all link</a></p>")[0].links == 8
 
 
+def test_marks_around_the_page():
+    """Names and forms around the text of a page do not make it furniture; those beside it do."""
+    body = f"<h1>News</h1><p>{PROSE} {PROSE}</p><p>{PROSE} {PROSE}</p>"
+    text = f"News {PROSE} {PROSE} {PROSE} {PROSE}"
+    beside = f'<div class="sidebar"><p>{PROSE} {PROSE}</p></div><div id="comments"><p>{PROSE} {PROSE}</p></div>'
+    for around in ['<div class="content has-sidebar">', '<div class="layout no-sidebar">', '<div class="site search-results">', "<form action=x>",
+                   '<div role="form">', '<div id="page" class="with-nav"><form><div class="social">', '<div class="comments-open">']:
+        for inner in (f"<main>{body}</main>", f"<article>{body}</article>", body):
+            assert main_text(f"<body>{around}{inner}") == text, (around, inner)
+            if "comments" not in around:
+                assert main_text(f"<body><nav>Menu</nav>{around}{inner}{beside}<footer>{PROSE} {PROSE}") == text, (around, inner)
+
+
+def test_marks_beside_the_page_still_count():
+    long = f"<p>{PROSE} {PROSE}</p>" * 5
+    post = f"<p>{PROSE} {PROSE}</p>"
+    for name in ("comments", "related", "sidebar"):
+        assert main_text(f'<article>{post}</article><div class="{name}">{long}</div>') == f"{PROSE} {PROSE}"
+        assert main_text(f'<div class="no-sidebar"><main>{post}</main></div><div class="{name}">{long}</div>') == f"{PROSE} {PROSE}"
+    assert main_text(f'<div>{post}</div><div id="comments">{long}</div>') == f"{PROSE} {PROSE}"
+    assert main_text(f'<article><p>Short of it.</p><div class="ad">{long}</div></article>') == "Short of it."
+    assert main_text(f"<article>{post}</article><aside>{long}</aside><form hidden>{long}</form>") == f"{PROSE} {PROSE}"
+    assert main_text("<div class=nav>" * 3000 + post) == f"{PROSE} {PROSE}"
+
+
 def test_frame(spark):
     rows = [(1, "u", PAGE, "x"), (1, "u", PAGE, "x"), (2, None, None, None), (None, "v", "", None)]
     df = spark.createDataFrame(rows, "page_id long, url string, html string, n_chars string")
