@@ -1,6 +1,6 @@
 """Near duplicates by a chosen-path similarity join.
 
-Each document is the set of its two-word shingles, and links to every document with a Jaccard
+Each document is the set of its shingles, of two words if not asked otherwise, and links to every document with a Jaccard
 similarity of 0.8 or more. A tree starts from all documents. A node chooses places of the minhash
 signature at random and sends each document to one child per place, named by the document's minwise
 token there; similar documents stay together with the probability of their similarity at each place. Small
@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 from cartwheel.llm.common import GOLDEN, MIX1, MIX2, batch_of, bytes_of, drop_saved, mixed, prefix_hashes, saved, sliced, span_hashes, table
 
 PERCENT = 80
+WORDS = 2               # of a shingle
 PLACES = 64             # of the minhash signature
 TREES = 10
 SMALL = 8000            # documents outside its largest component that a node compares with all
@@ -46,8 +47,8 @@ _BLANK[[0x20, *range(0x09, 0x0E)]] = True
 _FACTORS = mixed((np.arange(PLACES, dtype=np.uint64) + np.uint64(101)) * GOLDEN) | np.uint64(1)
 
 
-def shingles(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the two-word shingles of texts one after the other (of the only word, if there is one), and which text each is of."""
+def shingles(data: np.ndarray, offsets: np.ndarray, words: int = WORDS) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the shingles of so many words of texts one after the other (of all words, if there are fewer), and which text each is of."""
     if not len(data):
         return np.zeros(0, np.uint64), np.zeros(0, np.int64)
     low = _LOWER[data]
@@ -58,18 +59,26 @@ def shingles(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
     end = np.flatnonzero(word & (edge[1:] | np.concatenate([~word[1:], [True]]))) + 1
     hashes = span_hashes(prefix_hashes(low), start, end)
     doc = np.searchsorted(offsets, start, side="right") - 1
-    pair = np.flatnonzero(doc[1:] == doc[:-1])
-    alone = np.flatnonzero(np.bincount(doc, minlength=len(offsets) - 1)[doc] == 1)
-    values = np.concatenate([mixed(hashes[pair] * MIX1 + hashes[pair + 1]), mixed(hashes[alone] ^ MIX2)])
-    of = np.concatenate([doc[pair], doc[alone]])
+    some = max(0, len(doc) - words + 1)
+    full = np.flatnonzero(doc[words - 1:words - 1 + some] == doc[:some])
+    values = hashes[full]
+    for k in range(1, words):
+        values = mixed(values * MIX1 + hashes[full + k])
+    count = np.bincount(doc, minlength=len(offsets) - 1)[doc]
+    short = np.flatnonzero((count < words) & np.concatenate([[True], doc[1:] != doc[:-1]])[:len(doc)])
+    rest = hashes[short]
+    for k in range(1, words - 1):
+        more = np.flatnonzero(count[short] > k)
+        rest[more] = mixed(rest[more] * MIX1 + hashes[short[more] + k])
+    values, of = np.concatenate([values, mixed(rest ^ MIX2)]), np.concatenate([doc[full], doc[short]])
     order = np.argsort(of, kind="stable")
     return values[order], of[order]
 
 
-def _sets(column: pa.Array) -> list[np.ndarray]:
+def _sets(column: pa.Array, words: int) -> list[np.ndarray]:
     """The sorted distinct shingle hashes of each text."""
     data, offsets = bytes_of(column)
-    values, doc = shingles(data, offsets)
+    values, doc = shingles(data, offsets, words)
     cuts = np.searchsorted(doc, np.arange(len(offsets)))
     return [np.unique(values[a:b]) for a, b in zip(cuts[:-1], cuts[1:])]
 
@@ -77,11 +86,11 @@ def _sets(column: pa.Array) -> list[np.ndarray]:
 _FEATURES = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("k1", pa.int64()), ("k2", pa.int64()), ("sig", pa.list_(pa.int32()))])
 
 
-def features(docs: DataFrame) -> DataFrame:
+def features(docs: DataFrame, words: int = WORDS) -> DataFrame:
     """Of (doc_id, text): set size, 128-bit digest of the set, minhash signature (null for an empty set)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sliced(batches, "text"):
-            sets = _sets(batch.column("text"))
+            sets = _sets(batch.column("text"), words)
             sizes = np.array([len(s) for s in sets])
             keys = np.frombuffer(b"".join([hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets]), np.int64)
             full = np.flatnonzero(sizes)
@@ -98,7 +107,7 @@ def features(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n_shingles long, k1 long, k2 long, sig array<int>")
 
 
-def shingle_sets(docs: DataFrame, need: DataFrame) -> DataFrame:
+def shingle_sets(docs: DataFrame, need: DataFrame, words: int = WORDS) -> DataFrame:
     """Of (doc_id, text): the sorted shingle hashes, packed, of the documents whose doc_id is needed, and of few others.
 
     The needed ids are sent as a bitmap of their hashes, of at most ``ID_BITS`` bits however many there are, so no text is shuffled."""
@@ -113,7 +122,7 @@ def shingle_sets(docs: DataFrame, need: DataFrame) -> DataFrame:
             part, place = batch.column("part").to_numpy(), batch.column("place").to_numpy()
             own = [k for k in range(batch.num_rows) if part[k] in bits and bits[part[k]][place[k]]]
             batch = batch.take(pa.array(own, pa.int64()))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([s.tobytes() for s in _sets(batch.column("text"))], pa.binary())],
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([s.tobytes() for s in _sets(batch.column("text"), words)], pa.binary())],
                                              names=["rep", "set"])
 
     rows = docs.where("doc_id IS NOT NULL").select("doc_id", "text", bit.alias("bit"))
@@ -278,15 +287,15 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return joined.mapInArrow(run, "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, percent: int = PERCENT, trees: int = TREES, small: int = SMALL) -> DataFrame:
+def near_duplicates(docs: DataFrame, percent: int = PERCENT, trees: int = TREES, small: int = SMALL, words: int = WORDS) -> DataFrame:
     """doc_id, n_shingles, component_id (the smallest doc_id that links reach) and kept of documents (doc_id long, text).
 
-    Links need 100 * intersection >= percent * union of the sets of two-word shingles (a text of one
-    word has that word; words are cut at white space, A-Z lowered). Texts without words have an empty set and no links. Rows that share a
+    Links need 100 * intersection >= percent * union of the sets of shingles of so many ``words`` (a text of
+    fewer has one shingle, all its words; words are cut at white space, A-Z lowered). Texts without words have an empty set and no links. Rows that share a
     doc_id are one document with the links of all of them. Rows without a doc_id take part; a group of
     none but such rows has no component_id and all are kept. Null is empty; no rows give no rows."""
     docs = docs.select("doc_id", "text")
-    own = saved(features(docs), "near-features")
+    own = saved(features(docs, words), "near-features")
     classes = saved(own.where("n_shingles > 0").groupBy("k1", "k2")
                     .agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.first("sig").alias("sig")), "near-classes")
     known = classes.where("rep IS NOT NULL")
@@ -309,7 +318,7 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, trees: int = TREES,
             if need.isEmpty():
                 return sets
         # a class is known by its first document; equal rows and doc_ids are met once
-        more = shingle_sets(docs, need).distinct()
+        more = shingle_sets(docs, need, words).distinct()
         if sets is not None:
             more = more.join(sets.select("rep"), "rep", "left_anti")
         more = saved(more, "near-sets")

@@ -63,6 +63,31 @@ def test_against_brute_force(spark, small, depth, monkeypatch):
     check(near_duplicates(docs_of(spark, rows), small=small).collect(), want)
 
 
+def brute_of(rows, words, percent):
+    """The same for any shingles and similarity."""
+    sets = {}
+    for d, t, *_ in rows:
+        w = re.findall("[^\x20\x09-\x0D]+", (t or "").translate(UPPER))
+        sets[d] = {tuple(w[i:i + words]) for i in range(max(1, len(w) - words + 1))} if w else set()
+    label = {d: d for d in sets}
+    for a in sorted(sets):
+        for b in sorted(sets):
+            if a < b and sets[a] and 100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b]) and label[a] != label[b]:
+                low, high = sorted((label[a], label[b]))
+                label = {d: low if c == high else c for d, c in label.items()}
+    return {d: (len(sets[d]), label[d]) for d in sets}
+
+
+@pytest.mark.parametrize("words", [1, 2, 3, 5])
+def test_shingles_of_other_lengths(spark, words):
+    texts = [t for s in range(4) for t in family(s, 10, 1 + s % 3)] + ["one two", "One  TWO", "one", "a b c d e", "a b c d", "A b c  d", "", None]
+    rows = [(i * 3, t, None) for i, t in enumerate(texts)]
+    want = brute_of(rows, words, 80)
+    assert words != 2 or want == brute(rows)
+    assert len({c for _, c in want.values()}) < len(want)
+    check(near_duplicates(docs_of(spark, rows), words=words).collect(), want)
+
+
 def test_components(spark):
     r = random.Random(4)
     edges = [(i, i + 1) for i in range(0, 60)] + [(100, x) for x in range(101, 160)] + [(r.randrange(200, 300), r.randrange(200, 300)) for _ in range(60)]
