@@ -5,6 +5,10 @@ in navigation, page furniture or forms is boilerplate, so is a block of links; l
 stop words are content; the rest, mostly short, stays open. The second pass gives every open block
 the label of its nearest decided neighbour, blocks of its own section before others.
 
+Stop words are known for four languages. A block that none of the lists fits, in another language or of terse prose, is judged by
+its length and its sentences instead. A page without any good block keeps its open blocks of running text or
+code and, if there are none, all of them: what is not furniture is never lost altogether.
+
 Class and id names, and forms, also stand around whole pages (a layout "has-sidebar"). Whether such a mark counts is
 decided for the page: not around its main element or only article, nor around most of its good text.
 """
@@ -29,6 +33,8 @@ SHORT = 70
 STOP_DENSITY = 0.10     # share of stop words that makes a long block content
 STOP_HIGH = 0.30        # .. and a block of middle length
 LINK_DENSITY = 0.33     # share of a block's characters inside links that makes it boilerplate
+STOP_NONE = 0.05        # share of stop words under which no list fits the block
+WIDE = 3                # a character of a script without spaces counts as so many
 
 # Common function words of the supported languages.
 STOP_WORDS = {
@@ -65,6 +71,9 @@ _TOKEN = re.compile(rf"<!--.*?(?:-->|\Z)|<({RAW})\b[^>]*>.*?(?:</\1\s*>|\Z)|<(/?
 _ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)\s*(?:=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.S)
 _PART = re.compile(r"[a-z]+|[A-Z][a-z]*|\d+")
 _LETTERS = re.compile(r"[^\W\d_]+")
+# Ends of sentences: marks that a space or the end follows, and those of scripts without spaces or with marks of their own.
+_SENTENCE = re.compile(r"[.!?…](?=[\s\"'»”’)\]]|\Z)|[。！？｡।؟۔។။]")
+_WIDE = re.compile(r"[\u0E00-\u0EFF\u1780-\u17FF\u3040-\u30FF\u3400-\u9FFF\uF900-\uFAFF]")
 
 
 def attributes(source: str) -> dict[str, str]:
@@ -114,6 +123,7 @@ class Block:
     content: bool           # inside an article or main element
     heading: bool
     mark: Mark
+    code: bool = False      # inside a pre element
     label: str = ""
 
 
@@ -145,7 +155,7 @@ def _scan(html: str) -> tuple[list[Block], list[Mark]]:
     marks = [Mark(None, ignored=True)]
     stack: list[tuple[str, int, bool, bool, Mark]] = [("", 0, False, False, marks[0])]   # name, section, furniture, content, mark
     text: list[str] = []
-    links = link = sections = 0
+    links = link = sections = code = 0
     heading = False
 
     def end() -> None:
@@ -154,7 +164,7 @@ def _scan(html: str) -> tuple[list[Block], list[Mark]]:
             joined = " ".join(unescape("".join(text)).split())
             if joined:
                 _, section, furniture, content, mark = stack[-1]
-                out.append(Block(joined, min(links, len(joined)), section, furniture, content, heading, mark))
+                out.append(Block(joined, min(links, len(joined)), section, furniture, content, heading, mark, code > 0))
             text.clear()
         links = 0
 
@@ -175,6 +185,8 @@ def _scan(html: str) -> tuple[list[Block], list[Mark]]:
             link = int(kind == "open")
         elif name in BLOCK or name in FURNITURE:
             end()
+            if name == "pre":
+                code = max(0, code + (1 if kind == "open" else -1))
             heading = name[0] == "h" and name[1:].isdigit() and kind == "open"
             if kind == "open":
                 if name in VOID or name == "p" or name in ("li", "dt", "dd", "tr"):
@@ -254,19 +266,30 @@ def first_pass(block: Block) -> str:
     density = sum(w in _STOP for w in words) / len(words) if words else 0.0
     if n >= LONG and density >= STOP_DENSITY or n >= SHORT and density >= STOP_HIGH:
         return "good"
+    if density < STOP_NONE and _extent(block.text) >= LONG and len(_SENTENCE.findall(block.text)) >= 2:
+        return "good"
     return "open"
 
 
+def _extent(text: str) -> int:
+    """Length in characters of a script with spaces."""
+    return len(text) + (WIDE - 1) * len(_WIDE.findall(text))
+
+
 def second_pass(page: list[Block]) -> None:
     """Open blocks take the label of the nearest decided block of their section; without one, good in
     an article or main element; else that of the nearest decided block at all, the ends of the page
     counting as boilerplate. Where both sides are as near, one good side is enough in the own section, else both have to be
-    good. A page without any good block keeps the open blocks that have stop words."""
+    good. A page without any good block keeps the open blocks in an article or main element, with stop words, with the end of
+    a sentence, of some length or of code, and those of the same sections; with none of these, all open blocks."""
     decided = [b.label for b in page]
     if "good" not in decided:
-        for b in page:
-            if b.label == "open":
-                b.label = "good" if b.content or any(w in _STOP for w in _LETTERS.findall(b.text.lower())) else "bad"
+        still = [b for b in page if b.label == "open"]
+        kept = {id(b) for b in still if b.content or b.code or any(w in _STOP for w in _LETTERS.findall(b.text.lower())) or _SENTENCE.search(b.text)
+                or _extent(b.text) >= SHORT}
+        sections = {b.section for b in still if id(b) in kept}      # headings and short lines beside what is kept stay too
+        for b in still:
+            b.label = "good" if b.section in sections or not kept else "bad"
         return
     by_section: dict[int, list[int]] = {}
     for i, label in enumerate(decided):

@@ -36,7 +36,7 @@ def test_broken_pages():
     assert main_text(f"<article><p>{PROSE} {PROSE}</p><p>cut &am") == f"{PROSE} {PROSE} cut &am"
     deep = "<div>" * 5000 + f"<p>{PROSE} {PROSE}"
     assert main_text(deep) == f"{PROSE} {PROSE}"
-    assert main_text(f"<p>{long_text(1, 50_000)} the of and") != "x"
+    assert main_text(f"<p>{long_text(1, 50_000)} the of and") == f"{long_text(1, 50_000)} the of and"
 
 
 def test_attributes_and_blocks():
@@ -93,3 +93,16 @@ def test_query_against_the_article_element(spark):
         wrong += r.text != want
         assert r.n_chars == len(r.text)
     assert wrong == 0
+
+
+def test_text_that_no_stop_word_list_fits():
+    around = ("<header><h1>Site</h1></header><nav><ul><li><a href=/>Home</a></ul></nav><div class=sidebar>More, more. And more.</div>", "<footer>All rights. Reserved.</footer>")
+    russian = "Город стоял на берегу моря, и люди жили в нём давно. Каждое утро рыбаки выходили в море и возвращались вечером."
+    for body, want in [
+            (f"<div><h2>Новости</h2><p>{russian} {russian}</p><p>{russian}</p></div>", f"Новости {russian} {russian} {russian}"),
+            (f"<div><p>{'町は海の近くにあった。人々は長い間そこに住んでいた。' * 8}</p></div>", "町は海の近くにあった。人々は長い間そこに住んでいた。" * 8),
+            ("<div><p>" + "Ship arrives Tuesday. Crew tired. Captain sleeps. " * 6 + "</p></div>", ("Ship arrives Tuesday. Crew tired. Captain sleeps. " * 6).strip()),
+            ("<div class=post-content><p>Quick update.</p><p>Server moved</p></div>", "Quick update. Server moved"),
+            ("<pre>def f(x):\n  return x\n</pre>", "def f(x): return x"),
+            ("<table><tr><td>Alpha</td><td>12</td></tr><tr><td>Beta</td><td>13</td></tr></table>", "Alpha 12 Beta 13")]:
+        assert main_text(f"<body>{around[0]}{body}{around[1]}") == want
