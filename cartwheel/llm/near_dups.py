@@ -1,6 +1,6 @@
 """Near duplicates by a chosen-path similarity join.
 
-Each document is the set of its shingles, of two words if not asked otherwise, and links to every document with a Jaccard
+Each document is the set of its shingles, of five words if not asked otherwise, and links to every document with a Jaccard
 similarity of 0.8 or more. A tree starts from all documents. A node chooses places of the minhash
 signature at random and sends each document to one child per place, named by the document's minwise
 token there; similar documents stay together with the probability of their similarity at each place. Small
@@ -26,10 +26,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cartwheel.llm.common import GOLDEN, MIX1, MIX2, batch_of, bytes_of, drop_saved, mixed, prefix_hashes, saved, sliced, span_hashes, table
+from cartwheel.llm.common import GOLDEN, MIX1, MIX2, batch_of, bytes_of, drop_saved, mixed, saved, sliced, table
 
 PERCENT = 80
-WORDS = 2               # of a shingle
+WORDS = 5               # of a shingle
 PLACES = 64             # of the minhash signature
 TREES = 10
 SMALL = 8000            # documents outside its largest component that a node compares with all
@@ -38,7 +38,7 @@ BRANCH = 2.5            # children of a document in a large node, on average
 DEPTH = 6               # deeper nodes are compared in pairs of blocks, whatever their size
 # Two sets with similarity 0.8 agree in 51 of 64 places on average, with a deviation of 3.2; fewer than this many, six deviations, are not looked at further.
 AGREE = 32
-ID_BITS = 1 << 26       # of the bitmap of documents whose sets are needed: 8 MB
+ID_BITS = 1 << 28       # of the largest bitmap of documents whose sets are needed: 32 MB
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[0x41:0x5B] += 32
@@ -47,7 +47,21 @@ _BLANK[[0x20, *range(0x09, 0x0E)]] = True
 _FACTORS = mixed((np.arange(PLACES, dtype=np.uint64) + np.uint64(101)) * GOLDEN) | np.uint64(1)
 
 
-def shingles(data: np.ndarray, offsets: np.ndarray, words: int = WORDS) -> tuple[np.ndarray, np.ndarray]:
+def word_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray, seed: int) -> np.ndarray:
+    """64-bit hashes of data[start:end]: eight bytes after eight are put in and mixed, so there is no structure that texts could collide by."""
+    eights = np.ndarray(max(1, len(data)), "<u8", np.concatenate([data, np.zeros(8, np.uint8)]).tobytes(), strides=(1,))
+    size = end - start
+    out = mixed(size.astype(np.uint64) * GOLDEN + np.uint64(seed))
+    live = np.arange(len(start))
+    for k in range(0, int(size.max(initial=0)), 8):
+        live = live[size[live] > k]
+        some = eights[start[live] + k]
+        missing = np.uint64(8) * np.maximum(k + 8 - size[live], 0).astype(np.uint64)
+        out[live] = mixed((out[live] ^ (some << missing >> missing)) * MIX2 + GOLDEN)
+    return out
+
+
+def shingles(data: np.ndarray, offsets: np.ndarray, words: int = WORDS, seed: int = 0) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the shingles of so many words of texts one after the other (of all words, if there are fewer), and which text each is of."""
     if not len(data):
         return np.zeros(0, np.uint64), np.zeros(0, np.int64)
@@ -57,7 +71,7 @@ def shingles(data: np.ndarray, offsets: np.ndarray, words: int = WORDS) -> tuple
     edge[offsets] = True
     start = np.flatnonzero(word & (edge[:-1] | np.concatenate([[True], ~word[:-1]])))
     end = np.flatnonzero(word & (edge[1:] | np.concatenate([~word[1:], [True]]))) + 1
-    hashes = span_hashes(prefix_hashes(low), start, end)
+    hashes = word_hashes(low, start, end, seed)
     doc = np.searchsorted(offsets, start, side="right") - 1
     some = max(0, len(doc) - words + 1)
     full = np.flatnonzero(doc[words - 1:words - 1 + some] == doc[:some])
@@ -77,10 +91,19 @@ def shingles(data: np.ndarray, offsets: np.ndarray, words: int = WORDS) -> tuple
 
 def _sets(column: pa.Array, words: int) -> list[np.ndarray]:
     """The sorted distinct shingle hashes of each text."""
+    return [s for s, _ in _sets_and_digests(column, words, digests=False)]
+
+
+def _sets_and_digests(column: pa.Array, words: int, digests: bool = True) -> Iterator[tuple[np.ndarray, bytes]]:
+    """The sorted distinct shingle hashes of each text, and a 128-bit digest of the set, made of these and of a second hash of each
+    shingle: documents count as equal by 128 bits a shingle."""
     data, offsets = bytes_of(column)
     values, doc = shingles(data, offsets, words)
+    second = shingles(data, offsets, words, seed=1)[0] if digests else values
     cuts = np.searchsorted(doc, np.arange(len(offsets)))
-    return [np.unique(values[a:b]) for a, b in zip(cuts[:-1], cuts[1:])]
+    for a, b in zip(cuts[:-1], cuts[1:]):
+        own, first = np.unique(values[a:b], return_index=True)
+        yield own, hashlib.blake2b(own.tobytes() + second[a:b][first].tobytes(), digest_size=16).digest() if digests else b""
 
 
 _FEATURES = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("k1", pa.int64()), ("k2", pa.int64()), ("sig", pa.list_(pa.int32()))])
@@ -90,9 +113,9 @@ def features(docs: DataFrame, words: int = WORDS) -> DataFrame:
     """Of (doc_id, text): set size, 128-bit digest of the set, minhash signature (null for an empty set)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sliced(batches, "text"):
-            sets = _sets(batch.column("text"), words)
+            sets, digests = zip(*_sets_and_digests(batch.column("text"), words))
             sizes = np.array([len(s) for s in sets])
-            keys = np.frombuffer(b"".join([hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets]), np.int64)
+            keys = np.frombuffer(b"".join(digests), np.int64)
             full = np.flatnonzero(sizes)
             sig = np.zeros((len(sets), PLACES), np.int32)
             if len(full):
@@ -110,8 +133,12 @@ def features(docs: DataFrame, words: int = WORDS) -> DataFrame:
 def shingle_sets(docs: DataFrame, need: DataFrame, words: int = WORDS) -> DataFrame:
     """Of (doc_id, text): the sorted shingle hashes, packed, of the documents whose doc_id is needed, and of few others.
 
-    The needed ids are sent as a bitmap of their hashes, of at most ``ID_BITS`` bits however many there are, so no text is shuffled."""
-    bit = F.pmod(F.xxhash64("doc_id"), F.lit(ID_BITS))
+    The needed ids are sent as a bitmap of their hashes, with 16 bits for each, so no text is shuffled; if that would take
+    more than ``ID_BITS`` bits, the texts are joined to the ids."""
+    bits = 1 << max(20, (16 * need.count()).bit_length())
+    if bits > ID_BITS:
+        return _sets_by_join(docs, need, words)
+    bit = F.pmod(F.xxhash64("doc_id"), F.lit(bits))
     parts = (need.select(bit.alias("bit")).groupBy(F.bitmap_bucket_number("bit").alias("part"))
              .agg(F.bitmap_construct_agg(F.bitmap_bit_position("bit")).alias("bits")).collect())
     wanted = docs.sparkSession.sparkContext.broadcast({int(r.part): bytes(r.bits) for r in parts})
@@ -130,6 +157,15 @@ def shingle_sets(docs: DataFrame, need: DataFrame, words: int = WORDS) -> DataFr
             .mapInArrow(run, "rep long, set binary"))
 
 
+def _sets_by_join(docs: DataFrame, need: DataFrame, words: int) -> DataFrame:
+    def run(batches):
+        for batch in sliced(batches, "text"):
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([s.tobytes() for s in _sets(batch.column("text"), words)], pa.binary())],
+                                             names=["rep", "set"])
+
+    return docs.join(need, "doc_id", "left_semi").select("doc_id", "text").mapInArrow(run, "rep long, set binary")
+
+
 # connected components ----------------------------------------------------------------------------
 
 def components(edges: DataFrame) -> DataFrame:
@@ -293,7 +329,10 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, trees: int = TREES,
     Links need 100 * intersection >= percent * union of the sets of shingles of so many ``words`` (a text of
     fewer has one shingle, all its words; words are cut at white space, A-Z lowered). Texts without words have an empty set and no links. Rows that share a
     doc_id are one document with the links of all of them. Rows without a doc_id take part; a group of
-    none but such rows has no component_id and all are kept. Null is empty; no rows give no rows."""
+    none but such rows has no component_id and all are kept. Null is empty; no rows give no rows. Other columns go. ``percent``
+    has to be 80 or more: below, the sketch would lose links."""
+    if not 100 >= percent >= PERCENT:
+        raise ValueError(f"the sketch and the number of trees are made for {PERCENT} to 100 percent")
     docs = docs.select("doc_id", "text")
     own = saved(features(docs, words), "near-features")
     classes = saved(own.where("n_shingles > 0").groupBy("k1", "k2")
@@ -408,7 +447,7 @@ def _blocks(rows: DataFrame, size: int) -> DataFrame:
 
 def op9_near_duplicates(spark, sf_dir):
     """Components of near duplicates over all documents."""
-    return near_duplicates(table(spark, sf_dir, "documents"))
+    return near_duplicates(table(spark, sf_dir, "documents"), words=2)
 
 
 OP9_SQL = r"""

@@ -7,7 +7,7 @@ from conftest_paths import SF01
 from cartwheel.llm.decontamination import Phrases, shard_hits
 from cartwheel.llm.pieces import Vocabulary, default_model
 from helpers import ODD_ROWS
-from test_near_dups import brute
+from test_near_dups import brute_of
 
 COLUMNS = corpus_pipeline.COLUMNS
 
@@ -33,7 +33,7 @@ def test_stages(spark):
     for k, n, d in keys:
         best[k] = min(best.get(k, (0, 1 << 60)), (n, d))
     assert set(outs[1]) == {d for _, d in best.values()}
-    components = brute([(d, r.text) for d, r in ins[2].items()])
+    components = brute_of([(d, r.text) for d, r in ins[2].items()], 5, 80)
     assert set(outs[2]) == {d for d, (_, c) in components.items() if c == d}
     phrases = Phrases([(str(r.item_id), r.text) for r in read("benchmark").collect()], 10)
     ids = sorted(ins[3])
