@@ -32,7 +32,8 @@ from cartwheel.llm.common import GOLDEN, sliced, table
 N_BEST = 4
 MARK = "▁"
 UNKNOWN_PENALTY = 10.0      # an unknown character scores this much less than the worst piece
-KNOWN_UNITS = 250_000       # units that a task remembers before it starts anew
+KNOWN_UNITS = 250_000       # units that a task remembers before it starts anew ..
+KNOWN_CHARS = 3 << 20       # .. and their characters
 BATCH_BYTES = 4 << 20       # text whose new units are searched together
 UNIT_CHARS = 32             # longer units are searched one by one
 NORMAL, UNKNOWN, BYTE, USER = 1, 2, 6, 4
@@ -289,6 +290,7 @@ class Encoder:
 
     def forget(self) -> None:
         self.number: dict[str, int] = {}        # of each known unit; what is known follows in arrays
+        self.chars = 0
         self.ranked: dict[str, list] = {}
         self.ids, self.start, self.size = np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int64)
         self.score, self.gap = np.zeros(0), np.zeros(0)
@@ -307,6 +309,7 @@ class Encoder:
                     found.append(tuple(np.atleast_1d(x) for x in self.v.slowly(u)))
                     order.append(u)
         if order:
+            self.chars += sum(map(len, order))
             self.number.update(zip(order, range(len(self.number), len(self.number) + len(order))))
             ids, size, score, gap = (np.concatenate([x, *own]) for x, own in zip((self.ids, self.size, self.score, self.gap), zip(*found)))
             self.ids, self.size, self.score, self.gap, self.start = ids, size, score, gap, np.cumsum(size) - size
@@ -315,7 +318,7 @@ class Encoder:
         """For each text first the ids of the best segmentation, then (score, edits) of the n best. An edit
         (at, drop, put) replaces ``drop`` ids of the best at ``at`` by ``put``. Equal scores: the one that leaves the earlier
         units at better ranks comes first. Units that are new are searched together."""
-        if len(self.number) > self.limit or len(self.ids) > 16 * self.limit:
+        if len(self.number) > self.limit or len(self.ids) > 16 * self.limit or self.chars > KNOWN_CHARS:
             self.forget()
         units = [self.v.units(self.v.prefix + t.replace(" ", MARK)) if t else [] for t in texts]
         self.learn(set().union(*units) - self.number.keys())
@@ -402,8 +405,14 @@ def encode(docs: DataFrame, model_path: str | None = None, n: int = N_BEST, text
                                                 T.StructField("n_best", NBEST), T.StructField("decoded", T.StringType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder = _encoder(model.value, n)
+        try:
+            yield from encoded(batches, encoder)
+        finally:
+            encoder.forget()        # the worker may live on
+
+    def encoded(batches: Iterator[pa.RecordBatch], encoder: Encoder) -> Iterator[pa.RecordBatch]:
         for batch in sliced(batches, text, BATCH_BYTES):
-            encoder = _encoder(model.value, n)
             found = encoder.encode_all(batch.column(text).to_pylist())
             sizes = np.cumsum([0] + [len(f[0]) for f in found]).astype(np.int32)
             flat = np.concatenate([f[0] for f in found])

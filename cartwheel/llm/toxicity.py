@@ -22,7 +22,6 @@ from collections.abc import Iterator
 from dataclasses import dataclass, replace
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 import zstandard
@@ -51,6 +50,7 @@ class Bounds:
     window_words: int = 16
     window_bytes: int = 400         # longer windows are not trained on (they are scored)
     level: int = 12
+    held: int = 200_000             # counts that a task holds before it sends them on
 
 
 @dataclass(frozen=True)
@@ -134,6 +134,21 @@ def _kin(text: str | None) -> int:
     return min((xxhash.xxh3_64_intdigest(b" ".join(words[i:i + 3])) for i in range(max(1, len(words) - 2))), default=0) - (1 << 63)
 
 
+def _counted(batches: Iterator[pa.RecordBatch], items_of, name: str, held: int) -> Iterator[pa.RecordBatch]:
+    """(toxic, item, n) of the items of each text; sent on whenever more than ``held`` are counted, so a task's memory doesn't grow with its rows."""
+    def counts() -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([k[0] for k in own], pa.int32()), pa.array([k[1] for k in own], pa.binary()),
+                                           pa.array(list(own.values()), pa.int64())], names=["toxic", name, "n"])
+    own: Counter = Counter()
+    for batch in sliced(batches, "text"):
+        for t, x in zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist()):
+            own.update(items_of(t, x))
+            if len(own) > held:
+                yield counts()
+                own.clear()
+    yield counts()
+
+
 def train(docs: DataFrame, labels: DataFrame, learn_from=None, bounds: Bounds = Bounds(), text: str = "text") -> Model:
     """Dictionaries and curve from the labelled rows that meet ``learn_from`` (a condition on
     doc_id; default all). Half of the ids train the dictionaries, the others fit the curve.
@@ -143,44 +158,38 @@ def train(docs: DataFrame, labels: DataFrame, learn_from=None, bounds: Bounds =
     chosen = _sample(labelled, bounds, F.pmod(F.xxhash64("doc_id"), F.lit(2)) == 0)
     rows = saved(docs.select("doc_id", F.col(text).alias("text")).join(F.broadcast(chosen), "doc_id"), "toxicity-sample")
 
-    def kin(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            yield batch.assign(kin=[_kin(t) for t in batch["text"]])
+    def kin(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in sliced(batches, "text"):
+            own = pa.array([_kin(t) for t in batch.column("text").to_pylist()], pa.int64())
+            yield pa.RecordBatch.from_arrays([*batch.columns, own], names=[*batch.schema.names, "kin"])
 
-    distinct = saved(rows.where("use = 'train'").select("text", "toxic").mapInPandas(kin, "text string, toxic int, kin long")
+    distinct = saved(rows.where("use = 'train'").select("text", "toxic").mapInArrow(kin, "text string, toxic int, kin long")
                      .groupBy("kin").agg(F.max("toxic").alias("toxic"), F.min("text").alias("text")), "toxicity-distinct")
     n = {r.toxic: r.n for r in distinct.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
 
-    def grams(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for x in (0, 1):
-                own: Counter = Counter()
-                for t in batch["text"][batch["toxic"] == x]:
-                    own.update({g for w in set(_words(t, bounds.window_bytes)) for g in _grams(w, bounds.grams)})
-                yield pd.DataFrame({"toxic": x, "gram": list(own), "n": list(own.values())})
+    def grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return _counted(batches, lambda t, x: {(x, g) for w in set(_words(t, bounds.window_bytes)) for g in _grams(w, bounds.grams)}, "gram", bounds.held)
 
     least = max(3, math.ceil(bounds.min_share * n.get(1, 0)))
     share = (F.col("n1") / max(1, n.get(1, 0))) / ((F.col("n0") + 1) / max(1, n.get(0, 0)))
-    found = (distinct.mapInPandas(grams, "toxic int, gram binary, n long").groupBy("gram")
+    found = (distinct.mapInArrow(grams, "toxic int, gram binary, n long").groupBy("gram")
              .agg(F.sum(F.col("toxic") * F.col("n")).alias("n1"), F.sum((1 - F.col("toxic")) * F.col("n")).alias("n0"))
              .where((F.col("n1") >= least) & (share >= bounds.min_ratio))
              .orderBy(F.desc("n1"), "gram").limit(40 * bounds.segments).collect()) if n.get(0) and n.get(1) else []
     frequent = {bytes(r.gram) for r in found}
 
-    def segments(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            own = Counter(s for t in batch["text"] for w in _words(t, bounds.window_bytes) for s in _segments(w, frequent, bounds.grams))
-            yield pd.DataFrame({"segment": list(own), "n": list(own.values())})
+    def segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return _counted(batches, lambda t, x: ((x, s) for w in _words(t, bounds.window_bytes) for s in _segments(w, frequent, bounds.grams)), "segment", bounds.held)
 
-    top = (distinct.where("toxic = 1").mapInPandas(segments, "segment binary, n long").groupBy("segment").agg(F.sum("n").alias("n"))
+    top = (distinct.where("toxic = 1").mapInArrow(segments, "toxic int, segment binary, n long").groupBy("segment").agg(F.sum("n").alias("n"))
            .orderBy(F.desc("n"), "segment").limit(bounds.segments).collect()) if frequent else []
 
-    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for t in batch["text"]:
-                yield pd.DataFrame({"w": [w for w in windows(t, bounds.window_words) if len(w) <= bounds.window_bytes]})
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in sliced(batches, "text"):
+            own = [w for t in batch.column("text").to_pylist() for w in windows(t, bounds.window_words) if len(w) <= bounds.window_bytes]
+            yield pa.RecordBatch.from_arrays([pa.array(own, pa.binary())], names=["w"])
 
-    ordinary = [bytes(r.w) for r in distinct.where("toxic = 0").mapInPandas(cut, "w binary").distinct()
+    ordinary = [bytes(r.w) for r in distinct.where("toxic = 0").mapInArrow(cut, "w binary").distinct()
                 .orderBy(F.xxhash64("w"), "w").limit(bounds.windows).collect()]
     try:
         base = zstandard.train_dictionary(bounds.dictionary_bytes, ordinary, k=48, d=6).as_bytes()
