@@ -230,13 +230,13 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, text: str = "text", win
 
     ``benchmark`` has item_id and text. A window is ``window`` consecutive words of an item; an item of fewer words is
     one window. Null and wordless texts have no words and no hits; a null item_id reads as the empty
-    string; equal items count by their ids. Without items nothing is hit. Columns of the documents
+    string; equal items are one. Without items nothing is hit. Columns of the documents
     stay as they are; those named like a new column are refused."""
     new = ["n_words", "hit_spans", "hit_items"] + ["clean_text"] * clean
     if clash := {c.lower() for c in new} & {c.lower() for c in docs.columns}:
         raise ValueError(f"columns {sorted(clash)} exist already")
     spark = docs.sparkSession
-    items = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("i"), F.col("text").alias("t")).where("t IS NOT NULL")
+    items = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("i"), F.col("text").alias("t")).where("t IS NOT NULL").distinct()
     size = items.agg(F.coalesce(F.sum(F.octet_length("t")), F.lit(0))).first()[0]
     blocks = -(-size // block_bytes) or 1
     out = docs.withColumns({"n_words": F.lit(0).cast("long"), "hit_spans": F.array().cast(SPANS), "hit_items": F.array().cast("array<string>")})
