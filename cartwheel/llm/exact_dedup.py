@@ -19,6 +19,7 @@ from cartwheel.llm.common import saved, table
 from cartwheel.session import scratch_path
 
 TRIGGERS = 4            # micro-batches for what is there at the start
+_OWN = {"doc_id", "keep_id", "group_size", "kept", "text_sha256", "digest", "rank", "norm", "best", "n", "own", "d", "d2", "r2", "group"}
 _STATE = "spark.sql.streaming.stateStore"
 _SETTINGS = {f"{_STATE}.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
              f"{_STATE}.rocksdb.changelogCheckpointing.enabled": "true",
@@ -90,7 +91,10 @@ def exact_dedup(spark: SparkSession, path: str, checkpoint: str | None = None, t
     Texts are equal if they are so without the characters [\\x20\\x09-\\x0D]; null counts as empty, and
     all empty texts are one group. The row with the most code points stays, then the smallest doc_id, a
     row without doc_id last; keep_id is null if no row of the group has one. Exactly one row of a group
-    stays, also among rows that are equal in every column. No rows give no rows."""
+    stays, also among rows that are equal in every column. No rows give no rows. ``columns`` that are named like one of the
+    result or of its making are refused."""
+    if clash := _OWN & {c.lower() for c in columns}:
+        raise ValueError(f"columns {sorted(clash)} are made here")
     checkpoint = checkpoint or scratch_path(spark, "dedup-stream")
     state = run_state(spark, path, checkpoint, triggers)
     batch = spark.read.parquet(path)

@@ -24,7 +24,9 @@ def shard_by_bytes(rows: DataFrame, size: str, order: list[str], shards: int) ->
     of ``order`` may change places with each other; give columns that tell rows apart. Nulls sort
     first. No rows give no shards; if all sizes are 0 the rows are cut by count instead. A shard is
     off its target by at most the largest row at each end; shards can be empty if there are fewer
-    rows than shards."""
+    rows than shards. Other columns stay; names that clash are refused."""
+    if clash := {"shard", "slot", "_part", "_row", "_byte", "_b", "_n", "_byte0", "_row0", "_bytes", "_rows", "_first"} & {c.lower() for c in rows.columns}:
+        raise ValueError(f"columns {sorted(clash)} exist already")
     spark = rows.sparkSession
     weight = F.coalesce(F.col(size), F.lit(0).cast("long"))
     ranged = saved(rows.repartitionByRange(shuffle_partitions(spark), *order)

@@ -1,3 +1,4 @@
+import pytest
 from helpers import ODD_ROWS
 
 from cartwheel.llm import exact_dedup as module
@@ -54,3 +55,11 @@ def test_no_rows_and_one_file(spark, tmp_path):
     write(spark, f"{tmp_path}/one", ROWS, 1)
     file = next(f for f in (tmp_path / "one").iterdir() if f.suffix == ".parquet")
     assert len(exact_dedup(spark, str(file)).collect()) == len(ROWS)
+
+
+def test_clashing_columns_and_long_texts(spark, tmp_path):
+    long = "word " * 400_000
+    write(spark, f"{tmp_path}/long", [(1, long, "x"), (2, long + " ", "y"), (3, long + "z", "x")], 1)
+    assert sorted((r.doc_id, r.keep_id, r.group_size) for r in exact_dedup(spark, f"{tmp_path}/long").collect()) == [(1, 2, 2), (2, 2, 2), (3, 3, 1)]
+    with pytest.raises(ValueError):
+        exact_dedup(spark, f"{tmp_path}/long", columns=("digest",))
