@@ -34,9 +34,9 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest doc_id of each group of near duplicates; rows without a doc_id stay."""
+    """The document with the smallest doc_id of each group of near duplicates (shingles of five words); rows without a doc_id stay."""
     docs = docs.select(COLUMNS)
-    gone = near_duplicates(docs).where("NOT kept AND doc_id IS NOT NULL").select("doc_id").distinct()
+    gone = near_duplicates(docs, words=5).where("NOT kept AND doc_id IS NOT NULL").select("doc_id").distinct()
     return docs.join(gone, "doc_id", "left_anti").select(COLUMNS)
 
 
