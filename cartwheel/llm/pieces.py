@@ -32,9 +32,9 @@ from cartwheel.llm.common import GOLDEN, sliced, table
 N_BEST = 4
 MARK = "▁"
 UNKNOWN_PENALTY = 10.0      # an unknown character scores this much less than the worst piece
-KNOWN_UNITS = 250_000       # units that a task remembers before it starts anew ..
-KNOWN_CHARS = 3 << 20       # .. and their characters
-BATCH_BYTES = 4 << 20       # text whose new units are searched together
+KNOWN_UNITS = 120_000       # units that a task remembers before it starts anew ..
+KNOWN_CHARS = 2 << 20       # .. and their characters
+BATCH_BYTES = 1 << 20       # text whose new units are searched together
 UNIT_CHARS = 32             # longer units are searched one by one
 NORMAL, UNKNOWN, BYTE, USER = 1, 2, 6, 4
 INF = float("inf")
