@@ -18,6 +18,7 @@ import heapq
 import zlib
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -80,20 +81,16 @@ class ByteBpe:
             raise ValueError(f"no token for the bytes {missing}")
         self.spark, self.ranks = spark, ranks
         self.pattern = f"(?U){pattern}"     # \\s as the Unicode white space
-        pairs: list[list] = [[] for _ in range(BUCKETS)]
-        for token, rank in ranks.items():
-            for i in range(1, len(token)):
-                left, right = ranks.get(token[:i]), ranks.get(token[i:])
-                if left is not None and right is not None:
-                    key = char_of(left) + char_of(right)
-                    pairs[zlib.crc32(key.encode()) % BUCKETS].append((key, char_of(rank)))
+        pairs = sorted(_pairs(ranks))       # by bucket
+        ends = np.searchsorted([b for b, _, _ in pairs], np.arange(BUCKETS + 1))
+        maps = pa.MapArray.from_arrays(pa.array(ends, pa.int32()), pa.array([k for _, k, _ in pairs]), pa.array([r for _, _, r in pairs]))
         size = ord(char_of(max(ranks.values()))) + 1
         codes, pieces = [""] * size, [""] * size     # by the character of a token
         for token, rank in ranks.items():
             codes[ord(char_of(rank))] = _latin(rank.to_bytes(4, "little"))
             pieces[ord(char_of(rank))] = _latin(token)
-        kind = pa.struct([("pairs", pa.list_(pa.map_(pa.string(), pa.string()))), ("codes", pa.list_(pa.string())), ("pieces", pa.list_(pa.string()))])
-        row = pa.array([{"pairs": pairs, "codes": codes, "pieces": pieces}], kind)
+        row = pa.StructArray.from_arrays([pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x) for x in (maps, pa.array(codes), pa.array(pieces))],
+                                         names=["pairs", "codes", "pieces"])
         # one row, which Spark computes once and puts into the expressions as a literal
         self.literal = spark.createDataFrame(pa.table({"value": row})).scalar()
         self.known: Column | None = None
@@ -181,6 +178,16 @@ class ByteBpe:
         return out.select(*kept, (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), "ids", "decoded")
 
 
+def _pairs(ranks: dict[bytes, int]) -> Iterator[tuple[int, str, str]]:
+    """Bucket, two tokens and the token that they make, for every way to cut a token into two."""
+    for token, rank in ranks.items():
+        for i in range(1, len(token)):
+            left, right = ranks.get(token[:i]), ranks.get(token[i:])
+            if left is not None and right is not None:
+                key = char_of(left) + char_of(right)
+                yield zlib.crc32(key.encode()) % BUCKETS, key, char_of(rank)
+
+
 def _is_text(token: bytes) -> bool:
     try:
         return bool(token.decode())
