@@ -344,6 +344,7 @@ def _replay(spark: SparkSession, sf: str, build, record: str, name: str, spans:
     Parquet sink (availableNow), then read the sink back. With ``spans`` the input is ended, so nothing stays open: it
     is one micro-batch, and the end marker may come with it."""
     from cartwheel.session import scratch_path
+    from cartwheel.sinks.commits import read_committed
     from cartwheel.sources.messages import decode_order_messages
     from cartwheel.streaming.bounded import with_end, write_end
     from cartwheel.streaming.jobs import Sink, start
@@ -360,13 +361,14 @@ def _replay(spark: SparkSession, sf: str, build, record: str, name: str, spans:
     if log is not None:
         log.wait_for(q)
         log.rows[name] = [(name, *r[1:]) for r in log.rows.pop(q.name, [])]
-    return spark.read.schema(result.schema).parquet(out)
+    return read_committed(spark, out, result.schema)
 
 
 def _replay_in_parts(spark: SparkSession, sf: str, build, record: str, name: str, parts: list, spans: tuple[str, ...]) -> DataFrame:
     """Replay the events in parts (conditions on the events table). Each part arrives in the source folder after the query
     has stopped, and the query goes on from its checkpoint; the end comes last."""
     from cartwheel.session import scratch_path
+    from cartwheel.sinks.commits import read_committed
     from cartwheel.sources.tables import read_table
     from cartwheel.streaming.bounded import with_end, write_end
     from cartwheel.streaming.jobs import Sink, start
@@ -379,7 +381,7 @@ def _replay_in_parts(spark: SparkSession, sf: str, build, record: str, name: str
             read_table(spark, sf, "events").where(part).write.mode("append").parquet(folder)
         result = build(with_end(order_stream_from_files(spark, folder), end))
         _run_to_end(start(result, record, Sink("parquet", out, ckpt, {"availableNow": True}), f"{name}_{out[-12:]}"))
-    return spark.read.schema(result.schema).parquet(out)
+    return read_committed(spark, out, result.schema)
 
 
 MINUTE_SPANS = ("1 minute", "10 seconds")

@@ -4,16 +4,17 @@ Each job is the batch operator applied to a watermarked stream, written in appen
 window is emitted once, when the watermark passes its end (T3/T4); rows behind the watermark
 are dropped by the window state. Exactly-once state comes from the checkpoint location (one
 fixed folder per query, which also keeps state across restarts, T5/T7); file and table sinks are
-exactly-once, Kafka at-least-once.
+exactly-once (``cartwheel.sinks.commits``), Kafka at-least-once.
 
-Sinks: ``parquet`` (path), ``table`` (``toTable``), ``kafka`` (JSON messages, K1-K3), ``memory``.
+Sinks: ``parquet`` (path), ``table``, ``kafka`` (JSON messages, K1-K3), ``memory``.
 A result with several sinks is one query (``start_all``): it is computed once per micro-batch and
-written to each.
+written to each. Files and tables have one layout however many sinks there are, so their number may change between runs.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
+from hashlib import sha1
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
@@ -28,6 +29,7 @@ from cartwheel.operators.revenue import revenue_by_category
 from cartwheel.operators.validation import is_valid
 from cartwheel.schemas import EVENT_TIME
 from cartwheel.session import exists, make_folder
+from cartwheel.sinks.commits import append_once, is_plain_table, write_committed
 from cartwheel.sinks.json_encode import alert_json, kpi_json, revenue_json
 from cartwheel.sinks.tables import has_partition_column, to_alert_rows, to_kpi_rows, to_revenue_rows
 from cartwheel.sources.messages import encode_order_events
@@ -94,14 +96,12 @@ class Sink:
 
 def start(result: DataFrame, record: str, sink: Sink, name: str) -> StreamingQuery:
     """Start an append-mode query for ``result`` (record: revenue | kpi | alert | quarantine)."""
+    if sink.kind in ("parquet", "table"):
+        return _start_batches(result, record, [sink], name)
     w = (rows_for(result, record, sink).writeStream.queryName(name).outputMode("append")
          .option("checkpointLocation", sink.checkpoint))
     if sink.trigger:
         w = w.trigger(**sink.trigger)
-    if sink.kind == "parquet":
-        return w.format("parquet").option("path", sink.target).start()
-    if sink.kind == "table":
-        return w.toTable(sink.target)
     if sink.kind == "kafka":
         return (w.format("kafka").option("kafka.bootstrap.servers", sink.bootstrap_servers)
                 .option("topic", sink.target).start())
@@ -111,11 +111,14 @@ def start(result: DataFrame, record: str, sink: Sink, name: str) -> StreamingQue
 
 
 def write_batch(rows: DataFrame, record: str, sink: Sink, batch_id: int) -> None:
-    """One micro-batch to one sink. A batch that runs again after a failure replaces its own files, and appends
-    to a table only if its mark, written after the append, is missing; a topic may get it twice."""
+    """One micro-batch to one sink. A batch that runs again after a failure replaces its own files, and is in a plain
+    Parquet table once. To a table of another format it is appended if its mark, written afterwards, is missing; a topic may get it twice."""
     out = rows_for(rows, record, sink)
     if sink.kind == "parquet":
-        out.write.mode("overwrite").parquet(f"{sink.target.rstrip('/')}/batch_id={batch_id}")
+        write_committed(out, sink.target, batch_id)
+    elif sink.kind == "table" and is_plain_table(rows.sparkSession, sink.target):
+        query = sha1(sink.checkpoint.encode()).hexdigest()[:12]
+        append_once(out, sink.target, f"{sink.checkpoint.rstrip('/')}/staged/{batch_id}", f"{query}-{batch_id}")
     elif sink.kind == "table":
         mark = f"{sink.checkpoint.rstrip('/')}/written/{batch_id}"
         if not exists(rows.sparkSession, mark):
@@ -129,12 +132,17 @@ def write_batch(rows: DataFrame, record: str, sink: Sink, batch_id: int) -> None
 
 
 def start_all(result: DataFrame, record: str, sinks: list[Sink], name: str) -> StreamingQuery:
-    """One query for all sinks of a result, with the checkpoint and trigger of the first. A single sink is written by
-    Spark's own sink (files and tables exactly once)."""
+    """One query for all sinks of a result, with the checkpoint and trigger of the first."""
     if len(sinks) == 1:
         return start(result, record, sinks[0], name)
+    return _start_batches(result, record, sinks, name)
+
 
+def _start_batches(result: DataFrame, record: str, sinks: list[Sink], name: str) -> StreamingQuery:
     def write(batch: DataFrame, batch_id: int) -> None:
+        if len(sinks) == 1:
+            write_batch(batch, record, sinks[0], batch_id)
+            return
         batch.persist(StorageLevel.DISK_ONLY)
         try:
             for sink in sinks:
