@@ -23,11 +23,13 @@ from pyspark.sql import functions as F
 
 
 def dedup_products(products: DataFrame) -> DataFrame:
-    """One row per product_id: the greatest non-empty category (null when none)."""
-    return (products
-            .select("product_id", F.nullif("product_category", F.lit("")).alias("product_category"))
-            .groupBy("product_id")
-            .agg(F.max("product_category").alias("product_category")))
+    """One row per product_id: the category of the last row that has one, by ``product_position``; in a table, whose rows have
+    no order, the greatest category. Null when there is none."""
+    category = F.nullif("product_category", F.lit(""))
+    if "product_position" in products.columns:
+        last = F.max(F.when(category.isNotNull(), F.struct("product_position", category.alias("category"))))
+        return products.groupBy("product_id").agg(last.alias("last")).select("product_id", F.col("last.category").alias("product_category"))
+    return products.select("product_id", category.alias("product_category")).groupBy("product_id").agg(F.max("product_category").alias("product_category"))
 
 
 def orders_left_items(orders: DataFrame, items: DataFrame, key: str = "order_id") -> DataFrame:
@@ -44,21 +46,32 @@ def orders_left_items(orders: DataFrame, items: DataFrame, key: str = "order_id"
                    .unionByName(null_keys, allowMissingColumns=True))
 
 
-def enrich_orders(orders: DataFrame, items: DataFrame, products: DataFrame, sort: bool = False) -> DataFrame:
+POSITIONS = ["order_position", "item_position"]
+
+
+def enrich_orders(orders: DataFrame, items: DataFrame, products: DataFrame, sort: bool = False, positions: bool = False) -> DataFrame:
     """orders(order_id, customer_id, order_status, order_purchase_timestamp)
     x items(order_id, product_id, seller_id, price, freight_value)
-    x products(product_id, product_category) -> order events."""
+    x products(product_id, product_category) -> order events.
+
+    Inputs from files may have their positions (order_position, item_position, product_position), which break ties as the
+    input does; ``positions`` keeps the first two in the result."""
     priced_items = items.join(dedup_products(products), "product_id", "left")
     events = orders_left_items(orders, priced_items)
     if sort:
         events = sort_by_purchase_time(events)
-    return events
+    return events if positions else events.drop(*POSITIONS)
+
+
+def time_order(events: DataFrame) -> list[str]:
+    """Purchase time, then the place in the input where it is known (a stable sort), else (order_id, product_id)."""
+    known = [c for c in POSITIONS if c in events.columns]
+    return ["order_purchase_timestamp", *(known or ["order_id", "product_id"])]
 
 
 def sort_by_purchase_time(events: DataFrame) -> DataFrame:
-    """Global order by purchase time, ties by (order_id, product_id): range partitioned, so
-    every task writes one contiguous time slice."""
-    return events.orderBy("order_purchase_timestamp", "order_id", "product_id")
+    """Global order by purchase time: range partitioned, so every task writes one contiguous time slice."""
+    return events.orderBy(*time_order(events))
 
 
 def with_position(events: DataFrame, folder: str) -> DataFrame:

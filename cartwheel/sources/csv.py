@@ -2,14 +2,20 @@
 
 S3 orders, S4 order items, S5 products. All columns are read as text (no inference pass over the data)
 and found by the names in the header of their own file: the files of a folder may order their columns
-differently. Quoted values may hold commas, doubled quotes and line breaks.
+differently. Quoted values may hold commas, doubled quotes and line breaks, and still a file is read by as many tasks as it has byte
+ranges: a first pass counts the quotes of each range, so that the second knows which ranges start inside a value.
 """
 
 from __future__ import annotations
 
+import csv
+from collections.abc import Iterator
+from dataclasses import dataclass
 from functools import reduce
+from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cartwheel.functions.columns import blank_to_null, parse_amount, parse_purchase_ts
@@ -25,60 +31,160 @@ ITEMS_COLUMNS = ["order_id", "product_id", "seller_id", "price", "freight_value"
 PRODUCTS_COLUMNS = ["product_id", "product_category_name"]
 
 
-def _headers(spark: SparkSession, path: str) -> dict[str, list[str]]:
-    """The files at ``path`` by their first line (the driver reads one line of each)."""
-    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    codecs = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf)
-    out: dict[str, list[str]] = {}
-    for name in sorted(spark.read.text(path).inputFiles()):
-        file = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(name))
-        stream = file.getFileSystem(conf).open(file)
-        codec = codecs.getCodec(file)
-        reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(codec.createInputStream(stream) if codec else stream, "UTF-8"))
-        line = reader.readLine()
-        reader.close()
-        if line is not None:
-            out.setdefault(line, []).append(name)
+QUOTE = '"'
+# An odd run of quotes that neither begins nor ends a value: a value that is not quoted has quotes in it.
+_STRAY = r'(?<=[^\s,"])"(?:"")*+(?!")(?!\s*(?:,|$))'
+_OPTIONS = {"header": "false", "ignoreLeadingWhiteSpace": "true", "ignoreTrailingWhiteSpace": "true", "mode": "PERMISSIVE", "quote": QUOTE, "escape": QUOTE}
+
+
+def _lines(spark: SparkSession, path: str) -> DataFrame:
+    """Physical lines (line feeds only; a carriage return stays) with their file and the start of their byte range."""
+    return (spark.read.option("lineSep", "\n").text(path)
+            .select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block")))
+
+
+@dataclass
+class Ranges:
+    """What a first pass over the byte ranges of some files found. A byte range doesn't know whether it starts inside a quoted
+    value; whether the number of quotes before it in its file is odd says it."""
+    inside: dict[tuple[str, int], bool]     # by file and start
+    heads: dict[str, str]                   # first record of each file
+    uncut: set[str]                         # files with quotes inside of values that are not quoted: quotes say nothing there
+
+
+def ranges(spark: SparkSession, path: str | list[str]) -> Ranges:
+    lines = _lines(spark, path)
+    quotes = F.length("value") - F.length(F.replace("value", F.lit(QUOTE), F.lit("")))
+    # a byte range is read by one task, line by line, so its first line is the first that is met
+    head = F.first(F.when((F.col("block") == 0) & (F.trim("value") != ""), F.col("value")), ignorenulls=True)
+    found = (lines.groupBy("file", "block").agg((F.sum(quotes) % 2).alias("odd"), F.sum(F.regexp_count("value", F.lit(_STRAY))).alias("stray"), head.alias("head"))
+             .orderBy("file", "block").collect())       # a row for each byte range, as many as the job has input splits
+    out, odd = Ranges({}, {}, set()), {}
+    for r in found:
+        out.inside[(r.file, r.block)] = bool(odd.get(r.file, 0))
+        odd[r.file] = odd.get(r.file, 0) ^ r.odd
+        if r.head is not None:
+            out.heads[r.file] = r.head
+        if r.stray or r.head and r.head.count(QUOTE) % 2:
+            out.uncut.add(r.file)
+    out.uncut |= {f for f, n in odd.items() if n}
     return out
 
 
-def _read_csv(spark: SparkSession, path: str, columns: list[str], multi_line: bool = True) -> DataFrame:
-    """The named columns of all files, as text. With ``multi_line`` a quoted value may hold line breaks, for which a
-    file is read by one task; turn it off for very large files that have none."""
-    reader = (spark.read.option("header", "true").option("ignoreLeadingWhiteSpace", "true")
-              .option("ignoreTrailingWhiteSpace", "true").option("inferSchema", "false").option("mode", "PERMISSIVE")
-              .option("quote", '"').option("escape", '"').option("multiLine", str(multi_line).lower()))
-    parts = [reader.csv(files).select(*columns) for files in _headers(spark, path).values()]
+def records(spark: SparkSession, path: str | list[str], found: Ranges) -> DataFrame:
+    """The records of files as text: (file, block, n, record), in file order by block and n. Every byte range is cut on
+    its own. Of a record that goes on in later ranges each gives its part, and the parts, at most two for a range, are put together."""
+    shared = spark.sparkContext.broadcast(found.inside)
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return _cut(batches, shared.value)
+
+    parts = _lines(spark, path).mapInArrow(cut, "file string, block long, n long, record string, begins boolean, ends boolean")
+    order = Window.partitionBy("file").orderBy("block", "n")
+    broken = parts.where("NOT (begins AND ends)").withColumn("first", F.sum(F.col("begins").cast("int")).over(order))
+    joined = (broken.groupBy("file", "first").agg(F.sort_array(F.collect_list(F.struct("block", "n", "record"))).alias("p"))
+              .select("file", F.col("p")[0]["block"].alias("block"), F.col("p")[0]["n"].alias("n"), F.array_join(F.col("p.record"), "\n").alias("record")))
+    return parts.where("begins AND ends").select("file", "block", "n", "record").unionByName(joined)
+
+
+def _cut(batches: Iterator[pa.RecordBatch], inside: dict[tuple[str, int], bool]) -> Iterator[pa.RecordBatch]:
+    """The records of the byte ranges that a task reads, one after the other. Blank lines between records are none."""
+    key, n, held, begins = None, 0, [], True
+    out: list[tuple] = []
+
+    def flush() -> pa.RecordBatch:
+        columns = list(zip(*out)) if out else [[]] * 6
+        out.clear()
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.int64(), pa.int64(), pa.string(), pa.bool_(), pa.bool_()))],
+                                          names=["file", "block", "n", "record", "begins", "ends"])
+
+    def rest() -> None:
+        if held:
+            out.append((*key, n, "\n".join(held), begins, False))
+            held.clear()
+
+    for batch in batches:
+        for line, file, block in zip(*(batch.column(k).to_pylist() for k in range(3))):
+            if (file, block) != key:
+                rest()
+                key, n, begins = (file, block), 0, not inside[(file, block)]
+                open_quote = not begins
+            if not held and not open_quote and begins and not line.strip():
+                continue
+            held.append(line)
+            open_quote ^= line.count(QUOTE) % 2
+            if not open_quote:
+                out.append((*key, n, "\n".join(held), begins, True))
+                held.clear()
+                n, begins = n + 1, True
+        yield flush()
+    rest()
+    if out:
+        yield flush()
+
+
+def _names(header: str) -> list[str]:
+    """The column names of a header record."""
+    return [c.strip() for c in next(csv.reader([header.lstrip("\ufeff").rstrip("\r")], skipinitialspace=True), [])]
+
+
+def _read_csv(spark: SparkSession, path: str, columns: list[str], position: str | None = None) -> DataFrame:
+    """The named columns of all files, as text. A file of any size is read by many tasks. ``position`` names a column for the place of a
+    record in the input (file, byte range, number in it).
+
+    Files that have quotes inside of values that are not quoted can't be cut; each of these is read by one task."""
+    found = ranges(spark, path)
+    kind = f"{position} struct<file:string,block:long,n:long>"
+    place = [F.struct("file", "block", "n").alias(position)] if position else []
+    by_head: dict[str, list[str]] = {}
+    for file, head in found.heads.items():
+        by_head.setdefault("" if file in found.uncut else head, []).append(file)
+    parts = []
+    for head, files in by_head.items():
+        own = path if len(by_head) == 1 else [unquote(f) for f in files]
+        if not head:
+            for file in files:
+                whole = spark.read.options(**{**_OPTIONS, "header": "true", "multiLine": "true", "inferSchema": "false"}).csv(unquote(file))
+                whole = whole.select(*columns, F.lit(file).alias("file"), F.lit(0).cast("long").alias("block"), F.monotonically_increasing_id().alias("n"))
+                parts.append(whole.select(*columns, *place))
+            continue
+        names = _names(head)
+        if missing := [c for c in columns if c not in names]:
+            raise ValueError(f"no columns {missing} in {files}")
+        row = F.from_csv(F.regexp_replace("record", "\r$", ""), ", ".join(f"c{k} string" for k in range(len(names))), _OPTIONS)
+        body = records(spark, own, found).where(~((F.col("block") == 0) & (F.col("n") == 0)))
+        # the parsed record comes out of a generator: it is not put into every field reference, which would parse it again for each
+        parts.append(body.select("file", "block", "n", F.inline(F.array(row)))
+                     .select(*(F.col(f"c{names.index(c)}").alias(c) for c in columns), *place))
     if not parts:
-        return spark.createDataFrame([], ", ".join(f"{c} string" for c in columns))
+        return spark.createDataFrame([], ", ".join([*(f"{c} string" for c in columns), *([kind] if position else [])]))
     return reduce(DataFrame.unionByName, parts)
 
 
-def read_orders(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+def read_orders(spark: SparkSession, path: str, position: str | None = None) -> DataFrame:
     """S3 + P7: orders whose purchase time is missing or unparsable are skipped."""
     use_utc(spark)
-    raw = _read_csv(spark, path, ORDERS_COLUMNS, multi_line)
+    raw = _read_csv(spark, path, ORDERS_COLUMNS, position)
     return (raw.withColumn("order_purchase_timestamp", parse_purchase_ts(F.col("order_purchase_timestamp")))
                .where(F.col("order_purchase_timestamp").isNotNull()))
 
 
-def read_items(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+def read_items(spark: SparkSession, path: str, position: str | None = None) -> DataFrame:
     """S4 + P8: a bad or missing price/freight becomes 0."""
-    raw = _read_csv(spark, path, ITEMS_COLUMNS, multi_line)
-    return raw.select("order_id", "product_id", "seller_id",
-                      parse_amount(F.col("price")).alias("price"),
-                      parse_amount(F.col("freight_value")).alias("freight_value"))
+    raw = _read_csv(spark, path, ITEMS_COLUMNS, position)
+    return raw.withColumns({"price": parse_amount(F.col("price")), "freight_value": parse_amount(F.col("freight_value"))})
 
 
-def read_products(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+def read_products(spark: SparkSession, path: str, position: str | None = None) -> DataFrame:
     """An empty category means absent."""
-    raw = _read_csv(spark, path, PRODUCTS_COLUMNS, multi_line)
-    return raw.select("product_id", blank_to_null(F.col("product_category_name")).alias("product_category"))
+    raw = _read_csv(spark, path, PRODUCTS_COLUMNS, position)
+    return raw.withColumn("product_category", blank_to_null(F.col("product_category_name"))).drop("product_category_name")
 
 
-def enriched_events_from_csv(spark: SparkSession, data_dir: str, sort: bool = True, multi_line: bool = True) -> DataFrame:
-    """The enrichment over a folder holding the three CSV files."""
+def enriched_events_from_csv(spark: SparkSession, data_dir: str, sort: bool = True, positions: bool = False) -> DataFrame:
+    """The enrichment over a folder holding the three CSV files, by input position: of rows with one product id the last
+    with a category counts, and events of one time stay in the order of their orders and items."""
     d = data_dir.rstrip("/")
-    return enrich_orders(read_orders(spark, f"{d}/{ORDERS_FILE}", multi_line),
-                         read_items(spark, f"{d}/{ITEMS_FILE}", multi_line),
-                         read_products(spark, f"{d}/{PRODUCTS_FILE}", multi_line), sort=sort)
+    return enrich_orders(read_orders(spark, f"{d}/{ORDERS_FILE}", "order_position"),
+                         read_items(spark, f"{d}/{ITEMS_FILE}", "item_position"),
+                         read_products(spark, f"{d}/{PRODUCTS_FILE}", "product_position"), sort=sort, positions=positions)

@@ -24,6 +24,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from cartwheel.config import TABLE_ALERTS, TABLE_KPIS, TABLE_REVENUE, JobConfig, result_database, table_catalog_settings
 from cartwheel.session import build_session, checkpoint_root, cluster_settings
+from cartwheel.operators.enrichment import time_order
 from cartwheel.sinks.tables import create_result_tables
 from cartwheel.sources.csv import enriched_events_from_csv
 from cartwheel.sources.messages import decode_order_messages, encode_order_events
@@ -96,12 +97,10 @@ def write_replay_files(spark: SparkSession, csv_dir: str, out_dir: str, files: i
     messages: the file-based stand-in for the paced producer. Range partitioning gives each
     output file one contiguous time slice, so replaying files in name order keeps event time
     roughly ordered."""
-    events = enriched_events_from_csv(spark, csv_dir, sort=False)
-    if files:
-        events = events.repartitionByRange(files, "order_purchase_timestamp", "order_id", "product_id")
-    else:
-        events = events.repartitionByRange("order_purchase_timestamp", "order_id", "product_id")
-    ordered = events.sortWithinPartitions("order_purchase_timestamp", "order_id", "product_id")
+    events = enriched_events_from_csv(spark, csv_dir, sort=False, positions=True)
+    order = time_order(events)
+    events = events.repartitionByRange(files, *order) if files else events.repartitionByRange(*order)
+    ordered = events.sortWithinPartitions(*order)
     encode_order_events(ordered).select("value").write.mode("overwrite").text(out_dir)
 
 
