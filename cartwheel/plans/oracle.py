@@ -230,15 +230,28 @@ GROUP BY product_category, date_trunc('minute', order_purchase_timestamp)""")
 
 
 def record_counts(feed: str) -> str:
-    """Records in (the events and the end marker) and out (windows) of the revenue and KPI replays."""
+    """Records in (the events and the end marker) and out (windows, alerts) of the replays. The alert job reads its messages twice,
+    for bursts and for prices (the filter on prices skips the end marker); an event without a category is a bad message there, and times are whole seconds."""
     return with_feed(feed, """
+, decoded AS (
+  SELECT customer_id, date_trunc('second', order_purchase_timestamp) AS ts, order_id, product_id, price
+  FROM feed WHERE product_category IS NOT NULL),
+ranked AS (
+  SELECT customer_id, ts, row_number() OVER (PARTITION BY customer_id ORDER BY ts, order_id, product_id) AS rn
+  FROM decoded),
+ends AS (
+  SELECT count(*) AS k
+  FROM ranked e JOIN ranked f ON f.customer_id = e.customer_id AND f.rn <= e.rn AND f.ts > e.ts - INTERVAL 1 DAY
+  GROUP BY e.customer_id, e.ts, e.rn HAVING count(*) >= 3)
 , n AS (SELECT CAST(count(*) + 1 AS DOUBLE) AS n FROM feed)
 SELECT 'revenue' AS query, 'numInputRows' AS name, n AS value FROM n
 UNION ALL SELECT 'kpi', 'numInputRows', n FROM n
 UNION ALL SELECT 'revenue', 'recordsOut', CAST(count(DISTINCT (product_category, date_trunc('minute', order_purchase_timestamp))) AS DOUBLE)
   FROM feed WHERE product_category IS NOT NULL AND price IS NOT NULL
 UNION ALL SELECT 'kpi', 'recordsOut', CAST(count(DISTINCT date_trunc('minute', order_purchase_timestamp)) AS DOUBLE)
-  FROM feed WHERE price IS NOT NULL""")
+  FROM feed WHERE price IS NOT NULL
+UNION ALL SELECT 'alerts', 'numInputRows', 2 * n - 1 FROM n
+UNION ALL SELECT 'alerts', 'recordsOut', CAST((SELECT count(*) FROM decoded WHERE price > 400) + (SELECT coalesce(sum(k - 2), 0) FROM ends) AS DOUBLE)""")
 
 
 def quarantine_rows(feed: str) -> str:

@@ -464,9 +464,16 @@ def _stream_metrics(spark, sf):
 
 @register("stream_rates", oracle.record_counts("event"))
 def _stream_rates(spark, sf):
-    """M7: records in and out (the rates per second of the same reports depend on the clock)."""
+    """M7: records in and out of the three jobs."""
     from cartwheel.streaming.metrics import record_counts
-    return record_counts(_metric_replays(spark, sf, ("revenue", "kpi")))
+    return record_counts(_metric_replays(spark, sf))
+
+
+@register("stream_rates_per_second", None)
+def _stream_rates_per_second(spark, sf):
+    """M7: records in and out per second in each micro-batch of the three jobs. The values depend on the clock, so there is no SQL for them."""
+    from cartwheel.streaming.metrics import RATES, rates
+    return rates(_metric_replays(spark, sf)).where(F.col("name").isin(*RATES))
 
 
 # --- distribution (A6, M4) --------------------------------------------------------------------------

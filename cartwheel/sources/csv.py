@@ -9,18 +9,24 @@ ranges: a first pass counts the quotes of each range, so that the second knows w
 from __future__ import annotations
 
 import csv
+import sys
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import reduce
 from urllib.parse import unquote
 
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cartwheel.functions.columns import blank_to_null, parse_amount, parse_purchase_ts
 from cartwheel.operators.enrichment import enrich_orders
 from cartwheel.session import use_utc
+from cartwheel.sources import csv_ranges
+from cartwheel.sources.csv_ranges import QUOTE, RECORDS, Range, cut_records
+
+cloudpickle.register_pickle_by_value(sys.modules[csv_ranges.__name__])
 
 # File names and the columns read from them.
 ORDERS_FILE = "olist_orders_dataset.csv"
@@ -31,96 +37,71 @@ ITEMS_COLUMNS = ["order_id", "product_id", "seller_id", "price", "freight_value"
 PRODUCTS_COLUMNS = ["product_id", "product_category_name"]
 
 
-QUOTE = '"'
 # An odd run of quotes that neither begins nor ends a value: a value that is not quoted has quotes in it.
 _STRAY = r'(?<=[^\s,"])"(?:"")*+(?!")(?!\s*(?:,|$))'
 _OPTIONS = {"header": "false", "ignoreLeadingWhiteSpace": "true", "ignoreTrailingWhiteSpace": "true", "mode": "PERMISSIVE", "quote": QUOTE, "escape": QUOTE}
 
 
 def _lines(spark: SparkSession, path: str) -> DataFrame:
-    """Physical lines (line feeds only; a carriage return stays) with their file and the start of their byte range."""
-    return (spark.read.option("lineSep", "\n").text(path)
-            .select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block")))
+    """Physical lines (line feeds only; a carriage return stays), their file and the start of their byte range, and a key of the two."""
+    lines = (spark.read.option("lineSep", "\n").text(path)
+             .select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block")))
+    return lines.withColumn("key", F.xxhash64("file", "block"))
 
 
 @dataclass
-class Ranges:
+class Files:
     """What a first pass over the byte ranges of some files found. A byte range doesn't know whether it starts inside a quoted
     value; whether the number of quotes before it in its file is odd says it."""
-    inside: dict[tuple[str, int], bool]     # by file and start
-    heads: dict[str, str]                   # first record of each file
-    uncut: set[str]                         # files with quotes inside of values that are not quoted: quotes say nothing there
+    ranges: dict[int, Range]
+    heads: list[str]        # the different header records
+    uncut: list[str]        # files with quotes inside of values that are not quoted: quotes say nothing there
 
 
-def ranges(spark: SparkSession, path: str | list[str]) -> Ranges:
-    lines = _lines(spark, path)
+def first_pass(spark: SparkSession, path: str) -> Files:
     quotes = F.length("value") - F.length(F.replace("value", F.lit(QUOTE), F.lit("")))
     # a byte range is read by one task, line by line, so its first line is the first that is met
     head = F.first(F.when((F.col("block") == 0) & (F.trim("value") != ""), F.col("value")), ignorenulls=True)
-    found = (lines.groupBy("file", "block").agg((F.sum(quotes) % 2).alias("odd"), F.sum(F.regexp_count("value", F.lit(_STRAY))).alias("stray"), head.alias("head"))
+    found = (_lines(spark, path).groupBy("key", "file", "block")
+             .agg((F.sum(quotes) % 2).alias("odd"), F.sum(F.regexp_count("value", F.lit(_STRAY))).alias("stray"), head.alias("head"))
              .orderBy("file", "block").collect())       # a row for each byte range, as many as the job has input splits
-    out, odd = Ranges({}, {}, set()), {}
+    odd, heads, uncut = {}, {}, set()
     for r in found:
-        out.inside[(r.file, r.block)] = bool(odd.get(r.file, 0))
         odd[r.file] = odd.get(r.file, 0) ^ r.odd
         if r.head is not None:
-            out.heads[r.file] = r.head
+            heads[r.file] = r.head
         if r.stray or r.head and r.head.count(QUOTE) % 2:
-            out.uncut.add(r.file)
-    out.uncut |= {f for f, n in odd.items() if n}
-    return out
+            uncut.add(r.file)
+    uncut |= {f for f, n in odd.items() if n}
+    number = {h: k for k, h in enumerate(sorted({h for f, h in heads.items() if f not in uncut}))}
+    place = {f: k for k, f in enumerate(sorted(odd))}
+    ranges, before = {}, {}
+    for r in found:
+        ranges[r.key] = Range(place[r.file], r.block, -1 if r.file in uncut else number.get(heads.get(r.file), -1), bool(before.get(r.file, 0)))
+        before[r.file] = before.get(r.file, 0) ^ r.odd
+    if len(ranges) < len(found):
+        raise ValueError("two byte ranges with one key")
+    return Files(ranges, list(number), sorted(uncut))
 
 
-def records(spark: SparkSession, path: str | list[str], found: Ranges) -> DataFrame:
-    """The records of files as text: (file, block, n, record), in file order by block and n. Every byte range is cut on
-    its own. Of a record that goes on in later ranges each gives its part, and the parts, at most two for a range, are put together."""
-    shared = spark.sparkContext.broadcast(found.inside)
+def records(spark: SparkSession, path: str, files: Files) -> DataFrame:
+    """The records as text: (file, block, head, n, record), in file order by file, block and n; without those of files that can't be cut. Every byte
+    range is cut on its own. Of a record that goes on in later ranges each gives its part, and the parts, at most two for a range, are put
+    together. The path has to be read as in the first pass, so that the ranges are the same."""
+    shared = spark.sparkContext.broadcast(files.ranges)     # one entry for each input split
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        return _cut(batches, shared.value)
+        return cut_records(batches, shared.value)
 
-    parts = _lines(spark, path).mapInArrow(cut, "file string, block long, n long, record string, begins boolean, ends boolean")
+    parts = _lines(spark, path).select("key", F.concat("value", F.lit("\n")).alias("line")).mapInArrow(cut, RECORDS).where("head >= 0")
+    whole = parts.where("begins AND ends").select("file", "block", "head", "n", "record")
+    if not any(r.inside for r in files.ranges.values()):
+        return whole        # no record goes on in another range
     order = Window.partitionBy("file").orderBy("block", "n")
     broken = parts.where("NOT (begins AND ends)").withColumn("first", F.sum(F.col("begins").cast("int")).over(order))
-    joined = (broken.groupBy("file", "first").agg(F.sort_array(F.collect_list(F.struct("block", "n", "record"))).alias("p"))
-              .select("file", F.col("p")[0]["block"].alias("block"), F.col("p")[0]["n"].alias("n"), F.array_join(F.col("p.record"), "\n").alias("record")))
-    return parts.where("begins AND ends").select("file", "block", "n", "record").unionByName(joined)
-
-
-def _cut(batches: Iterator[pa.RecordBatch], inside: dict[tuple[str, int], bool]) -> Iterator[pa.RecordBatch]:
-    """The records of the byte ranges that a task reads, one after the other. Blank lines between records are none."""
-    key, n, held, begins = None, 0, [], True
-    out: list[tuple] = []
-
-    def flush() -> pa.RecordBatch:
-        columns = list(zip(*out)) if out else [[]] * 6
-        out.clear()
-        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.int64(), pa.int64(), pa.string(), pa.bool_(), pa.bool_()))],
-                                          names=["file", "block", "n", "record", "begins", "ends"])
-
-    def rest() -> None:
-        if held:
-            out.append((*key, n, "\n".join(held), begins, False))
-            held.clear()
-
-    for batch in batches:
-        for line, file, block in zip(*(batch.column(k).to_pylist() for k in range(3))):
-            if (file, block) != key:
-                rest()
-                key, n, begins = (file, block), 0, not inside[(file, block)]
-                open_quote = not begins
-            if not held and not open_quote and begins and not line.strip():
-                continue
-            held.append(line)
-            open_quote ^= line.count(QUOTE) % 2
-            if not open_quote:
-                out.append((*key, n, "\n".join(held), begins, True))
-                held.clear()
-                n, begins = n + 1, True
-        yield flush()
-    rest()
-    if out:
-        yield flush()
+    joined = (broken.groupBy("file", "head", "first").agg(F.sort_array(F.collect_list(F.struct("block", "n", "record"))).alias("p"))
+              .select("file", F.col("p")[0]["block"].alias("block"), "head", F.col("p")[0]["n"].alias("n"), F.array_join(F.col("p.record"), "").alias("record")))
+    return whole.unionByName(joined)
 
 
 def _names(header: str) -> list[str]:
@@ -132,32 +113,34 @@ def _read_csv(spark: SparkSession, path: str, columns: list[str], position: str
     """The named columns of all files, as text. A file of any size is read by many tasks. ``position`` names a column for the place of a
     record in the input (file, byte range, number in it).
 
-    Files that have quotes inside of values that are not quoted can't be cut; each of these is read by one task."""
-    found = ranges(spark, path)
-    kind = f"{position} struct<file:string,block:long,n:long>"
+    Files that have quotes inside of values that are not quoted can't be cut; each of these is read by one task, and comes last."""
+    files = first_pass(spark, path)
     place = [F.struct("file", "block", "n").alias(position)] if position else []
-    by_head: dict[str, list[str]] = {}
-    for file, head in found.heads.items():
-        by_head.setdefault("" if file in found.uncut else head, []).append(file)
     parts = []
-    for head, files in by_head.items():
-        own = path if len(by_head) == 1 else [unquote(f) for f in files]
-        if not head:
-            for file in files:
-                whole = spark.read.options(**{**_OPTIONS, "header": "true", "multiLine": "true", "inferSchema": "false"}).csv(unquote(file))
-                whole = whole.select(*columns, F.lit(file).alias("file"), F.lit(0).cast("long").alias("block"), F.monotonically_increasing_id().alias("n"))
-                parts.append(whole.select(*columns, *place))
-            continue
-        names = _names(head)
-        if missing := [c for c in columns if c not in names]:
-            raise ValueError(f"no columns {missing} in {files}")
-        row = F.from_csv(F.regexp_replace("record", "\r$", ""), ", ".join(f"c{k} string" for k in range(len(names))), _OPTIONS)
-        body = records(spark, own, found).where(~((F.col("block") == 0) & (F.col("n") == 0)))
+    if files.heads:
+        names = [_names(h) for h in files.heads]
+        if missing := [c for c in columns if any(c not in own for own in names)]:
+            raise ValueError(f"columns {missing} are not in every file of {path}")
+        schema = ", ".join(f"c{k} string" for k in range(max(map(len, names))))
+        row = F.from_csv(F.regexp_replace("record", r"\r?\n\z", ""), schema, _OPTIONS)
         # the parsed record comes out of a generator: it is not put into every field reference, which would parse it again for each
-        parts.append(body.select("file", "block", "n", F.inline(F.array(row)))
-                     .select(*(F.col(f"c{names.index(c)}").alias(c) for c in columns), *place))
+        body = (records(spark, path, files).where(~((F.col("block") == 0) & (F.col("n") == 0)))
+                .select("file", "block", "n", "head", F.inline(F.array(row))))
+
+        def value(c: str):
+            cases = [(own.index(c), k) for k, own in enumerate(names)]
+            if len({at for at, _ in cases}) == 1:
+                return F.col(f"c{cases[0][0]}")
+            return F.coalesce(*(F.when(F.col("head") == k, F.col(f"c{at}")) for at, k in cases))
+
+        parts.append(body.select(*(value(c).alias(c) for c in columns), *place))
+    for k, file in enumerate(files.uncut):
+        whole = spark.read.options(**{**_OPTIONS, "header": "true", "multiLine": "true", "inferSchema": "false"}).csv(unquote(file))
+        whole = whole.select(*columns, F.lit(1_000_000_000 + k).alias("file"), F.lit(0).cast("long").alias("block"), F.monotonically_increasing_id().alias("n"))
+        parts.append(whole.select(*columns, *place))
     if not parts:
-        return spark.createDataFrame([], ", ".join([*(f"{c} string" for c in columns), *([kind] if position else [])]))
+        kind = [f"{position} struct<file:int,block:long,n:long>"] if position else []
+        return spark.createDataFrame([], ", ".join([*(f"{c} string" for c in columns), *kind]))
     return reduce(DataFrame.unionByName, parts)
 
 

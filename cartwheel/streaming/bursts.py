@@ -33,11 +33,14 @@ from pyspark.sql import functions as F
 
 from cartwheel.config import DEFAULT_BURST_SPAN, DEFAULT_SUSPICIOUS_ORDER_COUNT
 from cartwheel.functions.columns import span_microseconds
-from cartwheel.operators.bursts import BUCKET_SPANS, alerts_from_runs
+from cartwheel.operators.bursts import alerts_from_runs
 from cartwheel.schemas import EVENT_TIME
 from cartwheel.streaming import burst_groups
 from cartwheel.streaming.burst_groups import RUN_DDL, STATE_DDL, make_burst_function
 
+# Wider than in a batch: a micro-batch covers little time, each bucket of a customer is a state of its own, and so are the copies near its end.
+BUCKET_SPANS = 64
+
 cloudpickle.register_pickle_by_value(sys.modules[burst_groups.__name__])
 
 

@@ -79,8 +79,9 @@ def run_job(spark: SparkSession, job: str, config: JobConfig, source_dir: str |
 
 
 def run_bounded(spark: SparkSession, job: str, config: JobConfig, source_dir: str, sink_dir: str | None = None,
-                database: str | None = None) -> None:
-    """Read all of ``source_dir``, then flush: the end marker comes after the last micro-batch of input, on the same checkpoint."""
+                database: str | None = None, log: MetricsLog | None = None) -> None:
+    """Read all of ``source_dir``, then flush: the end marker comes after the last micro-batch of input, on the same checkpoint. With a
+    ``log`` it is over when that has every report."""
     end = f"{checkpoint_root(spark).rstrip('/')}/{job}/end"
     for last in (False, True):
         if last:
@@ -88,6 +89,8 @@ def run_bounded(spark: SparkSession, job: str, config: JobConfig, source_dir: st
             write_end(events, end, config.window, config.burst_span, config.watermark_delay)
         for q in run_job(spark, job, config, source_dir, sink_dir, {"availableNow": True}, end, database):
             q.awaitTermination()
+            if log:
+                log.wait_for(q)
             if q.exception():
                 raise q.exception()
 
@@ -133,10 +136,11 @@ def main(argv: list[str] | None = None) -> None:
             print(name)
         return
     metrics = args.metrics or (f"{args.sink_dir.rstrip('/')}/metrics" if args.sink_dir else None)
-    if metrics:
-        spark.streams.addListener(MetricsLog(spark, metrics))
+    log = MetricsLog(spark, metrics) if metrics else None
+    if log:
+        spark.streams.addListener(log)
     if args.bounded:
-        run_bounded(spark, args.job, config, args.source_dir, args.sink_dir)
+        run_bounded(spark, args.job, config, args.source_dir, args.sink_dir, log=log)
         return
     queries = run_job(spark, args.job, config, args.source_dir, args.sink_dir)
     spark.streams.awaitAnyTermination()

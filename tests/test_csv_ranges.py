@@ -9,7 +9,7 @@ from datetime import datetime
 import pytest
 
 from cartwheel.sources import csv as module
-from cartwheel.sources.csv import enriched_events_from_csv, ranges
+from cartwheel.sources.csv import enriched_events_from_csv, first_pass
 
 COLUMNS = ["a", "b", "c"]
 
@@ -49,9 +49,9 @@ def test_equals_the_whole_file(spark, tmp_path, size, end):
     path = tmp_path / "one.csv"
     path.write_bytes(text.encode())
     with small_ranges(spark, size):
-        found = ranges(spark, str(path))
-        assert not found.uncut and (size > 10_000 or len(found.inside) > 5)
-        assert size > 100 or any(found.inside.values())
+        found = first_pass(spark, str(path))
+        assert not found.uncut and (size > 10_000 or len(found.ranges) > 5)
+        assert size > 100 or any(r.inside for r in found.ranges.values())
         got = module._read_csv(spark, str(path), COLUMNS, "place").collect()
     assert Counter(tuple(map(text_of, r[:3])) for r in got) == Counter(tuple(map(text_of, r)) for r in rows)
     ordered = sorted(got, key=lambda r: tuple(r.place))
@@ -68,7 +68,7 @@ def test_column_orders_empty_files_and_stray_quotes(spark, tmp_path):
     (tmp_path / "d.csv").write_text('a,b,c\n4,5" pipe,x\n5,6,7\n')       # a quote in a value that is not quoted
     (tmp_path / "e.csv").write_text("a,b,c\n")
     with small_ranges(spark, 12):
-        assert {f.rsplit("/", 1)[1] for f in ranges(spark, str(tmp_path)).uncut} == {"d.csv"}
+        assert {f.rsplit("/", 1)[1] for f in first_pass(spark, str(tmp_path)).uncut} == {"d.csv"}
         got = {r.a: (r.b, r.c) for r in module._read_csv(spark, str(tmp_path), COLUMNS).collect()}
     assert got == {"1": ("x\ny", "z"), "2": (None, None), "3": (' q "r" ', "z3"), "4": ('5" pipe', "x"), "5": ("6", "7")}
     (tmp_path / "f.csv").write_text("a,b\n1,2\n")
