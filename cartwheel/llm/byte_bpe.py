@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from cartwheel.llm.common import saved, shuffle_partitions, table
 
-KNOWN_WORDS = 400_000       # distinct words that are folded once
+KNOWN_WORDS = 340_000       # distinct words that are folded once
 LEARN_DOCS = 50_000         # about so many documents, by a hash of the text, say which words are frequent; this changes no result
 FOLDED = 64                 # characters of the longest word that is folded
 BUCKETS = 1 << 17           # maps that pairs and words are spread over
