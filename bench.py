@@ -1,4 +1,4 @@
-"""Benchmark: every registered query at $BENCH_SF_DIR on local[$BENCH_CPUS].
+"""Benchmark: every order query at $BENCH_SF_DIR on local[$BENCH_CPUS].
 
 Each query is run to completion with a ``noop`` write (full computation, nothing collected), $BENCH_RUNS
 times (3); its time is the median.
