@@ -229,6 +229,20 @@ FROM seen WHERE product_category IS NOT NULL AND price IS NOT NULL
 GROUP BY product_category, date_trunc('minute', order_purchase_timestamp)""")
 
 
+def lateness(feed: str) -> str:
+    """Groups of odd events (valid or not) in windows that ended at or before the watermark of the even ones, whole milliseconds."""
+    return with_feed(feed, """
+, mark AS (SELECT epoch_us(max(order_purchase_timestamp)) // 1000 - 10000 AS ms FROM feed WHERE CAST(order_id AS BIGINT) % 2 = 0),
+late AS (
+  SELECT DISTINCT product_category, date_trunc('minute', order_purchase_timestamp) AS ws FROM feed
+  WHERE CAST(order_id AS BIGINT) % 2 = 1
+    AND epoch_us(date_trunc('minute', order_purchase_timestamp) + INTERVAL 1 MINUTE) <= (SELECT ms * 1000 FROM mark)),
+groups AS (SELECT 'revenue' AS query, (SELECT count(*) FROM late) AS n UNION ALL SELECT 'kpi', (SELECT count(DISTINCT ws) FROM late))
+SELECT query, n AS late_rows, CASE WHEN n > 0 THEN 1 ELSE 0 END AS late_batches,
+       CASE WHEN n > 0 THEN (SELECT ms FROM mark) END AS watermark_ms
+FROM groups""")
+
+
 def record_counts(feed: str) -> str:
     """Records in (the events and the end marker) and out (windows, alerts) of the replays. The alert job reads its messages twice,
     for bursts and for prices (the filter on prices skips the end marker); an event without a category is a bad message there, and times are whole seconds."""

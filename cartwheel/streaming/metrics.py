@@ -4,7 +4,8 @@ Counters and gauges are ``observe`` aggregates attached to the result streams; t
 values arrive in the progress report of each micro-batch and a counter is the running sum.
 ``MetricsLog`` is a listener: it gets every report, of however many micro-batches (a query itself
 keeps only the last hundred), turns it into rows (query, batch, name, value), with records in and out
-and their rates (M7), and appends them to a metrics table, or keeps them for the caller.
+and their rates (M7), the watermark of each batch and what its state operators dropped behind it (T3), and appends them
+to a metrics table, or keeps them for the caller.
 The value distribution (M4) is the A6 report over the KPI table; decoding errors (M6) are
 observed by ``decode_order_messages(..., observe=True)``.
 """
@@ -12,6 +13,7 @@ observed by ``decode_order_messages(..., observe=True)``.
 from __future__ import annotations
 
 import threading
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -57,6 +59,10 @@ def progress_rows(query_name: str, progresses) -> list[tuple]:
         rows.append((query_name, batch, "inputRowsPerSecond", float(p.inputRowsPerSecond or 0.0)))
         rows.append((query_name, batch, "processedRowsPerSecond", float(p.processedRowsPerSecond or 0.0)))
         seconds = (p.durationMs or {}).get("triggerExecution", 0) / 1000
+        if p.stateOperators:
+            rows.append((query_name, batch, LATE, float(sum(s.numRowsDroppedByWatermark for s in p.stateOperators))))
+        if mark := (p.eventTime or {}).get("watermark"):
+            rows.append((query_name, batch, WATERMARK, datetime.fromisoformat(mark).timestamp() * 1000))
         for obs_name, row in (p.observedMetrics or {}).items():
             for k, v in row.asDict().items():
                 if v is not None:
@@ -109,11 +115,16 @@ GAUGES = ("lastWindowOrderCount",)
 RATES = ("inputRowsPerSecond", "processedRowsPerSecond", "recordsOutPerSecond")
 RECORDS = ("numInputRows", "recordsOut")
 
+# What a state operator dropped: its input rows. Those of a windowed aggregate are groups (window and key) with any number of events,
+# as the events of a micro-batch are aggregated before they come to the state.
+LATE = "lateRowsDropped"
+WATERMARK = "watermarkEpochMillis"
+
 
 def counters(metrics: DataFrame) -> DataFrame:
     """query, name, value: counters summed over batches, gauges at their last reported value
-    (rates and record counts excluded)."""
-    observed = metrics.where(~F.col("name").isin(*RATES, *RECORDS))
+    (rates, record counts and lateness excluded)."""
+    observed = metrics.where(~F.col("name").isin(*RATES, *RECORDS, LATE, WATERMARK))
     is_gauge = F.col("name").isin(*GAUGES)
     return (observed.groupBy("query", "name")
             .agg(F.when(F.first(is_gauge), F.max_by("value", "batch_id")).otherwise(F.sum("value")).alias("value")))
@@ -127,3 +138,16 @@ def rates(metrics: DataFrame) -> DataFrame:
 def record_counts(metrics: DataFrame) -> DataFrame:
     """query, name, value: all records in and out of each query."""
     return metrics.where(F.col("name").isin(*RECORDS)).groupBy("query", "name").agg(F.sum("value").alias("value"))
+
+
+def lateness(metrics: DataFrame) -> DataFrame:
+    """Query, late_rows, late_batches, watermark_ms: what the state operators of each query dropped, in how many micro-batches, and the
+    largest watermark (milliseconds) that such a batch judged by; null if nothing was late. A batch judges by the watermark at which the
+    batch before it ran. Queries without state have no row."""
+    judged = F.col("batch_id") + F.when(F.col("name") == WATERMARK, 1).otherwise(0)
+    batches = (metrics.where(F.col("name").isin(LATE, WATERMARK)).groupBy("query", judged.alias("batch_id"))
+               .agg(F.sum(F.when(F.col("name") == LATE, F.col("value"))).alias("late"),
+                    F.max(F.when(F.col("name") == WATERMARK, F.col("value"))).alias("mark")))
+    return (batches.where("late IS NOT NULL").groupBy("query")
+            .agg(F.sum("late").cast("long").alias("late_rows"), F.count_if(F.col("late") > 0).alias("late_batches"),
+                 F.max(F.when(F.col("late") > 0, F.col("mark"))).cast("long").alias("watermark_ms")))

@@ -1,6 +1,6 @@
 import os
 import random
-from datetime import timedelta
+from datetime import timedelta, timezone
 
 import pytest
 from conftest import BASE, SF001
@@ -245,8 +245,39 @@ def test_kpi_stream_drops_late_rows(spark, tmp_path):
     assert rows == [(0, 1, 2.0), (180, 1, 4.0)]   # late row at +5 s dropped; value = price + freight 1
 
 
+def test_late_rows_are_metric_rows(spark, tmp_path):
+    from cartwheel.streaming.metrics import MetricsLog, lateness, metrics_frame
+    log = MetricsLog(spark)
+    spark.streams.addListener(log)
+    try:
+        src = tmp_path / "src"
+        src.mkdir()
+        # file by file; a batch drops what is behind the watermark of the batch before it
+        write_events(spark, str(src), "a-events.parquet", [(1, 0, 1, "click", 1.0), (2, 200, 1, "click", 4.0)], 1_000_000)    # 190 s
+        write_events(spark, str(src), "b-events.parquet", [(3, 400, 1, "click", 8.0)], 2_000_000)                             # 390 s
+        write_events(spark, str(src), "c-events.parquet", [(4, 10, 1, "click", 9.0), (5, 20, 2, "click", 9.0), (6, 70, 2, "click", 9.0),
+                                                           (7, 195, 1, "click", 1.0)], 3_000_000)     # three late events in two groups
+        write_events(spark, str(src), "d-events.parquet", [(8, 190, 1, "click", 9.0)], 4_000_000)     # one more
+        out = str(tmp_path / "out")
+        q = start(revenue_stream(order_stream_from_files(spark, str(src), None, 1)), "revenue",
+                  Sink("parquet", out, str(tmp_path / "ck"), {"availableNow": True}), "late_metrics")
+        q.awaitTermination()
+        log.wait_for(q)
+        other = start(quarantine_stream(order_stream_from_files(spark, str(src))), "quarantine",
+                      Sink("parquet", str(tmp_path / "bad"), str(tmp_path / "ck2"), {"availableNow": True}), "no_state")
+        other.awaitTermination()
+        log.wait_for(other)
+    finally:
+        spark.streams.removeListener(log)
+    rows = lateness(metrics_frame(spark, log.rows["late_metrics"] + log.rows["no_state"])).collect()
+    mark = int(BASE.replace(tzinfo=timezone.utc).timestamp()) + 390
+    assert [tuple(r) for r in rows] == [("late_metrics", 3, 2, mark * 1000)]
+    assert sorted(float(r.total_revenue) for r in spark.read.parquet(out).collect()) == [2.0, 7.0]   # with a freight of 1 an event
+    assert lateness(metrics_frame(spark, [])).collect() == []
+
+
 STREAM_QUERIES = ["revenue_stream_replay", "kpi_stream_replay", "alerts_stream_replay", "quarantine_stream_replay", "kpi_value_distribution_stream",
-                  "stream_metrics", "stream_rates"]
+                  "stream_metrics", "stream_rates", "stream_lateness"]
 
 
 @pytest.mark.parametrize("name", STREAM_QUERIES)
