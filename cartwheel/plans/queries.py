@@ -447,6 +447,47 @@ def _kpi_stream_restart(spark, sf):
     return _replay_in_parts(spark, sf, kpi_stream, "kpi", "kpi_restart", [early, ~early], MINUTE_SPANS)
 
 
+@register("bursts_stream_processor", oracle.burst_alerts("event", 3, "1 DAY", "1440 minutes"))
+def _bursts_stream_processor(spark, sf):
+    """W3 by a state processor with one event-time timer a key (1-day span)."""
+    from cartwheel.streaming.bursts import suspicious_frequency_processor
+    from cartwheel.streaming.sources import with_event_time
+    return _replay(spark, sf, lambda s: suspicious_frequency_processor(with_event_time(s), 3, "1 day"), "alert", "bursts_processor", DAY_SPANS)
+
+
+@register("bursts_stream_restored", oracle.burst_alerts("event", 3, "1 DAY", "1440 minutes"))
+def _bursts_stream_restored(spark, sf):
+    """The burst query stops in the middle of the events; a new one with more state partitions goes on from its state."""
+    from cartwheel.session import scratch_path
+    from cartwheel.sinks.commits import read_committed
+    from cartwheel.sources.tables import read_table
+    from cartwheel.streaming.bounded import with_end, write_end
+    from cartwheel.streaming.bursts import suspicious_frequency_processor
+    from cartwheel.streaming.jobs import Sink, start
+    from cartwheel.streaming.sources import order_stream_from_files, with_event_time
+    early, late, end = (scratch_path(spark, f"bursts_restored-{k}") for k in ("early", "late", "end"))
+    events = read_table(spark, sf, "events")
+    first, last = events.agg(F.unix_micros(F.min("ts").cast("timestamp")), F.unix_micros(F.max("ts").cast("timestamp"))).first()
+    if first is None:
+        return suspicious_frequency_alerts(event_feed(spark, sf), 3, "1 day")
+    is_early = F.col("ts").cast("timestamp") < F.timestamp_micros(F.lit((first + last) // 2))
+    events.where(is_early).write.parquet(early)
+    events.where(~F.coalesce(is_early, F.lit(False))).write.parquet(late)
+    write_end(event_feed(spark, sf), end, *DAY_SPANS)
+    partitions = spark.conf.get("spark.sql.shuffle.partitions")
+    out, before = [], None
+    try:
+        for orders in (order_stream_from_files(spark, early), with_end(order_stream_from_files(spark, late), end)):
+            result = suspicious_frequency_processor(with_event_time(orders), 3, "1 day", restore=before)
+            to, before = scratch_path(spark, "bursts_restored-out"), scratch_path(spark, "bursts_restored-ckpt")
+            _run_to_end(start(result, "alert", Sink("parquet", to, before, {"availableNow": True}), f"bursts_{to[-12:]}"))
+            out.append(read_committed(spark, to, result.schema))
+            spark.conf.set("spark.sql.shuffle.partitions", str(int(partitions) + 3))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    return out[0].unionByName(out[1])
+
+
 @register("quarantine_stream_replay", oracle.quarantine_rows("event"))
 def _quarantine_stream_replay(spark, sf):
     from cartwheel.streaming.jobs import quarantine_stream

@@ -28,20 +28,22 @@ from __future__ import annotations
 import sys
 
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, GroupedData, SparkSession
 from pyspark.sql import functions as F
 
 from cartwheel.config import DEFAULT_BURST_SPAN, DEFAULT_SUSPICIOUS_ORDER_COUNT
 from cartwheel.functions.columns import span_microseconds
 from cartwheel.operators.bursts import alerts_from_runs
 from cartwheel.schemas import EVENT_TIME
-from cartwheel.streaming import burst_groups
+from cartwheel.streaming import burst_groups, burst_processor
 from cartwheel.streaming.burst_groups import RUN_DDL, STATE_DDL, make_burst_function
+from cartwheel.streaming.burst_processor import BurstProcessor
 
 # Wider than in a batch: a micro-batch covers little time, each bucket of a customer is a state of its own, and so are the copies near its end.
 BUCKET_SPANS = 64
 
 cloudpickle.register_pickle_by_value(sys.modules[burst_groups.__name__])
+cloudpickle.register_pickle_by_value(sys.modules[burst_processor.__name__])
 
 
 def suspicious_frequency_stream(events: DataFrame, min_count: int = DEFAULT_SUSPICIOUS_ORDER_COUNT,
@@ -53,13 +55,54 @@ def suspicious_frequency_stream(events: DataFrame, min_count: int = DEFAULT_SUSP
     stays above it)."""
     span_us = span_microseconds(span)
     bucket_us = BUCKET_SPANS * span_us
+    ends = _by_bucket(events, span_us, bucket_us).applyInPandasWithState(
+        make_burst_function(min_count, span_us, bucket_us), RUN_DDL, STATE_DDL, "append", "EventTimeTimeout")
+    return _alerts(ends, min_count, span)
+
+
+def _by_bucket(events: DataFrame, span_us: int, bucket_us: int) -> GroupedData:
+    """Event times by customer and bucket; those within the span of a bucket's end in the next one too."""
     src = (events.where(F.col(EVENT_TIME).isNotNull())
                  .select("customer_id", EVENT_TIME, F.unix_micros(EVENT_TIME).alias("ts_us")))
     home = F.expr(f"(ts_us - pmod(ts_us, {bucket_us})) div {bucket_us}")
     in_halo = F.col("ts_us") > (home + 1) * F.lit(bucket_us) - F.lit(span_us)
     src = src.withColumn("bucket", F.explode(F.when(in_halo, F.array(home, home + 1)).otherwise(F.array(home))))
-    ends = src.groupBy("customer_id", "bucket").applyInPandasWithState(
-        make_burst_function(min_count, span_us, bucket_us), RUN_DDL, STATE_DDL, "append", "EventTimeTimeout")
+    return src.groupBy("customer_id", "bucket")
+
+
+def _alerts(ends: DataFrame, min_count: int, span: str) -> DataFrame:
     runs = ends.select("customer_id", F.timestamp_micros("ts_us").alias(EVENT_TIME),
                        F.explode(F.sequence(F.lit(min_count).cast("long"), F.col("k"))).alias("run_length"))
     return alerts_from_runs(runs, span)
+
+
+def suspicious_frequency_processor(events: DataFrame, min_count: int = DEFAULT_SUSPICIOUS_ORDER_COUNT, span: str = DEFAULT_BURST_SPAN,
+                                   restore: str | None = None) -> DataFrame:
+    """The same alerts by a state processor (``transformWithStateInPandas``: lists of times, one event-time timer a key).
+
+    ``restore`` is the checkpoint of a stopped query of this function with the same span and count. The new query, on a checkpoint of
+    its own, goes on from that state and watermark, with any number of state partitions; ``events`` are those which the
+    stopped query had not read."""
+    span_us = span_microseconds(span)
+    bucket_us = BUCKET_SPANS * span_us
+    spark = events.sparkSession
+    state = burst_state(spark, restore).groupBy("customer_id", "bucket") if restore else None
+    processor = BurstProcessor(min_count, span_us, bucket_us, last_watermark_ms(spark, restore) if restore else 0)
+    ends = _by_bucket(events, span_us, bucket_us).transformWithStateInPandas(processor, RUN_DDL, "append", "eventTime", state)
+    return _alerts(ends, min_count, span)
+
+
+def burst_state(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """The state of a stopped processor query, by the state data source: customer_id, bucket, kind (pending or recent), ts_us."""
+    def times(kind: str) -> DataFrame:
+        read = spark.read.format("statestore").option("stateVarName", kind).load(checkpoint)
+        return read.select("key.customer_id", "key.bucket", F.lit(kind).alias("kind"), "list_element.ts_us")
+    return times("pending").unionByName(times("recent"))
+
+
+def last_watermark_ms(spark: SparkSession, checkpoint: str) -> int:
+    """The watermark at which the next micro-batch of a stopped query would run, by its logs of offsets and commits."""
+    path = checkpoint.rstrip("/")
+    logs = spark.read.text([f"{path}/offsets", f"{path}/commits"])
+    told = F.coalesce(F.get_json_object("value", "$.nextBatchWatermarkMs"), F.get_json_object("value", "$.batchWatermarkMs"))
+    return logs.where(F.col("value").startswith("{")).agg(F.coalesce(F.max(told.cast("long")), F.lit(0))).first()[0]
