@@ -447,6 +447,33 @@ def _kpi_stream_restart(spark, sf):
     return _replay_in_parts(spark, sf, kpi_stream, "kpi", "kpi_restart", [early, ~early], MINUTE_SPANS)
 
 
+def _from_log(spark: SparkSession, sf: str, *names: str) -> list[DataFrame]:
+    """The events through one decoded log; rows of the named consumers."""
+    from cartwheel.session import scratch_path
+    from cartwheel.sinks.commits import read_committed
+    from cartwheel.streaming.decoded import consumer, read_log, run_to_end
+    from cartwheel.streaming.jobs import Sink
+    from cartwheel.streaming.sources import order_stream_from_files
+    settings = {"min_count": 3, "span": "1 day", "threshold": "400"}
+    folder, out, ckpt = (scratch_path(spark, f"decoded-{k}") for k in ("log", "out", "ckpt"))
+    run_to_end(spark, order_stream_from_files(spark, f"{sf}/events.parquet"), folder, ckpt,
+               lambda name: Sink("parquet", f"{out}/{name}", f"{ckpt}/{name}", {"availableNow": True}), f"log_{out[-12:]}", **settings)
+    return [read_committed(spark, f"{out}/{name}", consumer(name, read_log(spark, folder), **settings).schema) for name in names]
+
+
+@register("alerts_from_decoded_log", ORACLE["all_alerts_event"])
+def _alerts_from_decoded_log(spark, sf):
+    """Bursts (1-day span) and price alerts (threshold 400) as two consumers of one decoded log."""
+    bursts, prices = _from_log(spark, sf, "bursts", "prices")
+    return bursts.unionByName(prices)
+
+
+@register("quarantine_from_decoded_log", oracle.quarantine_rows("event"))
+def _quarantine_from_decoded_log(spark, sf):
+    """K10 as a consumer of the decoded log."""
+    return _from_log(spark, sf, "quarantine")[0]
+
+
 @register("bursts_stream_processor", oracle.burst_alerts("event", 3, "1 DAY", "1440 minutes"))
 def _bursts_stream_processor(spark, sf):
     """W3 by a state processor with one event-time timer a key (1-day span)."""

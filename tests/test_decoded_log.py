@@ -1,0 +1,81 @@
+"""One decoded pass for bursts, price alerts and quarantine."""
+
+import os
+from datetime import timedelta
+
+import pytest
+from conftest import BASE
+from test_streaming import write_events
+
+from cartwheel.operators.alerts import price_anomaly_alerts, union_alerts
+from cartwheel.operators.bursts import suspicious_frequency_alerts
+from cartwheel.schemas import ORDER_EVENT
+from cartwheel.sinks.commits import read_committed
+from cartwheel.sources.feeds import event_feed_from
+from cartwheel.streaming.decoded import RECORDS, consumer, read_log, run_to_end, start_consumers, start_log
+from cartwheel.streaming.jobs import Sink
+from cartwheel.streaming.metrics import MetricsLog
+from cartwheel.streaming.sources import order_stream_from_files
+
+SETTINGS = {"min_count": 3, "span": "5 minutes", "threshold": "400"}
+FIRST = [(i, 20 * i, i % 2, "click", 500.0 if i % 10 == 0 else 10.0) for i in range(40)] + [(90, 300, 7, None, 1.0), (91, 300, 7, "click", None)]
+SECOND = [(100 + i, 5000 + 20 * i, 1, "click", 450.0 if i == 3 else 10.0) for i in range(10)] + [(190, 5100, 7, None, 2.0)]
+
+
+def alerts(df):
+    return sorted((r.alert_type, r.entity_id, r.detected_at, r.description) for r in df.collect())
+
+
+def test_consumers_of_one_log(spark, tmp_path):
+    src, log, out, ckpt = (str(tmp_path / k) for k in ("src", "log", "out", "ckpt"))
+    os.makedirs(src)
+
+    def sink(name):
+        return Sink("parquet", f"{out}/{name}", f"{ckpt}/{name}", {"availableNow": True})
+
+    metrics = MetricsLog(spark)
+    spark.streams.addListener(metrics)
+    try:
+        write_events(spark, src, "0-events.parquet", FIRST, 1_000_000)
+        run_to_end(spark, order_stream_from_files(spark, src), log, ckpt, sink, "log_t", metrics, **SETTINGS)
+    finally:
+        spark.streams.removeListener(metrics)
+    rows = {name: read_committed(spark, f"{out}/{name}", consumer(name, read_log(spark, log), **SETTINGS).schema) for name in RECORDS}
+    batch = event_feed_from(spark.read.parquet(src))
+    want = alerts(union_alerts(suspicious_frequency_alerts(batch, 3, "5 minutes"), price_anomaly_alerts(batch, "400")))
+    assert want and alerts(rows["bursts"].unionByName(rows["prices"])) == want
+    assert rows["quarantine"].count() == 2
+    # the source is read once, by the decoding query alone
+    read = {q: sum(r[-1] for r in kept if "numInputRows" in r) for q, kept in metrics.rows.items() if q.startswith("log_t")}
+    assert read == {"log_t_decoded": len(FIRST), "log_t_bursts": len(FIRST) + 1, "log_t_prices": len(FIRST), "log_t_quarantine": len(FIRST)}
+
+
+def test_goes_on_and_a_lost_consumer_reads_the_log_again(spark, tmp_path):
+    """More input: each query reads only what is new. A consumer with a new checkpoint gets all from the log, not from the source."""
+    src, log, out, ckpt = (str(tmp_path / k) for k in ("src", "log", "out", "ckpt"))
+    os.makedirs(src)
+    for n, rows in enumerate((FIRST, SECOND)):
+        write_events(spark, src, f"{n}-events.parquet", rows, 1_000_000 + n)
+        q = start_log(order_stream_from_files(spark, src), log, f"{ckpt}/decoded", {"availableNow": True}, f"decoded_{n}")
+        q.awaitTermination()
+        assert q.exception() is None and sum(p.numInputRows for p in q.recentProgress) == len(rows)
+        for name, c in start_consumers(spark, log, lambda k: Sink("parquet", f"{out}/{k}", f"{ckpt}/{k}", {"availableNow": True}),
+                                       f"more_{n}", **SETTINGS).items():
+            c.awaitTermination()
+            assert c.exception() is None and sum(p.numInputRows for p in c.recentProgress) == len(rows), name
+    assert spark.read.schema(ORDER_EVENT).parquet(log).count() == len(FIRST) + len(SECOND)
+    schema = consumer("bursts", read_log(spark, log), **SETTINGS).schema
+    assert read_committed(spark, f"{out}/prices", schema).count() == 5
+    [late] = [q for k, q in start_consumers(spark, log, lambda k: Sink("parquet", f"{out}/again-{k}", f"{ckpt}/again-{k}", {"availableNow": True}),
+                                            "again", **SETTINGS).items() if k == "prices"]
+    for q in spark.streams.active:
+        q.awaitTermination()
+    assert late.exception() is None and read_committed(spark, f"{out}/again-prices", schema).count() == 5
+    until = BASE + timedelta(seconds=5180 - 10)
+    bursts = suspicious_frequency_alerts(event_feed_from(spark.read.parquet(src)), 3, "5 minutes").where("detected_at <= '%s'" % until)
+    assert alerts(read_committed(spark, f"{out}/bursts", schema)) == alerts(bursts)
+
+
+def test_unknown_consumer(spark, tmp_path):
+    with pytest.raises(ValueError, match="no consumer"):
+        consumer("kpis", read_log(spark, str(tmp_path / "log")))
