@@ -1,6 +1,6 @@
 """The three jobs and the enrichment, wired from ``JobConfig`` like the original entry points.
 
-    python -m cartwheel.streaming.run revenue|kpi|alerts [--source-dir DIR] [--sink-dir DIR] [--bounded] [--metrics DIR]
+    python -m cartwheel.streaming.run revenue|kpi|alerts [--source-dir DIR] [--sink-dir DIR] [--bounded] [--metrics DIR] [--decoded-log DIR]
     python -m cartwheel.streaming.run enrich CSV_DIR OUT_DIR
     python -m cartwheel.streaming.run init-tables [--table-format parquet|iceberg] [--location DIR]
 
@@ -29,6 +29,7 @@ from cartwheel.sinks.tables import create_result_tables
 from cartwheel.sources.csv import enriched_events_from_csv
 from cartwheel.sources.messages import decode_order_messages, encode_order_events
 from cartwheel.streaming.bounded import with_end, write_end
+from cartwheel.streaming.decoded import run_to_end, start_consumers, start_log
 from cartwheel.streaming.jobs import Sink, alert_stream, kpi_stream, quarantine_stream, revenue_stream, start, start_all
 from cartwheel.streaming.metrics import MetricsLog
 from cartwheel.streaming.sources import order_stream_from_json_files, order_stream_from_kafka
@@ -95,6 +96,27 @@ def run_bounded(spark: SparkSession, job: str, config: JobConfig, source_dir: st
                 raise q.exception()
 
 
+def run_alerts_from_log(spark: SparkSession, config: JobConfig, log_dir: str, source_dir: str | None = None, sink_dir: str | None = None,
+                        bounded: bool = False, log: MetricsLog | None = None) -> list[StreamingQuery]:
+    """The alert job with one decoded pass (``streaming.decoded``), and the quarantine as its third consumer. Returns the queries that run on."""
+    root = checkpoint_root(spark).rstrip("/") + "/alerts_log"
+    trig = {"availableNow": True} if bounded else {"processingTime": config.trigger_interval}
+
+    def sink_of(name: str) -> Sink:
+        if sink_dir:
+            return Sink("parquet", f"{sink_dir.rstrip('/')}/{name}", f"{root}/{name}", trig)
+        topic = config.quarantine_topic if name == "quarantine" else config.alerts_topic
+        return Sink("kafka", topic, f"{root}/{name}", trig, config.bootstrap_servers)
+
+    settings = {"min_count": config.suspicious_order_count, "span": config.burst_span, "threshold": config.price_anomaly_threshold,
+                "delay": config.watermark_delay}
+    orders = order_source(spark, config, source_dir)
+    if bounded:
+        run_to_end(spark, orders, log_dir, root, sink_of, log=log, **settings)
+        return []
+    return [start_log(orders, log_dir, f"{root}/decoded", trig), *start_consumers(spark, log_dir, sink_of, **settings).values()]
+
+
 def write_replay_files(spark: SparkSession, csv_dir: str, out_dir: str, files: int | None = None) -> None:
     """The enrichment (S3-S5, J1, J2, P7, P8) sorted by purchase time (O1), written as JSON order
     messages: the file-based stand-in for the paced producer. Range partitioning gives each
@@ -114,6 +136,7 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--source-dir")
     ap.add_argument("--sink-dir")
     ap.add_argument("--bounded", action="store_true")
+    ap.add_argument("--decoded-log", help="folder of the decoded log: the alert job reads its source once (alerts and quarantine, no tables)")
     ap.add_argument("--metrics", help="folder of the metrics table (default: <sink-dir>/metrics, or none)")
     ap.add_argument("--master", help="default: as submitted")
     ap.add_argument("--input-gb", type=float)
@@ -139,6 +162,15 @@ def main(argv: list[str] | None = None) -> None:
     log = MetricsLog(spark, metrics) if metrics else None
     if log:
         spark.streams.addListener(log)
+    if args.decoded_log and args.job != "alerts":
+        ap.error("--decoded-log is for the alert job")
+    if args.decoded_log:
+        queries = run_alerts_from_log(spark, config, args.decoded_log, args.source_dir, args.sink_dir, args.bounded, log)
+        if queries:
+            spark.streams.awaitAnyTermination()
+        for q in queries:
+            q.stop()
+        return
     if args.bounded:
         run_bounded(spark, args.job, config, args.source_dir, args.sink_dir, log=log)
         return

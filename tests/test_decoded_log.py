@@ -4,17 +4,20 @@ import os
 from datetime import timedelta
 
 import pytest
-from conftest import BASE
+from conftest import BASE, event
 from test_streaming import write_events
 
+from cartwheel.config import JobConfig
 from cartwheel.operators.alerts import price_anomaly_alerts, union_alerts
 from cartwheel.operators.bursts import suspicious_frequency_alerts
 from cartwheel.schemas import ORDER_EVENT
 from cartwheel.sinks.commits import read_committed
 from cartwheel.sources.feeds import event_feed_from
+from cartwheel.sources.messages import encode_order_events
 from cartwheel.streaming.decoded import RECORDS, consumer, read_log, run_to_end, start_consumers, start_log
 from cartwheel.streaming.jobs import Sink
 from cartwheel.streaming.metrics import MetricsLog
+from cartwheel.streaming.run import run_alerts_from_log
 from cartwheel.streaming.sources import order_stream_from_files
 
 SETTINGS = {"min_count": 3, "span": "5 minutes", "threshold": "400"}
@@ -76,6 +79,22 @@ def test_goes_on_and_a_lost_consumer_reads_the_log_again(spark, tmp_path):
     assert alerts(read_committed(spark, f"{out}/bursts", schema)) == alerts(bursts)
 
 
+def test_alert_job_from_a_log(spark, tmp_path, events):
+    """The job of the command line: JSON messages of which one is malformed, bounded."""
+    src, log, out = (str(tmp_path / k) for k in ("src", "log", "out"))
+    orders = events([event(f"o{i}", "c1", price="10.00", t=20.0 * i) for i in range(4)] + [event("dear", "c2", price="90000.00", t=90.0),
+                                                                                          event("none", "c3", price=None, t=95.0)])
+    messages = encode_order_events(orders).select("value").union(spark.createDataFrame([("{broken",)], "value STRING"))
+    messages.coalesce(1).write.text(src)
+    assert run_alerts_from_log(spark, JobConfig.from_env(), log, src, out, bounded=True) == []
+    want = alerts(union_alerts(suspicious_frequency_alerts(orders), price_anomaly_alerts(orders)))
+    schema = consumer("prices", read_log(spark, log)).schema
+    got = [a for name in ("bursts", "prices") for a in alerts(read_committed(spark, f"{out}/{name}", schema))]
+    assert {a[0] for a in want} == {"SUSPICIOUS_FREQUENCY", "PRICE_ANOMALY"} and sorted(got) == want
+    [rejected] = read_committed(spark, f"{out}/quarantine", consumer("quarantine", read_log(spark, log)).schema).collect()
+    assert rejected.order_id == "none"
+
+
 def test_unknown_consumer(spark, tmp_path):
     with pytest.raises(ValueError, match="no consumer"):
         consumer("kpis", read_log(spark, str(tmp_path / "log")))
