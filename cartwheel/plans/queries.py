@@ -477,15 +477,17 @@ def _quarantine_from_decoded_log(spark, sf):
 @register("bursts_stream_processor", oracle.burst_alerts("event", 3, "1 DAY", "1440 minutes"))
 def _bursts_stream_processor(spark, sf):
     """W3 by a state processor with one event-time timer a key (1-day span)."""
+    from cartwheel.session import STATE_DEFAULTS, settings
     from cartwheel.streaming.bursts import suspicious_frequency_processor
     from cartwheel.streaming.sources import with_event_time
-    return _replay(spark, sf, lambda s: suspicious_frequency_processor(with_event_time(s), 3, "1 day"), "alert", "bursts_processor", DAY_SPANS)
+    with settings(spark, STATE_DEFAULTS):       # the given session may have Spark's own store, which can't hold a processor's state
+        return _replay(spark, sf, lambda s: suspicious_frequency_processor(with_event_time(s), 3, "1 day"), "alert", "bursts_processor", DAY_SPANS)
 
 
 @register("bursts_stream_restored", oracle.burst_alerts("event", 3, "1 DAY", "1440 minutes"))
 def _bursts_stream_restored(spark, sf):
     """The burst query stops in the middle of the events; a new one with more state partitions goes on from its state."""
-    from cartwheel.session import scratch_path
+    from cartwheel.session import STATE_DEFAULTS, scratch_path, settings
     from cartwheel.sinks.commits import read_committed
     from cartwheel.sources.tables import read_table
     from cartwheel.streaming.bounded import with_end, write_end
@@ -501,17 +503,14 @@ def _bursts_stream_restored(spark, sf):
     events.where(is_early).write.parquet(early)
     events.where(~F.coalesce(is_early, F.lit(False))).write.parquet(late)
     write_end(event_feed(spark, sf), end, *DAY_SPANS)
-    partitions = spark.conf.get("spark.sql.shuffle.partitions")
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     out, before = [], None
-    try:
-        for orders in (order_stream_from_files(spark, early), with_end(order_stream_from_files(spark, late), end)):
+    for n, orders in ((partitions, order_stream_from_files(spark, early)), (partitions + 3, with_end(order_stream_from_files(spark, late), end))):
+        with settings(spark, {**STATE_DEFAULTS, "spark.sql.shuffle.partitions": str(n)}):
             result = suspicious_frequency_processor(with_event_time(orders), 3, "1 day", restore=before)
             to, before = scratch_path(spark, "bursts_restored-out"), scratch_path(spark, "bursts_restored-ckpt")
             _run_to_end(start(result, "alert", Sink("parquet", to, before, {"availableNow": True}), f"bursts_{to[-12:]}"))
             out.append(read_committed(spark, to, result.schema))
-            spark.conf.set("spark.sql.shuffle.partitions", str(int(partitions) + 3))
-    finally:
-        spark.conf.set("spark.sql.shuffle.partitions", partitions)
     return out[0].unionByName(out[1])
 
 

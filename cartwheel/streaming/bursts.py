@@ -79,6 +79,7 @@ def _alerts(ends: DataFrame, min_count: int, span: str) -> DataFrame:
 def suspicious_frequency_processor(events: DataFrame, min_count: int = DEFAULT_SUSPICIOUS_ORDER_COUNT, span: str = DEFAULT_BURST_SPAN,
                                    restore: str | None = None) -> DataFrame:
     """The same alerts by a state processor (``transformWithStateInPandas``: lists of times, one event-time timer a key).
+    Needs a RocksDB state store when the query starts, as ``build_session`` sets it (``session.STATE_DEFAULTS``).
 
     ``restore`` is the checkpoint of a stopped query of this function with the same span and count. The new query, on a checkpoint of
     its own, goes on from that state and watermark, with any number of state partitions; ``events`` are those which the

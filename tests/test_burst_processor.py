@@ -6,7 +6,7 @@ import random
 from datetime import timedelta
 
 import pytest
-from conftest import BASE
+from conftest import BASE, SF001
 from test_streaming import run, write_events
 
 from cartwheel.operators.bursts import suspicious_frequency_alerts
@@ -92,3 +92,20 @@ def test_goes_on_with_other_partitions(spark, tmp_path, partitions):
     written(spark, on_time, files)
     want = expected(spark, [on_time], wm)
     assert len(want) > 30 and sorted(got) == want
+
+
+@pytest.mark.parametrize("name", ["bursts_stream_processor", "bursts_stream_restored"])
+def test_queries_bring_their_state_store(spark, name):
+    """The driver's session has Spark's default state store, which can't hold a processor's state; it is as before afterwards."""
+    from cartwheel.plans.queries import QUERIES
+    key = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(key)
+    default = "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"
+    spark.conf.set(key, default)
+    try:
+        got = QUERIES[name](spark, SF001)
+        assert spark.conf.get(key) == default
+        want = QUERIES["suspicious_frequency_alerts_1d_event"](spark, SF001)
+        assert got.count() and sorted(got.collect()) == sorted(want.collect())
+    finally:
+        spark.conf.set(key, before)
