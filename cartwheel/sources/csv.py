@@ -58,13 +58,21 @@ class Files:
     uncut: list[str]        # files with quotes inside of values that are not quoted: quotes say nothing there
 
 
-def first_pass(spark: SparkSession, path: str) -> Files:
-    quotes = F.length("value") - F.length(F.replace("value", F.lit(QUOTE), F.lit("")))
+def range_counts(spark: SparkSession, path: str) -> DataFrame:
+    """A row for each byte range: whether its quotes are odd in number, whether some are stray, and its first line if it begins a file."""
+    # most lines have no quote: these need no search
+    quoted = F.contains("value", F.lit(QUOTE))
+    quotes = F.when(quoted, F.octet_length("value") - F.octet_length(F.replace("value", F.lit(QUOTE), F.lit("")))).otherwise(0)
+    stray = F.when(quoted & F.col("value").rlike(_STRAY), True)
     # a byte range is read by one task, line by line, so its first line is the first that is met
     head = F.first(F.when((F.col("block") == 0) & (F.trim("value") != ""), F.col("value")), ignorenulls=True)
-    found = (_lines(spark, path).groupBy("key", "file", "block")
-             .agg((F.sum(quotes) % 2).alias("odd"), F.sum(F.regexp_count("value", F.lit(_STRAY))).alias("stray"), head.alias("head"))
-             .orderBy("file", "block").collect())       # a row for each byte range, as many as the job has input splits
+    # with a set among the aggregates Spark hashes by range; without, it would sort all lines for the text of the head
+    return (_lines(spark, path).groupBy("key", "file", "block")
+            .agg((F.sum(quotes) % 2).alias("odd"), F.size(F.collect_set(stray)).alias("stray"), head.alias("head")))
+
+
+def first_pass(spark: SparkSession, path: str) -> Files:
+    found = range_counts(spark, path).orderBy("file", "block").collect()       # as many rows as the job has input splits
     odd, heads, uncut = {}, {}, set()
     for r in found:
         odd[r.file] = odd.get(r.file, 0) ^ r.odd
@@ -88,7 +96,8 @@ def records(spark: SparkSession, path: str, files: Files) -> DataFrame:
     """The records as text: (file, block, head, n, record), in file order by file, block and n; without those of files that can't be cut. Every byte
     range is cut on its own. Of a record that goes on in later ranges each gives its part, and the parts, at most two for a range, are put
     together. The path has to be read as in the first pass, so that the ranges are the same."""
-    shared = spark.sparkContext.broadcast(files.ranges)     # one entry for each input split
+    # one entry for each input split; plain tuples, as executors need not have the package
+    shared = spark.sparkContext.broadcast({key: tuple(r) for key, r in files.ranges.items()})
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return cut_records(batches, shared.value)
@@ -122,7 +131,9 @@ def _read_csv(spark: SparkSession, path: str, columns: list[str], position: str
         if missing := [c for c in columns if any(c not in own for own in names)]:
             raise ValueError(f"columns {missing} are not in every file of {path}")
         schema = ", ".join(f"c{k} string" for k in range(max(map(len, names))))
-        row = F.from_csv(F.regexp_replace("record", r"\r?\n\z", ""), schema, _OPTIONS)
+        # without its line end; a record has one line feed at its end, or none
+        text = F.when(F.endswith("record", F.lit("\r\n")), F.regexp_replace("record", r"\r\n\z", "")).otherwise(F.expr(r"rtrim('\n', record)"))
+        row = F.from_csv(text, schema, _OPTIONS)
         # the parsed record comes out of a generator: it is not put into every field reference, which would parse it again for each
         body = (records(spark, path, files).where(~((F.col("block") == 0) & (F.col("n") == 0)))
                 .select("file", "block", "n", "head", F.inline(F.array(row))))

@@ -20,7 +20,7 @@ class Range(NamedTuple):
     inside: bool    # whether it starts inside a quoted value
 
 
-def cut_records(batches: Iterator[pa.RecordBatch], ranges: dict[int, Range]) -> Iterator[pa.RecordBatch]:
+def cut_records(batches: Iterator[pa.RecordBatch], ranges: dict[int, tuple]) -> Iterator[pa.RecordBatch]:
     """(key of the range, line with its line feed) of whole ranges, line by line, as records: where quotes are closed, a record
     ends. ``n`` numbers the records of a range. A part of a record that another range begins or ends is marked. Blank lines between records are none."""
     key, own, n = None, None, 0
@@ -53,7 +53,7 @@ def cut_records(batches: Iterator[pa.RecordBatch], ranges: dict[int, Range]) ->
                 if held:
                     yield emit(pa.array([held.decode()]), begins, False)
                 key, n, held = keys[s], 0, b""
-                own = ranges[int(key)]
+                own = Range(*ranges[int(key)])
                 begins, opened = not own.inside, own.inside
             after = (np.cumsum(odd[s:e]) + opened) & 1
             closing = np.flatnonzero(after == 0)

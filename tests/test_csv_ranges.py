@@ -1,6 +1,7 @@
 """CSV files cut at byte ranges, whatever stands inside quotes."""
 import csv
 import io
+import pickle
 import random
 from collections import Counter
 from contextlib import contextmanager
@@ -9,7 +10,7 @@ from datetime import datetime
 import pytest
 
 from cartwheel.sources import csv as module
-from cartwheel.sources.csv import enriched_events_from_csv, first_pass
+from cartwheel.sources.csv import enriched_events_from_csv, first_pass, range_counts, records
 
 COLUMNS = ["a", "b", "c"]
 
@@ -88,3 +89,27 @@ def test_last_category_wins_and_equal_times_stay_in_order(spark, tmp_path):
                                                           ("o9", "s0"), ("o9", "s2")]
     assert {(r.product_id, r.product_category) for r in rows if r.product_id} == {("p1", "art"), ("p2", "a")}
     assert rows[0].order_purchase_timestamp == datetime(2024, 1, 1) and "order_position" not in rows[0]
+
+
+def test_lines_are_not_sorted_for_the_head(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('x,y\n1,"2"\n')
+    counts = range_counts(spark, str(tmp_path))
+    plan = counts._jdf.queryExecution().executedPlan().toString()
+    assert "ObjectHashAggregate" in plan and "SortAggregate" not in plan
+    assert [(r.odd, r.stray, r["head"]) for r in counts.collect()] == [(0, 0, "x,y")]
+
+
+def test_executors_need_no_package_for_the_ranges(spark, tmp_path, monkeypatch):
+    """A broadcast is pickled by reference to its classes."""
+    (tmp_path / "a.csv").write_text("x,y\n1,2\n")
+    files, sent = first_pass(spark, str(tmp_path)), []
+    send = type(spark.sparkContext).broadcast
+    monkeypatch.setattr(type(spark.sparkContext), "broadcast", lambda self, value: sent.append(value) or send(self, value))
+    assert records(spark, str(tmp_path), files).count() == 2
+    assert sent and b"cartwheel" not in pickle.dumps(sent[0])
+
+
+def test_line_ends_stay_out_of_values(spark, tmp_path):
+    (tmp_path / "a.csv").write_bytes(b'x,y\r\n1,"2\r\n"\r\n3,4\n5,"6\n"')
+    rows = module._read_csv(spark, str(tmp_path), ["x", "y"]).collect()
+    assert sorted((r.x, r.y) for r in rows) == [("1", "2\r\n"), ("3", "4"), ("5", "6\n")]
