@@ -1,36 +1,26 @@
-"""Byte-level BPE by Spark's higher-order functions.
+"""Byte-level BPE of whole texts.
 
-The split pattern cuts a text into words. The tokens of a word are a string with one character for each token, at first
-one for each byte; a second string holds, for each two neighbours, the token that they make, by the ranks. A fold over the length
-replaces, step by step, the leftmost pair of the lowest rank by its token (``overlay``) and looks up the two pairs that the token is in now. Pairs
-are looked up in a literal map, spread over an array of small maps since a map of Spark is searched from its
-start. Decoding concatenates the bytes of the pieces.
-
-Words repeat, so each of the most frequent distinct words is folded once; with the vocabulary's own words they make a second
-literal map, of bounded size. Any other word is folded where it stands. A fold takes time with the square
-of the length, so words of more than ``FOLDED`` characters are merged in a task by a heap, in the same order.
+The split pattern cuts a text into words, by Spark. Words repeat, so a task merges each distinct word of a slice of its rows once, by a heap,
+and remembers words from slice to slice, of a bounded number; the tokens of all the slice's words are then gathered by Arrow. Nothing of the
+corpus passes through the driver, and no task needs words of another. Decoding concatenates the bytes of the pieces.
 """
 
 from __future__ import annotations
 
 import base64
 import heapq
-import zlib
 from collections.abc import Callable, Iterator
+from functools import lru_cache
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cartwheel.llm.common import saved, shuffle_partitions, table
+from cartwheel.llm.common import SLICE_BYTES, table
 
-KNOWN_WORDS = 400_000       # distinct words that are folded once
-LEARN_DOCS = 50_000         # about so many documents, by a hash of the text, say which words are frequent; this changes no result
-FOLDED = 64                 # characters of the longest word that is folded
-BUCKETS = 1 << 17           # maps that pairs and words are spread over
-NONE = "\U0010ffff"         # for a pair that makes no token; after all other characters
+KNOWN_WORDS = 200_000       # words that a task remembers
+KNOWN_BYTES = 64            # of the longest word that is remembered
 
 
 def default_ranks() -> str:
@@ -54,145 +44,38 @@ def char_of(token: int) -> str:
     return chr(token + 0x100 if token < 0xD700 else token + 0x900)
 
 
-def _latin(data: bytes) -> str:
-    """Bytes as a string with one character for each."""
-    return data.decode("latin-1")
-
-
-def _bucket(key: Column) -> Column:
-    return (F.crc32(key.cast("binary")) % BUCKETS).cast("int")
-
-
-def _found(maps: Column, key: Column) -> Column:
-    """The value of a key in maps that are dealt by ``_bucket``; null if there is none."""
-    return F.try_element_at(F.get(maps, _bucket(key)), key)
-
-
-def _bound(value: Column, use: Callable[[Column], Column]) -> Column:
-    """An expression of a value that is computed once."""
-    return F.get(F.transform(F.array(value), use), F.lit(0))
-
-
-class ByteBpe:
-    """A vocabulary as literals of Spark expressions."""
-
-    def __init__(self, spark, ranks: dict[bytes, int], pattern: str):
-        if missing := [b for b in range(256) if bytes([b]) not in ranks]:
-            raise ValueError(f"no token for the bytes {missing}")
-        self.spark, self.ranks = spark, ranks
-        self.pattern = f"(?U){pattern}"     # \\s as the Unicode white space
-        pairs = sorted(_pairs(ranks))       # by bucket
-        ends = np.searchsorted([b for b, _, _ in pairs], np.arange(BUCKETS + 1))
-        maps = pa.MapArray.from_arrays(pa.array(ends, pa.int32()), pa.array([k for _, k, _ in pairs]), pa.array([r for _, _, r in pairs]))
-        size = ord(char_of(max(ranks.values()))) + 1
-        codes, pieces = [""] * size, [""] * size     # by the character of a token
-        for token, rank in ranks.items():
-            codes[ord(char_of(rank))] = _latin(rank.to_bytes(4, "little"))
-            pieces[ord(char_of(rank))] = _latin(token)
-        row = pa.StructArray.from_arrays([pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x) for x in (maps, pa.array(codes), pa.array(pieces))],
-                                         names=["pairs", "codes", "pieces"])
-        # one row, which Spark computes once and puts into the expressions as a literal
-        self.literal = spark.createDataFrame(pa.table({"value": row})).scalar()
-        self.known: Column | None = None
-
-    def words(self, text: Column) -> Column:
-        return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(self.pattern), F.lit(0))
-
-    def _fold(self, v: Column, word: Column) -> Column:
-        """The tokens of a word. ``v`` is the vocabulary's literal."""
-        byte_tokens = "".join(char_of(self.ranks[bytes([b])]) for b in range(256))
-        start = F.translate(F.decode(F.encode(word, "UTF-8"), "ISO-8859-1"), "".join(map(chr, range(256))), byte_tokens)
-
-        def made(tokens: Column, at: Column) -> Column:
-            return F.coalesce(_found(v["pairs"], F.substring(tokens, at, F.lit(2))), F.lit(NONE))
-
-        def state(tokens: Column, makes: Column) -> Column:
-            return F.struct(tokens.alias("tokens"), makes.alias("makes"))
-
-        def first(tokens: Column) -> Column:
-            return state(tokens, F.array_join(F.transform(F.sequence(F.lit(1), F.length(tokens) - 1), lambda at: made(tokens, at)), ""))
-
-        def merged(s: Column, _) -> Column:
-            def at_best(best: Column) -> Column:
-                at = F.instr(s["makes"], best)
-                return F.when(best == NONE, state(s["tokens"], F.lit(""))).otherwise(
-                    _bound(at, lambda at: _bound(F.overlay(s["tokens"], best, at, F.lit(2)), lambda tokens: state(tokens, F.concat(
-                        F.substring(s["makes"], F.lit(1), at - 2), F.when(at > 1, made(tokens, at - 1)).otherwise(F.lit("")),
-                        F.when(at < F.length(tokens), made(tokens, at)).otherwise(F.lit("")), F.substring(s["makes"], at + 2, F.length(tokens)))))))
-            return F.when(s["makes"] == "", s).otherwise(_bound(F.array_min(F.split(s["makes"], "")), at_best))
-
-        return F.when(F.octet_length(word) < 2, start).otherwise(
-            F.aggregate(F.sequence(F.lit(2), F.octet_length(word)), _bound(start, first), merged, lambda s: s["tokens"]))
-
-    @staticmethod
-    def _coded(v: Column, tokens: Column) -> Column:
-        """codes: the ids as unsigned 32-bit integers, little end first; bytes: of the pieces. Both with one character a byte."""
-        def joined(chars: Column, values: Column) -> Column:
-            return F.array_join(F.transform(chars, lambda c: F.get(values, F.ascii(c))), "")
-        return _bound(F.split(tokens, ""), lambda chars: F.struct(joined(chars, v["codes"]).alias("codes"), joined(chars, v["pieces"]).alias("bytes")))
-
-    def learn(self, docs: DataFrame, text: str = "text", limit: int = KNOWN_WORDS, sample: int = LEARN_DOCS) -> None:
-        """Fold frequent distinct words, once each."""
-        part = min(1.0, sample / max(1, docs.count()))
-        some = docs.where(F.pmod(F.xxhash64(text), F.lit(1 << 20)) < int(part * (1 << 20)) + 1)
-        top = (some.select(F.explode(self.words(F.col(text))).alias("word")).where(F.length("word").between(2, FOLDED))
-               .groupBy("word").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "word").limit(limit).select("word"))
-        whole = [(t.decode(), char_of(r)) for t, r in self.ranks.items() if _is_text(t)]     # a word that is a token stays whole
-        own = self.spark.createDataFrame(pa.table({"word": [w for w, _ in whole], "tokens": [t for _, t in whole]}))
-        folded = (top.repartition(shuffle_partitions(self.spark)).withColumn("v", self.literal)
-                  .select("word", _bound(F.col("v"), lambda v: self._fold(v, F.col("word"))).alias("tokens")))
-        known = (folded.join(own, "word", "left_anti").unionByName(own).withColumn("v", self.literal)
-                 .select("word", _bound(F.col("v"), lambda v: self._coded(v, F.col("tokens"))).alias("coded")))
-        maps = (known.select(_bucket(F.col("word")).alias("bucket"), F.struct("word", "coded").alias("entry")).groupBy("bucket")
-                .agg(F.map_from_entries(F.collect_list("entry")).alias("own")))
-        every = self.spark.range(BUCKETS).select(F.col("id").cast("int").alias("bucket"))
-        none = F.create_map().cast(maps.schema["own"].dataType)
-        one = (every.join(maps, "bucket", "left").select("bucket", F.coalesce("own", none).alias("own"))
-               .agg(F.transform(F.array_sort(F.collect_list(F.struct("bucket", "own")), lambda a, b: a["bucket"] - b["bucket"]), lambda x: x["own"]).alias("words")))
-        self.known = saved(one, "byte-bpe-words").select(F.struct("words").alias("value")).scalar()    # at most ``limit`` words of at most FOLDED characters
-
-    def encode(self, docs: DataFrame, text: str = "text") -> DataFrame:
-        """Add n_tokens, ids (binary: unsigned 32-bit integers, little end first) and decoded (binary: the bytes of the pieces)."""
-        ranks = self.spark.sparkContext.broadcast(self.ranks)        # the vocabulary: its size is the file's
-
-        @F.pandas_udf("array<string>")
-        def by_heap(words: Iterator[pd.Series]) -> Iterator[pd.Series]:
-            for batch in words:
-                yield pd.Series([["".join(map(char_of, heap_merged(w.encode("utf-8", "replace"), ranks.value))) for w in own] for own in batch])
-
-        if self.known is None:
-            self.learn(docs, text)
-        kept = [f"`{c}`" for c in docs.columns]
-        split = docs.select(*kept, self.words(F.col(text)).alias("_words"))
-        split = split.withColumn("_long", F.array_distinct(F.filter("_words", lambda w: F.length(w) > FOLDED)))
-        split = split.withColumn("_merged", by_heap("_long")).withColumn("_v", self.literal).withColumn("_known", self.known)
-
-        def coded(v: Column, known: Column) -> Column:
-            def of(w: Column) -> Column:
-                long = F.get("_merged", F.array_position("_long", w).cast("int") - 1)
-                return F.coalesce(_found(known["words"], w), self._coded(v, F.when(F.length(w) > FOLDED, long).otherwise(self._fold(v, w))))
-            return F.transform("_words", of)
-
-        out = split.select(*kept, _bound(F.struct(F.col("_v").alias("v"), F.col("_known").alias("known")), lambda b: coded(b["v"], b["known"])).alias("_coded"))
-        out = out.select(*kept, *(F.encode(F.array_join(f"_coded.{f}", ""), "ISO-8859-1").alias(a) for f, a in (("codes", "ids"), ("bytes", "decoded"))))
-        return out.select(*kept, (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), "ids", "decoded")
-
-
-def _pairs(ranks: dict[bytes, int]) -> Iterator[tuple[int, str, str]]:
-    """Bucket, two tokens and the token that they make, for every way to cut a token into two."""
-    for token, rank in ranks.items():
-        for i in range(1, len(token)):
-            left, right = ranks.get(token[:i]), ranks.get(token[i:])
-            if left is not None and right is not None:
-                key = char_of(left) + char_of(right)
-                yield zlib.crc32(key.encode()) % BUCKETS, key, char_of(rank)
-
-
-def _is_text(token: bytes) -> bool:
-    try:
-        return bool(token.decode())
-    except UnicodeDecodeError:
-        return False
+def words_of(text: Column, pattern: str) -> Column:
+    return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(f"(?U){pattern}"), F.lit(0))     # \\s as the Unicode white space
+
+
+def _slices(rows: pa.ListArray) -> Iterator[pa.ListArray]:
+    """The rows again, in parts of at most SLICE_BYTES bytes of words (or one row)."""
+    ends = np.frombuffer(rows.values.buffers()[1], np.int32)[rows.values.offset:][rows.offsets.to_numpy()] if len(rows.values) else np.zeros(len(rows) + 1, np.int32)
+    i = 0
+    while i < len(rows):
+        j = max(i + 1, int(np.searchsorted(ends, int(ends[i]) + SLICE_BYTES, side="right")) - 1)
+        yield rows.slice(i, min(j, len(rows)) - i)
+        i = j
+
+
+def _joined(ends: np.ndarray, data) -> pa.Array:
+    """Binary values that lie one after the other."""
+    return pa.Array.from_buffers(pa.binary(), len(ends) - 1, [None, pa.py_buffer(ends.astype(np.int32)), data])
+
+
+def _coded(rows: pa.ListArray, merged: Callable[[bytes], bytes], pieces: pa.Array) -> pa.Array:
+    """ids and decoded of rows of words."""
+    at = rows.offsets.to_numpy()
+    words = rows.values.slice(at[0], at[-1] - at[0]).dictionary_encode()
+    codes = [merged(w) for w in words.dictionary.to_pylist()]
+    sizes = np.array([0, *map(len, codes)], np.int64) // 4
+    tokens = pa.ListArray.from_arrays(pa.array(sizes.cumsum(), pa.int32()), pa.array(np.frombuffer(b"".join(codes), "<u4"))).take(words.indices)
+    ids = tokens.flatten()
+    at = (tokens.offsets.to_numpy() - tokens.offsets[0].as_py())[at - at[0]]
+    bytes_ = pieces.take(ids)
+    ends = np.frombuffer(bytes_.buffers()[1], np.int32)[bytes_.offset:] if len(bytes_) else np.zeros(1, np.int32)
+    return pa.StructArray.from_arrays([_joined(4 * at.astype(np.int64), pa.py_buffer(ids.to_numpy().astype("<u4", copy=False))),
+                                       _joined(ends[at], bytes_.buffers()[2] or pa.py_buffer(b""))], names=["ids", "decoded"])
 
 
 def heap_merged(word: bytes, ranks: dict[bytes, int]) -> list[int]:
@@ -234,12 +117,36 @@ def encode(docs: DataFrame, ranks_path: str | None = None, pattern: str | None =
 
     Whole texts, no cap. Null and empty texts have no tokens and decode to no bytes; repeated rows are encoded alike; no rows
     give no rows. Letters, numbers and white space are those of the Java version's Unicode. Other columns stay; names that clash are
-    refused. ``known_words`` bounds the words that are folded once for the whole corpus and changes no result."""
-    if clash := {"n_tokens", "ids", "decoded", "_words", "_long", "_merged", "_v", "_known", "_coded"} & {c.lower() for c in docs.columns}:
+    refused. ``known_words`` bounds the words that a task remembers and changes no result."""
+    if clash := {"n_tokens", "ids", "decoded", "_coded"} & {c.lower() for c in docs.columns}:
         raise ValueError(f"columns {sorted(clash)} exist already")
-    bpe = ByteBpe(docs.sparkSession, read_ranks(ranks_path or default_ranks()), pattern or default_pattern())
-    bpe.learn(docs, text, known_words)
-    return bpe.encode(docs, text)
+    ranks = read_ranks(ranks_path or default_ranks())
+    if missing := [b for b in range(256) if bytes([b]) not in ranks]:
+        raise ValueError(f"no token for the bytes {missing}")
+    given = docs.sparkSession.sparkContext.broadcast(ranks)      # the vocabulary: its size is the file's
+
+    @F.arrow_udf("struct<ids: binary, decoded: binary>")
+    def coded(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        ranks = given.value
+        tokens = {rank: token for token, rank in ranks.items()}
+        pieces = pa.array([tokens.get(i, b"") for i in range(max(tokens) + 1)], pa.binary())
+
+        def fresh(word: bytes) -> bytes:
+            return np.array(heap_merged(word, ranks), "<u4").tobytes()
+
+        known = lru_cache(known_words)(fresh)
+
+        def merged(word: bytes) -> bytes:
+            return known(word) if len(word) <= KNOWN_BYTES else fresh(word)
+
+        for batch in batches:
+            for rows in _slices(batch.cast(pa.list_(pa.binary()))):
+                yield _coded(rows, merged, pieces)
+
+    kept = [f"`{c}`" for c in docs.columns]
+    out = docs.select(*kept, coded(words_of(F.col(text), pattern or default_pattern())).alias("_coded"))
+    out = out.select(*kept, *(F.col(f"_coded.{c}").alias(c) for c in ("ids", "decoded")))
+    return out.select(*kept, (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), "ids", "decoded")
 
 
 def op13_byte_bpe(spark, sf_dir):

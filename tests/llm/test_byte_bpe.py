@@ -71,3 +71,22 @@ def test_query(spark):
         ids = np.array(own.encode_ordinary(r.text or ""), "<u4").tobytes()
         assert tuple(got[r.doc_id])[:4] == (r.doc_id, len(ids) // 4, hashlib.sha256(ids).hexdigest(), hashlib.sha256((r.text or "").encode()).hexdigest())
         assert got[r.doc_id].round_trip
+
+
+def test_nothing_of_the_corpus_passes_through_the_driver(spark):
+    spark.sparkContext.setJobGroup("bpe-plan", "")
+    got = encode(docs_of(spark, ROWS))
+    assert "subquery" not in got._jdf.queryExecution().executedPlan().toString().lower()
+    assert not spark.sparkContext.statusTracker().getJobIdsForGroup("bpe-plan")
+
+
+def test_rows_over_several_slices(spark):
+    """More text than a slice holds, in one batch: rows of it and rows of none, and one row that alone is over it."""
+    own = library()
+    rows = [(i, None if i % 50 == 3 else "" if i % 50 == 4 else long_text(i % 7, 3000), None) for i in range(150)] + [(150, long_text(9, 300_000), None)]
+    docs = docs_of(spark, rows).coalesce(1)
+    got = {r.doc_id: r for r in encode(docs, known_words=50).collect()}
+    assert len(got) == len(rows) and sum(len(r[1] or "") for r in rows) > 2 << 20
+    for doc_id, text, _ in rows:
+        assert np.frombuffer(bytes(got[doc_id].ids), "<u4").tolist() == own.encode_ordinary(text or "")
+        assert bytes(got[doc_id].decoded) == (text or "").encode()
