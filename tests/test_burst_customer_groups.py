@@ -1,0 +1,60 @@
+"""Customers that share one state of the streaming burst detector: the same alerts, and states of a bounded number."""
+
+from datetime import timedelta
+
+import pandas as pd
+from conftest import BASE
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from test_burst_state_function import BUCKET_US, DELAY_MS, SPAN_US, FakeState, brute, events_st
+
+from cartwheel.operators.bursts import suspicious_frequency_alerts
+from cartwheel.sources.feeds import event_feed_from
+from cartwheel.streaming.burst_groups import make_burst_function
+from cartwheel.streaming.bursts import CUSTOMER_GROUPS
+from cartwheel.streaming.jobs import Sink, alert_stream, start
+from cartwheel.streaming.sources import EVENTS_TABLE, order_stream_from_files
+
+
+@settings(max_examples=300, deadline=None)
+@given(events_st, st.lists(st.integers(1, 6), min_size=1, max_size=8), st.integers(2, 4))
+def test_customers_of_one_state_match_brute_force(events, cuts, n):
+    fn = make_burst_function(n, SPAN_US, BUCKET_US)
+    states, got, kept, wm, mx, i = {}, [], [], -1, -1, 0
+
+    def call(bucket, state, rows, timed_out):
+        state.wm_ms, state.timed_out = wm, timed_out
+        for df in fn((0, bucket), iter(rows), state):
+            got.extend((u, t, m) for u, t, k in zip(df.customer_id, df.ts_us, df.k) for m in range(n, k + 1))
+
+    for size in [*cuts, len(events), 0]:
+        batch, i = events[i:i + size], i + size
+        kept += [e for e in batch if e[1] > wm * 1000]
+        dealt = [(b, c, t) for c, t in batch for b in sorted({t // BUCKET_US, (t + SPAN_US - 1) // BUCKET_US})]
+        dealt += [(b, None, t) for b, _, t in dealt[:1]]        # no customer: ignored
+        for b in {b for b, _, _ in dealt}:
+            rows = pd.DataFrame([(c, t) for own, c, t in dealt if own == b], columns=["customer_id", "ts_us"])
+            call(b, states.setdefault(b, FakeState()), [rows], False)
+        for b, state in states.items():
+            if b not in {b for b, _, _ in dealt} and state.exists and state.timeout is not None and state.timeout < wm:
+                call(b, state, [], True)
+        mx = max([mx] + [t // 1000 for _, t in batch])
+        wm = max(wm, mx - DELAY_MS)
+    assert sorted(got) == brute(kept, n, wm * 1000, set())
+
+
+def test_states_do_not_grow_with_the_customers(spark, tmp_path):
+    """Six times as many customers as groups: a state for each group, and the alerts of the batch form."""
+    customers = 6 * CUSTOMER_GROUPS
+    rows = [(k * customers + u, BASE + timedelta(seconds=60 * k + u % 50), u, "click", 10.0, '{"k": 1}') for u in range(customers) for k in range(4)]
+    spark.createDataFrame(rows, EVENTS_TABLE).coalesce(1).write.parquet(str(tmp_path / "src"))
+    q = start(alert_stream(order_stream_from_files(spark, str(tmp_path / "src")), 3, "5 minutes", "1000"), "alert",
+              Sink("parquet", str(tmp_path / "out"), str(tmp_path / "ckpt"), {"availableNow": True}), "customer_groups")
+    q.awaitTermination()
+    assert q.exception() is None
+    assert 0 < max(s.numRowsTotal for p in q.recentProgress for s in p.stateOperators) <= 2 * CUSTOMER_GROUPS
+    mark = max(r[1] for r in rows) - timedelta(seconds=10)
+    batch = suspicious_frequency_alerts(event_feed_from(spark.createDataFrame(rows, EVENTS_TABLE)), 3, "5 minutes").where(f"detected_at <= timestamp'{mark}'")
+    columns = ["entity_id", "detected_at", "description"]
+    got = sorted(map(tuple, spark.read.parquet(str(tmp_path / "out")).select(columns).collect()))
+    assert len(got) > customers and got == sorted(map(tuple, batch.select(columns).collect()))
